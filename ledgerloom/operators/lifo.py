@@ -113,7 +113,9 @@ def open_segments(changes: DataFrame) -> DataFrame:
 
 def _fold_addresses(changes: DataFrame) -> DataFrame:
     """One shuffle by address, a sort that can spill, and a pass holding one stack at a time."""
-    ordered = changes.repartition("address").sortWithinPartitions("address", *_ORDER)
+    # A fixed number of partitions: the pass is Python work, not to be merged by byte size.
+    partitions = int(changes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = changes.repartition(partitions, "address").sortWithinPartitions("address", *_ORDER)
     return ordered.mapInArrow(_fold_whole, _SEGMENT)
 
 

@@ -12,20 +12,23 @@ from .ordered import ROWS_PER_CHUNK, previous, running
 _CHAIN_ORDER = ["height", "tx_pos", "_is_output", "entry_idx"]
 
 
-def _with_predecessor(entries: DataFrame, rows_per_chunk: int) -> DataFrame:
+def _with_predecessor(entries: DataFrame, rows_per_chunk: int, sized_by: DataFrame | None) -> DataFrame:
     """Entries with what last happened to their outpoint."""
     ordered = drop_markers(entries).withColumn("_is_output", ~F.col("is_input"))
     carried = F.struct(F.col("_is_output").alias("live"), "address", "value")
-    return running(ordered, OUTPOINT, _CHAIN_ORDER, {"_before": previous(carried)}, rows_per_chunk)
+    return running(ordered, OUTPOINT, _CHAIN_ORDER, {"_before": previous(carried)}, rows_per_chunk, sized_by)
 
 
-def match_spends(entries: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
+def match_spends(
+    entries: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK, sized_by: DataFrame | None = None
+) -> DataFrame:
     """Signed change of every output and of every input with an output to spend.
 
     An input spends the latest output of its outpoint if nothing has spent it yet;
-    creating an outpoint again replaces the earlier output.
+    creating an outpoint again replaces the earlier output.  ``sized_by`` may name
+    a cheaper frame with the same outpoints, to look for heavily repeated ones.
     """
-    seen = _with_predecessor(entries, rows_per_chunk)
+    seen = _with_predecessor(entries, rows_per_chunk, sized_by)
     spent = F.col("_before")
     return seen.where(~F.col("is_input") | F.coalesce(spent["live"], F.lit(False))).select(
         "ts",
@@ -36,17 +39,21 @@ def match_spends(entries: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> Da
     )
 
 
-def missing_outputs(entries: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
+def missing_outputs(
+    entries: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK, sized_by: DataFrame | None = None
+) -> DataFrame:
     """Inputs that have no unspent output to consume."""
-    seen = _with_predecessor(entries, rows_per_chunk)
+    seen = _with_predecessor(entries, rows_per_chunk, sized_by)
     return seen.where(F.col("is_input") & ~F.coalesce(F.col("_before")["live"], F.lit(False))).select(
         "height", "ts", "tx_pos", *OUTPOINT
     )
 
 
-def match_spends_strict(entries: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
+def match_spends_strict(
+    entries: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK, sized_by: DataFrame | None = None
+) -> DataFrame:
     """As :func:`match_spends`, failing the job on an input without an output."""
-    seen = _with_predecessor(entries, rows_per_chunk)
+    seen = _with_predecessor(entries, rows_per_chunk, sized_by)
     spent = F.col("_before")
     message = F.concat_ws(
         ", ", F.lit("output not found"), "height", "ts", "tx_pos", F.col("out_index").cast("string")

@@ -62,13 +62,14 @@ def transfer_table(account_changes_df: DataFrame) -> DataFrame:
     )
 
 
-def net_by_account(legs: DataFrame) -> DataFrame:
+def net_by_account(legs: DataFrame, *also: str) -> DataFrame:
     """Net value per transaction, address and address kind; inputs count negative.
 
     Zero nets are kept here and dropped where transfers are reconstructed.
+    ``also`` names further columns of the transaction to keep.
     """
     signed = F.when(F.col("is_input"), -F.col("value")).otherwise(F.col("value"))
-    return legs.groupBy("height", "ts", "tx_pos", "tx_hash", "address", "kind").agg(F.sum(signed).alias("value"))
+    return legs.groupBy("height", "ts", "tx_pos", "tx_hash", *also, "address", "kind").agg(F.sum(signed).alias("value"))
 
 
 def active_addresses(changes: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_PER_CHUNK = 1_000_000
+ROWS_PER_CHUNK = 4_000_000
 MAX_CHUNKS = 4096
 _TRACKED_ITEMS = 131_072
 _SAMPLES_PER_CHUNK = 32
@@ -67,23 +67,38 @@ def _col(column: str | Column) -> Column:
     return F.col(column) if isinstance(column, str) else column
 
 
+def heavy_keys(df: DataFrame, keys: list[str], rows_per_chunk: int = ROWS_PER_CHUNK) -> tuple[int, dict[int, int]]:
+    """Chunk size for the table, and the key hashes with more rows than that.
+
+    At most ``MAX_CHUNKS`` keys can be that large.
+    """
+    total = df.count()
+    size = max(rows_per_chunk, total // MAX_CHUNKS)
+    if total <= size:
+        return size, {}
+    sketch = F.expr(f"approx_top_k({_HASH}, {MAX_CHUNKS}, {_TRACKED_ITEMS})")
+    frequent = df.select(F.xxhash64(*keys).alias(_HASH)).agg(sketch).first()[0]
+    return size, {item["item"]: item["count"] for item in frequent if item["count"] > size}
+
+
 def hot_key_bounds(
-    df: DataFrame, keys: list[str], order: list[str], rows_per_chunk: int = ROWS_PER_CHUNK
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    rows_per_chunk: int = ROWS_PER_CHUNK,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame | None:
     """Split points of the keys too large for one task, or ``None`` if there are none.
 
     One row per hot key: its hash and the sorted array of chunk starts.  All keys
-    together have at most about ``MAX_CHUNKS`` split points.
+    together have at most about ``MAX_CHUNKS`` split points.  ``sized_by`` is a
+    frame that is cheaper to read than ``df`` and has about as many rows per key
+    or more, such as the table ``df`` was aggregated from.
     """
-    probe = df.select(F.xxhash64(*keys).alias(_HASH), F.struct(*order).alias("position"))
-    total = probe.count()
-    if total <= rows_per_chunk:
-        return None
-    size = max(rows_per_chunk, total // MAX_CHUNKS)
-    frequent = probe.agg(F.expr(f"approx_top_k({_HASH}, {MAX_CHUNKS}, {_TRACKED_ITEMS})")).first()[0]
-    hot = {item["item"]: item["count"] for item in frequent if item["count"] > size}
+    size, hot = heavy_keys(df if sized_by is None else sized_by, keys, rows_per_chunk)
     if not hot:
         return None
+    probe = df.select(F.xxhash64(*keys).alias(_HASH), F.struct(*order).alias("position"))
     chunks = sum(n // size + 1 for n in hot.values())
     fraction = min(1.0, _SAMPLES_PER_CHUNK * chunks / sum(hot.values()))
     sampled = probe.where(F.col(_HASH).isin(list(hot))).sample(fraction, seed=7).collect()
@@ -138,14 +153,15 @@ def running(
     order: list[str],
     columns: dict[str, Scan],
     rows_per_chunk: int = ROWS_PER_CHUNK,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Add running ``columns`` per key, ordered by the ascending columns ``order``.
 
     ``order`` should identify a row within its key; tied rows are interchangeable.
     """
-    bounds = hot_key_bounds(df, keys, order, rows_per_chunk)
+    bounds = hot_key_bounds(df, keys, order, rows_per_chunk, sized_by)
     if bounds is None:
-        return _windowed(df, keys, order, columns)
+        return windowed(df, keys, order, columns)
     return running_within(df, keys, order, columns, bounds)
 
 
@@ -154,7 +170,7 @@ def running_within(
 ) -> DataFrame:
     """As :func:`running` with split points that are already known."""
     chunked = with_chunks(df, keys, order, bounds)
-    local = _windowed(chunked, [*keys, CHUNK], order, columns)
+    local = windowed(chunked, [*keys, CHUNK], order, columns)
     carry = _carries(with_chunks(hot_rows(df, keys, bounds), keys, order, bounds), keys, order, columns)
     at = [*keys, CHUNK]
     carry = carry.select(*[F.col(k).alias("_r_" + k) for k in at], *[F.col(c).alias("_c_" + c) for c in columns])
@@ -174,7 +190,8 @@ def running_within(
     return joined.select(*df.columns, *out)
 
 
-def _windowed(df: DataFrame, keys: list[str], order: list[str], columns: dict[str, Scan]) -> DataFrame:
+def windowed(df: DataFrame, keys: list[str], order: list[str], columns: dict[str, Scan]) -> DataFrame:
+    """The running columns by plain windows, for keys known to be of ordinary size."""
     over = Window.partitionBy(*keys).orderBy(*order)
     upto = over.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = []

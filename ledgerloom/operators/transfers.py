@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.amounts import to_coin
 from .netting import net_by_account
-from .ordered import ROWS_PER_CHUNK, last_value, running, running_sum
+from .ordered import ROWS_PER_CHUNK, heavy_keys, last_value, running, running_sum, windowed
 
 TX = ["height", "ts", "tx_pos", "tx_hash"]
-_LEG = [*TX, "is_coinbase", "is_input", "address", "kind", "value"]
+# A transaction is known by its place in the chain.
+_TX_KEY = ["height", "tx_pos"]
 ENTRIES_PER_PART = 10_000
 
 
@@ -50,56 +53,48 @@ def block_minting(legs: DataFrame) -> DataFrame:
     )
 
 
-def virtual_legs(legs: DataFrame) -> DataFrame:
-    """The rows that balance every transaction.
+def unbalanced_txs(legs: DataFrame) -> DataFrame:
+    """Transactions whose outputs exceed their inputs."""
+    return tx_fees(legs).where(F.col("fee") < 0)
+
+
+def net_accounts(legs: DataFrame) -> DataFrame:
+    """Non-zero net value per transaction and account, completed with virtual accounts.
 
     Ordinary transactions pay their fee to ``fee``; a coinbase is paid by ``fee``
-    and ``mint``.
+    and ``mint``.  A transaction's excess of outputs over inputs is the sum of its
+    nets, so fees and minted coins come from the netted rows and share their
+    shuffle.
     """
-    receives = tx_fees(legs).select(
-        *TX,
-        F.lit(False).alias("is_coinbase"),
-        F.lit(False).alias("is_input"),
-        F.lit("fee").alias("address"),
-        F.lit("virtual").alias("kind"),
-        F.col("fee").alias("value"),
+    nets = net_by_account(legs, "is_coinbase")
+    excess, coinbase = F.col("excess"), F.col("is_coinbase")
+    per_tx = nets.groupBy(*TX, "is_coinbase").agg(F.sum("value").alias("excess"))
+    virtual = F.lit("virtual").alias("kind")
+    fees = per_tx.select(
+        *TX, F.lit("fee").alias("address"), virtual, F.when(coinbase, F.lit(0)).otherwise(-excess).alias("value")
     )
     payers = F.array(
-        F.struct(F.lit("fee").alias("address"), F.col("fees").alias("value")),
-        F.struct(F.lit("mint").alias("address"), F.col("minted").alias("value")),
+        F.struct(F.lit("fee").alias("address"), (-F.col("fees")).alias("value")),
+        F.struct(F.lit("mint").alias("address"), (F.col("fees") - F.col("reward")).alias("value")),
     )
-    pays = (
-        block_minting(legs)
-        .where(F.col("coinbase_hash").isNotNull())
-        .select("height", "ts", F.lit(0).alias("tx_pos"), F.col("coinbase_hash").alias("tx_hash"), F.inline(payers))
-        .select(
-            *TX,
-            F.lit(True).alias("is_coinbase"),
-            F.lit(True).alias("is_input"),
-            "address",
-            F.lit("virtual").alias("kind"),
-            "value",
+    minted = (
+        per_tx.groupBy("height", "ts")
+        .agg(
+            F.sum(F.when(coinbase, F.lit(0)).otherwise(-excess)).alias("fees"),
+            F.sum(F.when(coinbase, excess).otherwise(F.lit(0))).alias("reward"),
+            F.max(F.when(coinbase, F.struct("tx_pos", "tx_hash"))).alias("coinbase"),
         )
+        .where(F.col("coinbase").isNotNull())
+        .select("height", "ts", "coinbase.tx_pos", "coinbase.tx_hash", F.inline(payers))
+        .select(*TX, "address", virtual, "value")
     )
-    return receives.unionByName(pays)
-
+    real = nets.select(*TX, "address", "kind", "value")
+    return real.unionByName(fees).unionByName(minted).where(F.col("value") != 0)
 
-def balanced_legs(legs: DataFrame) -> DataFrame:
-    """Legs completed with their virtual rows."""
-    return legs.select(*_LEG).unionByName(virtual_legs(legs))
 
-
-def unbalanced_txs(legs: DataFrame) -> DataFrame:
-    """Transactions whose outputs exceed their inputs."""
-    return tx_fees(legs).where(F.col("fee") < 0)
-
-
-def net_accounts(legs: DataFrame) -> DataFrame:
-    """Non-zero net value per transaction and account, virtual accounts included."""
-    return net_by_account(balanced_legs(legs)).where(F.col("value") != 0)
-
-
-def model_transfers(net: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
+def model_transfers(
+    net: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK, sized_by: DataFrame | None = None
+) -> DataFrame:
     """Transfers inside each transaction: largest payer pays largest receiver first.
 
     Lay payers and receivers of a transaction end to end, largest first, as two
@@ -107,23 +102,31 @@ def model_transfers(net: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> Dat
     begins a transfer between the payer and the receiver covering it, which ends
     where the first of the two intervals ends.  The work is linear in the number
     of accounts: two running computations, no pairs.
+
+    ``sized_by`` may name the legs ``net`` comes from; it is then searched for very
+    large transactions in place of ``net``.
     """
     sized = net.withColumn("side", F.when(F.col("value") < 0, 0).otherwise(1)).withColumn(
         "rank", -F.abs("value")
     )
-    laid = running(
-        sized, [*TX, "side"], ["rank", "address", "kind"], {"until": running_sum(-F.col("rank"))}, rows_per_chunk
+    _, heavy = heavy_keys(net if sized_by is None else sized_by, _TX_KEY, rows_per_chunk)
+    if heavy:
+        scan = partial(running, rows_per_chunk=rows_per_chunk)
+    else:
+        # Both windows below can use one shuffle by transaction.
+        sized, scan = sized.repartition(*_TX_KEY), windowed
+    laid = scan(
+        sized, [*_TX_KEY, "side"], ["rank", "address", "kind"], {"until": running_sum(-F.col("rank"))}
     ).withColumn("start", F.col("until") + F.col("rank"))
     account = F.struct("address", "kind", "until")
-    owned = running(
+    owned = scan(
         laid,
-        TX,
+        _TX_KEY,
         ["start", "side"],
         {
             "payer": last_value(F.when(F.col("side") == 0, account)),
             "receiver": last_value(F.when(F.col("side") == 1, account)),
         },
-        rows_per_chunk,
     )
     amount = F.least("payer.until", "receiver.until") - F.col("start")
     return (

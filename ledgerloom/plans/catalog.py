@@ -22,7 +22,7 @@ BLOCKS_PER_INTERVAL = 1000
 
 
 def _net(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return netting.net_changes(matching.match_spends(tables.entries(spark, sf_dir)))
+    return netting.net_changes(_matched(spark, sf_dir))
 
 
 def _account_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,7 +34,7 @@ def _stack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _net_windowed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return netting.net_changes_windowed(matching.match_spends(tables.entries(spark, sf_dir)))
+    return netting.net_changes_windowed(_matched(spark, sf_dir))
 
 
 def _transfers_mv(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,7 +52,8 @@ def _processed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transfers.model_transfers(transfers.net_accounts(tables.all_legs(spark, sf_dir)))
+    legs = tables.all_legs(spark, sf_dir)
+    return transfers.model_transfers(transfers.net_accounts(legs), sized_by=legs)
 
 
 def _edges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,7 +118,7 @@ def _shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return blocks.parse_blocks(tables.raw_blocks(spark, sf_dir)).withColumn("script", F.hex("script"))
+    return _hash_as_text(blocks.parse_blocks(tables.raw_blocks(spark, sf_dir)).withColumn("script", F.hex("script")))
 
 
 def _chain_net(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,13 +137,27 @@ def _compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.latest_per_key(tables.changes(spark, sf_dir), ["address"], "ts")
 
 
+def _matched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    outpoints = tables.line_outpoints(spark, sf_dir)
+    return matching.match_spends(tables.entries(spark, sf_dir), sized_by=outpoints)
+
+
+def _missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    outpoints = tables.line_outpoints(spark, sf_dir)
+    return matching.missing_outputs(tables.entries(spark, sf_dir), sized_by=outpoints)
+
+
+def _hash_as_text(df: DataFrame) -> DataFrame:
+    return df.withColumn("tx_hash", F.lower(F.hex("tx_hash")))
+
+
 QUERIES: dict[str, Query] = {
-    "utxo_match": lambda s, d: matching.match_spends(tables.entries(s, d)),
-    "utxo_match_join": lambda s, d: matching.join_parents(tables.entries(s, d)),
-    "missing_utxo": lambda s, d: matching.missing_outputs(tables.entries(s, d)),
-    "utxo_set": lambda s, d: matching.unspent_outputs(tables.entries(s, d)),
-    "utxo_bootstrap": lambda s, d: matching.unspent_within(tables.entries(s, d), 1500, 400),
-    "outpoints": lambda s, d: entries.outpoints(tables.entries(s, d)),
+    "utxo_match": _matched,
+    "utxo_match_join": lambda s, d: _hash_as_text(matching.join_parents(tables.entries(s, d))),
+    "missing_utxo": lambda s, d: _hash_as_text(_missing(s, d)),
+    "utxo_set": lambda s, d: _hash_as_text(matching.unspent_outputs(tables.entries(s, d))),
+    "utxo_bootstrap": lambda s, d: _hash_as_text(matching.unspent_within(tables.entries(s, d), 1500, 400)),
+    "outpoints": lambda s, d: _hash_as_text(entries.outpoints(tables.entries(s, d))),
     "net_changes": _net,
     "net_changes_windowed": _net_windowed,
     "account_changes": _account_changes,

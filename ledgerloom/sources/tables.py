@@ -56,6 +56,29 @@ def dated_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _line_hash() -> Column:
+    digest = F.sha2(
+        F.concat_ws(
+            "|",
+            "l_orderkey",
+            "l_partkey",
+            "l_suppkey",
+            "l_linenumber",
+            _cents("l_extendedprice"),
+            _cents("l_discount"),
+            F.unix_date(F.col("l_shipdate").cast("date")),
+        ),
+        256,
+    )
+    return F.unhex(digest).alias("tx_hash")
+
+
+def line_outpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The outpoints of :func:`entries`, once each."""
+    index = F.col("l_linenumber").cast("bigint").alias("out_index")
+    return table(spark, sf_dir, "lineitem").select(_line_hash(), index)
+
+
 def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``lineitem`` and ``orders`` as outputs (at the order date) and their spends (at shipping).
 
@@ -64,19 +87,7 @@ def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
-        F.sha2(
-            F.concat_ws(
-                "|",
-                "l_orderkey",
-                "l_partkey",
-                "l_suppkey",
-                "l_linenumber",
-                _cents("l_extendedprice"),
-                _cents("l_discount"),
-                F.unix_date(F.col("l_shipdate").cast("date")),
-            ),
-            256,
-        ).alias("tx_hash"),
+        _line_hash(),
         F.col("l_linenumber").cast("bigint").alias("out_index"),
         _name("s", "l_suppkey").alias("address"),
         _cents("l_extendedprice").alias("sat"),
@@ -300,6 +311,6 @@ def raw_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.when(height == 0, F.concat(F.lit("01"), _coinbase_tx(height))).otherwise(
         F.concat(F.lit("02"), _coinbase_tx(height), spend)
     )
-    return table(spark, sf_dir, "events").select(
-        height.cast("int").alias("height"), F.unhex(F.concat(header, body)).alias("bytes")
-    )
+    # Spread first: a block is many times the size of the columns it is made from.
+    spread = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value").repartition("event_id")
+    return spread.select(height.cast("int").alias("height"), F.unhex(F.concat(header, body)).alias("bytes"))
