@@ -23,6 +23,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Rows dealt out to all cores if the table has fewer files than that.
+
+    A small table in one file is read by one task, which would then also do all the
+    work up to the next shuffle.  Tables in many files are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def _cents(column: str) -> Column:
     return F.round(F.col(column) * 100).cast("bigint")
 
@@ -85,7 +95,7 @@ def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     An outpoint's hash covers the whole line, so copies of a line create the same
     outpoint again, and a large order does not become one large group.
     """
-    lines = table(spark, sf_dir, "lineitem").select(
+    lines = _spread(table(spark, sf_dir, "lineitem")).select(
         "l_orderkey",
         _line_hash(),
         F.col("l_linenumber").cast("bigint").alias("out_index"),
@@ -163,7 +173,7 @@ def legs(spark: SparkSession, sf_dir: str, taxed: bool = False) -> DataFrame:
         ),
     )
     return (
-        table(spark, sf_dir, "lineitem")
+        _spread(table(spark, sf_dir, "lineitem"))
         .withColumn("sat", sat)
         .withColumn("percent", percent)
         .select(
@@ -239,7 +249,7 @@ def scripts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("76A914"), short, F.lit("88ACAC")))
     )
     return (
-        table(spark, sf_dir, "customer")
+        _spread(table(spark, sf_dir, "customer"))
         .select("c_custkey", "c_name", (F.col("c_custkey") % 8).alias("shape"))
         .select("c_custkey", F.unhex(hexed).alias("script"))
     )
@@ -311,6 +321,4 @@ def raw_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.when(height == 0, F.concat(F.lit("01"), _coinbase_tx(height))).otherwise(
         F.concat(F.lit("02"), _coinbase_tx(height), spend)
     )
-    # Spread first: a block is many times the size of the columns it is made from.
-    spread = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value").repartition("event_id")
-    return spread.select(height.cast("int").alias("height"), F.unhex(F.concat(header, body)).alias("bytes"))
+    return _spread(table(spark, sf_dir, "events")).select(height.cast("int").alias("height"), F.unhex(F.concat(header, body)).alias("bytes"))
