@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.amounts import to_coin
-from ..session import ensure_checkpoint_dir
+from ..session import checkpointed
 from .ordered import (
     CHUNK,
     ROWS_PER_CHUNK,
@@ -192,13 +192,11 @@ def _fold_chunks(hot: DataFrame, bounds: DataFrame, rows_per_chunk: int) -> Data
     key = ["address"]
     balanced = running_within(hot, key, _ORDER, {"balance": running_sum("value")}, bounds)
     chunked = with_chunks(balanced, key, _ORDER, bounds)
-    ensure_checkpoint_dir(hot.sparkSession)
-    # Read several times below, so written once; also fixes its rows across retries.
-    pieces = (
+    # Read several times below.
+    pieces = checkpointed(
         chunked.repartition("address", CHUNK)
         .sortWithinPartitions("address", CHUNK, *_ORDER)
         .mapInArrow(_fold_chunk, _PIECE)
-        .checkpoint()
     )
     floors = pieces.where("floor").select("address", CHUNK, "level", "ots")
     pushes = pieces.where("not floor")

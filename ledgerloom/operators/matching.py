@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .entries import OUTPOINT, drop_markers
-from .ordered import ROWS_PER_CHUNK, previous, running
+from .ordered import ROWS_PER_CHUNK, join_unique, previous, running
 
 # Inputs of a transaction come before its outputs.
 _CHAIN_ORDER = ["height", "tx_pos", "_is_output", "entry_idx"]
@@ -82,10 +82,13 @@ def latest_outputs(entries: DataFrame) -> DataFrame:
     )
 
 
-def join_parents(entries: DataFrame) -> DataFrame:
+def join_parents(
+    entries: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK, sized_by: DataFrame | None = None
+) -> DataFrame:
     """Every input with the output of the same outpoint, wherever it was created."""
     inputs = drop_markers(entries).where("is_input").select("height", "ts", "tx_pos", *OUTPOINT)
-    return inputs.join(latest_outputs(entries), OUTPOINT).select(
+    parents = latest_outputs(entries)
+    return join_unique(inputs, parents, OUTPOINT, rows_per_chunk, sized_by).select(
         "height", "ts", "tx_pos", *OUTPOINT, "created", "address", (-F.col("value")).alias("value")
     )
 

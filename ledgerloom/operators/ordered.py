@@ -142,6 +142,27 @@ def cold_rows(df: DataFrame, keys: list[str], bounds: DataFrame) -> DataFrame:
     return df.withColumn(_HASH, F.xxhash64(*keys)).join(F.broadcast(bounds.select(_HASH)), _HASH, "left_anti").drop(_HASH)
 
 
+def join_unique(
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[str],
+    rows_per_chunk: int = ROWS_PER_CHUNK,
+    sized_by: DataFrame | None = None,
+) -> DataFrame:
+    """Inner join with a ``right`` side that has one row per key.
+
+    Keys with very many rows on the left are joined with a broadcast of their few
+    right rows (at most ``MAX_CHUNKS``, hash collisions aside), so that no task
+    gets all of their left rows; the others go through an ordinary join.
+    """
+    _, heavy = heavy_keys(left if sized_by is None else sized_by, keys, rows_per_chunk)
+    if not heavy:
+        return left.join(right, keys)
+    is_heavy = F.xxhash64(*keys).isin(list(heavy))
+    hot = left.where(is_heavy).join(F.broadcast(right.where(is_heavy)), keys)
+    return hot.unionByName(left.where(~is_heavy).join(right.where(~is_heavy), keys))
+
+
 def same_key(left: DataFrame, right: DataFrame, keys: list[str], prefix: str = "_r_") -> Column:
     """Null-safe equality of ``keys`` with the ``prefix``ed columns of ``right``."""
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[prefix + k]) for k in keys])

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scripts import decode_op_n, script_template, with_address
 from ..operators import clock, counters, entries, lifo, matching, netting, transfers
+from ..session import checkpointed
 from ..operators.clock import monotone_block_time, raw_block_times, with_block_time
 from ..sources import blocks, sinks, tables
 from . import pipeline
@@ -112,6 +113,10 @@ def _addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_address(tables.scripts(spark, sf_dir)).select("c_custkey", "address", "kind")
 
 
+def _encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_address(tables.hash_scripts(spark, sf_dir)).select("c_custkey", "address", "kind")
+
+
 def _shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = tables.table(spark, sf_dir, "customer").select("c_custkey", F.col("c_name").alias("address"))
     return sinks.sharded(named, TOPICS, PARTITIONS)
@@ -126,7 +131,7 @@ def _chain_net(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = tables.raw_blocks(spark, sf_dir)
     times = monotone_block_time(raw_block_times(raw))
     parsed = with_block_time(blocks.parse_blocks(raw), times).withColumn("address", F.hex("script"))
-    return netting.net_changes(matching.match_spends_strict(parsed))
+    return netting.net_changes(matching.match_spends_strict(checkpointed(parsed)))
 
 
 def _day_as_text(df: DataFrame) -> DataFrame:
@@ -142,6 +147,11 @@ def _matched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.match_spends(tables.entries(spark, sf_dir), sized_by=outpoints)
 
 
+def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    outpoints = tables.line_outpoints(spark, sf_dir)
+    return matching.join_parents(tables.entries(spark, sf_dir), sized_by=outpoints)
+
+
 def _missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     outpoints = tables.line_outpoints(spark, sf_dir)
     return matching.missing_outputs(tables.entries(spark, sf_dir), sized_by=outpoints)
@@ -153,7 +163,7 @@ def _hash_as_text(df: DataFrame) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "utxo_match": _matched,
-    "utxo_match_join": lambda s, d: _hash_as_text(matching.join_parents(tables.entries(s, d))),
+    "utxo_match_join": lambda s, d: _hash_as_text(_joined(s, d)),
     "missing_utxo": lambda s, d: _hash_as_text(_missing(s, d)),
     "utxo_set": lambda s, d: _hash_as_text(matching.unspent_outputs(tables.entries(s, d))),
     "utxo_bootstrap": lambda s, d: _hash_as_text(matching.unspent_within(tables.entries(s, d), 1500, 400)),
@@ -186,6 +196,7 @@ QUERIES: dict[str, Query] = {
     "classify_scripts": _scripts_classified,
     "decode_op_n": _op_n,
     "extract_addresses": _addresses,
+    "encode_addresses": _encoded,
     "shard_assignment": _shards,
     "latest_per_key": _compacted,
     "transfers_keyed_json": _account_records_shown,

@@ -230,6 +230,82 @@ def _shown(txid: str) -> str:
     return "lower(" + " || ".join(f"substr({txid}, {2 * i - 1}, 2)" for i in range(32, 0, -1)) + ")"
 
 
+_BASE58 = "123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz"
+_BECH32 = "qpzry9x8gf2tvdw0s3jn54khce6mua7l"
+_LIMBS = 7  # 32-bit digits of the 25 bytes of a Base58Check body
+_FIVE_DIGITS = 58**5
+
+
+def _base58(source: str, body: str) -> str:
+    """CTEs from ``source`` (script, ``body`` in hex) to ``base58_text`` (script, text).
+
+    Seven long divisions by 58**5 give five digits each.
+    """
+    limbs = ", ".join(
+        f"('0x' || substr(lpad({body}, {8 * _LIMBS}, '0'), {8 * i + 1}, 8))::bigint as l{i}" for i in range(_LIMBS)
+    )
+    ctes = [f"d0 as (select script, {body} as body, {limbs}, '' as digits from {source})"]
+    for step in range(1, 8):
+        parts, rest = [], "0"
+        for i in range(_LIMBS):
+            parts.append(f"({rest} * 4294967296 + l{i}) as v{i}, v{i} // {_FIVE_DIGITS} as q{i}")
+            rest = f"(v{i} % {_FIVE_DIGITS})"
+        chars = " || ".join(f"substr('{_BASE58}', ({rest} // {58**k}) % 58 + 1, 1)" for k in range(4, -1, -1))
+        quotients = ", ".join(f"q{i} as l{i}" for i in range(_LIMBS))
+        ctes.append(
+            f"e{step} as (select *, {', '.join(parts)}, {chars} || digits as more from d{step - 1}), "
+            f"d{step} as (select script, body, {quotients}, more as digits from e{step})"
+        )
+    ctes.append(
+        "base58_text as (select script, repeat('1', (length(regexp_extract(body, '^((00)*)', 1)) // 2)::int) "
+        "|| ltrim(digits, '1') as text from d7)"
+    )
+    return ", ".join(ctes)
+
+
+def _addresses(source: str) -> str:
+    """CTEs from the distinct ``script`` hex of ``source`` to ``addresses`` (script, address, kind)."""
+    step = ""
+    for bit, factor in enumerate((996825010, 642813549, 513874426, 1027748829, 705979059)):
+        step = step if bit else "xor((c & 33554431) << 5, v)"
+        step = f"xor({step}, case when (c >> {25 + bit}) & 1 = 1 then {factor} else 0 end)"
+    fives = "list_transform(range(0, length(padded) // 5), lambda i: ('0x' || substr(padded, 5 * i + 1, 5))::bigint)"
+    groups = f"flatten(list_transform({fives}, lambda n: [(n >> 15) & 31, (n >> 10) & 31, (n >> 5) & 31, n & 31]))"
+    return f"""
+kinds as (
+  select distinct script,
+         case when regexp_full_match(script, '76A914[0-9A-F]{{40}}88AC') then 'P2PKH'
+              when regexp_full_match(script, 'A914[0-9A-F]{{40}}87') then 'P2SH'
+              when regexp_full_match(script, '0014[0-9A-F]{{40}}') then 'P2WPKH'
+              when regexp_full_match(script, '0020[0-9A-F]{{64}}') then 'P2WSH'
+              when starts_with(script, '6A') then 'NULL' else 'UNKNOWN' end as kind
+  from {source}),
+hashed as (
+  select script, case kind when 'P2PKH' then '00' || substr(script, 7, 40) else '05' || substr(script, 5, 40) end as h
+  from kinds where kind in ('P2PKH', 'P2SH')),
+bodies as (
+  select script, h || upper(substr(sha256(from_hex(sha256(from_hex(h)))), 1, 8)) as full_body from hashed),
+{_base58("bodies", "full_body")},
+witness as (
+  select script, list_prepend(0::bigint, {groups}) as data
+  from (select script, substr(script, 5) || case kind when 'P2WSH' then '0' else '' end as padded
+        from kinds where kind in ('P2WPKH', 'P2WSH'))),
+summed as (
+  select script, data,
+         xor(list_reduce([1, 3, 3, 0, 2, 3]::bigint[] || data || [0, 0, 0, 0, 0, 0]::bigint[], lambda c, v: {step}), 1) as s
+  from witness),
+bech32_text as (
+  select script, 'bc1' || array_to_string(list_transform(
+           data || [(s >> 25) & 31, (s >> 20) & 31, (s >> 15) & 31, (s >> 10) & 31, (s >> 5) & 31, s & 31],
+           lambda d: substr('{_BECH32}', d::int + 1, 1)), '') as text
+  from summed),
+addresses as (
+  select k.script, k.kind,
+         coalesce(b.text, w.text, case k.kind when 'NULL' then '' else 'unknown:' || base64(from_hex(k.script)) end) as address
+  from kinds k left join base58_text b using (script) left join bech32_text w using (script))
+"""
+
+
 _CHAIN = f"""
 chain0 as (
   select event_id as h, epoch(date_trunc('second', ts))::bigint - (event_id % 7) * 600 as raw_ts,
@@ -271,6 +347,27 @@ _LAST_EVENT = """
   where not is_input
 """
 
+_CHAIN_NET = f"""
+{_CHAIN}, headers as (select height, ts as raw_ts from parsed where is_marker), {_CLOCK},
+seen as (
+  select p.*, c.ts as block_ts, lag(value) over w as amount, lag(script) over w as owner
+  from (select * exclude (ts) from parsed where not is_marker) p join clock c using (height)
+  window w as (partition by tx_hash, out_index order by height, tx_pos, not is_input)),
+chain_net as (
+  select block_ts as ts, height, tx_pos, sum(case when is_input then -amount else value end)::bigint as value,
+         case when is_input then owner else script end as address
+  from seen group by 1, 2, 3, 5 having sum(case when is_input then -amount else value end) <> 0)
+"""
+
+_HASH_SCRIPTS = """
+scripts as (
+  select c_custkey,
+         case c_custkey % 6
+           when 0 then '76A914' || d[:40] || '88AC' when 1 then 'A914' || d[:40] || '87' when 2 then '0014' || d[:40]
+           when 3 then '0020' || d when 4 then '76A914' || d[:40] || '88ACAC' else '6A20' || d end as script
+  from (select c_custkey, upper(sha256(c_name)) as d from customer))
+"""
+
 ORACLE: dict[str, str] = {
     "utxo_match": f"with {_MATCHED} select * from matched",
     "utxo_match_join": f"""
@@ -400,14 +497,12 @@ ORACLE: dict[str, str] = {
         with {_NET}
         select value < 0 as "in", ts, height, tx_pos as "txPos", value / 1e8::double as value, address from net""",
     "parse_blocks": f"with {_CHAIN} select * from parsed",
-    "chain_net_changes": f"""
-        with {_CHAIN}, headers as (select height, ts as raw_ts from parsed where is_marker), {_CLOCK},
-        seen as (
-          select p.*, c.ts as block_ts, lag(value) over w as amount, lag(script) over w as owner
-          from (select * exclude (ts) from parsed where not is_marker) p join clock c using (height)
-          window w as (partition by tx_hash, out_index order by height, tx_pos, not is_input))
-        select block_ts as ts, height, tx_pos,
-               sum(case when is_input then -amount else value end)::bigint as value,
-               case when is_input then owner else script end as address
-        from seen group by 1, 2, 3, 5 having sum(case when is_input then -amount else value end) <> 0""",
+    "chain_net_changes": f"with {_CHAIN_NET} select * from chain_net",
+    "chain_account_changes": f"""
+        with {_CHAIN_NET}, {_addresses("(select address as script from chain_net)")}
+        select value < 0 as "in", ts, height, tx_pos as "txPos", value / 1e8::double as value, a.address
+        from chain_net n join addresses a on a.script = n.address""",
+    "encode_addresses": f"""
+        with {_HASH_SCRIPTS}, {_addresses("scripts")}
+        select c_custkey, address, kind from scripts join addresses using (script)""",
 }

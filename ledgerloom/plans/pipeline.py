@@ -9,6 +9,7 @@ from ..operators.clock import monotone_block_time, raw_block_times, with_block_t
 from ..operators.lifo import public_stack_changes, stack_changes
 from ..operators.matching import match_spends, match_spends_strict
 from ..operators.netting import account_changes, net_changes
+from ..session import checkpointed
 from ..sources.blocks import parse_blocks
 from ..sources.sinks import account_change_records, stack_change_records
 
@@ -21,7 +22,7 @@ def ledger_entries(blocks: DataFrame) -> DataFrame:
 
 def block_account_changes(blocks: DataFrame) -> DataFrame:
     """Published account changes of a range of blocks that starts with the first."""
-    return account_changes(net_changes(match_spends(ledger_entries(blocks))))
+    return account_changes(net_changes(match_spends(checkpointed(ledger_entries(blocks)))))
 
 
 def run(
@@ -35,11 +36,13 @@ def run(
 ) -> None:
     """Write net changes and the record sets that are switched on under ``out``.
 
-    Net changes are written first and read back: they feed both record sets, and
-    a lost executor then repeats one stage and not the whole job.  A spend without
-    an output to consume fails the job.
+    Entries and net changes are written and read back: blocks are parsed once, both
+    record sets share the net changes, and a lost executor repeats one stage and
+    not the whole job.  A spend without an output to consume fails the job.
     """
-    net_changes(match_spends_strict(ledger_entries(blocks))).write.mode("overwrite").parquet(f"{out}/net")
+    ledger_entries(blocks).write.mode("overwrite").parquet(f"{out}/entries")
+    entries = spark.read.parquet(f"{out}/entries")
+    net_changes(match_spends_strict(entries)).write.mode("overwrite").parquet(f"{out}/net")
     net = spark.read.parquet(f"{out}/net")
     if transfers:
         records = account_change_records(account_changes(net), topics, partitions)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -28,6 +28,15 @@ def build_session(app: str = "ledgerloom", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The frame's rows, written once to the shared folder.
+
+    For frames that are dear to compute and read more than once.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named in ``spark.checkpoint.dir``.
 
@@ -41,6 +50,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a shared folder")
+    current = spark.sparkContext.getCheckpointDir()
+    if current:
+        return current
     own = tempfile.mkdtemp(prefix="ledgerloom-checkpoint-")
     spark.sparkContext.setCheckpointDir(own)
     return own

@@ -255,6 +255,25 @@ def scripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def hash_scripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``customer`` as locking scripts whose addresses need no curve arithmetic."""
+    digest = F.upper(F.sha2("c_name", 256))
+    short = F.substring(digest, 1, 40)
+    hexed = (
+        F.when(F.col("shape") == 0, F.concat(F.lit("76A914"), short, F.lit("88AC")))
+        .when(F.col("shape") == 1, F.concat(F.lit("A914"), short, F.lit("87")))
+        .when(F.col("shape") == 2, F.concat(F.lit("0014"), short))
+        .when(F.col("shape") == 3, F.concat(F.lit("0020"), digest))
+        .when(F.col("shape") == 4, F.concat(F.lit("76A914"), short, F.lit("88ACAC")))
+        .otherwise(F.concat(F.lit("6A20"), digest))
+    )
+    return (
+        _spread(table(spark, sf_dir, "customer"))
+        .select("c_custkey", "c_name", (F.col("c_custkey") % 6).alias("shape"))
+        .select("c_custkey", F.unhex(hexed).alias("script"))
+    )
+
+
 _COINBASE_KEYS = 97  # distinct miners
 
 
