@@ -1,8 +1,14 @@
-"""Matching spends to the outputs they consume."""
+"""Matching spends to the outputs they consume.
+
+Entries carry what an output pays to and how much: ``value`` and ``address``, and
+``kind`` where it is needed later.  ``sized_by`` may name a frame that is cheaper
+to read than the entries and has the same outpoints; it is then the one searched
+for outpoints repeated so often that their rows have to be split.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .entries import OUTPOINT, drop_markers
@@ -12,61 +18,122 @@ from .ordered import ROWS_PER_CHUNK, join_unique, previous, running
 _CHAIN_ORDER = ["height", "tx_pos", "_is_output", "entry_idx"]
 
 
-def _with_predecessor(entries: DataFrame, rows_per_chunk: int, sized_by: DataFrame | None) -> DataFrame:
+def _payload(df: DataFrame) -> list[str]:
+    return [c for c in ("address", "kind", "value") if c in df.columns]
+
+
+def _with_predecessor(
+    entries: DataFrame, rows_per_chunk: int, sized_by: DataFrame | None, unspent: DataFrame | None = None
+) -> DataFrame:
     """Entries with what last happened to their outpoint."""
     ordered = drop_markers(entries).withColumn("_is_output", ~F.col("is_input"))
-    carried = F.struct(F.col("_is_output").alias("live"), "address", "value")
-    return running(ordered, OUTPOINT, _CHAIN_ORDER, {"_before": previous(carried)}, rows_per_chunk, sized_by)
+    payload = _payload(ordered)
+    if unspent is not None:
+        # Outputs of earlier blocks take part in the order and are not given out again.
+        earlier = unspent.select(
+            *OUTPOINT,
+            F.col("height"),
+            F.lit(-1).alias("tx_pos"),
+            F.lit(0).alias("entry_idx"),
+            F.lit(True).alias("_is_output"),
+            *payload,
+            F.lit(True).alias("_earlier"),
+        )
+        ordered = ordered.unionByName(earlier, allowMissingColumns=True)
+    carried = F.struct(F.col("_is_output").alias("live"), *payload)
+    seen = running(ordered, OUTPOINT, _CHAIN_ORDER, {"_before": previous(carried)}, rows_per_chunk, sized_by)
+    return seen if unspent is None else seen.where(F.col("_earlier").isNull())
+
+
+def _finds_output() -> Column:
+    return F.coalesce(F.col("_before")["live"], F.lit(False))
+
+
+def _own_or_spent(column: str) -> Column:
+    return F.when(F.col("is_input"), F.col("_before")[column]).otherwise(F.col(column)).alias(column)
 
 
 def match_spends(
-    entries: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK, sized_by: DataFrame | None = None
+    entries: DataFrame,
+    rows_per_chunk: int = ROWS_PER_CHUNK,
+    sized_by: DataFrame | None = None,
+    unspent: DataFrame | None = None,
 ) -> DataFrame:
     """Signed change of every output and of every input with an output to spend.
 
     An input spends the latest output of its outpoint if nothing has spent it yet;
-    creating an outpoint again replaces the earlier output.  ``sized_by`` may name
-    a cheaper frame with the same outpoints, to look for heavily repeated ones.
+    creating an outpoint again replaces the earlier output.  ``unspent`` gives the
+    outputs left by the blocks before those in ``entries``.
     """
-    seen = _with_predecessor(entries, rows_per_chunk, sized_by)
-    spent = F.col("_before")
-    return seen.where(~F.col("is_input") | F.coalesce(spent["live"], F.lit(False))).select(
+    seen = _with_predecessor(entries, rows_per_chunk, sized_by, unspent)
+    spent = F.col("_before")["value"]
+    return seen.where(~F.col("is_input") | _finds_output()).select(
+        "ts",
+        "height",
+        "tx_pos",
+        F.when(F.col("is_input"), -spent).otherwise(F.col("value")).alias("value"),
+        _own_or_spent("address"),
+    )
+
+
+def match_spends_strict(
+    entries: DataFrame,
+    rows_per_chunk: int = ROWS_PER_CHUNK,
+    sized_by: DataFrame | None = None,
+    unspent: DataFrame | None = None,
+) -> DataFrame:
+    """As :func:`match_spends`, failing the job on an input without an output."""
+    seen = _with_predecessor(entries, rows_per_chunk, sized_by, unspent)
+    spent = F.when(_finds_output(), -F.col("_before")["value"]).otherwise(_no_output().cast("bigint"))
+    return seen.select(
         "ts",
         "height",
         "tx_pos",
-        F.when(F.col("is_input"), -spent["value"]).otherwise(F.col("value")).alias("value"),
-        F.when(F.col("is_input"), spent["address"]).otherwise(F.col("address")).alias("address"),
+        F.when(F.col("is_input"), spent).otherwise(F.col("value")).alias("value"),
+        _own_or_spent("address"),
     )
 
 
+def _no_output() -> Column:
+    where = F.concat_ws(", ", F.lit("output not found"), "height", "ts", "tx_pos", F.col("out_index").cast("string"))
+    return F.raise_error(where)
+
+
 def missing_outputs(
-    entries: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK, sized_by: DataFrame | None = None
+    entries: DataFrame,
+    rows_per_chunk: int = ROWS_PER_CHUNK,
+    sized_by: DataFrame | None = None,
+    unspent: DataFrame | None = None,
 ) -> DataFrame:
     """Inputs that have no unspent output to consume."""
-    seen = _with_predecessor(entries, rows_per_chunk, sized_by)
-    return seen.where(F.col("is_input") & ~F.coalesce(F.col("_before")["live"], F.lit(False))).select(
-        "height", "ts", "tx_pos", *OUTPOINT
-    )
+    seen = _with_predecessor(entries, rows_per_chunk, sized_by, unspent)
+    return seen.where(F.col("is_input") & ~_finds_output()).select("height", "ts", "tx_pos", *OUTPOINT)
 
 
-def match_spends_strict(
-    entries: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK, sized_by: DataFrame | None = None
+def tx_legs(
+    entries: DataFrame,
+    rows_per_chunk: int = ROWS_PER_CHUNK,
+    sized_by: DataFrame | None = None,
+    unspent: DataFrame | None = None,
 ) -> DataFrame:
-    """As :func:`match_spends`, failing the job on an input without an output."""
-    seen = _with_predecessor(entries, rows_per_chunk, sized_by)
-    spent = F.col("_before")
-    message = F.concat_ws(
-        ", ", F.lit("output not found"), "height", "ts", "tx_pos", F.col("out_index").cast("string")
-    )
-    checked = F.when(F.coalesce(spent["live"], F.lit(False)), -spent["value"]).otherwise(
-        F.raise_error(message).cast("bigint")
-    )
+    """Both sides of every transaction with addresses and positive values.
+
+    The job fails on an input without an output.  ``tx_hash`` becomes the hash, in
+    hex, of the transaction an entry is part of.
+    """
+    seen = _with_predecessor(entries, rows_per_chunk, sized_by, unspent)
+    spent = F.when(_finds_output(), F.col("_before")["value"]).otherwise(_no_output().cast("bigint"))
     return seen.select(
-        "ts",
         "height",
+        "ts",
         "tx_pos",
-        F.when(F.col("is_input"), checked).otherwise(F.col("value")).alias("value"),
-        F.when(F.col("is_input"), spent["address"]).otherwise(F.col("address")).alias("address"),
+        F.lower(F.hex("own_hash")).alias("tx_hash"),
+        (F.col("tx_pos") == 0).alias("is_coinbase"),
+        "is_input",
+        _own_or_spent("address"),
+        _own_or_spent("kind"),
+        F.when(F.col("is_input"), spent).otherwise(F.col("value")).alias("value"),
+        "entry_idx",
     )
 
 
@@ -102,16 +169,15 @@ def unspent_outputs(entries: DataFrame, up_to_height: int | None = None) -> Data
     rows = drop_markers(entries)
     if up_to_height is not None:
         rows = rows.where(F.col("height") <= up_to_height)
+    payload = _payload(rows)
     event = F.struct(
-        F.struct("height", "tx_pos", (~F.col("is_input")).alias("is_output"), "entry_idx").alias("at"),
-        "address",
-        "value",
+        F.struct("height", "tx_pos", (~F.col("is_input")).alias("is_output"), "entry_idx").alias("at"), *payload
     )
     return (
         rows.groupBy(*OUTPOINT)
         .agg(F.max(event).alias("e"))
         .where("e.at.is_output")
-        .select(*OUTPOINT, F.col("e.at.height").alias("height"), "e.address", "e.value")
+        .select(*OUTPOINT, F.col("e.at.height").alias("height"), *[F.col("e")[c].alias(c) for c in payload])
     )
 
 

@@ -123,7 +123,8 @@ def _shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _hash_as_text(blocks.parse_blocks(tables.raw_blocks(spark, sf_dir)).withColumn("script", F.hex("script")))
+    parsed = blocks.parse_blocks(tables.raw_blocks(spark, sf_dir)).withColumn("script", F.hex("script"))
+    return _hash_as_text(parsed).withColumn("own_hash", F.lower(F.hex("own_hash")))
 
 
 def _chain_net(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,6 +135,11 @@ def _chain_net(spark: SparkSession, sf_dir: str) -> DataFrame:
     return netting.net_changes(matching.match_spends_strict(checkpointed(parsed)))
 
 
+def _chain_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    txs = transfers.processed_txs(checkpointed(pipeline.block_legs(tables.raw_blocks(spark, sf_dir))))
+    return txs.withColumn("inputs", F.to_json("inputs")).withColumn("outputs", F.to_json("outputs"))
+
+
 def _day_as_text(df: DataFrame) -> DataFrame:
     return df.withColumn("day", F.col("day").cast("string"))
 
@@ -203,5 +209,7 @@ QUERIES: dict[str, Query] = {
     "transfers_json_roundtrip": lambda s, d: sinks.parse_account_changes(_account_records(s, d)),
     "parse_blocks": _parsed,
     "chain_net_changes": _chain_net,
+    "chain_transfers": lambda s, d: pipeline.block_transfers(tables.raw_blocks(s, d)),
+    "chain_processed_txs": _chain_processed,
     "chain_account_changes": lambda s, d: pipeline.block_account_changes(tables.raw_blocks(s, d)),
 }

@@ -82,7 +82,11 @@ coinbases as (
 all_legs as (
   select height, ts, tx_pos, tx_hash, is_coinbase, is_input, address, kind, value from legs
   union all
-  select height, ts, tx_pos, tx_hash, is_coinbase, is_input, address, kind, value from coinbases),
+  select height, ts, tx_pos, tx_hash, is_coinbase, is_input, address, kind, value from coinbases)
+"""
+
+
+_TOTALS = """
 totals as (
   select height, ts, tx_pos, tx_hash, is_coinbase,
          coalesce(sum(value) filter (is_input), 0)::bigint as input_value,
@@ -101,12 +105,10 @@ minting as (
 
 
 _DISCOUNT = "round(l_discount * 100)::bigint"
-_LEGS = _legs(_DISCOUNT)
-_TAXED_LEGS = _legs(f"({_DISCOUNT} - round(l_tax * 100)::bigint)")
+_LEGS = f"{_legs(_DISCOUNT)}, {_TOTALS}"
+_TAXED_LEGS = f"{_legs(f'({_DISCOUNT} - round(l_tax * 100)::bigint)')}, {_TOTALS}"
 
-_TRANSFERS = (
-    _LEGS
-    + """,
+_MODELLED = """
 balanced as (
   select height, ts, tx_pos, tx_hash, address, kind, case when is_input then -value else value end as v from all_legs
   union all
@@ -129,7 +131,7 @@ transfers as (
        using (height, ts, tx_pos, tx_hash)
   where p.hi + p.v < r.hi and r.hi - r.v < p.hi)
 """
-)
+_TRANSFERS = f"{_LEGS}, {_MODELLED}"
 
 # One step of the recursion takes one segment off or puts one on; all addresses advance together.
 _STACK = (
@@ -187,6 +189,19 @@ dated as (
 """
 
 
+def _processed(source: str, entries_per_part: int) -> str:
+    return f"""
+        select ts, height, tx_pos, (entry_idx // {entries_per_part})::int as part,
+               coalesce(to_json(list({{'address': address, 'value': value}} order by entry_idx)
+                                filter (is_input))::varchar, '[]') as inputs,
+               coalesce(to_json(list({{'address': address, 'value': value}} order by entry_idx)
+                                filter (not is_input))::varchar, '[]') as outputs
+        from {source} group by 1, 2, 3, 4
+        union all
+        select ts, height, txs::int, 0, to_json([{{'address': 'mint', 'value': reward - fees}}])::varchar, '[]'
+        from minting"""
+
+
 def _string_hash(text: str) -> str:
     units = f"list_transform(string_split({text}, ''), lambda c: ascii(c)::bigint)"
     unsigned = f"list_reduce(list_prepend(0::bigint, {units}), lambda a, b: (a * 31 + b) & 4294967295)"
@@ -321,16 +336,19 @@ chain as (
   from chain1),
 parsed as (
   select raw_ts as ts, h::int as height, 0 as tx_pos, {_shown("cbid")} as tx_hash, 0::bigint as out_index, 0 as entry_idx,
-         false as is_input, false as is_marker, '76A914' || miner || '88AC' as script, h + 5000000000 as value from chain
+         false as is_input, false as is_marker, '76A914' || miner || '88AC' as script, h + 5000000000 as value,
+         {_shown("cbid")} as own_hash
+  from chain
   union all
-  select raw_ts, h::int, 1, {_shown("parent")}, 0, 0, true, false, null, null from chain where h > 0
+  select raw_ts, h::int, 1, {_shown("parent")}, 0, 0, true, false, null, null, {_shown("spendid")} from chain where h > 0
   union all
-  select raw_ts, h::int, 1, {_shown("spendid")}, 0, 0, false, false, '0014' || d0, h + 4000000000 from chain where h > 0
+  select raw_ts, h::int, 1, {_shown("spendid")}, 0, 0, false, false, '0014' || d0, h + 4000000000, {_shown("spendid")}
+  from chain where h > 0
   union all
-  select raw_ts, h::int, 1, {_shown("spendid")}, 1, 1, false, false, 'A914' || d1 || '87', 999999999 - cents
+  select raw_ts, h::int, 1, {_shown("spendid")}, 1, 1, false, false, 'A914' || d1 || '87', 999999999 - cents, {_shown("spendid")}
   from chain where h > 0
   union all
-  select raw_ts, h::int, case when h = 0 then 1 else 2 end, null, null, 0, false, true, null, null from chain)
+  select raw_ts, h::int, case when h = 0 then 1 else 2 end, null, null, 0, false, true, null, null, null from chain)
 """
 
 _CLOCK = """
@@ -359,6 +377,20 @@ chain_net as (
   from seen group by 1, 2, 3, 5 having sum(case when is_input then -amount else value end) <> 0)
 """
 
+_CHAIN_LEGS = f"""
+{_CHAIN},
+owned as (
+  select *, lag(value) over w as amount, lag(script) over w as owner
+  from parsed where not is_marker
+  window w as (partition by tx_hash, out_index order by height, tx_pos, not is_input)),
+{_addresses("(select script from parsed where script is not null)")},
+all_legs as (
+  select o.height, o.ts, o.tx_pos, o.own_hash as tx_hash, o.tx_pos = 0 as is_coinbase, o.is_input, a.address, a.kind,
+         case when o.is_input then o.amount else o.value end as value, o.entry_idx
+  from owned o join addresses a on a.script = case when o.is_input then o.owner else o.script end),
+{_TOTALS}
+"""
+
 _HASH_SCRIPTS = """
 scripts as (
   select c_custkey,
@@ -413,15 +445,7 @@ ORACLE: dict[str, str] = {
           from legs
           union all
           select height, ts, tx_pos, is_input, address, value, entry_idx from coinbases)
-        select ts, height, tx_pos, (entry_idx // 4)::int as part,
-               coalesce(to_json(list({{'address': address, 'value': value}} order by entry_idx)
-                                filter (is_input))::varchar, '[]') as inputs,
-               coalesce(to_json(list({{'address': address, 'value': value}} order by entry_idx)
-                                filter (not is_input))::varchar, '[]') as outputs
-        from numbered group by 1, 2, 3, 4
-        union all
-        select ts, height, txs::int, 0, to_json([{{'address': 'mint', 'value': reward - fees}}])::varchar, '[]'
-        from minting""",
+        {_processed("numbered", 4)}""",
     "unbalanced_txs": f"with {_TAXED_LEGS} select * from fees where fee < 0",
     "tx_positions": f"""
         with {_LEGS}
@@ -502,6 +526,8 @@ ORACLE: dict[str, str] = {
         with {_CHAIN_NET}, {_addresses("(select address as script from chain_net)")}
         select value < 0 as "in", ts, height, tx_pos as "txPos", value / 1e8::double as value, a.address
         from chain_net n join addresses a on a.script = n.address""",
+    "chain_transfers": f"with {_CHAIN_LEGS}, {_MODELLED} select * from transfers",
+    "chain_processed_txs": f"with {_CHAIN_LEGS} {_processed('all_legs', 10000)}",
     "encode_addresses": f"""
         with {_HASH_SCRIPTS}, {_addresses("scripts")}
         select c_custkey, address, kind from scripts join addresses using (script)""",

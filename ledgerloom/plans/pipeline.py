@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.scripts import with_address
 from ..operators.clock import monotone_block_time, raw_block_times, with_block_time
 from ..operators.lifo import public_stack_changes, stack_changes
-from ..operators.matching import match_spends, match_spends_strict
+from ..operators.matching import match_spends, match_spends_strict, tx_legs
 from ..operators.netting import account_changes, net_changes
+from ..operators.transfers import model_transfers, net_accounts, transfer_edges
 from ..session import checkpointed
-from ..sources.blocks import parse_blocks
-from ..sources.sinks import account_change_records, stack_change_records
+from ..sources.blocks import confirmed_blocks, from_records, parse_blocks, resume_height, to_records
+from ..sources.sinks import account_change_records, stack_change_records, transfer_records
 
 
 def ledger_entries(blocks: DataFrame) -> DataFrame:
@@ -25,12 +27,33 @@ def block_account_changes(blocks: DataFrame) -> DataFrame:
     return account_changes(net_changes(match_spends(checkpointed(ledger_entries(blocks)))))
 
 
+def block_legs(blocks: DataFrame) -> DataFrame:
+    """Both sides of every transaction of a range of blocks; times are the blocks' own."""
+    return tx_legs(checkpointed(with_address(parse_blocks(blocks))))
+
+
+def block_transfers(blocks: DataFrame) -> DataFrame:
+    """Sender-to-receiver transfers of a range of blocks that starts with the first."""
+    legs = block_legs(blocks)
+    return model_transfers(net_accounts(legs), sized_by=legs)
+
+
+def export_blocks(spark: SparkSession, source: DataFrame, sink: str, confirmations: int = 3) -> None:
+    """Append the confirmed blocks that ``sink`` does not have yet, as key/value records."""
+    try:
+        last = resume_height(from_records(spark.read.schema("key string, value binary").parquet(sink))).first()[0]
+    except AnalysisException:
+        last = 0
+    to_records(confirmed_blocks(source, last, confirmations)).write.mode("append").parquet(sink)
+
+
 def run(
     spark: SparkSession,
     blocks: DataFrame,
     out: str,
     transfers: bool = True,
     stacks: bool = False,
+    edges: bool = False,
     topics: int = 1,
     partitions: int = 1,
 ) -> None:
@@ -47,6 +70,11 @@ def run(
     if transfers:
         records = account_change_records(account_changes(net), topics, partitions)
         records.write.mode("overwrite").partitionBy("topic").parquet(f"{out}/transfers")
+    if edges:
+        with_raw_time = entries.drop("ts").join(raw_block_times(blocks).withColumnRenamed("raw_ts", "ts"), "height")
+        legs = checkpointed(tx_legs(with_raw_time))
+        found = transfer_edges(model_transfers(net_accounts(legs), sized_by=legs))
+        transfer_records(found).write.mode("overwrite").parquet(f"{out}/edges")
     if stacks:
         records = stack_change_records(public_stack_changes(stack_changes(net)), topics, partitions)
         records.write.mode("overwrite").partitionBy("topic").parquet(f"{out}/stacks")

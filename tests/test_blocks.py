@@ -215,12 +215,36 @@ def test_miner_claims_less_than_the_fees(spark):
     }
 
 
+def test_matching_continues_from_an_unspent_set(spark):
+    entries = pipeline.ledger_entries(raw_blocks(spark, SF).where("height < 30")).cache()
+    whole = {tuple(r) for r in matching.match_spends_strict(entries).collect()}
+    early, late = entries.where("height < 12"), entries.where("height >= 12")
+    unspent = matching.unspent_outputs(early)
+    parts = matching.match_spends_strict(early).union(matching.match_spends_strict(late, unspent=unspent))
+    assert {tuple(r) for r in parts.collect()} == whole
+    assert matching.missing_outputs(late, unspent=unspent).count() == 0
+    assert matching.missing_outputs(late).count() == 1
+
+
+def test_blocks_are_exported_once(spark, tmp_path):
+    sink = str(tmp_path / "records")
+    chain = raw_blocks(spark, SF).where("height < 20").cache()
+    pipeline.export_blocks(spark, chain.where("height < 10"), sink)
+    pipeline.export_blocks(spark, chain, sink)
+    pipeline.export_blocks(spark, chain, sink)
+    got = blocks.from_records(spark.read.parquet(sink))
+    # Height 0 counts as already there, as an empty sink resumes after 0.
+    assert sorted(r.height for r in got.collect()) == list(range(1, 17))
+
+
 def test_batch_pipeline_writes_what_is_switched_on(spark, tmp_path):
     chain = raw_blocks(spark, SF).where("height < 40")
-    pipeline.run(spark, chain, str(tmp_path / "out"), transfers=True, stacks=True, topics=2, partitions=3)
+    pipeline.run(spark, chain, str(tmp_path / "out"), transfers=True, stacks=True, edges=True, topics=2, partitions=3)
     net = spark.read.parquet(str(tmp_path / "out" / "net"))
     transfers_out = spark.read.parquet(str(tmp_path / "out" / "transfers"))
     assert transfers_out.count() == net.count() > 0
     assert {r.topic for r in transfers_out.select("topic").distinct().collect()} == {0, 1}
+    edges = spark.read.parquet(str(tmp_path / "out" / "edges"))
+    assert edges.count() == pipeline.block_transfers(chain).count() > 0
     stacks = spark.read.parquet(str(tmp_path / "out" / "stacks"))
     assert stacks.count() == stack_changes(net).count()

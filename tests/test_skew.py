@@ -141,6 +141,14 @@ def test_hot_outpoint_matches_like_the_plain_window(spark):
         assert sorted(map(tuple, operator(df, 100).collect())) == sorted(map(tuple, operator(df).collect()))
 
 
+def test_hot_key_joins_like_the_others(spark):
+    rng = random.Random(8)
+    left = spark.createDataFrame([("h" if rng.random() < 0.4 else f"k{i % 50}", i) for i in range(3000)], "k string, i int")
+    right = spark.createDataFrame([(k, k + "!") for k in ["h", *[f"k{i}" for i in range(0, 50, 2)]]], "k string, v string")
+    got = ordered.join_unique(left, right, ["k"], 300)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, left.join(right, ["k"]).collect()))
+
+
 def greedy(accounts):
     """Largest payer pays largest receiver until all is matched."""
     payers = sorted(((-v, a, k) for a, k, v in accounts if v < 0), key=lambda e: (-e[0], e[1], e[2]))
