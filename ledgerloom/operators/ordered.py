@@ -9,7 +9,9 @@ and cuts hot keys into consecutive chunks of bounded size:
    the heavy keys with Spark's frequent-items sketch;
 2. a bounded sample of the hot keys' positions gives split points (the way a
    range partitioner picks its bounds), held by the driver as a few thousand
-   literals, so that retries and lost executors always see the same chunks;
+   literals, so that retries and lost executors always see the same chunks; rows
+   are written out with a random last sort column first, so that even a position
+   shared by very many copies can be cut;
 3. the window runs per ``(key, chunk)``; what earlier chunks contribute is a
    per-chunk summary, prefix-combined over at most ``MAX_CHUNKS`` rows and
    broadcast back.
@@ -25,6 +27,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpointed
+
 ROWS_PER_CHUNK = 4_000_000
 MAX_CHUNKS = 4096
 _TRACKED_ITEMS = 131_072
@@ -32,6 +36,7 @@ _SAMPLES_PER_CHUNK = 32
 
 _HASH = "_key_hash"
 _BOUNDS = "_bounds"
+_TIE = "_tie"
 CHUNK = "_chunk"
 
 
@@ -96,8 +101,11 @@ def hot_key_bounds(
     or more, such as the table ``df`` was aggregated from.
     """
     size, hot = heavy_keys(df if sized_by is None else sized_by, keys, rows_per_chunk)
-    if not hot:
-        return None
+    return bounds_of(df, keys, order, size, hot) if hot else None
+
+
+def bounds_of(df: DataFrame, keys: list[str], order: list[str], size: int, hot: dict[int, int]) -> DataFrame:
+    """Split points that cut the keys with hashes in ``hot`` into chunks of about ``size`` rows."""
     probe = df.select(F.xxhash64(*keys).alias(_HASH), F.struct(*order).alias("position"))
     chunks = sum(n // size + 1 for n in hot.values())
     fraction = min(1.0, _SAMPLES_PER_CHUNK * chunks / sum(hot.values()))
@@ -180,10 +188,12 @@ def running(
 
     ``order`` should identify a row within its key; tied rows are interchangeable.
     """
-    bounds = hot_key_bounds(df, keys, order, rows_per_chunk, sized_by)
-    if bounds is None:
+    size, heavy = heavy_keys(df if sized_by is None else sized_by, keys, rows_per_chunk)
+    if not heavy:
         return windowed(df, keys, order, columns)
-    return running_within(df, keys, order, columns, bounds)
+    stored, order = checkpointed(df.withColumn(_TIE, F.rand(11))), [*order, _TIE]
+    bounds = bounds_of(stored, keys, order, size, heavy)
+    return running_within(stored, keys, order, columns, bounds).drop(_TIE)
 
 
 def running_within(

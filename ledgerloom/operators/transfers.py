@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.amounts import to_coin
-from ..session import checkpointed
 from .netting import net_by_account
 from .ordered import ROWS_PER_CHUNK, heavy_keys, last_value, running, running_sum, windowed
 
@@ -93,10 +92,6 @@ def net_accounts(legs: DataFrame) -> DataFrame:
     return real.unionByName(fees).unionByName(minted).where(F.col("value") != 0)
 
 
-def _as_is(df: DataFrame) -> DataFrame:
-    return df
-
-
 def model_transfers(
     net: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK, sized_by: DataFrame | None = None
 ) -> DataFrame:
@@ -117,17 +112,15 @@ def model_transfers(
     _, heavy = heavy_keys(net if sized_by is None else sized_by, _TX_KEY, rows_per_chunk)
     if heavy:
         scan = partial(running, rows_per_chunk=rows_per_chunk)
-        # Cutting a transaction reads its rows several times.
-        sized, laid_out = checkpointed(sized), checkpointed
     else:
         # Both windows below can use one shuffle by transaction.
-        sized, scan, laid_out = sized.repartition(*_TX_KEY), windowed, _as_is
+        sized, scan = sized.repartition(*_TX_KEY), windowed
     laid = scan(
         sized, [*_TX_KEY, "side"], ["rank", "address", "kind"], {"until": running_sum(-F.col("rank"))}
     ).withColumn("start", F.col("until") + F.col("rank"))
     account = F.struct("address", "kind", "until")
     owned = scan(
-        laid_out(laid),
+        laid,
         _TX_KEY,
         ["start", "side"],
         {

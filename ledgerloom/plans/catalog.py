@@ -31,7 +31,7 @@ def _account_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lifo.stack_changes(tables.changes(spark, sf_dir))
+    return lifo.stack_changes(netting.net_changes(tables.changes(spark, sf_dir)))
 
 
 def _net_windowed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,6 +16,11 @@ changes as (
   where value <> 0)
 """
 
+_NETTED = _CHANGES + """,
+netted as (
+  select ts, height, tx_pos, sum(value)::bigint as value, address from changes group by all having sum(value) <> 0)
+"""
+
 _ENTRIES = """
 lines as (
   select sha256(concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber, round(l_extendedprice * 100)::bigint,
@@ -136,11 +141,11 @@ _TRANSFERS = f"{_LEGS}, {_MODELLED}"
 # One step of the recursion takes one segment off or puts one on; all addresses advance together.
 _STACK = (
     "recursive "
-    + _CHANGES
+    + _NETTED
     + """,
 ch as (
   select address, row_number() over (partition by address order by height, tx_pos) as seq, ts, height, tx_pos, value
-  from changes),
+  from netted),
 r as (
   select address, seq, case when value < 0 then -value else 0 end as rem, 0::bigint as last_ots, 0 as nonce,
          []::struct(n int, o bigint, v bigint)[] as st, ts, height, tx_pos, value as val,
@@ -326,7 +331,8 @@ chain0 as (
   select event_id as h, epoch(date_trunc('second', ts))::bigint - (event_id % 7) * 600 as raw_ts,
          round(value * 100)::bigint as cents, user_id::varchar as u, {_coinbase("event_id")} as cb,
          {_txid(_coinbase("(event_id - 1)"))} as parent
-  from events),
+  from (select * from events
+        qualify row_number() over (partition by event_id order by ts desc, user_id desc, value desc) = 1)),
 chain1 as (
   select *, {_txid("cb")} as cbid, upper(sha256(u))[:40] as d0, upper(sha256('s' || u))[:40] as d1,
          upper(sha256((h % 97)::varchar))[:40] as miner
@@ -352,9 +358,10 @@ parsed as (
 """
 
 _CLOCK = """
+unique_headers as (select height, max(raw_ts) as raw_ts from headers group by height),
 clock as (
   select height, raw_ts, rn + max(raw_ts - rn) over (order by height rows unbounded preceding) as ts
-  from (select *, row_number() over (order by height) as rn from headers))
+  from (select *, row_number() over (order by height) as rn from unique_headers))
 """
 
 _LAST_EVENT = """
@@ -478,7 +485,8 @@ ORACLE: dict[str, str] = {
     "monotone_block_time": f"with {_HEADERS}, {_CLOCK} select * from clock",
     "time_regressions": f"""
         with {_HEADERS}
-        select * from (select height, raw_ts, lag(raw_ts) over (order by height) as previous_ts from headers)
+        select * from (select height, raw_ts, lag(raw_ts) over (order by height) as previous_ts
+                       from (select height, max(raw_ts) as raw_ts from headers group by height))
         where raw_ts < previous_ts""",
     "confirmed_blocks": f"""
         with {_HEADERS}

@@ -42,7 +42,7 @@ def _name(prefix: str, key: str) -> Column:
 
 
 def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` as net balance changes of users; purchases and errors spend."""
+    """``events`` as balance changes of users; purchases and errors spend."""
     value = _cents("value")
     return (
         table(spark, sf_dir, "events")
@@ -309,7 +309,7 @@ def _coinbase_tx(height: Column) -> Column:
 def raw_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as serialized blocks.
 
-    Each block has a coinbase and, but for the first, one transaction that spends
+    A height given twice is one block.  Each block has a coinbase and, but for the first, one transaction that spends
     the coinbase of the block before; in odd blocks it carries witness data.
     """
     height = F.col("event_id")
@@ -340,4 +340,6 @@ def raw_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.when(height == 0, F.concat(F.lit("01"), _coinbase_tx(height))).otherwise(
         F.concat(F.lit("02"), _coinbase_tx(height), spend)
     )
-    return _spread(table(spark, sf_dir, "events")).select(height.cast("int").alias("height"), F.unhex(F.concat(header, body)).alias("bytes"))
+    latest = F.max(F.struct("ts", "user_id", "value")).alias("e")
+    unique = table(spark, sf_dir, "events").groupBy("event_id").agg(latest).select("event_id", "e.*")
+    return unique.select(height.cast("int").alias("height"), F.unhex(F.concat(header, body)).alias("bytes"))

@@ -37,6 +37,16 @@ def test_running_columns_equal_a_plain_loop(spark, rows_per_chunk):
     assert {tuple(r) for r in got.select("k", "at", "v", "total", "n", "last", "prev").collect()} == want
 
 
+def test_copies_at_one_position_are_cut_too(spark):
+    """A third of the rows are copies of one row: same key, same position."""
+    rows = [("hot", 5, 1)] * 2000 + [("hot", i, i) for i in range(10, 500)] + [(f"k{i % 9}", i, 2) for i in range(2000)]
+    df = spark.createDataFrame(rows, "k string, at int, v int").repartition(6)
+    scans = {"n": row_number(), "total": running_sum("v"), "prev": previous("v")}
+    got = running(df, ["k"], ["at"], scans, 300)
+    want = running(df, ["k"], ["at"], scans)
+    assert sorted(map(tuple, got.fillna(-1).collect())) == sorted(map(tuple, want.fillna(-1).collect()))
+
+
 def test_hot_key_is_cut_into_bounded_chunks(spark):
     df = spark.createDataFrame(skewed(20_000, 2), "k string, at int, v int")
     bounds = hot_key_bounds(df, ["k"], ["at"], 1000)
@@ -186,7 +196,7 @@ def test_transfers_equal_greedy_matching(spark, rows_per_chunk):
             accounts.append((f"r{i}", "K", v))
             total, i = total - v, i + 1
         txs[f"t{t}"] = accounts
-    rows = [(1, 1, 1, t, a, k, v) for t, accounts in txs.items() for a, k, v in accounts]
+    rows = [(1, 1, i, t, a, k, v) for i, (t, accounts) in enumerate(txs.items()) for a, k, v in accounts]
     df = spark.createDataFrame(rows, "height int, ts bigint, tx_pos int, tx_hash string, address string, kind string, value bigint")
     got = transfers.model_transfers(df, rows_per_chunk).select("tx_hash", "from", "to", "amount")
     want = [(t, *edge) for t, accounts in txs.items() for edge in greedy(accounts)]
