@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from ..functions.scripts import decode_op_n, script_template, with_address
 from ..operators import clock, counters, entries, lifo, matching, netting, transfers
 from ..session import checkpointed
-from ..operators.clock import monotone_block_time, raw_block_times, with_block_time
 from ..sources import blocks, sinks, tables
 from . import pipeline
 
@@ -129,10 +128,8 @@ def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _chain_net(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blocks to net changes, with the script in place of the address."""
-    raw = tables.raw_blocks(spark, sf_dir)
-    times = monotone_block_time(raw_block_times(raw))
-    parsed = with_block_time(blocks.parse_blocks(raw), times).withColumn("address", F.hex("script"))
-    return netting.net_changes(matching.match_spends_strict(checkpointed(parsed)))
+    parsed = checkpointed(blocks.parse_blocks(tables.raw_blocks(spark, sf_dir)).withColumn("address", F.hex("script")))
+    return netting.net_changes(matching.match_spends_strict(clock.with_increasing_time(parsed)))
 
 
 def _chain_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,7 +189,7 @@ QUERIES: dict[str, Query] = {
     "spent_by_origin": lambda s, d: lifo.spent_by_origin(_stack(s, d)),
     "open_segments": lambda s, d: lifo.open_segments(_stack(s, d)),
     "stack_keyed_json": _stack_records,
-    "monotone_block_time": lambda s, d: monotone_block_time(tables.block_headers(s, d)),
+    "monotone_block_time": lambda s, d: clock.monotone_block_time(tables.block_headers(s, d)),
     "time_regressions": lambda s, d: clock.time_regressions(tables.block_headers(s, d)),
     "confirmed_blocks": lambda s, d: blocks.confirmed_blocks(tables.block_headers(s, d), 100, 3),
     "resume_height": lambda s, d: blocks.resume_height(tables.block_headers(s, d)),

@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.scripts import with_address
-from ..operators.clock import monotone_block_time, raw_block_times, with_block_time
+from ..operators.clock import with_increasing_time
 from ..operators.lifo import public_stack_changes, stack_changes
 from ..operators.matching import match_spends, match_spends_strict, tx_legs
 from ..operators.netting import account_changes, net_changes
@@ -16,20 +16,20 @@ from ..sources.blocks import confirmed_blocks, from_records, parse_blocks, resum
 from ..sources.sinks import account_change_records, stack_change_records, transfer_records
 
 
-def ledger_entries(blocks: DataFrame) -> DataFrame:
-    """Entries with increasing block times and the addresses of outputs."""
-    times = monotone_block_time(raw_block_times(blocks))
-    return with_address(with_block_time(parse_blocks(blocks), times))
+def block_entries(blocks: DataFrame) -> DataFrame:
+    """Entries with the blocks' own times and the addresses of outputs."""
+    return with_address(parse_blocks(blocks))
 
 
 def block_account_changes(blocks: DataFrame) -> DataFrame:
     """Published account changes of a range of blocks that starts with the first."""
-    return account_changes(net_changes(match_spends(checkpointed(ledger_entries(blocks)))))
+    entries = with_increasing_time(checkpointed(block_entries(blocks)))
+    return account_changes(net_changes(match_spends(entries)))
 
 
 def block_legs(blocks: DataFrame) -> DataFrame:
     """Both sides of every transaction of a range of blocks; times are the blocks' own."""
-    return tx_legs(checkpointed(with_address(parse_blocks(blocks))))
+    return tx_legs(checkpointed(block_entries(blocks)))
 
 
 def block_transfers(blocks: DataFrame) -> DataFrame:
@@ -63,16 +63,15 @@ def run(
     record sets share the net changes, and a lost executor repeats one stage and
     not the whole job.  A spend without an output to consume fails the job.
     """
-    ledger_entries(blocks).write.mode("overwrite").parquet(f"{out}/entries")
+    block_entries(blocks).write.mode("overwrite").parquet(f"{out}/entries")
     entries = spark.read.parquet(f"{out}/entries")
-    net_changes(match_spends_strict(entries)).write.mode("overwrite").parquet(f"{out}/net")
+    net_changes(match_spends_strict(with_increasing_time(entries))).write.mode("overwrite").parquet(f"{out}/net")
     net = spark.read.parquet(f"{out}/net")
     if transfers:
         records = account_change_records(account_changes(net), topics, partitions)
         records.write.mode("overwrite").partitionBy("topic").parquet(f"{out}/transfers")
     if edges:
-        with_raw_time = entries.drop("ts").join(raw_block_times(blocks).withColumnRenamed("raw_ts", "ts"), "height")
-        legs = checkpointed(tx_legs(with_raw_time))
+        legs = checkpointed(tx_legs(entries))
         found = transfer_edges(model_transfers(net_accounts(legs), sized_by=legs))
         transfer_records(found).write.mode("overwrite").parquet(f"{out}/edges")
     if stacks:

@@ -77,6 +77,15 @@ def test_block_times_equal_the_loop(spark, width, after):
     assert sorted(map(tuple, clock.time_regressions(headers, width).collect())) == back
 
 
+def test_block_times_by_broadcast_and_by_shuffle(spark):
+    entries = blocks.parse_blocks(raw_blocks(spark, SF).where("height < 40"))
+    times = clock.monotone_block_time(clock.marker_times(entries))
+    sent, shuffled = (clock.with_block_time(entries, times, limit) for limit in (1000, 10))
+    assert sorted(map(str, sent.collect())) == sorted(map(str, shuffled.collect()))
+    raw = clock.raw_block_times(raw_blocks(spark, SF).where("height < 40"))
+    assert sorted(map(tuple, clock.monotone_block_time(raw).collect())) == sorted(map(tuple, times.collect()))
+
+
 def test_equal_and_reversed_times(spark):
     headers = spark.createDataFrame(list(enumerate([10, 9, 9, 20])), "height int, raw_ts bigint")
     got = clock.monotone_block_time(headers).orderBy("height").collect()
@@ -216,7 +225,7 @@ def test_miner_claims_less_than_the_fees(spark):
 
 
 def test_matching_continues_from_an_unspent_set(spark):
-    entries = pipeline.ledger_entries(raw_blocks(spark, SF).where("height < 30")).cache()
+    entries = clock.with_increasing_time(pipeline.block_entries(raw_blocks(spark, SF).where("height < 30"))).cache()
     whole = {tuple(r) for r in matching.match_spends_strict(entries).collect()}
     early, late = entries.where("height < 12"), entries.where("height >= 12")
     unspent = matching.unspent_outputs(early)
