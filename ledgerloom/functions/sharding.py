@@ -17,10 +17,9 @@ def string_hash(text: str | Column) -> Column:
         point = F.ascii(char).cast("bigint")
         above = point - 0x10000
         pair = add(add(acc, F.lit(0xD800) + F.shiftright(above, 10)), F.lit(0xDC00) + above.bitwiseAND(F.lit(0x3FF)))
-        return F.when(point < 0x10000, add(acc, point)).otherwise(pair)
+        return F.when(char == "", acc).when(point < 0x10000, add(acc, point)).otherwise(pair)
 
-    chars = F.filter(F.split(column, ""), lambda c: c != "")
-    unsigned = F.aggregate(chars, F.lit(0).cast("bigint"), step)
+    unsigned = F.aggregate(F.split(column, ""), F.lit(0).cast("bigint"), step)
     return F.when(unsigned >= 2**31, unsigned - 2**32).otherwise(unsigned).cast("int")
 
 

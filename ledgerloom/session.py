@@ -21,6 +21,7 @@ def build_session(app: str = "ledgerloom", master: str | None = None, **conf: st
         "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     settings.update({k.replace("__", "."): v for k, v in conf.items()})
     for key, value in settings.items():

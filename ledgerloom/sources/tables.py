@@ -24,7 +24,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _spread(df: DataFrame) -> DataFrame:
-    """Rows dealt out to all cores if the table has fewer files than that.
+    """Rows dealt out to all cores if they come from fewer files than that.
 
     A small table in one file is read by one task, which would then also do all the
     work up to the next shuffle.  Tables in many files are left as they are.
@@ -342,4 +342,4 @@ def raw_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     latest = F.max(F.struct("ts", "user_id", "value")).alias("e")
     unique = table(spark, sf_dir, "events").groupBy("event_id").agg(latest).select("event_id", "e.*")
-    return unique.select(height.cast("int").alias("height"), F.unhex(F.concat(header, body)).alias("bytes"))
+    return _spread(unique).select(height.cast("int").alias("height"), F.unhex(F.concat(header, body)).alias("bytes"))
