@@ -54,12 +54,16 @@ _PIECE = (
 )
 
 
-def segments(net: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
+def segments(net: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK, state: DataFrame | None = None) -> DataFrame:
     """Every stack segment ever opened, with its opening and (if any) closing event.
 
-    ``net`` holds at most one change per address, height and position.
+    ``net`` holds at most one change per address, height and position.  ``state``,
+    as :func:`stack_state` gives it, holds the stacks left by earlier blocks; their
+    segments are in the result with height -1.
     """
     changes = net.select("address", "height", "tx_pos", "ts", "value")
+    if state is not None:
+        return _continued(changes, state, rows_per_chunk)
     bounds = hot_key_bounds(changes, ["address"], _ORDER, rows_per_chunk)
     if bounds is None:
         return _fold_addresses(changes)
@@ -68,8 +72,67 @@ def segments(net: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
     return cold.unionByName(hot)
 
 
-def stack_changes(net: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
+def stack_state(found: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
+    """What the blocks after those of the segments ``found`` need to know.
+
+    The open segments, and for each address a row without value whose nonce is the
+    last one used.  ``earlier`` is the state ``found`` started from, if any.
+    """
+    null = F.lit(None).cast("bigint")
+    open_now = found.where("closed_ts is null").select("address", "nonce", "ots", "value")
+    used = found.select("address", "nonce")
+    if earlier is not None:
+        used = used.unionByName(earlier.select("address", "nonce"))
+    last = used.groupBy("address").agg(F.max("nonce").alias("nonce"))
+    return open_now.unionByName(last.select("address", "nonce", null.alias("ots"), null.alias("value")))
+
+
+def _continued(changes: DataFrame, state: DataFrame, rows_per_chunk: int) -> DataFrame:
+    """Segments after an earlier state: its open segments are replayed as first changes.
+
+    Replaying a segment gives it its place on the stack as nonce; the nonces of the
+    earlier run are put back afterwards, and later ones moved behind them.
+    """
+    held = state.where("value is not null")
+    placed = running(held, ["address"], ["nonce"], {"place": row_number()}, rows_per_chunk)
+    replayed = placed.select(
+        "address",
+        F.lit(-1).alias("height"),
+        F.col("place").cast("int").alias("tx_pos"),
+        F.col("ots").alias("ts"),
+        "value",
+    )
+    found = segments(changes.unionByName(replayed), rows_per_chunk)
+    given = placed.select(
+        "address",
+        F.lit(-1).alias("height"),
+        F.col("place").cast("int").alias("tx_pos"),
+        F.col("nonce").alias("_given"),
+    )
+    # Shuffled by itself, so that Spark can split a hot address of the other side.
+    moved = (
+        state.groupBy("address")
+        .agg((F.max("nonce") - F.count("value")).cast("int").alias("_moved"))
+        .repartition("address")
+    )
+    nonce = F.coalesce("_given", F.col("nonce") + F.coalesce("_moved", F.lit(0)))
+    return (
+        found.join(given, ["address", "height", "tx_pos"], "left")
+        .join(moved, "address", "left")
+        .withColumn("nonce", nonce)
+        .select(*found.columns)
+    )
+
+
+def stack_changes(
+    net: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK, state: DataFrame | None = None
+) -> DataFrame:
     """Signed stack rows: +1 when a segment is pushed, -1 when it is taken off."""
+    return changes_of(segments(net, rows_per_chunk, state))
+
+
+def changes_of(found: DataFrame) -> DataFrame:
+    """Signed stack rows of segments."""
     pushed = F.struct(F.lit(1).alias("sign"), F.col("ts").alias("at_ts"), "height", "tx_pos")
     taken = F.struct(
         F.lit(-1).alias("sign"),
@@ -77,10 +140,11 @@ def stack_changes(net: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataF
         F.col("closed_height").alias("height"),
         F.col("closed_tx_pos").alias("tx_pos"),
     )
-    events = F.when(F.col("closed_ts").isNull(), F.array(pushed)).otherwise(F.array(pushed, taken))
+    events = F.array_compact(
+        F.array(F.when(F.col("height") >= 0, pushed), F.when(F.col("closed_ts").isNotNull(), taken))
+    )
     return (
-        segments(net, rows_per_chunk)
-        .select("address", "nonce", "ots", "value", F.inline(events))
+        found.select("address", "nonce", "ots", "value", F.inline(events))
         .select("sign", F.col("at_ts").alias("ts"), "height", "tx_pos", "nonce", "ots", "address", "value")
     )
 

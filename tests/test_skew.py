@@ -125,6 +125,19 @@ def test_stack_changes_equal_the_loop(spark, kind, rows_per_chunk):
     assert sorted(map(tuple, got.collect())) == sorted(fold(changes))
 
 
+@pytest.mark.parametrize("kind, rows_per_chunk", [("mostly spends", 150), ("mixed", 10**6)])
+def test_stack_continues_from_an_earlier_state(spark, kind, rows_per_chunk):
+    changes = history(1200, 9, HISTORIES[kind])
+    df = spark.createDataFrame(changes, CHANGE).cache()
+    got, state = [], None
+    for low, high in ((0, 150), (150, 260), (260, 1000)):
+        part = df.where((F.col("height") >= low) & (F.col("height") < high))
+        found = lifo.segments(part, rows_per_chunk, state).cache()
+        got += map(tuple, lifo.changes_of(found).select(*STACK).collect())
+        state = lifo.stack_state(found, state).cache()
+    assert sorted(got) == sorted(fold(changes))
+
+
 def test_stack_with_liabilities_worked_example(spark):
     values = [-5, -3, 4, -6]
     df = spark.createDataFrame([(i + 1, i + 1, 0, v, "x") for i, v in enumerate(values)], CHANGE)
