@@ -151,9 +151,8 @@ def changes_of(found: DataFrame) -> DataFrame:
 
 def public_stack_changes(changes: DataFrame) -> DataFrame:
     """Published form of stack rows: value in coins."""
-    return changes.select(
-        "sign", "ts", "height", F.col("tx_pos").alias("txPos"), "nonce", "ots", "address", to_coin("value").alias("value")
-    )
+    tx_pos, value = F.col("tx_pos").alias("txPos"), to_coin("value").alias("value")
+    return changes.select("sign", "ts", "height", tx_pos, "nonce", "ots", "address", value)
 
 
 def spent_by_origin(changes: DataFrame) -> DataFrame:
@@ -216,7 +215,14 @@ _OPEN = (None, None, None)
 def _fold_whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Segments of whole histories; rows arrive sorted by address and event."""
     out = _Output(
-        [("address", pa.string()), ("nonce", pa.int32()), ("ots", pa.int64()), ("value", pa.int64()), *_EVENT, *_CLOSING]
+        [
+            ("address", pa.string()),
+            ("nonce", pa.int32()),
+            ("ots", pa.int64()),
+            ("value", pa.int64()),
+            *_EVENT,
+            *_CLOSING,
+        ]
     )
     owner, started = None, False
     balance, nonce, stack = 0, 0, []
@@ -269,7 +275,10 @@ def _fold_chunks(hot: DataFrame, bounds: DataFrame, rows_per_chunk: int) -> Data
     # Lowest floor and lowest unmet spend of each chunk: at most a few thousand rows.
     lows = (
         pieces.groupBy("address", CHUNK)
-        .agg(F.min(F.when(F.col("floor"), F.col("level"))).alias("floor"), F.min(F.when(F.col("unmet"), F.col("level"))).alias("low"))
+        .agg(
+            F.min(F.when(F.col("floor"), F.col("level"))).alias("floor"),
+            F.min(F.when(F.col("unmet"), F.col("level"))).alias("low"),
+        )
         .groupBy("address")
         .agg(F.sort_array(F.collect_list(F.struct(F.col(CHUNK).alias("at"), "floor", "low"))).alias("lows"))
     )
@@ -325,7 +334,8 @@ def _close_later(still: DataFrame, unmet: DataFrame, lows: DataFrame, rows_per_c
     candidates = F.filter("lows", lambda c: (c["at"] > F.col(CHUNK)) & (c["low"] < F.col("level")))
     columns = ["address", "ots", "value", "height", "tx_pos", "ts"]
     aimed = still.join(F.broadcast(lows), "address").withColumn("at", F.try_element_at(candidates, F.lit(1))["at"])
-    none = [F.lit(None).cast(t).alias(c) for c, t in (("closed_height", "int"), ("closed_tx_pos", "int"), ("closed_ts", "bigint"))]
+    closing = {"closed_height": "int", "closed_tx_pos": "int", "closed_ts": "bigint"}
+    none = [F.lit(None).cast(kind).alias(name) for name, kind in closing.items()]
     never = aimed.where("at is null").select(*columns, *none)
     asking = aimed.where("at is not null").select("at", "level", F.lit(0).alias("tag"), *columns)
     spends = unmet.select(

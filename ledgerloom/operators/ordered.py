@@ -142,12 +142,14 @@ def with_chunks(df: DataFrame, keys: list[str], order: list[str], bounds: DataFr
 
 def hot_rows(df: DataFrame, keys: list[str], bounds: DataFrame) -> DataFrame:
     """Rows of the keys that were cut."""
-    return df.withColumn(_HASH, F.xxhash64(*keys)).join(F.broadcast(bounds.select(_HASH)), _HASH, "left_semi").drop(_HASH)
+    hashed = df.withColumn(_HASH, F.xxhash64(*keys))
+    return hashed.join(F.broadcast(bounds.select(_HASH)), _HASH, "left_semi").drop(_HASH)
 
 
 def cold_rows(df: DataFrame, keys: list[str], bounds: DataFrame) -> DataFrame:
     """Rows of all other keys."""
-    return df.withColumn(_HASH, F.xxhash64(*keys)).join(F.broadcast(bounds.select(_HASH)), _HASH, "left_anti").drop(_HASH)
+    hashed = df.withColumn(_HASH, F.xxhash64(*keys))
+    return hashed.join(F.broadcast(bounds.select(_HASH)), _HASH, "left_anti").drop(_HASH)
 
 
 def join_unique(
