@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .store import stored
-from .tokens import Encoder, default_tokenizer
+from .tokens import default_tokenizer, encoder
 
 CAPACITY = 2048
 _ROWS_PER_BUCKET = 4096
@@ -38,10 +38,10 @@ def token_pieces(
     path = tokenizer or default_tokenizer()
 
     def process(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encode = encoder(path).encode
         for batch in batches:
             rows: list[list] = [[], [], [], [], [], []]
-            for doc, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1)), strict=True):
+            for doc, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1)), strict=True):
                 ids = np.append(ids, np.uint32(end_id))
                 pieces = -(-len(ids) // capacity)
                 bounds = [0, *range(len(ids) - capacity * (pieces - 1), len(ids) + 1, capacity)]

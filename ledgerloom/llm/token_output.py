@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .store import new_folder
-from .tokens import Encoder, default_tokenizer
+from .tokens import default_tokenizer, encoder
 
 SEQ_LEN = 2048
 ROWS_PER_BATCH = 128
@@ -99,13 +99,13 @@ def write_shards(
         shard = task.partitionId()
         fs, root = _opened(folder)
         fs.create_dir(root, recursive=True)
-        part, at, writer, encoder = f"{root}/.{shard}-{task.taskAttemptId()}", 0, None, Encoder(path)
+        part, at, writer, encode = f"{root}/.{shard}-{task.taskAttemptId()}", 0, None, encoder(path).encode
         for batch in batches:
             if writer is None and batch.num_rows:
                 sink = fs.open_output_stream(part)
                 writer = _ShardWriter(sink, seq_len, np.dtype(dtype))
             counts = []
-            for ids in encoder.encode(batch.column(1)):
+            for ids in encode(batch.column(1)):
                 writer.add(np.append(ids, np.uint32(end_id)))
                 counts.append(len(ids) + 1)
             n = np.array(counts, np.int64)

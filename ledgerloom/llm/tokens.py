@@ -4,7 +4,7 @@ Most time of a byte-pair tokenizer goes into merging the same words again and
 again.  A byte-level tokenizer whose pattern puts a space in front of the word
 it precedes never joins across `` x`` with a non-space before it, so a text may
 be cut there: the pieces' ids in a row are the text's ids.  Every distinct
-piece of a task is encoded once by the library, all others look its ids up.
+piece is encoded once by the library, all others look its ids up.
 """
 
 from __future__ import annotations
@@ -16,7 +16,8 @@ from .text import Hasher, slices, utf8
 
 # First bytes of the UTF-8 forms of all white space beyond ASCII.
 _WIDE_SPACE = np.isin(np.arange(256), [0xC2, 0xE1, 0xE2, 0xE3])
-_MAX_CACHED = 500_000
+_MAX_CACHED = 900_000
+_JOINED_BYTES = 1 << 15
 
 
 def default_tokenizer() -> str:
@@ -44,7 +45,7 @@ def _cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Ids of batches of texts; make one per task.  Null counts as an empty text."""
+    """Ids of batches of texts; make one with :func:`encoder`.  Null counts as an empty text."""
 
     def __init__(self, path: str):
         import os
@@ -54,6 +55,11 @@ class Encoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._hasher = Hasher()
+        # How many bytes of text each id stands for; an added token's content is its text.
+        vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
+        self._width = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self._width[i] = len(token)
         self._clear()
 
     def _clear(self) -> None:
@@ -61,20 +67,48 @@ class Encoder:
         self._ids = np.zeros(1 << 16, np.uint32)
         self._ends = np.zeros(1 << 16, np.int64)
 
-    def _add(self, hashes: list[int], texts: list[str]) -> None:
-        encoded = [e.ids for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
+    def _encoded(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _joined(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and number of ids of pieces that may stand in a row, encoded as texts of many pieces.
+
+        An id stands for a fixed number of bytes, so the pieces' bounds show in the ids.
+        """
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        ends = np.cumsum(sizes)
+        cuts = np.searchsorted(ends, np.arange(0, ends[-1], _JOINED_BYTES), "right")
+        bounds = [*np.unique(cuts).tolist(), len(pieces)]
+        texts = [b"".join(pieces[a:b]).decode() for a, b in zip(bounds, bounds[1:], strict=False) if b > a]
+        ids = np.concatenate([np.array(i, np.uint32) for i in self._encoded(texts)])
+        last = np.searchsorted(np.cumsum(self._width[ids]), ends)
+        return ids, np.diff(last + 1, prepend=0)
+
+    def _add(self, hashes: list[int], pieces: list[bytes], joinable: np.ndarray) -> None:
+        """Learn new pieces; ``joinable`` ones begin with a cut and end before one."""
+        if not pieces:
+            return
+        ids, lengths = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        order = np.argsort(~joinable, kind="stable")
+        n = int(joinable.sum())
+        if n:
+            try:
+                ids, lengths = self._joined([pieces[i] for i in order[:n]])
+            except UnicodeDecodeError:  # bytes that are no text are replaced one piece at a time
+                n = 0
+        alone = self._encoded([pieces[i].decode("utf-8", "replace") for i in order[n:]])
+        ids = np.concatenate([ids, *[np.array(i, np.uint32) for i in alone]])
+        lengths = np.append(lengths, np.fromiter(map(len, alone), np.int64, len(alone)))
         first = len(self._known)
         used = int(self._ends[first - 1]) if first else 0
-        total = used + int(lengths.sum())
+        total = used + len(ids)
         while len(self._ids) < total:
             self._ids = np.concatenate([self._ids, np.zeros_like(self._ids)])
-        while len(self._ends) < first + len(texts):
+        while len(self._ends) < first + len(pieces):
             self._ends = np.concatenate([self._ends, np.zeros_like(self._ends)])
-        flat = (i for ids in encoded for i in ids)
-        self._ids[used:total] = np.fromiter(flat, np.uint32, total - used)
-        self._ends[first : first + len(texts)] = used + np.cumsum(lengths)
-        self._known.update(zip(hashes, range(first, first + len(texts)), strict=True))
+        self._ids[used:total] = ids
+        self._ends[first : first + len(pieces)] = used + np.cumsum(lengths)
+        self._known.update((hashes[i], first + k) for k, i in enumerate(order.tolist()))
 
     def _slice(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if len(self._known) > _MAX_CACHED:
@@ -83,6 +117,11 @@ class Encoder:
         end = np.append(start[1:], len(data))
         if not len(start):
             return np.zeros(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
+        # A piece between two cuts of one text may stand next to any other such piece.
+        inner = np.ones(len(start), bool)
+        filled = np.diff(offsets) > 0
+        inner[np.searchsorted(start, offsets[:-1][filled])] = False
+        inner[np.searchsorted(end, offsets[1:][filled])] = False
         distinct, sample, inverse = np.unique(
             self._hasher.spans(data, start, end), return_index=True, return_inverse=True
         )
@@ -90,7 +129,7 @@ class Encoder:
         new = [i for i, k in enumerate(keys) if k not in self._known]
         raw = data.tobytes()
         spans = [(int(start[sample[i]]), int(end[sample[i]])) for i in new]
-        self._add([keys[i] for i in new], [raw[a:b].decode("utf-8", "replace") for a, b in spans])
+        self._add([keys[i] for i in new], [raw[a:b] for a, b in spans], inner[sample[new]])
         index = np.fromiter(map(self._known.__getitem__, keys), np.int64, len(keys))[inverse]
         begin = np.where(index > 0, self._ends[index - 1], 0)
         length = self._ends[index] - begin
@@ -107,3 +146,17 @@ class Encoder:
             ids, counts = self._slice(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
             out.extend(np.split(ids, np.cumsum(counts)[:-1]))
         return out
+
+
+def encoder(path: str) -> Encoder:
+    """The encoder of this process: pieces met in earlier tasks are still known.
+
+    Functions reach the workers by value, without the state of their module, so it
+    is kept at the library's module.
+    """
+    import tokenizers
+
+    made = tokenizers.__dict__.setdefault("_encoders_by_path", {})
+    if path not in made:
+        made[path] = Encoder(path)
+    return made[path]
