@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import chat_format, decontamination, license_scan, line_crf, packing, secret_scan, token_output
+from . import chat_format, decontamination, license_scan, line_crf, ngram_join, packing, secret_scan, token_output
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,10 @@ def _token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def _ngram_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_components(table(spark, sf_dir, "documents"))
+
+
 def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = line_crf.score(docs, line_crf.train(docs, table(spark, sf_dir, "labels")))
@@ -65,6 +69,7 @@ QUERIES: dict[str, Query] = {
     "op2_license_scan": _licenses,
     "op3_secret_scan": _secrets,
     "op4_token_ids": _token_ids,
+    "op5_ngram_jaccard_join": _ngram_components,
     "op7_line_crf_quality": _quality,
     "op8_decontamination": _contamination,
     "op9_chat_format": _chats,
