@@ -3,7 +3,7 @@
 1. Every text becomes the set of hashes of its shingles.  Equal sets are one node.
 2. Two sets that link lack at most a tenth of each other's shingles.  So a node
    with enough shingles is represented by those of a part of all shingles, chosen
-   by hash (one in ``RATE``); small nodes keep all.  Nodes near the border, and
+   by hash (one in :func:`rate`); small nodes keep all.  Nodes near the border, and
    those with too few chosen shingles to be sure, are in both groups.
 3. Rare-first prefixes: document frequencies over all nodes order the shingles;
    of the first ``u + 1``, where ``u`` may be lacking, two linked nodes share one.
@@ -40,7 +40,6 @@ from .text import SPACE, Hasher, grams, slices, utf8
 
 PERCENT = 90
 SHINGLE = 3
-RATE = 5
 SMALL = 256
 NODES_PER_BLOCK = 512
 _BITS = 1 << 26
@@ -51,6 +50,11 @@ def _lacking(n: np.ndarray | int, percent: int) -> np.ndarray | int:
     return n - (percent * n + 99) // 100
 
 
+def rate(percent: int) -> int:
+    """One shingle in so many is chosen: at least twice as many as may be lacking."""
+    return max(1, 50 // max(100 - percent, 10))
+
+
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, hasher: Hasher, size: int) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
     words = hasher.words(data, offsets, SPACE)
@@ -74,7 +78,7 @@ def _node(members: np.ndarray) -> int:
 def _tokens(members: np.ndarray, percent: int, small: int) -> tuple[np.ndarray, int, int]:
     """Shingles that stand for a set, and how many of them are of each group; the last bit tells the group."""
     n = len(members)
-    chosen = members[(members >> np.uint64(20)) % np.uint64(RATE) == 0] if n * 100 >= small * percent else members[:0]
+    chosen = members[(members >> np.uint64(20)) % np.uint64(rate(percent)) == 0] if n * 100 >= small * percent else members[:0]
     whole = n <= small or len(chosen) <= _lacking(n, percent)
     every = members if whole else members[:0]
     one = np.uint64(1)

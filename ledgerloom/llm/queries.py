@@ -8,11 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import chat_format, decontamination, license_scan, line_crf, ngram_join, packing, secret_scan, token_output
+from . import chat_format, decontamination, embedding_dedup, kneser_ney, license_scan, line_crf, ngram_join, packing, secret_scan, token_output
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def _licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.page_licenses(table(spark, sf_dir, "pages")).drop("cosine")
 
@@ -33,6 +37,21 @@ def _ngram_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(table(spark, sf_dir, "documents"))
 
 
+def _language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = kneser_ney.train(docs.where(~kneser_ney.held_out()))
+    scored = kneser_ney.score(docs, model)
+    return scored.select(
+        "doc_id",
+        kneser_ney.held_out().alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = line_crf.score(docs, line_crf.train(docs, table(spark, sf_dir, "labels")))
@@ -66,10 +85,12 @@ def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_embedding_near_dedup": _near_vectors,
     "op2_license_scan": _licenses,
     "op3_secret_scan": _secrets,
     "op4_token_ids": _token_ids,
     "op5_ngram_jaccard_join": _ngram_components,
+    "op6_kneser_ney": _language_model,
     "op7_line_crf_quality": _quality,
     "op8_decontamination": _contamination,
     "op9_chat_format": _chats,

@@ -267,3 +267,20 @@ def redacted(text: str, spans: str, mark: str = "[REDACTED]") -> str:
             out += [text[here:a], mark]
         here = max(here, b)
     return "".join([*out, text[here:]])
+
+
+def redact_secrets(docs: DataFrame, text: str = "text", mark: str = "[REDACTED]") -> DataFrame:
+    """The same rows and columns with every secret's span, at any depth, replaced; a null text stays null."""
+
+    def process(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index(text)
+            out = []
+            for value in batch.column(at).to_pylist():
+                found = find_secrets(value)[1] if value else ()
+                out.append(redacted(value, _joined(found), mark) if found else value)
+            columns = list(batch.columns)
+            columns[at] = pa.array(out, batch.schema.field(at).type)
+            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+
+    return docs.mapInArrow(process, docs.schema)
