@@ -3,7 +3,7 @@
 1. Every text becomes the set of hashes of its shingles.  Equal sets are one node.
 2. Two sets that link lack at most a tenth of each other's shingles.  So a node
    with enough shingles is represented by those of a part of all shingles, chosen
-   by hash (one in :func:`rate`); small nodes keep all.  Nodes near the border, and
+   by hash (:func:`share`); small nodes keep all.  Nodes near the border, and
    those with too few chosen shingles to be sure, are in both groups.
 3. Rare-first prefixes: document frequencies over all nodes order the shingles;
    of the first ``u + 1``, where ``u`` may be lacking, two linked nodes share one.
@@ -20,7 +20,8 @@ Nodes are known by 64 bits of a digest of their set.
 Defined results: null and empty texts, and texts of separators, have no shingles
 and link with nothing; a text with fewer words than a shingle is one shingle;
 repeated rows and equal texts are linked; rows with the same id share a result;
-an empty table gives an empty result; other columns are not read.
+a row with a null id has the result of rows with an equal set, else a null one,
+and connects no others; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -50,9 +51,9 @@ def _lacking(n: np.ndarray | int, percent: int) -> np.ndarray | int:
     return n - (percent * n + 99) // 100
 
 
-def rate(percent: int) -> int:
-    """One shingle in so many is chosen: at least twice as many as may be lacking."""
-    return max(1, 50 // max(100 - percent, 10))
+def share(percent: int) -> int:
+    """How many of a thousand shingles are chosen: seven for every five that may be lacking."""
+    return min(1000, 14 * max(100 - percent, 5))
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, hasher: Hasher, size: int) -> list[np.ndarray]:
@@ -78,7 +79,7 @@ def _node(members: np.ndarray) -> int:
 def _tokens(members: np.ndarray, percent: int, small: int) -> tuple[np.ndarray, int, int]:
     """Shingles that stand for a set, and how many of them are of each group; the last bit tells the group."""
     n = len(members)
-    chosen = members[(members >> np.uint64(20)) % np.uint64(rate(percent)) == 0] if n * 100 >= small * percent else members[:0]
+    chosen = members[(members >> np.uint64(20)) % np.uint64(1000) < np.uint64(share(percent))] if n * 100 >= small * percent else members[:0]
     whole = n <= small or len(chosen) <= _lacking(n, percent)
     every = members if whole else members[:0]
     one = np.uint64(1)
@@ -117,9 +118,9 @@ def signatures(docs: DataFrame, size: int, percent: int, small: int) -> DataFram
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(process, schema)
 
 
-def prefixes(nodes: DataFrame, percent: int) -> DataFrame:
+def prefixes(nodes: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     """Per node and group: the prefix tokens that other nodes have too, rarest first, and where they begin."""
-    spread = nodes.select("node", F.explode("tokens").alias("token"))
+    spread = tokens.select("node", F.explode("tokens").alias("token"))
     shared = spread.groupBy("token").agg(F.count(F.lit(1)).cast("int").alias("df")).where("df > 1")
     listed = (
         spread.join(shared, "token")
@@ -151,53 +152,48 @@ def _clusters(offered: DataFrame) -> DataFrame:
     return found.select("node", F.col("root").alias("cluster")).unionByName(roots)
 
 
-def _sets_of(docs: DataFrame, members: DataFrame, size: int) -> DataFrame:
-    """Whole sets of the nodes in ``members`` (``doc_id``, ``node``), from the texts.
+def _split_by(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``doc_id`` and ``text`` of the documents that may be among ``ids``, and of those that surely are not.
 
-    A bitmap of fixed size (8 MB) of the wanted ids' hashes goes to all tasks, so
-    that nearly only wanted texts are shuffled; the join makes it exact.
+    A bitmap of hashes of fixed size (2,048 rows of 4 KB) is sent to all tasks; it
+    spares the others the shuffle of a join.
     """
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(_BITS))
-    parts = (
-        members.select(place.alias("h"))
-        .groupBy(F.expr("bitmap_bucket_number(h)").alias("bucket"))
-        .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(h))").alias("bits"))
-        .collect()
+    place = f"pmod(xxhash64(doc_id), {_BITS}L)"
+    bits = ids.groupBy(F.expr(f"bitmap_bucket_number({place})").alias("bucket")).agg(
+        F.expr(f"bitmap_construct_agg(bitmap_bit_position({place}))").alias("bits")
     )
-    bitmap = np.zeros(_BITS // 8 + 8192, np.uint8)
-    for part in parts:
-        at = (part.bucket - 1) * 4096
-        bitmap[at : at + 4096] = np.frombuffer(bytes(part.bits), np.uint8)
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
-    numbered = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")
-    ).select(
-        "doc_id",
-        "text",
-        F.expr(f"bitmap_bucket_number(pmod(xxhash64(doc_id), {_BITS}L))").alias("bucket"),
-        F.expr(f"bitmap_bit_position(pmod(xxhash64(doc_id), {_BITS}L))").alias("bit"),
+    marked = (
+        docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+        .withColumns({"bucket": F.expr(f"bitmap_bucket_number({place})"), "bit": F.expr(f"bitmap_bit_position({place})")})
+        .join(F.broadcast(bits), "bucket", "left")
     )
+    byte = "cast(conv(hex(substring(bits, cast(bit div 8 as int) + 1, 1)), 16, 10) as int)"
+    found = F.expr(f"coalesce(shiftright({byte}, cast(bit % 8 as int)) & 1, 0) = 1")
+    return marked.where(found).select("doc_id", "text"), marked.where(~found).select("doc_id", "text")
+
+
+def _with_sets(docs: DataFrame, members: DataFrame, size: int) -> DataFrame:
+    """``members`` (``doc_id``, ``node`` and others) with the whole sets of their nodes, from the texts."""
+    wanted, _ = _split_by(docs, members)
+    texts = wanted.join(members, "doc_id").select(*members.columns, "text")
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in members.schema)
 
     def process(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, bits = Hasher(), shared.value
+        hasher = Hasher()
         for batch in batches:
-            at = (batch.column(2).to_numpy() - 1) * 32768 + batch.column(3).to_numpy()
-            wanted = np.flatnonzero((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1)
-            if not len(wanted):
-                continue
-            picked = batch.take(pa.array(wanted))
-            data, offsets = utf8(picked.column(1))
-            nodes, sets = [], []
+            data, offsets = utf8(batch.column(batch.num_columns - 1))
+            own = batch.column(batch.schema.get_field_index("node")).to_numpy()
+            kept, sets = [], []
             for a, b in slices(offsets):
-                for members in shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], hasher, size):
-                    nodes.append(_node(members) if len(members) else None)
-                    sets.append(members.tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [picked.column(0), pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], ["doc_id", "node", "members"]
-            )
+                found = shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], hasher, size)
+                # A text of another document with the same id has another node.
+                kept.append([len(members) > 0 and _node(members) == node for members, node in zip(found, own[a:b], strict=True)])
+                sets.extend(members.tobytes() for members in found)
+            columns = [*batch.columns[:-1], pa.array(sets, pa.binary())]
+            names = [*batch.schema.names[:-1], "members"]
+            yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array([k for part in kept for k in part], pa.bool_()))
 
-    found = numbered.mapInArrow(process, "doc_id bigint, node bigint, members binary")
-    return found.join(members, ["doc_id", "node"])
+    return texts.mapInArrow(process, f"{fields}, members binary")
 
 
 class _Union:
@@ -218,7 +214,7 @@ class _Union:
 
 def _verified(group: pd.DataFrame, percent: int) -> Iterator[tuple[int, int]]:
     """Links between the nodes of two blocks that connect more than earlier ones did."""
-    group = group.sort_values(["n", "node"], kind="stable").reset_index(drop=True)
+    group = group.drop_duplicates("node").sort_values(["n", "node"], kind="stable").reset_index(drop=True)
     sets = [np.frombuffer(b, np.uint64) for b in group["members"]]
     sizes = group["n"].to_numpy()
     block = group["block"].to_numpy()
@@ -251,9 +247,21 @@ def _verified(group: pd.DataFrame, percent: int) -> Iterator[tuple[int, int]]:
                 held.append((y, m - position, m - lacking))
 
 
-def _links(docs: DataFrame, nodes: DataFrame, size: int, percent: int, per_block: int) -> DataFrame:
+def _tokens_of(docs: DataFrame, rows: DataFrame, reps: DataFrame, sign) -> DataFrame:
+    """Tokens of one document of each node, read from the texts: they are too many to store.
+
+    Documents that surely are no copies of others are taken as they are, so only
+    the rest are joined with the list of those that stand for their nodes.
+    """
+    copies = rows.join(reps.withColumnRenamed("doc_id", "rep"), "node").where("doc_id != rep").select("doc_id")
+    doubtful, single = _split_by(docs, copies)
+    chosen = sign(doubtful.join(reps.select("doc_id").distinct(), "doc_id")).join(reps, ["node", "doc_id"], "left_semi")
+    return sign(single).where("node is not null").select("node", "tokens").unionByName(chosen.select("node", "tokens"))
+
+
+def _links(docs: DataFrame, nodes: DataFrame, tokens: DataFrame, size: int, percent: int, per_block: int) -> DataFrame:
     """Enough verified links ``u``-``v`` to connect all nodes that links connect."""
-    offered = stored(prefixes(nodes, percent), "prefixes")
+    offered = stored(prefixes(nodes, tokens, percent), "prefixes")
     clusters = stored(_clusters(offered), "clusters")
     blocks = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / per_block).cast("int").alias("blocks"))
     bins = 1 + clusters.count() // per_block
@@ -264,13 +272,12 @@ def _links(docs: DataFrame, nodes: DataFrame, size: int, percent: int, per_block
         .withColumn("home", F.when(big, F.col("cluster")).otherwise(F.pmod(F.xxhash64("cluster"), F.lit(bins))))
     )
     offers = offered.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("part", "m", "skip", "prefix"))).alias("offers"))
-    wanted = placed.join(nodes.select("node", "doc_id", "n"), "node")
-    members = _sets_of(docs, wanted.select("doc_id", "node"), size).groupBy("node").agg(F.first("members").alias("members"))
-    full = wanted.drop("doc_id").dropDuplicates(["node"]).join(members, "node").join(offers, "node")
+    wanted = placed.join(nodes.select("node", "doc_id", "n").distinct(), "node").join(offers, "node")
     pair = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda k: F.struct(F.least("block", k).alias("low"), F.greatest("block", k).alias("high")),
     )
+    full = _with_sets(docs, wanted.select("doc_id", "node", "n", "home", "blocks", "block", "offers"), size)
     met = full.withColumn("p", F.explode(pair)).select("home", "blocks", "p.low", "p.high", "node", "n", "block", "members", "offers")
 
     def verify(group: pd.DataFrame) -> pd.DataFrame:
@@ -287,10 +294,13 @@ def ngram_components(
     per_block: int = NODES_PER_BLOCK,
 ) -> DataFrame:
     """Per row: ``doc_id``, ``n_shingles``, and ``component_id``, the smallest id it is linked with directly or not."""
-    rows = stored(signatures(docs, size, percent, small), "signatures")
+    def sign(some: DataFrame) -> DataFrame:
+        return signatures(some, size, percent, small)
+
+    rows = stored(sign(docs).drop("tokens"), "signatures")
     reps = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    nodes = stored(rows.join(reps, ["node", "doc_id"]), "nodes")
-    found = components(_links(docs, nodes, size, percent, per_block))
+    nodes = rows.join(reps, ["node", "doc_id"])
+    found = components(_links(docs, nodes, _tokens_of(docs, rows, reps, sign), size, percent, per_block))
     rooted = reps.join(found, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     labels = rooted.join(least, "root").select("node", "component_id")
