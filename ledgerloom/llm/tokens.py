@@ -16,7 +16,7 @@ from .text import Hasher, slices, utf8
 
 # First bytes of the UTF-8 forms of all white space beyond ASCII.
 _WIDE_SPACE = np.isin(np.arange(256), [0xC2, 0xE1, 0xE2, 0xE3])
-_MAX_CACHED = 900_000
+_MAX_CACHED = 1_300_000
 _JOINED_BYTES = 1 << 15
 
 
