@@ -14,7 +14,6 @@ from .ordered import ROWS_PER_CHUNK, heavy_keys, last_value, running, running_su
 TX = ["height", "ts", "tx_pos", "tx_hash"]
 # A transaction is known by its place in the chain.
 _TX_KEY = ["height", "tx_pos"]
-ENTRIES_PER_PART = 10_000
 
 
 def tx_totals(legs: DataFrame) -> DataFrame:
@@ -58,21 +57,24 @@ def unbalanced_txs(legs: DataFrame) -> DataFrame:
     return tx_fees(legs).where(F.col("fee") < 0)
 
 
-def net_accounts(legs: DataFrame) -> DataFrame:
+def net_accounts(legs: DataFrame, strict: bool = False) -> DataFrame:
     """Non-zero net value per transaction and account, completed with virtual accounts.
 
     Ordinary transactions pay their fee to ``fee``; a coinbase is paid by ``fee``
     and ``mint``.  A transaction's excess of outputs over inputs is the sum of its
     nets, so fees and minted coins come from the netted rows and share their
-    shuffle.
+    shuffle.  With ``strict`` a transaction that pays out more than it takes in
+    fails the job; ``unbalanced_txs`` lists those.
     """
     nets = net_by_account(legs, "is_coinbase")
     excess, coinbase = F.col("excess"), F.col("is_coinbase")
     per_tx = nets.groupBy(*TX, "is_coinbase").agg(F.sum("value").alias("excess"))
     virtual = F.lit("virtual").alias("kind")
-    fees = per_tx.select(
-        *TX, F.lit("fee").alias("address"), virtual, F.when(coinbase, F.lit(0)).otherwise(-excess).alias("value")
-    )
+    fee = F.when(coinbase, F.lit(0)).otherwise(-excess)
+    if strict:
+        told = F.concat_ws(", ", F.lit("outputs exceed inputs"), "height", "tx_pos", "tx_hash")
+        fee = F.when(fee < 0, F.raise_error(told).cast("bigint")).otherwise(fee)
+    fees = per_tx.select(*TX, F.lit("fee").alias("address"), virtual, fee.alias("value"))
     payers = F.array(
         F.struct(F.lit("fee").alias("address"), (-F.col("fees")).alias("value")),
         F.struct(F.lit("mint").alias("address"), (F.col("fees") - F.col("reward")).alias("value")),
@@ -160,29 +162,26 @@ def unmatched_sides(net: DataFrame) -> DataFrame:
     return net.groupBy(*TX).agg(F.sum("value").alias("excess")).where(F.col("excess") != 0)
 
 
-def processed_txs(legs: DataFrame, entries_per_part: int = ENTRIES_PER_PART) -> DataFrame:
+def processed_txs(legs: DataFrame) -> DataFrame:
     """Transactions as rows with ordered input and output arrays.
 
-    ``legs`` carry ``entry_idx``, the position on their side.  A transaction with
-    more than ``entries_per_part`` entries on a side comes in several parts, in
-    order, so that no row grows without bound; all others are part 0.  The coins
-    minted by a block follow its last transaction as a payment by ``mint``.
+    ``legs`` carry ``entry_idx``, the position on their side.  A transaction is one
+    row; it is part of a block, which is one value already, and so bounded.  The
+    coins minted by a block follow its last transaction as a payment by ``mint``.
     """
-    part = F.floor(F.col("entry_idx") / entries_per_part).cast("int")
     entry = F.struct("entry_idx", "address", "value")
 
     def side(is_input: bool):
         listed = F.collect_list(F.when(F.col("is_input") == is_input, entry))
         return F.transform(F.array_sort(listed), lambda e: F.struct(e["address"], e["value"]))
 
-    txs = legs.groupBy("ts", "height", "tx_pos", part.alias("part")).agg(
+    txs = legs.groupBy("ts", "height", "tx_pos").agg(
         side(True).alias("inputs"), side(False).alias("outputs")
     )
     minted = block_minting(legs).select(
         "ts",
         "height",
         F.col("txs").cast("int").alias("tx_pos"),
-        F.lit(0).alias("part"),
         F.array(F.struct(F.lit("mint").alias("address"), F.col("minted").alias("value"))).alias("inputs"),
         F.expr("cast(array() as array<struct<address:string,value:bigint>>)").alias("outputs"),
     )

@@ -17,7 +17,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 TOPICS = 4
 PARTITIONS = 6
-ENTRIES_PER_PART = 4
 BLOCKS_PER_INTERVAL = 1000
 
 
@@ -47,7 +46,7 @@ def _monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _processed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    txs = transfers.processed_txs(tables.numbered_legs(spark, sf_dir), ENTRIES_PER_PART)
+    txs = transfers.processed_txs(tables.numbered_legs(spark, sf_dir))
     return txs.withColumn("inputs", F.to_json("inputs")).withColumn("outputs", F.to_json("outputs"))
 
 

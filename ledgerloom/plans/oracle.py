@@ -194,16 +194,16 @@ dated as (
 """
 
 
-def _processed(source: str, entries_per_part: int) -> str:
+def _processed(source: str) -> str:
     return f"""
-        select ts, height, tx_pos, (entry_idx // {entries_per_part})::int as part,
+        select ts, height, tx_pos,
                coalesce(to_json(list({{'address': address, 'value': value}} order by entry_idx)
                                 filter (is_input))::varchar, '[]') as inputs,
                coalesce(to_json(list({{'address': address, 'value': value}} order by entry_idx)
                                 filter (not is_input))::varchar, '[]') as outputs
-        from {source} group by 1, 2, 3, 4
+        from {source} group by 1, 2, 3
         union all
-        select ts, height, txs::int, 0, to_json([{{'address': 'mint', 'value': reward - fees}}])::varchar, '[]'
+        select ts, height, txs::int, to_json([{{'address': 'mint', 'value': reward - fees}}])::varchar, '[]'
         from minting"""
 
 
@@ -452,7 +452,7 @@ ORACLE: dict[str, str] = {
           from legs
           union all
           select height, ts, tx_pos, is_input, address, value, entry_idx from coinbases)
-        {_processed("numbered", 4)}""",
+        {_processed("numbered")}""",
     "unbalanced_txs": f"with {_TAXED_LEGS} select * from fees where fee < 0",
     "tx_positions": f"""
         with {_LEGS}
@@ -535,7 +535,7 @@ ORACLE: dict[str, str] = {
         select value < 0 as "in", ts, height, tx_pos as "txPos", value / 1e8::double as value, a.address
         from chain_net n join addresses a on a.script = n.address""",
     "chain_transfers": f"with {_CHAIN_LEGS}, {_MODELLED} select * from transfers",
-    "chain_processed_txs": f"with {_CHAIN_LEGS} {_processed('all_legs', 10000)}",
+    "chain_processed_txs": f"with {_CHAIN_LEGS} {_processed('all_legs')}",
     "encode_addresses": f"""
         with {_HASH_SCRIPTS}, {_addresses("scripts")}
         select c_custkey, address, kind from scripts join addresses using (script)""",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions.scripts import with_address
 from ..operators.clock import with_increasing_time
 from ..operators.lifo import public_stack_changes, stack_changes
-from ..operators.matching import match_spends, match_spends_strict, tx_legs
+from ..operators.matching import match_spends_strict, tx_legs
 from ..operators.netting import account_changes, net_changes
 from ..operators.transfers import model_transfers, net_accounts, transfer_edges
 from ..session import checkpointed
@@ -24,7 +24,7 @@ def block_entries(blocks: DataFrame) -> DataFrame:
 def block_account_changes(blocks: DataFrame) -> DataFrame:
     """Published account changes of a range of blocks that starts with the first."""
     entries = with_increasing_time(checkpointed(block_entries(blocks)))
-    return account_changes(net_changes(match_spends(entries)))
+    return account_changes(net_changes(match_spends_strict(entries)))
 
 
 def block_legs(blocks: DataFrame) -> DataFrame:
@@ -61,7 +61,8 @@ def run(
 
     Entries and net changes are written and read back: blocks are parsed once, both
     record sets share the net changes, and a lost executor repeats one stage and
-    not the whole job.  A spend without an output to consume fails the job.
+    not the whole job.  A spend without an output to consume fails
+    the job, and so does a transaction that pays out more than it takes in.
     """
     block_entries(blocks).write.mode("overwrite").parquet(f"{out}/entries")
     entries = spark.read.parquet(f"{out}/entries")
@@ -72,7 +73,7 @@ def run(
         records.write.mode("overwrite").partitionBy("topic").parquet(f"{out}/transfers")
     if edges:
         legs = checkpointed(tx_legs(entries))
-        found = transfer_edges(model_transfers(net_accounts(legs), sized_by=legs))
+        found = transfer_edges(model_transfers(net_accounts(legs, strict=True), sized_by=legs))
         transfer_records(found).write.mode("overwrite").parquet(f"{out}/edges")
     if stacks:
         records = stack_change_records(public_stack_changes(stack_changes(net)), topics, partitions)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -39,21 +37,8 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named in ``spark.checkpoint.dir``.
-
-    Only a local session (tests) may fall back to a folder of its own; a cluster
-    without the setting is an error, since a machine-local folder would be lost
-    with its executor.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a shared folder")
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    own = tempfile.mkdtemp(prefix="ledgerloom-checkpoint-")
-    spark.sparkContext.setCheckpointDir(own)
-    return own
+    """The shared folder named in ``spark.checkpoint.dir``; below the warehouse where that is unset."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    folder = folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
+    spark.sparkContext.setCheckpointDir(folder)
+    return folder
