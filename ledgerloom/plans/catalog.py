@@ -95,7 +95,7 @@ def _account_records_shown(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scripts_classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.scripts(spark, sf_dir).select("c_custkey", script_template("script").alias("kind"))
+    return tables.scripts(spark, sf_dir).select("c_custkey", script_template("script").alias("template"))
 
 
 def _op_n(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,8 @@ counts) have no entry here and are covered by tests.
 
 from __future__ import annotations
 
+from ..functions.encoding import BASE58_ALPHABET, BECH32_ALPHABET, BECH32_GENERATOR
+
 _CHANGES = """
 changes as (
   select * from (
@@ -250,8 +252,6 @@ def _shown(txid: str) -> str:
     return "lower(" + " || ".join(f"substr({txid}, {2 * i - 1}, 2)" for i in range(32, 0, -1)) + ")"
 
 
-_BASE58 = "123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz"
-_BECH32 = "qpzry9x8gf2tvdw0s3jn54khce6mua7l"
 _LIMBS = 7  # 32-bit digits of the 25 bytes of a Base58Check body
 _FIVE_DIGITS = 58**5
 
@@ -270,7 +270,7 @@ def _base58(source: str, body: str) -> str:
         for i in range(_LIMBS):
             parts.append(f"({rest} * 4294967296 + l{i}) as v{i}, v{i} // {_FIVE_DIGITS} as q{i}")
             rest = f"(v{i} % {_FIVE_DIGITS})"
-        chars = " || ".join(f"substr('{_BASE58}', ({rest} // {58**k}) % 58 + 1, 1)" for k in range(4, -1, -1))
+        chars = " || ".join(f"substr('{BASE58_ALPHABET}', ({rest} // {58**k}) % 58 + 1, 1)" for k in range(4, -1, -1))
         quotients = ", ".join(f"q{i} as l{i}" for i in range(_LIMBS))
         ctes.append(
             f"e{step} as (select *, {', '.join(parts)}, {chars} || digits as more from d{step - 1}), "
@@ -286,7 +286,7 @@ def _base58(source: str, body: str) -> str:
 def _addresses(source: str) -> str:
     """CTEs from the distinct ``script`` hex of ``source`` to ``addresses`` (script, address, kind)."""
     step = ""
-    for bit, factor in enumerate((996825010, 642813549, 513874426, 1027748829, 705979059)):
+    for bit, factor in enumerate(BECH32_GENERATOR):
         step = step if bit else "xor((c & 33554431) << 5, v)"
         step = f"xor({step}, case when (c >> {25 + bit}) & 1 = 1 then {factor} else 0 end)"
     fives = "list_transform(range(0, length(padded) // 5), lambda i: ('0x' || substr(padded, 5 * i + 1, 5))::bigint)"
@@ -317,7 +317,7 @@ summed as (
 bech32_text as (
   select script, 'bc1' || array_to_string(list_transform(
            data || [(s >> 25) & 31, (s >> 20) & 31, (s >> 15) & 31, (s >> 10) & 31, (s >> 5) & 31, s & 31],
-           lambda d: substr('{_BECH32}', d::int + 1, 1)), '') as text
+           lambda d: substr('{BECH32_ALPHABET}', d::int + 1, 1)), '') as text
   from summed),
 addresses as (
   select k.script, k.kind,
@@ -508,7 +508,7 @@ ORACLE: dict[str, str] = {
                     when regexp_full_match(script, '0020[0-9A-F]{{64}}') then 'P2WSH'
                     when starts_with(script, '6A') then 'NULL'
                     when regexp_full_match(script, '51(21[0-9A-F]{{66}}){{2}}52AE') then 'MULTISIG'
-                    else 'UNKNOWN' end as kind
+                    else 'UNKNOWN' end as template
         from scripts""",
     "decode_op_n": f"""
         with {_SCRIPTS}
