@@ -52,8 +52,8 @@ def _lacking(n: np.ndarray | int, percent: int) -> np.ndarray | int:
 
 
 def share(percent: int) -> int:
-    """How many of a thousand shingles are chosen: seven for every five that may be lacking."""
-    return min(1000, 14 * max(100 - percent, 5))
+    """How many of a thousand shingles are chosen: a tenth of all beyond the part that may be lacking."""
+    return min(1000, 10 * (100 - percent) + 100)
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, hasher: Hasher, size: int) -> list[np.ndarray]:
