@@ -298,7 +298,8 @@ def ngram_components(
         return signatures(some, size, percent, small)
 
     rows = stored(sign(docs).drop("tokens"), "signatures")
-    reps = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    # Written, so that joins with it read plain shuffles, whose partitions of many copies Spark can split.
+    reps = stored(rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "representatives")
     nodes = rows.join(reps, ["node", "doc_id"])
     found = components(_links(docs, nodes, _tokens_of(docs, rows, reps, sign), size, percent, per_block))
     rooted = reps.join(found, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
