@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,8 +10,9 @@ from pyspark.sql import functions as F
 
 from ..functions.scripts import decode_op_n, script_template, with_address
 from ..operators import clock, counters, entries, lifo, matching, netting, transfers
-from ..session import checkpointed
+from ..session import STATE_STORE, checkpointed, ensure_checkpoint_dir
 from ..sources import blocks, sinks, tables
+from ..streaming import jobs
 from . import pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +71,17 @@ def _edge_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _edge_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = "`from` string, `to` string, value double, blockNumber int, timestamp bigint, transactionHash string"
+    return sinks.transfer_records(_edges(spark, sf_dir)).select(F.from_json("value", schema).alias("r")).select("r.*")
+
+
+def _stack_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = "sign int, ts bigint, height int, txPos int, nonce int, ots bigint, address string, value double"
+    records = sinks.stack_change_records(lifo.public_stack_changes(_stack(spark, sf_dir)), TOPICS, PARTITIONS)
+    return records.select(F.from_json("value", schema).alias("r")).select("r.*")
+
+
 def _stack_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = sinks.stack_change_records(lifo.public_stack_changes(_stack(spark, sf_dir)), TOPICS, PARTITIONS)
     return records.select(
@@ -136,6 +149,51 @@ def _chain_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return txs.withColumn("inputs", F.to_json("inputs")).withColumn("outputs", F.to_json("outputs"))
 
 
+def _streamed(spark: SparkSession, sf_dir: str, last: str) -> DataFrame:
+    """The table ``last`` of the streaming queries over all blocks.
+
+    The blocks come in two parts; all queries stop after the first and start again
+    from their checkpoints for the second.
+    """
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex[:12]}"
+    chain = checkpointed(tables.raw_blocks(spark, sf_dir))
+    half = chain.agg(F.max("height")).first()[0] // 2
+    for part in (chain.where(F.col("height") <= half), chain.where(F.col("height") > half)):
+        part.write.mode("append").parquet(f"{base}/blocks")
+        jobs.start_entries(blocks.stream_blocks(spark, path=f"{base}/blocks"), base).awaitTermination()
+        jobs.start_matching(jobs.read_entries(spark, base), base).awaitTermination()
+        jobs.start_netting(spark, base).awaitTermination()
+        if last == "stacks":
+            jobs.start_stacks(spark, base).awaitTermination()
+    return spark.read.parquet(f"{base}/{last}")
+
+
+def _stream_net(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _streamed(spark, sf_dir, "net").select("ts", "height", "tx_pos", "value", "address")
+
+
+def _stream_stacks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["sign", "ts", "height", "tx_pos", "nonce", "ots", "address", "value"]
+    return _streamed(spark, sf_dir, "stacks").select(*columns)
+
+
+def _block_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks written as records and read back."""
+    read = blocks.from_records(blocks.to_records(tables.raw_blocks(spark, sf_dir)))
+    size = F.octet_length("bytes").cast("bigint")
+    return read.select("height", size.alias("bytes"), F.sha2("bytes", 256).alias("block_sha256"))
+
+
+def _approx_close(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether each day's approximate count is within a tenth of the exact one."""
+    dated = tables.dated_changes(spark, sf_dir)
+    approx = netting.active_addresses_approx(dated).withColumnRenamed("addresses", "approx")
+    close = F.abs(F.col("approx") - F.col("addresses")) <= F.greatest(F.lit(1), 0.1 * F.col("addresses"))
+    both = netting.active_addresses(dated).join(approx, "day")
+    return _day_as_text(both.select("day", "addresses", close.alias("close")))
+
+
 def _day_as_text(df: DataFrame) -> DataFrame:
     return df.withColumn("day", F.col("day").cast("string"))
 
@@ -180,14 +238,17 @@ QUERIES: dict[str, Query] = {
     "block_minting": lambda s, d: transfers.block_minting(tables.all_legs(s, d)),
     "processed_txs": _processed,
     "unbalanced_txs": lambda s, d: transfers.unbalanced_txs(tables.legs(s, d, taxed=True)),
+    "unmatched_sides": lambda s, d: transfers.unmatched_sides(netting.net_by_account(tables.all_legs(s, d))),
     "tx_positions": lambda s, d: entries.tx_positions(tables.all_legs(s, d)),
     "transfers": _transfers,
     "transfer_edges": _edges,
     "transfer_edge_records": _edge_records,
+    "transfer_edge_fields": _edge_fields,
     "stack_changes": _stack,
     "spent_by_origin": lambda s, d: lifo.spent_by_origin(_stack(s, d)),
     "open_segments": lambda s, d: lifo.open_segments(_stack(s, d)),
     "stack_keyed_json": _stack_records,
+    "stack_json_fields": _stack_fields,
     "monotone_block_time": lambda s, d: clock.monotone_block_time(tables.block_headers(s, d)),
     "time_regressions": lambda s, d: clock.time_regressions(tables.block_headers(s, d)),
     "confirmed_blocks": lambda s, d: blocks.confirmed_blocks(tables.block_headers(s, d), 100, 3),
@@ -195,6 +256,7 @@ QUERIES: dict[str, Query] = {
     "run_counters": lambda s, d: counters.run_counters(tables.entries(s, d), BLOCKS_PER_INTERVAL),
     "daa_exact": lambda s, d: _day_as_text(netting.active_addresses(tables.dated_changes(s, d))),
     "daa_approx": lambda s, d: _day_as_text(netting.active_addresses_approx(tables.dated_changes(s, d))),
+    "daa_approx_close": _approx_close,
     "classify_scripts": _scripts_classified,
     "decode_op_n": _op_n,
     "extract_addresses": _addresses,
@@ -203,7 +265,10 @@ QUERIES: dict[str, Query] = {
     "latest_per_key": _compacted,
     "transfers_keyed_json": _account_records_shown,
     "transfers_json_roundtrip": lambda s, d: sinks.parse_account_changes(_account_records(s, d)),
+    "raw_block_records": _block_records,
     "parse_blocks": _parsed,
+    "stream_net_changes": _stream_net,
+    "stream_stack_changes": _stream_stacks,
     "chain_net_changes": _chain_net,
     "chain_transfers": lambda s, d: pipeline.block_transfers(tables.raw_blocks(s, d)),
     "chain_processed_txs": _chain_processed,

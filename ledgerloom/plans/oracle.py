@@ -19,12 +19,12 @@ changes as (
 """
 
 _NETTED = _CHANGES + """,
-netted as (
+netted as materialized (
   select ts, height, tx_pos, sum(value)::bigint as value, address from changes group by all having sum(value) <> 0)
 """
 
 _ENTRIES = """
-lines as (
+lines as materialized (
   select sha256(concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber, round(l_extendedprice * 100)::bigint,
                           round(l_discount * 100)::bigint, date_diff('day', date '1970-01-01', l_shipdate::date))) as tx_hash,
          l_linenumber::bigint as out_index, 's' || l_suppkey as address,
@@ -33,7 +33,7 @@ lines as (
          date_diff('day', date '1995-01-01', l_shipdate::date)::int as spent,
          (100000 + l_partkey % 50)::int as spend_pos
   from lineitem join orders on l_orderkey = o_orderkey),
-entries as (
+entries as materialized (
   select created::bigint * 86400 as ts, created as height, 1 as tx_pos, tx_hash, out_index, false as is_input,
          address, sat as value
   from lines
@@ -44,7 +44,7 @@ entries as (
 _MATCHED = (
     _ENTRIES
     + """,
-seen as (
+seen as materialized (
   select *, lag(not is_input) over w as live, lag(address) over w as owner, lag(value) over w as amount
   from entries
   window w as (partition by tx_hash, out_index order by height, tx_pos, not is_input)),
@@ -67,12 +67,12 @@ net as (
 
 def _legs(percent: str) -> str:
     return f"""
-paid as (
+paid as materialized (
   select (l_orderkey // 100)::int as height, 1500000000 + (l_orderkey // 100) * 600 as ts,
          (l_orderkey % 100 + 1)::int as tx_pos, 't' || l_orderkey as tx_hash, l_partkey, l_suppkey, l_linenumber,
          round(l_extendedprice * 100)::bigint as sat, {percent} as percent
   from lineitem),
-legs as (
+legs as materialized (
   select height, ts, tx_pos, tx_hash, false as is_coinbase, true as is_input, 'p' || l_partkey as address,
          'P2PKH' as kind, sat as value, l_linenumber, l_partkey, l_suppkey, sat, percent
   from paid
@@ -86,7 +86,7 @@ coinbases as (
          'b' || (o_orderkey // 100) as tx_hash, true as is_coinbase, false as is_input, 'c' || o_custkey as address,
          'P2WPKH' as kind, 5000000000 + round(o_totalprice * 100)::bigint as value, o_orderkey % 100 as entry_idx
   from orders),
-all_legs as (
+all_legs as materialized (
   select height, ts, tx_pos, tx_hash, is_coinbase, is_input, address, kind, value from legs
   union all
   select height, ts, tx_pos, tx_hash, is_coinbase, is_input, address, kind, value from coinbases)
@@ -94,7 +94,7 @@ all_legs as (
 
 
 _TOTALS = """
-totals as (
+totals as materialized (
   select height, ts, tx_pos, tx_hash, is_coinbase,
          coalesce(sum(value) filter (is_input), 0)::bigint as input_value,
          coalesce(sum(value) filter (not is_input), 0)::bigint as output_value
@@ -102,7 +102,7 @@ totals as (
 fees as (
   select height, ts, tx_pos, tx_hash, input_value, output_value, input_value - output_value as fee
   from totals where not is_coinbase),
-minting as (
+minting as materialized (
   select height, ts,
          coalesce(sum(input_value - output_value) filter (not is_coinbase), 0)::bigint as fees,
          coalesce(sum(output_value) filter (is_coinbase), 0)::bigint as reward,
@@ -124,10 +124,10 @@ balanced as (
   select height, ts, 0, coinbase_hash, 'fee', 'virtual', -fees from minting where coinbase_hash is not null
   union all
   select height, ts, 0, coinbase_hash, 'mint', 'virtual', fees - reward from minting where coinbase_hash is not null),
-accounts as (
+accounts as materialized (
   select height, ts, tx_pos, tx_hash, address, kind, sum(v)::bigint as v
   from balanced group by all having sum(v) <> 0),
-placed as (
+placed as materialized (
   select *, sum(abs(v)) over (partition by height, ts, tx_pos, tx_hash, v > 0 order by abs(v) desc, address, kind
                               rows unbounded preceding)::bigint as hi
   from accounts),
@@ -141,10 +141,7 @@ transfers as (
 _TRANSFERS = f"{_LEGS}, {_MODELLED}"
 
 # One step of the recursion takes one segment off or puts one on; all addresses advance together.
-_STACK = (
-    "recursive "
-    + _NETTED
-    + """,
+_FOLD = """
 ch as (
   select address, row_number() over (partition by address order by height, tx_pos) as seq, ts, height, tx_pos, value
   from netted),
@@ -183,7 +180,7 @@ stack as (
   select esign as sign, ets as ts, eheight as height, epos as tx_pos, en as nonce, eo as ots, address, ev as value
   from r where esign is not null)
 """
-)
+_STACK = f"recursive {_NETTED}, {_FOLD}"
 
 _HEADERS = """
 headers as (
@@ -222,7 +219,7 @@ def _shard(text: str) -> str:
 
 
 _SCRIPTS = """
-scripts as (
+scripts as materialized (
   select c_custkey,
          case c_custkey % 8
            when 0 then '76A914' || d[:40] || '88AC' when 1 then '2102' || d || 'AC' when 2 then 'A914' || d[:40] || '87'
@@ -292,7 +289,7 @@ def _addresses(source: str) -> str:
     fives = "list_transform(range(0, length(padded) // 5), lambda i: ('0x' || substr(padded, 5 * i + 1, 5))::bigint)"
     groups = f"flatten(list_transform({fives}, lambda n: [(n >> 15) & 31, (n >> 10) & 31, (n >> 5) & 31, n & 31]))"
     return f"""
-kinds as (
+kinds as materialized (
   select distinct script,
          case when regexp_full_match(script, '76A914[0-9A-F]{{40}}88AC') then 'P2PKH'
               when regexp_full_match(script, 'A914[0-9A-F]{{40}}87') then 'P2SH'
@@ -319,7 +316,7 @@ bech32_text as (
            data || [(s >> 25) & 31, (s >> 20) & 31, (s >> 15) & 31, (s >> 10) & 31, (s >> 5) & 31, s & 31],
            lambda d: substr('{BECH32_ALPHABET}', d::int + 1, 1)), '') as text
   from summed),
-addresses as (
+addresses as materialized (
   select k.script, k.kind,
          coalesce(b.text, w.text, case k.kind when 'NULL' then '' else 'unknown:' || base64(from_hex(k.script)) end) as address
   from kinds k left join base58_text b using (script) left join bech32_text w using (script))
@@ -333,14 +330,14 @@ chain0 as (
          {_txid(_coinbase("(event_id - 1)"))} as parent
   from (select * from events
         qualify row_number() over (partition by event_id order by ts desc, user_id desc, value desc) = 1)),
-chain1 as (
+chain1 as materialized (
   select *, {_txid("cb")} as cbid, upper(sha256(u))[:40] as d0, upper(sha256('s' || u))[:40] as d1,
          upper(sha256((h % 97)::varchar))[:40] as miner
   from chain0),
-chain as (
+chain as materialized (
   select *, {_txid("'0100000001' || parent || '0000000000FFFFFFFF02' || " + _le("h + 4000000000", 8) + " || '160014' || d0 || " + _le("999999999 - cents", 8) + " || '17A914' || d1 || '8700000000'")} as spendid
   from chain1),
-parsed as (
+parsed as materialized (
   select raw_ts as ts, h::int as height, 0 as tx_pos, {_shown("cbid")} as tx_hash, 0::bigint as out_index, 0 as entry_idx,
          false as is_input, false as is_marker, '76A914' || miner || '88AC' as script, h + 5000000000 as value,
          {_shown("cbid")} as own_hash
@@ -374,11 +371,11 @@ _LAST_EVENT = """
 
 _CHAIN_NET = f"""
 {_CHAIN}, headers as (select height, ts as raw_ts from parsed where is_marker), {_CLOCK},
-seen as (
+seen as materialized (
   select p.*, c.ts as block_ts, lag(value) over w as amount, lag(script) over w as owner
   from (select * exclude (ts) from parsed where not is_marker) p join clock c using (height)
   window w as (partition by tx_hash, out_index order by height, tx_pos, not is_input)),
-chain_net as (
+chain_net as materialized (
   select block_ts as ts, height, tx_pos, sum(case when is_input then -amount else value end)::bigint as value,
          case when is_input then owner else script end as address
   from seen group by 1, 2, 3, 5 having sum(case when is_input then -amount else value end) <> 0)
@@ -386,20 +383,26 @@ chain_net as (
 
 _CHAIN_LEGS = f"""
 {_CHAIN},
-owned as (
+owned as materialized (
   select *, lag(value) over w as amount, lag(script) over w as owner
   from parsed where not is_marker
   window w as (partition by tx_hash, out_index order by height, tx_pos, not is_input)),
 {_addresses("(select script from parsed where script is not null)")},
-all_legs as (
+all_legs as materialized (
   select o.height, o.ts, o.tx_pos, o.own_hash as tx_hash, o.tx_pos = 0 as is_coinbase, o.is_input, a.address, a.kind,
          case when o.is_input then o.amount else o.value end as value, o.entry_idx
   from owned o join addresses a on a.script = case when o.is_input then o.owner else o.script end),
 {_TOTALS}
 """
 
+_STREAM_NET = f"""
+{_CHAIN_NET}, {_addresses("(select address as script from chain_net)")},
+netted as (
+  select n.ts, n.height, n.tx_pos, n.value, a.address from chain_net n join addresses a on a.script = n.address)
+"""
+
 _HASH_SCRIPTS = """
-scripts as (
+scripts as materialized (
   select c_custkey,
          case c_custkey % 6
            when 0 then '76A914' || d[:40] || '88AC' when 1 then 'A914' || d[:40] || '87' when 2 then '0014' || d[:40]
@@ -454,6 +457,10 @@ ORACLE: dict[str, str] = {
           select height, ts, tx_pos, is_input, address, value, entry_idx from coinbases)
         {_processed("numbered")}""",
     "unbalanced_txs": f"with {_TAXED_LEGS} select * from fees where fee < 0",
+    "unmatched_sides": f"""
+        with {_LEGS}
+        select height, ts, tx_pos, tx_hash, output_value - input_value as excess
+        from totals where output_value <> input_value""",
     "tx_positions": f"""
         with {_LEGS}
         select height, tx_pos, tx_hash, count(*) filter (is_input) as inputs, count(*) filter (not is_input) as outputs
@@ -469,6 +476,11 @@ ORACLE: dict[str, str] = {
         select "from", count("to") as edges, max(amount / 1e8::double) as largest, max(height) as last_block
         from transfers group by 1""",
     "stack_changes": f"with {_STACK} select * from stack",
+    "transfer_edge_fields": f"""
+        with {_TRANSFERS}
+        select "from", "to", amount / 1e8::double as value, height as "blockNumber", ts as "timestamp",
+               tx_hash as "transactionHash"
+        from transfers""",
     "spent_by_origin": f"""
         with {_STACK}
         select address, ts, ots, sum(sign * value)::bigint as value
@@ -482,6 +494,9 @@ ORACLE: dict[str, str] = {
         select concat_ws('-', address, nonce, case when sign > 0 then 'A' else 'D' end) as key, {_shard("address")},
                ots, value / 1e8::double as value
         from stack""",
+    "stack_json_fields": f"""
+        with {_STACK}
+        select sign, ts, height, tx_pos as "txPos", nonce, ots, address, value / 1e8::double as value from stack""",
     "monotone_block_time": f"with {_HEADERS}, {_CLOCK} select * from clock",
     "time_regressions": f"""
         with {_HEADERS}
@@ -498,6 +513,9 @@ ORACLE: dict[str, str] = {
                count(distinct (height, tx_pos)) as txs, count(*) as events
         from entries group by 1""",
     "daa_exact": f"with {_DATED} select ts::date::varchar as day, count(distinct address) as addresses from dated group by 1",
+    "daa_approx_close": f"""
+        with {_DATED} select ts::date::varchar as day, count(distinct address) as addresses, true as close
+        from dated group by 1""",
     "classify_scripts": f"""
         with {_SCRIPTS}
         select c_custkey,
@@ -528,6 +546,19 @@ ORACLE: dict[str, str] = {
     "transfers_json_roundtrip": f"""
         with {_NET}
         select value < 0 as "in", ts, height, tx_pos as "txPos", value / 1e8::double as value, address from net""",
+    "raw_block_records": f"""
+        with {_CHAIN}
+        select h::int as height, length(block) // 2 as bytes, sha256(from_hex(block)) as block_sha256
+        from (select h, '01000000' || repeat('00', 64) || {_le("raw_ts", 4)} || repeat('00', 8)
+                     || case when h = 0 then '01' else '02' end || cb
+                     || case when h = 0 then '' else
+                          '01000000' || case when h % 2 = 1 then '0001' else '' end || '01' || parent
+                          || '0000000000FFFFFFFF02' || {_le("h + 4000000000", 8)} || '160014' || d0
+                          || {_le("999999999 - cents", 8)} || '17A914' || d1 || '87'
+                          || case when h % 2 = 1 then '0102ABCD' else '' end || '00000000' end as block
+              from chain)""",
+    "stream_net_changes": f"with {_STREAM_NET} select * from netted",
+    "stream_stack_changes": f"with recursive {_STREAM_NET}, {_FOLD} select * from stack",
     "parse_blocks": f"with {_CHAIN} select * from parsed",
     "chain_net_changes": f"with {_CHAIN_NET} select * from chain_net",
     "chain_account_changes": f"""
