@@ -22,6 +22,19 @@ def _payload(df: DataFrame) -> list[str]:
     return [c for c in ("address", "kind", "value") if c in df.columns]
 
 
+def _as_outputs(unspent: DataFrame, payload: list[str]) -> DataFrame:
+    """Unspent outputs of earlier blocks as entries at the start of their blocks."""
+    return unspent.select(
+        *OUTPOINT,
+        "height",
+        F.lit(-1).alias("tx_pos"),
+        F.lit(0).alias("entry_idx"),
+        F.lit(False).alias("is_input"),
+        F.lit(False).alias("is_marker"),
+        *payload,
+    )
+
+
 def _with_predecessor(
     entries: DataFrame, rows_per_chunk: int, sized_by: DataFrame | None, unspent: DataFrame | None = None
 ) -> DataFrame:
@@ -30,15 +43,7 @@ def _with_predecessor(
     payload = _payload(ordered)
     if unspent is not None:
         # Outputs of earlier blocks take part in the order and are not given out again.
-        earlier = unspent.select(
-            *OUTPOINT,
-            F.col("height"),
-            F.lit(-1).alias("tx_pos"),
-            F.lit(0).alias("entry_idx"),
-            F.lit(True).alias("_is_output"),
-            *payload,
-            F.lit(True).alias("_earlier"),
-        )
+        earlier = _as_outputs(unspent, payload).withColumns({"_is_output": F.lit(True), "_earlier": F.lit(True)})
         ordered = ordered.unionByName(earlier, allowMissingColumns=True)
     carried = F.struct(F.col("_is_output").alias("live"), *payload)
     seen = running(ordered, OUTPOINT, _CHAIN_ORDER, {"_before": previous(carried)}, rows_per_chunk, sized_by)
@@ -160,16 +165,21 @@ def join_parents(
     )
 
 
-def unspent_outputs(entries: DataFrame, up_to_height: int | None = None) -> DataFrame:
+def unspent_outputs(
+    entries: DataFrame, up_to_height: int | None = None, unspent: DataFrame | None = None
+) -> DataFrame:
     """Outputs still unspent after a block (after all blocks if none is given).
 
     The last event of an outpoint decides, so one aggregation serves as the
-    anti join of outputs with their spends.
+    anti join of outputs with their spends.  ``unspent`` gives the outputs left by
+    the blocks before those in ``entries``.
     """
     rows = drop_markers(entries)
     if up_to_height is not None:
         rows = rows.where(F.col("height") <= up_to_height)
     payload = _payload(rows)
+    if unspent is not None:
+        rows = rows.unionByName(_as_outputs(unspent, payload), allowMissingColumns=True)
     event = F.struct(
         F.struct("height", "tx_pos", (~F.col("is_input")).alias("is_output"), "entry_idx").alias("at"), *payload
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scripts import decode_op_n, script_template, with_address
@@ -178,6 +178,28 @@ def _stream_stacks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed(spark, sf_dir, "stacks").select(*columns)
 
 
+def _in_runs(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The table ``name`` of three runs, each over the blocks that came since the one before."""
+    out = f"{ensure_checkpoint_dir(spark).rstrip('/')}/runs-{uuid.uuid4().hex[:12]}"
+    chain = checkpointed(tables.raw_blocks(spark, sf_dir))
+    last = chain.agg(F.max("height")).first()[0]
+    for tip, confirmations in ((last // 3, 3), (2 * last // 3, 3), (last, 0)):
+        known = chain.where(F.col("height") <= tip)
+        pipeline.run_next(spark, known, out, confirmations, stacks=name == "stacks", edges=name == "transfers")
+    return pipeline.read_runs(spark, out, name)
+
+
+def _address_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every net change among those of its address, in the order the laid out rows have."""
+    laid = netting.in_address_order(_net(spark, sf_dir)).withColumn("at", F.monotonically_increasing_id())
+    place = F.row_number().over(Window.partitionBy("address").orderBy("at"))
+    return laid.select("address", "height", "tx_pos", "value", place.cast("bigint").alias("place"))
+
+
+def _key_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_address(tables.key_scripts(spark, sf_dir)).select("c_custkey", "address", "kind")
+
+
 def _block_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blocks written as records and read back."""
     read = blocks.from_records(blocks.to_records(tables.raw_blocks(spark, sf_dir)))
@@ -230,6 +252,7 @@ QUERIES: dict[str, Query] = {
     "outpoints": lambda s, d: _hash_as_text(entries.outpoints(tables.entries(s, d))),
     "net_changes": _net,
     "net_changes_windowed": _net_windowed,
+    "address_layout": _address_layout,
     "account_changes": _account_changes,
     "transfers_mv": _transfers_mv,
     "monthly_table": _monthly,
@@ -261,6 +284,7 @@ QUERIES: dict[str, Query] = {
     "decode_op_n": _op_n,
     "extract_addresses": _addresses,
     "encode_addresses": _encoded,
+    "key_addresses": _key_addresses,
     "shard_assignment": _shards,
     "latest_per_key": _compacted,
     "transfers_keyed_json": _account_records_shown,
@@ -269,6 +293,9 @@ QUERIES: dict[str, Query] = {
     "parse_blocks": _parsed,
     "stream_net_changes": _stream_net,
     "stream_stack_changes": _stream_stacks,
+    "runs_net_changes": lambda s, d: _in_runs(s, d, "net"),
+    "runs_stack_changes": lambda s, d: _in_runs(s, d, "stacks"),
+    "runs_transfers": lambda s, d: _in_runs(s, d, "transfers"),
     "chain_net_changes": _chain_net,
     "chain_transfers": lambda s, d: pipeline.block_transfers(tables.raw_blocks(s, d)),
     "chain_processed_txs": _chain_processed,

@@ -7,6 +7,7 @@ counts) have no entry here and are covered by tests.
 from __future__ import annotations
 
 from ..functions.encoding import BASE58_ALPHABET, BECH32_ALPHABET, BECH32_GENERATOR
+from ..sources.tables import KEYS, NO_KEY
 
 _CHANGES = """
 changes as (
@@ -401,6 +402,21 @@ netted as (
   select n.ts, n.height, n.tx_pos, n.value, a.address from chain_net n join addresses a on a.script = n.address)
 """
 
+# The well-known addresses of the sample keys.
+_KEY_ADDRESSES = [
+    "1BgGZ9tcN4rm9KBzDn7KprQz87SZ26SAMH",
+    "1cMh228HTCiwS8ZsaakH8A8wze1JR5ZsP",
+    "1EHNa6Q4Jz2uvNExL497mE43ikXhwF6kZm",
+]
+_KEYS = ", ".join(f"({i}, '{len(k) // 2:02X}{k}', '{a}')" for i, (k, a) in enumerate(zip(KEYS, _KEY_ADDRESSES, strict=True)))
+_KEY_SCRIPTS = f"""
+keys as (select * from (values {_KEYS}) k(i, push, owner)),
+chosen as materialized (
+  select c_custkey, c_custkey % 8 as shape, one.push as p1, one.owner as a1, two.push as p2, two.owner as a2,
+         '21{NO_KEY}' as bad
+  from customer join keys one on one.i = c_custkey // 8 % 3 join keys two on two.i = (c_custkey // 8 + 1) % 3)
+"""
+
 _HASH_SCRIPTS = """
 scripts as materialized (
   select c_custkey,
@@ -559,6 +575,14 @@ ORACLE: dict[str, str] = {
               from chain)""",
     "stream_net_changes": f"with {_STREAM_NET} select * from netted",
     "stream_stack_changes": f"with recursive {_STREAM_NET}, {_FOLD} select * from stack",
+    "runs_net_changes": f"with {_STREAM_NET} select * from netted",
+    "runs_stack_changes": f"with recursive {_STREAM_NET}, {_FOLD} select * from stack",
+    "runs_transfers": f"with {_CHAIN_LEGS}, {_MODELLED} select * from transfers",
+    "address_layout": f"""
+        with {_NET}
+        select address, height, tx_pos, value,
+               row_number() over (partition by address order by height, tx_pos) as place
+        from net""",
     "parse_blocks": f"with {_CHAIN} select * from parsed",
     "chain_net_changes": f"with {_CHAIN_NET} select * from chain_net",
     "chain_account_changes": f"""
@@ -567,6 +591,17 @@ ORACLE: dict[str, str] = {
         from chain_net n join addresses a on a.script = n.address""",
     "chain_transfers": f"with {_CHAIN_LEGS}, {_MODELLED} select * from transfers",
     "chain_processed_txs": f"with {_CHAIN_LEGS} {_processed('all_legs')}",
+    "key_addresses": f"""
+        with {_KEY_SCRIPTS}
+        select c_custkey,
+               case shape
+                 when 2 then 'unknown:invalidpubkey:' || base64(unhex(bad || 'AC'))
+                 when 3 then 'multisig:1:2:' || a1 || ':' || a2 when 4 then a1
+                 when 5 then 'multisig:2:3:' || a1 || ':' || a2 when 6 then ''
+                 when 7 then 'unknown:' || base64(unhex('51' || p1 || '52AE')) else a1 end as address,
+               case when shape < 2 then 'P2PK' when shape in (3, 4, 5) then 'MULTISIG'
+                    when shape = 6 then 'NULL' else 'UNKNOWN' end as kind
+        from chosen""",
     "encode_addresses": f"""
         with {_HASH_SCRIPTS}, {_addresses("scripts")}
         select c_custkey, address, kind from scripts join addresses using (script)""",

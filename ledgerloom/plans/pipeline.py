@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.scripts import with_address
-from ..operators.clock import with_increasing_time
-from ..operators.lifo import public_stack_changes, stack_changes
-from ..operators.matching import match_spends_strict, tx_legs
+from ..operators.clock import marker_times, monotone_block_time, with_block_time, with_increasing_time
+from ..operators.lifo import changes_of, public_stack_changes, segments, stack_changes, stack_state
+from ..operators.matching import match_spends_strict, tx_legs, unspent_outputs
 from ..operators.netting import account_changes, net_changes
 from ..operators.transfers import model_transfers, net_accounts, transfer_edges
 from ..session import checkpointed
@@ -78,3 +79,65 @@ def run(
     if stacks:
         records = stack_change_records(public_stack_changes(stack_changes(net)), topics, partitions)
         records.write.mode("overwrite").partitionBy("topic").parquet(f"{out}/stacks")
+
+
+def finished_runs(spark: SparkSession, out: str) -> DataFrame | None:
+    """``run``, last ``height`` and last ``ts`` of the finished runs of :func:`run_next`, ``None`` before the first."""
+    try:
+        return spark.read.schema("height int, ts bigint, run int").parquet(f"{out}/done")
+    except AnalysisException:
+        return None
+
+
+def read_runs(spark: SparkSession, out: str, name: str) -> DataFrame:
+    """The table ``name`` of all finished runs; what a broken run left behind is not read."""
+    done = finished_runs(spark, out)
+    last = -1 if done is None else done.agg(F.coalesce(F.max("run"), F.lit(-1))).first()[0]
+    return spark.read.parquet(f"{out}/{name}").where(F.col("run") <= last).drop("run")
+
+
+def run_next(
+    spark: SparkSession, blocks: DataFrame, out: str, confirmations: int = 3, stacks: bool = True, edges: bool = True
+) -> bool:
+    """Process the confirmed blocks after those of the runs before, and say whether there were any.
+
+    Each run writes its rows of ``net``, ``stacks`` and ``transfers`` and what the
+    next one starts from: ``unspent`` outputs with their addresses and kinds,
+    ``state`` of the stacks, and in ``done`` the last height and time.  ``done`` is
+    written last; a run that broke off is written again under the same number, so
+    it leaves no row twice.  Switches must stay the same from run to run.
+
+    The unspent set and the stacks are read and written whole by each run, which
+    costs one pass over them however few the new blocks are.
+    """
+    done = finished_runs(spark, out)
+    before = None if done is None else done.orderBy(F.col("run").desc()).first()
+    number = 0 if before is None else before["run"] + 1
+    new = confirmed_blocks(blocks, -1 if before is None else before["height"], confirmations)
+
+    def put(df: DataFrame, name: str) -> DataFrame:
+        path = f"{out}/{name}/run={number}"
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+
+    def left(name: str) -> DataFrame | None:
+        return None if before is None else spark.read.parquet(f"{out}/{name}/run={before['run']}")
+
+    entries = put(block_entries(new), "entries")
+    times = put(monotone_block_time(marker_times(entries), after=None if before is None else before["ts"]), "times")
+    end = times.agg(F.max("height").alias("height"), F.max("ts").alias("ts"))
+    if end.first()["height"] is None:
+        return False
+    unspent = left("unspent")
+    net = put(net_changes(match_spends_strict(with_block_time(entries, times), unspent=unspent)), "net")
+    if edges:
+        legs = checkpointed(tx_legs(entries, unspent=unspent))
+        put(model_transfers(net_accounts(legs, strict=True), sized_by=legs), "transfers")
+    if stacks:
+        earlier = left("state")
+        found = put(segments(net, state=earlier), "segments")
+        put(changes_of(found), "stacks")
+        put(stack_state(found, earlier), "state")
+    put(unspent_outputs(entries, unspent=unspent), "unspent")
+    put(end, "done")
+    return True

@@ -264,6 +264,36 @@ def hash_scripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The curve's generator, twice the generator, the generator in plain form, and no point of the curve.
+KEYS = [
+    "0279BE667EF9DCBBAC55A06295CE870B07029BFCDB2DCE28D959F2815B16F81798",
+    "02C6047F9441ED7D6D3045406E95C07CD85C778E4B8CEF3CA7ABAC09B95C709EE5",
+    "0479BE667EF9DCBBAC55A06295CE870B07029BFCDB2DCE28D959F2815B16F81798"
+    "483ADA7726A3C4655DA4FBFC0E1108A8FD17B448A68554199C47D08FFB10D4B8",
+]
+NO_KEY = "02" + "00" * 31 + "05"
+
+
+def key_scripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``customer`` as scripts of well-known keys: paid to keys, to several keys, and cut off."""
+    pushes = F.array(*[F.lit(f"{len(key) // 2:02X}{key}") for key in KEYS])
+    at = (F.floor(F.col("c_custkey") / 8) % 3).cast("int")
+    one, two, bad = pushes[at], pushes[(at + 1) % 3], F.lit(f"21{NO_KEY}")
+    digest = F.upper(F.sha2("c_name", 256))
+    shapes = [
+        F.concat(one, F.lit("AC")),
+        F.concat(F.lit("4C"), one, F.lit("AC")),
+        F.concat(bad, F.lit("AC")),
+        F.concat(F.lit("51"), one, two, F.lit("52AE")),
+        F.concat(F.lit("51"), one, bad, F.lit("52AE")),
+        F.concat(F.lit("52"), one, bad, two, F.lit("53AE")),
+        F.concat(F.lit("4DFFFF"), digest),
+        F.concat(F.lit("51"), one, F.lit("52AE")),
+    ]
+    hexed = F.array(*shapes)[(F.col("c_custkey") % 8).cast("int")]
+    return table(spark, sf_dir, "customer").select("c_custkey", F.unhex(hexed).alias("script"))
+
+
 _COINBASE_KEYS = 97  # distinct miners
 
 
