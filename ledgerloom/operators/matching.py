@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .entries import OUTPOINT, drop_markers
-from .ordered import ROWS_PER_CHUNK, join_unique, previous, running
+from .ordered import ROWS_PER_CHUNK, last_value, previous, running
 
 # Inputs of a transaction come before its outputs.
 _CHAIN_ORDER = ["height", "tx_pos", "_is_output", "entry_idx"]
@@ -157,11 +157,23 @@ def latest_outputs(entries: DataFrame) -> DataFrame:
 def join_parents(
     entries: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK, sized_by: DataFrame | None = None
 ) -> DataFrame:
-    """Every input with the output of the same outpoint, wherever it was created."""
-    inputs = drop_markers(entries).where("is_input").select("height", "ts", "tx_pos", *OUTPOINT)
-    parents = latest_outputs(entries)
-    return join_unique(inputs, parents, OUTPOINT, rows_per_chunk, sized_by).select(
-        "height", "ts", "tx_pos", *OUTPOINT, "created", "address", (-F.col("value")).alias("value")
+    """Every input with the last created output of the same outpoint, wherever that was created.
+
+    One pass over the entries and one shuffle by outpoint.
+    """
+    rows = drop_markers(entries)
+    output = F.when(~F.col("is_input"), F.struct(F.col("height").alias("created"), "address", "value"))
+    # Outputs come before all inputs here, so the last one seen is the last created.
+    order = ["is_input", "height", "tx_pos", "entry_idx"]
+    seen = running(rows, OUTPOINT, order, {"_parent": last_value(output)}, rows_per_chunk, sized_by)
+    return seen.where(F.col("is_input") & F.col("_parent").isNotNull()).select(
+        "height",
+        "ts",
+        "tx_pos",
+        *OUTPOINT,
+        "_parent.created",
+        "_parent.address",
+        (-F.col("_parent.value")).alias("value"),
     )
 
 

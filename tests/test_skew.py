@@ -214,3 +214,20 @@ def test_transfers_equal_greedy_matching(spark, rows_per_chunk):
     got = transfers.model_transfers(df, rows_per_chunk).select("tx_hash", "from", "to", "amount")
     want = [(t, *edge) for t, accounts in txs.items() for edge in greedy(accounts)]
     assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_parents_of_a_hot_outpoint(spark):
+    rng = random.Random(8)
+    schema = (
+        "ts bigint, height int, tx_pos int, tx_hash binary, out_index bigint, entry_idx int, "
+        "is_input boolean, is_marker boolean, value bigint, address string"
+    )
+    rows = []
+    for h in range(1500):
+        key = b"hot" if rng.random() < 0.6 else b"%d" % rng.randrange(200)
+        spends = rng.random() < 0.7
+        rows.append((h, h, 0, key, 0, 0, spends, False, None if spends else h + 1, None if spends else f"a{h}"))
+    last = {r[3]: r for r in rows if not r[6]}
+    want = sorted((r[1], last[r[3]][1], last[r[3]][9], -last[r[3]][8]) for r in rows if r[6] and r[3] in last)
+    found = matching.join_parents(spark.createDataFrame(rows, schema), rows_per_chunk=100)
+    assert sorted(map(tuple, found.select("height", "created", "address", "value").collect())) == want
