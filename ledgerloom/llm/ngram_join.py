@@ -34,6 +34,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .graph import components
 from .store import stored
@@ -152,8 +153,8 @@ def _clusters(offered: DataFrame) -> DataFrame:
     return found.select("node", F.col("root").alias("cluster")).unionByName(roots)
 
 
-def _split_by(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``doc_id`` and ``text`` of the documents that may be among ``ids``, and of those that surely are not.
+def _marked(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows with ``found``: whether their ``doc_id`` may be among ``ids``; if not, it surely is not.
 
     A bitmap of hashes of fixed size (2,048 rows of 4 KB) is sent to all tasks; it
     spares the others the shuffle of a join.
@@ -163,13 +164,18 @@ def _split_by(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.expr(f"bitmap_construct_agg(bitmap_bit_position({place}))").alias("bits")
     )
     marked = (
-        docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        .withColumns({"bucket": F.expr(f"bitmap_bucket_number({place})"), "bit": F.expr(f"bitmap_bit_position({place})")})
+        rows.withColumns({"bucket": F.expr(f"bitmap_bucket_number({place})"), "bit": F.expr(f"bitmap_bit_position({place})")})
         .join(F.broadcast(bits), "bucket", "left")
     )
     byte = "cast(conv(hex(substring(bits, cast(bit div 8 as int) + 1, 1)), 16, 10) as int)"
     found = F.expr(f"coalesce(shiftright({byte}, cast(bit % 8 as int)) & 1, 0) = 1")
-    return marked.where(found).select("doc_id", "text"), marked.where(~found).select("doc_id", "text")
+    return marked.select(*rows.columns, found.alias("found"))
+
+
+def _split_by(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``doc_id`` and ``text`` of the documents that may be among ``ids``, and of those that surely are not."""
+    marked = _marked(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")), ids)
+    return marked.where("found").drop("found"), marked.where("not found").drop("found")
 
 
 def _with_sets(docs: DataFrame, members: DataFrame, size: int) -> DataFrame:
@@ -286,14 +292,8 @@ def _links(docs: DataFrame, nodes: DataFrame, tokens: DataFrame, size: int, perc
     return met.groupBy("home", "blocks", "low", "high").applyInPandas(verify, "u bigint, v bigint")
 
 
-def ngram_components(
-    docs: DataFrame,
-    size: int = SHINGLE,
-    percent: int = PERCENT,
-    small: int = SMALL,
-    per_block: int = NODES_PER_BLOCK,
-) -> DataFrame:
-    """Per row: ``doc_id``, ``n_shingles``, and ``component_id``, the smallest id it is linked with directly or not."""
+def _rooted(docs: DataFrame, size: int, percent: int, small: int, per_block: int) -> tuple[DataFrame, DataFrame]:
+    """Rows with ``doc_id``, ``n`` and ``node``; and the nodes with their smallest id and the root of their component."""
     def sign(some: DataFrame) -> DataFrame:
         return signatures(some, size, percent, small)
 
@@ -302,7 +302,18 @@ def ngram_components(
     reps = stored(rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "representatives")
     nodes = rows.join(reps, ["node", "doc_id"])
     found = components(_links(docs, nodes, _tokens_of(docs, rows, reps, sign), size, percent, per_block))
-    rooted = reps.join(found, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
+    return rows, reps.join(found, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
+
+
+def ngram_components(
+    docs: DataFrame,
+    size: int = SHINGLE,
+    percent: int = PERCENT,
+    small: int = SMALL,
+    per_block: int = NODES_PER_BLOCK,
+) -> DataFrame:
+    """Per row: ``doc_id``, ``n_shingles``, and ``component_id``, the smallest id it is linked with directly or not."""
+    rows, rooted = _rooted(docs, size, percent, small, per_block)
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     labels = rooted.join(least, "root").select("node", "component_id")
     return rows.select("doc_id", "n", "node").join(labels, "node", "left").select(
@@ -310,9 +321,53 @@ def ngram_components(
     )
 
 
+def _with_nodes(rows: DataFrame, size: int) -> DataFrame:
+    """``rows`` (``doc_id``, ``text`` and others) with ``node`` in place of the text."""
+    schema = T.StructType([*[f for f in rows.schema if f.name != "text"], T.StructField("node", T.LongType())])
+
+    def process(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher()
+        for batch in batches:
+            at = batch.schema.get_field_index("text")
+            data, offsets = utf8(batch.column(at))
+            nodes = []
+            for a, b in slices(offsets):
+                sets = shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], hasher, size)
+                nodes += [_node(members) if len(members) else None for members in sets]
+            rest = [k for k in range(batch.num_columns) if k != at]
+            names = [batch.schema.names[k] for k in rest]
+            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in rest], pa.array(nodes, pa.int64())], [*names, "node"])
+
+    return rows.mapInArrow(process, schema)
+
+
 def one_of_each(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The documents whose id is the smallest of their group, with all columns; of repeated ids one row each."""
-    kept = ngram_components(docs, size, percent).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    chosen = kept.select(F.col("doc_id").alias("_kept")).distinct()
-    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_kept"))
-    return docs.join(chosen, same, "left_semi")
+    """One row of each group, with all columns: one with the group's smallest id.
+
+    Rows without an id are linked like others and rank behind ids below 2^62.
+    Rows without shingles are in no group: of those with the same id one stays, and
+    all without an id.  If rows have the same id and set, the one with the smallest
+    text stays.
+    """
+    text = F.col("text").cast("string")
+    # A key that every reading of the row gives again; where it is also an id, the nodes tell the rows apart.
+    made = F.lit(1 << 62) + F.xxhash64(text).bitwiseAND((1 << 62) - 1)
+    keyed = docs.select(
+        F.coalesce(F.col("doc_id").cast("bigint"), made).alias("doc_id"),
+        text.alias("text"),
+        F.col("doc_id").cast("bigint").isNull().alias("without"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+    )
+    rows, rooted = _rooted(keyed.select("doc_id", "text"), size, percent, SMALL, NODES_PER_BLOCK)
+    first = rooted.groupBy("root").agg(F.min(F.struct("doc_id", "node")).alias("first")).select("first.doc_id", "first.node")
+    chosen = stored(first.unionByName(rows.where("node is null").select("doc_id", "node").distinct()), "chosen")
+    # An id of one row tells which row is meant; the others need their nodes.
+    repeated = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    marked = _marked(keyed, repeated)
+    plain = marked.where("not found and not without").join(chosen.select("doc_id"), "doc_id", "left_semi").select("row.*")
+    doubtful = _with_nodes(marked.where("found or without").select("doc_id", "without", "row", "text", text.alias("order")), size)
+    linked = doubtful.where("node is not null or not without")
+    one = linked.groupBy("doc_id", "node").agg(F.min_by("row", F.struct("without", "order")).alias("row"))
+    same = one["doc_id"].eqNullSafe(chosen["doc_id"]) & one["node"].eqNullSafe(chosen["node"])
+    alone = doubtful.where("node is null and without").select("row.*")
+    return plain.unionByName(one.join(chosen, same, "left_semi").select("row.*")).unionByName(alone)

@@ -111,6 +111,18 @@ def test_ngram_odd(odd, none):
     assert kept.columns == odd.columns and 8 not in {r.doc_id for r in kept.collect()}
 
 
+def test_one_row_of_each_group(spark):
+    words = [f"w{k}" for k in range(60)]
+    a, b, c = " ".join(words), " ".join([*words[:-1], "other"]), "an unrelated text of a few words"
+    rows = [(1, b), (3, a), (3, a), (3, c), (4, "x y z"), (4, "x y z"), (None, a), (None, c), (None, "no copy of it"), (None, "no copy of it")]
+    rows += [(5, c), (6, ""), (6, None), (None, ""), (None, None), (9, "q r s")]
+    kept = ngram_join.one_of_each(spark.createDataFrame([(*r, 7) for r in rows], "doc_id bigint, text string, row int"))
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert kept.columns == ["doc_id", "text", "row"]
+    want = [(1, b), (3, c), (4, "x y z"), (6, None), (9, "q r s"), (None, "no copy of it"), (None, ""), (None, None)]
+    assert got == sorted(want, key=str)
+
+
 @pytest.mark.parametrize("rows", [3, 2048])
 def test_near_vectors(spark, rows):
     rng = np.random.default_rng(4)
