@@ -1,8 +1,9 @@
 """Secrets in texts, also below layers of URL, Unicode, base64 and compressed encoding.
 
 Each text is the first layer of a worklist.  A layer is scanned for secrets and
-searched for encoded segments; a segment that decodes becomes a new layer, which
-is scanned in turn, until no layer gives a new one.  Every character of a layer
+searched for encoded segments.  URL and Unicode escapes are decoded in place, which
+gives the whole text anew; a base64 segment that decodes becomes a layer of its own.
+New layers are scanned in turn, until no layer gives another.  Every character of a layer
 carries the span of the original text it comes from, so a secret found at any
 depth is reported where its encoded form stands in the original.  A layer seen
 before at the same place is not opened again, which ends cycles.
@@ -37,37 +38,60 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
 KEYWORDS = ("passw", "secret", "token", "apikey", "api_key")
 
-URL_SEGMENT = re.compile(r"(?:%[0-9A-Fa-f]{2}|\+(?=[^\s+]*%)|[A-Za-z0-9._~\-=&:/?#'\"@!$()*,;])*%[0-9A-Fa-f]{2}(?:%[0-9A-Fa-f]{2}|[A-Za-z0-9._~\-=&:/?#'\"@!$()*,;+])*")
 URL_PART = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-UNICODE_SEGMENT = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|&#x?[0-9A-Fa-f]{1,6};)+")
 UNICODE_PART = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,6});")
 BASE64_SEGMENT = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 
 MAX_LAYER_BYTES = 64 << 20
 
 
+@dataclass
+class Place:
+    """Where runs of a layer's characters stand in the layer above: as one span, or character by character."""
+
+    at: list[int]
+    runs: list[tuple[int, int, bool]]
+    above: Place | None = None
+
+    def original(self, start: int, end: int) -> tuple[int, int]:
+        """The smallest original span that covers these characters."""
+        here: Place | None = self
+        while here is not None:
+            first, last = bisect_right(here.at, start) - 1, bisect_right(here.at, end - 1) - 1
+            a, _, each = here.runs[first]
+            begin, b, all_of = here.runs[last]
+            start, end = a + (start - here.at[first] if each else 0), begin + end - here.at[last] if all_of else b
+            here = here.above
+        return start, end
+
+
 @dataclass
 class Layer:
-    """A text and the original span of each character: ``starts`` and ``ends`` by run of characters."""
+    """A text and the place of its characters; the original has none."""
 
     text: str
-    at: list[int] | None = None
-    spans: list[tuple[int, int]] | None = None
+    place: Place | None = None
 
     def original(self, start: int, end: int) -> tuple[int, int]:
-        """The smallest original span that covers these characters."""
-        if self.at is None:
-            return start, end
-        first, last = bisect_right(self.at, start) - 1, bisect_right(self.at, end - 1) - 1
-        return self.spans[first][0], self.spans[last][1]
+        return self.place.original(start, end) if self.place else (start, end)
+
 
+def _assigned(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of assignments; what follows a name with too short a value is tried as a name itself."""
+    here = 0
+    while m := ASSIGN.search(text, here):
+        if len(m[2]) >= 12:
+            yield m.span()
+        here = m.end() if len(m[2]) >= 12 else m.start(2)
 
-def scan(text: str) -> list[tuple[str, int, int]]:
+
+def scan(text: str, below: bool = False) -> list[tuple[str, int, int]]:
     """Secrets of one layer as (kind, start, end)."""
     found = []
     low = text.lower()
     if any(k in low for k in KEYWORDS):
-        found += [("assign", *m.span()) for m in ASSIGN.finditer(text) if len(m[2]) >= 12]
+        spans = _assigned(text) if below else (m.span() for m in ASSIGN.finditer(text) if len(m[2]) >= 12)
+        found += [("assign", *span) for span in spans]
     if "AKIA" in text:
         found += [("access", *m.span()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 18]
     found += [("hex", *m.span()) for m in HEX.finditer(text)]
@@ -99,20 +123,30 @@ def _inflated(data: bytes) -> bytes | None:
     return None
 
 
-def _unquoted(layer: Layer, m: re.Match) -> Layer | None:
-    """A percent-encoded segment decoded; characters outside the escapes stay."""
-    pieces, at, spans, size, here = [], [], [], 0, m.start()
-
-    def put(text: str, start: int, end: int, each: bool) -> None:
-        nonlocal size
-        for k, c in enumerate(text):
-            at.append(size + k)
-            spans.append(layer.original(start + k, start + k + 1) if each else layer.original(start, end))
+def _replaced(layer: Layer, parts: Iterator[tuple[int, int, str]]) -> Layer:
+    """The whole layer with the stretches (start, end, text) decoded in place."""
+    pieces, at, runs, size, here = [], [], [], 0, 0
+    for start, end, text in parts:
+        if here < start:
+            at.append(size)
+            runs.append((here, start, True))
+            pieces.append(layer.text[here:start])
+            size += start - here
+        at.append(size)
+        runs.append((start, end, False))
         pieces.append(text)
         size += len(text)
+        here = end
+    if here < len(layer.text):
+        at.append(size)
+        runs.append((here, len(layer.text), True))
+        pieces.append(layer.text[here:])
+    return Layer("".join(pieces), Place(at, runs, layer.place))
 
-    for part in URL_PART.finditer(layer.text, m.start(), m.end()):
-        put(layer.text[here : part.start()], here, part.start(), True)
+
+def _unquoted(text: str) -> Iterator[tuple[int, int, str]]:
+    """Percent-encoded characters and what they stand for."""
+    for part in URL_PART.finditer(text):
         raw, pos = unquote_to_bytes(part[0]), part.start()
         try:
             decoded = raw.decode("utf-8")
@@ -122,41 +156,15 @@ def _unquoted(layer: Layer, m: re.Match) -> Layer | None:
         else:
             widths = [len(c.encode()) for c in decoded]
         for c, width in zip(decoded, widths, strict=True):
-            put(c, pos, pos + 3 * width, False)
+            yield pos, pos + 3 * width, c
             pos += 3 * width
-        here = part.end()
-    put(layer.text[here : m.end()], here, m.end(), True)
-    return Layer("".join(pieces), at, spans)
-
-
-def _unescaped(layer: Layer, start: int, end: int) -> Layer:
-    """A stretch with Unicode escapes or character references decoded."""
-    pieces, at, spans, here = [], [], [], start
-    for part in UNICODE_PART.finditer(layer.text, start, end):
-        for k in range(here, part.start()):
-            at.append(len(pieces))
-            spans.append(layer.original(k, k + 1))
-            pieces.append(layer.text[k])
+
+
+def _unescaped(text: str) -> Iterator[tuple[int, int, str]]:
+    """Unicode escapes and character references and what they stand for."""
+    for part in UNICODE_PART.finditer(text):
         code = int(part[4]) if part[4] else int(part[1] or part[2] or part[3], 16)
-        at.append(len(pieces))
-        spans.append(layer.original(*part.span()))
-        pieces.append(chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else "�")
-        here = part.end()
-    for k in range(here, end):
-        at.append(len(pieces))
-        spans.append(layer.original(k, k + 1))
-        pieces.append(layer.text[k])
-    return Layer("".join(pieces), at, spans)
-
-
-def _around(text: str, m: re.Match) -> tuple[int, int]:
-    """The run without white space that a match stands in."""
-    a, b = m.span()
-    while a > 0 and not text[a - 1].isspace():
-        a -= 1
-    while b < len(text) and not text[b].isspace():
-        b += 1
-    return a, b
+        yield *part.span(), chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else "�"
 
 
 def _base64(layer: Layer, m: re.Match) -> Layer | None:
@@ -172,29 +180,25 @@ def _base64(layer: Layer, m: re.Match) -> Layer | None:
         unpacked = _inflated(data)
         text = _readable(unpacked) if unpacked else None
         # Nothing inside a compressed stream has a place of its own.
-        return Layer(text, [0], [layer.original(*m.span())]) if text else None
-    at, spans, byte = [], [], 0
+        return Layer(text, Place([0], [(*m.span(), False)], layer.place)) if text else None
+    at, runs, byte = [], [], 0
     for k, c in enumerate(text):
         width = len(c.encode())
         first, last = byte * 4 // 3, -(-(byte + width) * 4 // 3)
         at.append(k)
-        spans.append(layer.original(m.start() + first, min(m.end(), m.start() + last)))
+        runs.append((m.start() + first, min(m.end(), m.start() + last), False))
         byte += width
-    return Layer(text, at, spans)
+    return Layer(text, Place(at, runs, layer.place))
 
 
 def layers_below(layer: Layer) -> Iterator[Layer]:
     """All layers that one decoding step opens."""
     text = layer.text
-    if "%" in text:
-        for m in URL_SEGMENT.finditer(text):
-            yield _unquoted(layer, m)
-    if "\\u" in text or "\\x" in text or "&#" in text:
-        reached = 0
-        for m in UNICODE_SEGMENT.finditer(text):
-            if m.start() >= reached:
-                a, reached = _around(text, m)
-                yield _unescaped(layer, a, reached)
+    # In place over the whole layer: a name, its separator and its value need not be escaped alike.
+    if "%" in text and URL_PART.search(text):
+        yield _replaced(layer, _unquoted(text))
+    if ("\\u" in text or "\\x" in text or "&#" in text) and UNICODE_PART.search(text):
+        yield _replaced(layer, _unescaped(text))
     for m in BASE64_SEGMENT.finditer(text):
         below = _base64(layer, m)
         if below is not None:
@@ -213,7 +217,7 @@ def find_secrets(text: str) -> tuple[list[tuple[int, int, int]], set[tuple[int,
         if key in seen:
             continue
         seen.add(key)
-        for kind, a, b in scan(layer.text):
+        for kind, a, b in scan(layer.text, below=True):
             start, end = layer.original(a, b)
             found.add((start, order[kind], end))
         todo.extend(layers_below(layer))

@@ -185,6 +185,23 @@ def test_nested_secrets(spark, odd, none):
     assert sorted(map(str, secret_scan.redact_secrets(odd).collect())) == sorted(map(str, odd.collect()))
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "api%5Fkey = ABCDEFGHIJKL1234",
+        "pass\\u0077ord: hunter2hunter2",
+        '"token"\\u003a "abcdefghijkl"',
+        "api%5Fkey\\u003d abcdefghijkl",
+        "password: token%3A abcdefghijkl",
+        "p%2561ssword = hunter2hunter2",
+    ],
+)
+def test_secrets_partly_escaped(text):
+    found = secret_scan.find_secrets(f"é {text} end")[1]
+    assert any(k == 0 and b == 2 + len(text.rstrip('"')) for _, k, b in found)
+    assert secret_scan.redacted(f"é {text} end", secret_scan._joined(found)).endswith(('[REDACTED] end', '[REDACTED]" end'))
+
+
 def test_token_files_odd(odd, none):
     rows = token_output.token_stream(odd).collect()
     assert len(rows) == len(ODD) and sum(r.n_tokens == 1 for r in rows) == 2
