@@ -16,19 +16,22 @@ Positions are code points, ends exclusive.
 from __future__ import annotations
 
 import base64
-import binascii
 import hashlib
 import re
 import zlib
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import accumulate, chain
 from urllib.parse import unquote_to_bytes
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+# Gives the same pieces of bytes from the start each time it is called.
+Chunks = Callable[[], Iterator[bytes]]
+
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE
@@ -40,9 +43,26 @@ KEYWORDS = ("passw", "secret", "token", "apikey", "api_key")
 
 URL_PART = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE_PART = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,6});")
+# Runs in which bytes may stand, some of them escaped.
+URL_BYTES = re.compile(r"(?:%[0-9A-Fa-f]{2}|[A-Za-z0-9._~/+-])+")
+ESCAPED_BYTES = re.compile(r"""(?:\\x[0-9A-Fa-f]{2}|\\u00[0-9A-Fa-f]{2}|\\[abfnrtv0\\'"/]|[\x20-\x5b\x5d-\x7e])+""")
+# One byte of them: two digits, a letter after a backslash, or itself.
+URL_BYTE = re.compile(r"%([0-9A-Fa-f]{2})()()|(.)")
+ESCAPED_BYTE = re.compile(r"\\x([0-9A-Fa-f]{2})|\\u00([0-9A-Fa-f]{2})|\\(.)|(.)")
+NAMED_BYTES = dict(zip("abfnrtv0", "\a\b\f\n\r\t\v\0", strict=True))
 BASE64_SEGMENT = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+# Base64 over several lines; line breaks may be escaped.
+BREAK = r"[ \t]*(?:\r\n|\n|\r|(?:\\r)?\\n)[ \t]*"
+BASE64_LINES = re.compile(rf"[A-Za-z0-9+/_-]{{16,}}(?:{BREAK}[A-Za-z0-9+/_-]+)+={{0,2}}")
+BASE64_LINE = re.compile(rf"(?:^|{BREAK})([A-Za-z0-9+/_-]+)")
+STREAM_START = re.compile(rb"\x1f\x8b\x08|[\x08\x18\x28\x38\x48\x58\x68\x78]", re.DOTALL)
 
 MAX_LAYER_BYTES = 64 << 20
+# Bytes that go into an unpacking step, and that come out of it, at a time.
+PIECE, CHUNK = 4 << 10, 256 << 10
+# Fewer bytes of text inside others are taken for chance.
+LEAST_TEXT = 12
+CONTROL = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]")
 
 
 @dataclass
@@ -98,31 +118,157 @@ def scan(text: str, below: bool = False) -> list[tuple[str, int, int]]:
     return found
 
 
+@dataclass
+class Packed:
+    """Bytes that a compressed stream holds, and the original span of that stream."""
+
+    chunks: Chunks
+    span: tuple[int, int]
+
+
 def _readable(data: bytes) -> str | None:
     """The bytes as text if they are text: UTF-8 with next to no control characters."""
     try:
         text = data.decode("utf-8")
     except UnicodeDecodeError:
         return None
-    odd = sum(1 for c in text if (c < " " and c not in "\t\n\r") or c == "\x7f")
-    return text if text and odd * 20 <= len(text) else None
+    return text if text and _odd(text) * 20 <= len(text) else None
 
 
-def _inflated(data: bytes) -> bytes | None:
-    """Contents of a gzip, zlib or raw deflate stream, or ``None``.
+def _odd(text: str) -> int:
+    return len(CONTROL.findall(text))
 
-    At most ``MAX_LAYER_BYTES`` are unpacked from one segment, which bounds memory
-    against archives made to explode.
-    """
-    kinds = (31,) if data[:2] == b"\x1f\x8b" else (15,) if data[:1] == b"\x78" else (-15,)
-    for wbits in kinds:
-        try:
-            return zlib.decompressobj(wbits).decompress(data, MAX_LAYER_BYTES) or None
-        except zlib.error:
+
+def _text_before_noise(data: bytes) -> str | None:
+    """The bytes as text, or those before the first that are none."""
+    text = _readable(data)
+    if text is not None:
+        return text
+    head = data.decode("utf-8", "ignore") if (bad := _bad(data)) is None else data[:bad].decode("utf-8")
+    if _odd(head) * 20 > len(head):
+        head = head[: CONTROL.search(head).start()]
+    return head if len(head) >= LEAST_TEXT else None
+
+
+def _bad(data: bytes) -> int | None:
+    """Where the bytes cease to be UTF-8."""
+    try:
+        data.decode("utf-8")
+    except UnicodeDecodeError as e:
+        return e.start
+    return None
+
+
+def _pieces(data: bytes | memoryview) -> Iterator[bytes]:
+    for k in range(0, len(data), PIECE):
+        yield bytes(data[k : k + PIECE])
+
+
+def _kind(head: bytes) -> int | None:
+    """The ``wbits`` of the gzip or zlib stream that begins here, by its header."""
+    if head[:3] == b"\x1f\x8b\x08":
+        return 31
+    zlib_head = len(head) > 1 and head[0] & 15 == 8 and head[0] < 128 and (head[0] << 8 | head[1]) % 31 == 0 and not head[1] & 32
+    return 15 if zlib_head else None
+
+
+def _inflate(chunks: Iterator[bytes], wbits: int) -> Iterator[bytes]:
+    """Contents of all members of a stream, as far as it is whole, then what follows it as it is."""
+    engine, data = zlib.decompressobj(wbits), b""
+    for piece in chain(chunks, (None,)):
+        data += piece or b""
+        while True:
+            if engine is None:
+                yield data
+                data = b""
+                break
+            if engine.eof:
+                data = data.lstrip(b"\0")
+                if not data or (len(data) < 3 and piece is not None):
+                    break
+                # The next member, or other bytes from here on.
+                kind = _kind(data)
+                engine = zlib.decompressobj(kind) if kind else None
+                if engine is None:
+                    yield b"\n"
+                continue
+            try:
+                out = engine.decompress(data, CHUNK)
+            except zlib.error:
+                return
+            if out:
+                yield out
+            data = engine.unused_data if engine.eof else engine.unconsumed_tail
+            if not engine.eof and not data and len(out) < CHUNK:
+                break
+
+
+def _opened(chunks: Chunks) -> Chunks | None:
+    """What the bytes hold if they are a gzip, zlib or raw deflate stream."""
+    head = next(chunks(), b"")
+    kind = _kind(head)
+    for wbits in (31, 15, -15):
+        if wbits > 0 and wbits != kind:
             continue
+        if wbits < 0 and _bad(head) is None:
+            return None
+        first = next(_inflate(chunks(), wbits), b"")[:4096]
+        if first and (wbits > 0 or _kind(first) or _promising(first)):
+            return lambda: _inflate(chunks(), wbits)
     return None
 
 
+def _promising(head: bytes) -> bool:
+    """Whether bytes begin as text does."""
+    bad = _bad(head[:LEAST_TEXT + 3])
+    text = head[: bad if bad is not None else LEAST_TEXT + 3].decode("utf-8", "ignore")
+    return len(text) > 8 and _odd(text) * 20 <= len(text)
+
+
+def _extent(data: memoryview) -> int:
+    """How many of the bytes belong to the members of the stream that begins here."""
+    here = 0
+    while here < len(data):
+        engine = zlib.decompressobj(_kind(data[here : here + 3]) or (-15 if not here else 31))
+        try:
+            for k in range(here, len(data), PIECE):
+                rest, out = data[k : k + PIECE], True
+                while (rest or out) and not engine.eof:
+                    out = len(engine.decompress(rest, CHUNK)) == CHUNK
+                    rest = engine.unconsumed_tail
+                if engine.eof:
+                    break
+        except zlib.error:
+            return here or len(data)
+        if not engine.eof:
+            return len(data)
+        here = min(len(data), k + PIECE) - len(engine.unused_data)
+    return here
+
+
+def _inside(layer: Layer, m: re.Match, form: re.Pattern) -> Iterator[Packed]:
+    """Compressed streams that begin anywhere in partly escaped bytes, unless those are text."""
+    parts = list(form.finditer(m[0]))
+    raw = "".join(map(_byte, parts)).encode("latin-1")
+    if _bad(raw) is None:
+        return
+    ends, done = [*(p.start() for p in parts), len(m[0])], 0
+    for start in dict.fromkeys([0, *(s.start() for s in STREAM_START.finditer(raw))]):
+        if start >= done and (start == 0 or _kind(raw[start : start + 3])):
+            view = memoryview(raw)[start:]
+            if _opened(lambda view=view: _pieces(view)):
+                done = start + _extent(view)
+                own = raw[start:done]
+                found = _opened(lambda own=own: _pieces(own))
+                if found:
+                    yield Packed(found, layer.original(m.start() + ends[start], m.start() + ends[done]))
+
+
+def _byte(m: re.Match) -> str:
+    code = m[1] or m[2]
+    return chr(int(code, 16)) if code else NAMED_BYTES.get(m[3], m[3]) if m[3] else m[4]
+
+
 def _replaced(layer: Layer, parts: Iterator[tuple[int, int, str]]) -> Layer:
     """The whole layer with the stretches (start, end, text) decoded in place."""
     pieces, at, runs, size, here = [], [], [], 0, 0
@@ -167,42 +313,102 @@ def _unescaped(text: str) -> Iterator[tuple[int, int, str]]:
         yield *part.span(), chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else "�"
 
 
-def _base64(layer: Layer, m: re.Match) -> Layer | None:
-    """What a base64 segment holds, as text, unpacked if it was compressed."""
-    body = m[0].rstrip("=").replace("-", "+").replace("_", "/")
-    body = body[: len(body) - (len(body) % 4 == 1)]
+def _base64(layer: Layer, start: int, end: int, lines: list[tuple[int, int]]) -> Iterator[Layer | Packed]:
+    """What base64 in these lines (start, end) holds, also behind a part that is a path or name."""
+    body = "".join(layer.text[a:b] for a, b in lines)
+    first = list(accumulate((b - a for a, b in lines), initial=0))
+    plain = body.replace("-", "+").replace("_", "/")
+
+    def place(k: int) -> int:
+        line = min(bisect_right(first, k), len(lines)) - 1
+        return lines[line][0] + k - first[line]
+
+    starts = [0, *(m.end() for m in re.finditer("[/_-]", body) if len(body) - m.end() >= 16)]
+    for turn in range(4):
+        own = [k for k in starts if k % 4 == turn]
+        if not own:
+            continue
+        size = len(body) - turn
+        size -= size % 4 == 1
+        data = base64.b64decode(plain[turn : turn + size] + "=" * (-size % 4))
+        done = -1
+        for k in own:
+            byte = (k - turn) // 4 * 3
+            head = data[byte : byte + 512]
+            if k < done or (k and not (_promising(head) or _kind(head) or _deflated(head))):
+                continue
+            view = memoryview(data)[byte:]
+            text = _text_before_noise(bytes(view)) if k == 0 or _promising(head) else None
+            if text is None:
+                unpacked = _opened(lambda view=view: _pieces(view))
+                if unpacked:
+                    yield Packed(unpacked, layer.original(start, end))
+                continue
+            at, runs, byte = [], [], 0
+            for n, c in enumerate(text):
+                width = len(c.encode())
+                a, b = k + byte * 4 // 3, min(len(body), k - (-(byte + width) * 4 // 3))
+                at.append(n)
+                runs.append((place(a), place(b - 1) + 1, False))
+                byte += width
+            # A padding stands for the end of the last character.
+            if k + -(-byte * 4 // 3) >= len(body):
+                runs[-1] = (runs[-1][0], end, False)
+            done = k + byte * 4 // 3
+            yield Layer(text, Place(at, runs, layer.place))
+
+
+def _deflated(head: bytes) -> bool:
+    """Whether raw deflate gives text from here."""
     try:
-        data = base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
-    except (binascii.Error, ValueError):
-        return None
-    text = _readable(data)
-    if text is None:
-        unpacked = _inflated(data)
-        text = _readable(unpacked) if unpacked else None
-        # Nothing inside a compressed stream has a place of its own.
-        return Layer(text, Place([0], [(*m.span(), False)], layer.place)) if text else None
-    at, runs, byte = [], [], 0
-    for k, c in enumerate(text):
-        width = len(c.encode())
-        first, last = byte * 4 // 3, -(-(byte + width) * 4 // 3)
-        at.append(k)
-        runs.append((m.start() + first, min(m.end(), m.start() + last), False))
-        byte += width
-    return Layer(text, Place(at, runs, layer.place))
-
-
-def layers_below(layer: Layer) -> Iterator[Layer]:
+        return _promising(zlib.decompressobj(-15).decompress(head, 64))
+    except zlib.error:
+        return False
+
+
+def _unpacked(packed: Packed) -> Iterator[Layer | Packed]:
+    """The bytes of a stream as text, and what they hold if they are a stream themselves."""
+    data = b""
+    for chunk in packed.chunks():
+        data += chunk
+        if len(data) >= MAX_LAYER_BYTES:
+            break
+    yield Layer(data.decode("utf-8", "replace"), Place([0], [(*packed.span, False)]))
+    deeper = _opened(packed.chunks)
+    if deeper:
+        yield Packed(deeper, packed.span)
+
+
+def layers_below(layer: Layer | Packed) -> Iterator[Layer | Packed]:
     """All layers that one decoding step opens."""
+    if isinstance(layer, Packed):
+        yield from _unpacked(layer)
+        return
     text = layer.text
     # In place over the whole layer: a name, its separator and its value need not be escaped alike.
     if "%" in text and URL_PART.search(text):
         yield _replaced(layer, _unquoted(text))
+        for m in URL_BYTES.finditer(text):
+            if "%" in m[0]:
+                yield from _inside(layer, m, URL_BYTE)
     if ("\\u" in text or "\\x" in text or "&#" in text) and UNICODE_PART.search(text):
         yield _replaced(layer, _unescaped(text))
+        for m in ESCAPED_BYTES.finditer(text):
+            if "\\x" in m[0] or "\\u00" in m[0]:
+                yield from _inside(layer, m, ESCAPED_BYTE)
     for m in BASE64_SEGMENT.finditer(text):
-        below = _base64(layer, m)
-        if below is not None:
-            yield below
+        yield from _base64(layer, *m.span(), [(m.start(), m.start() + len(m[0].rstrip("=")))])
+    for m in BASE64_LINES.finditer(text):
+        lines = [(m.start() + line.start(1), m.start() + line.end(1)) for line in BASE64_LINE.finditer(m[0])]
+        yield from _base64(layer, *m.span(), lines)
+
+
+def _digest(layer: Layer | Packed) -> bytes:
+    digest = hashlib.sha256(b"" if isinstance(layer, Packed) else layer.text.encode("utf-8", "replace"))
+    if isinstance(layer, Packed):
+        for chunk in layer.chunks():
+            digest.update(chunk)
+    return digest.digest()
 
 
 def find_secrets(text: str) -> tuple[list[tuple[int, int, int]], set[tuple[int, int, int]]]:
@@ -210,17 +416,22 @@ def find_secrets(text: str) -> tuple[list[tuple[int, int, int]], set[tuple[int,
     order = {k: i for i, k in enumerate(KINDS)}
     base = [(a, order[kind], b) for kind, a, b in scan(text)]
     found = set(base)
-    todo, seen = list(layers_below(Layer(text))), set()
+    # Layers are opened when their turn comes, so few are held at a time.
+    todo, seen = [layers_below(Layer(text))], set()
     while todo:
-        layer = todo.pop()
-        key = (hashlib.sha256(layer.text.encode("utf-8", "replace")).digest(), layer.original(0, len(layer.text) or 1))
+        layer = next(todo[-1], None)
+        if layer is None:
+            todo.pop()
+            continue
+        packed = isinstance(layer, Packed)
+        key = (packed, _digest(layer), layer.span if packed else layer.original(0, len(layer.text) or 1))
         if key in seen:
             continue
         seen.add(key)
-        for kind, a, b in scan(layer.text, below=True):
+        for kind, a, b in () if packed else scan(layer.text, below=True):
             start, end = layer.original(a, b)
             found.add((start, order[kind], end))
-        todo.extend(layers_below(layer))
+        todo.append(layers_below(layer))
     return base, found
 
 

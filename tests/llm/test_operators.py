@@ -1,7 +1,9 @@
 """Operators on small tables: nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns."""
 
 import base64
+import gzip
 import random
+import textwrap
 import zlib
 from urllib.parse import quote
 
@@ -202,6 +204,52 @@ def test_secrets_partly_escaped(text):
     assert secret_scan.redacted(f"é {text} end", secret_scan._joined(found)).endswith(('[REDACTED] end', '[REDACTED]" end'))
 
 
+def test_secrets_packed_twice_and_over_lines():
+    key = "AKIA" + "Q7" * 10
+    rng = random.Random(3)
+    plain = " ".join(f"word{rng.randrange(10**6)}" for _ in range(40)) + f"\n{key} end"
+    once, raw = gzip.compress(plain.encode()), zlib.compressobj(9, zlib.DEFLATED, -15)
+    deflated = raw.compress(plain.encode()) + raw.flush()
+
+    def b64(data):
+        return base64.b64encode(data).decode()
+
+    members = gzip.compress(b"the first member only ") + gzip.compress(b"second one") + once
+    cases = {
+        "gzip of gzip": b64(gzip.compress(once)),
+        "zlib of gzip": b64(zlib.compress(once)),
+        "raw of zlib": b64(zlib.compress(deflated)),
+        "members": b64(members),
+        "padded members": b64(members[: -len(once)] + b"\0" * 9 + once),
+        "percent": "data=" + quote(once, safe=""),
+        "repr": repr(once),
+        "json": '"' + "".join(f"\\u00{b:02x}" for b in zlib.compress(plain.encode())) + '"',
+        "mime": base64.encodebytes(plain.encode()).decode(),
+        "mime gzip": base64.encodebytes(once).decode(),
+        "indented": "\n    ".join(textwrap.wrap(b64(once), 64)),
+        "escaped breaks": "\\n".join(textwrap.wrap(b64(once), 64)),
+        "path": "dir/x/" + b64(plain.encode()),
+        "path of gzip": "a-name_of/x/" + b64(once),
+        "path of deflate": "dir/x/" + b64(deflated),
+        "before a path": b64(b"for example " + key.encode() + b" and more") + "/some/where/else",
+        "many": b64(gzip.compress(b64(gzip.compress(b64(once).encode())).encode())),
+    }
+    for name, encoded in cases.items():
+        text = f"é before {encoded} after"
+        found = secret_scan.find_secrets(text)[1]
+        hits = [(a, b) for a, k, b in found if k == 1]
+        assert hits and all(9 <= a < b <= 9 + len(encoded) for a, b in hits), name
+        cleaned = secret_scan.redacted(text, secret_scan._joined(found))
+        assert not [s for s in secret_scan.find_secrets(cleaned)[1] if s[1] == 1], name
+    for cut in range(len(members)):
+        pieces = [members[:cut], members[cut:], b"", b"tail"]
+        assert b"".join(secret_scan._inflate(iter(pieces), 31)) == b"the first member only second one" + plain.encode() + b"\ntail"
+    exact = base64.encodebytes(plain.encode()).decode()
+    a, _, b = next(s for s in secret_scan.find_secrets(exact)[1] if s[1] == 1)
+    at = plain.index(key) * 4 // 3
+    assert a == at + at // 76 and b - a <= 34
+
+
 def test_token_files_odd(odd, none):
     rows = token_output.token_stream(odd).collect()
     assert len(rows) == len(ODD) and sum(r.n_tokens == 1 for r in rows) == 2
