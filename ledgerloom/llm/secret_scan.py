@@ -8,6 +8,10 @@ carries the span of the original text it comes from, so a secret found at any
 depth is reported where its encoded form stands in the original.  A layer seen
 before at the same place is not opened again, which ends cycles.
 
+Compressed streams are unpacked in pieces and searched whole, window by window.
+A window ends where nothing can be cut in two, so it may grow to the length of the
+longest encoded segment, or of a line of escapes, in the stream.
+
 Defined results: a null text is an empty one and has no spans; empty tables give
 empty results; repeated rows are scanned on their own; other columns stay.
 Positions are code points, ends exclusive.
@@ -16,6 +20,7 @@ Positions are code points, ends exclusive.
 from __future__ import annotations
 
 import base64
+import codecs
 import hashlib
 import re
 import zlib
@@ -53,11 +58,16 @@ NAMED_BYTES = dict(zip("abfnrtv0", "\a\b\f\n\r\t\v\0", strict=True))
 BASE64_SEGMENT = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 # Base64 over several lines; line breaks may be escaped.
 BREAK = r"[ \t]*(?:\r\n|\n|\r|(?:\\r)?\\n)[ \t]*"
-BASE64_LINES = re.compile(rf"[A-Za-z0-9+/_-]{{16,}}(?:{BREAK}[A-Za-z0-9+/_-]+)+={{0,2}}")
+BASE64_LINES = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{16,}}+(?:{BREAK}[A-Za-z0-9+/_-]++)+={{0,2}}")
 BASE64_LINE = re.compile(rf"(?:^|{BREAK})([A-Za-z0-9+/_-]+)")
 STREAM_START = re.compile(rb"\x1f\x8b\x08|[\x08\x18\x28\x38\x48\x58\x68\x78]", re.DOTALL)
 
-MAX_LAYER_BYTES = 64 << 20
+# Characters that may go on in the next line, and those that are in no secret and no segment.
+JOINED = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=;-")
+APART = re.compile(r"""[^A-Za-z0-9+/_=;:"'.\s(\\%&#-]""")
+
+# Characters of a stream that are searched at a time.
+WINDOW = 4 << 20
 # Bytes that go into an unpacking step, and that come out of it, at a time.
 PIECE, CHUNK = 4 << 10, 256 << 10
 # Fewer bytes of text inside others are taken for chance.
@@ -344,6 +354,11 @@ def _base64(layer: Layer, start: int, end: int, lines: list[tuple[int, int]]) ->
                 if unpacked:
                     yield Packed(unpacked, layer.original(start, end))
                 continue
+            done = k + len(text.encode()) * 4 // 3
+            if layer.place and layer.place.above is None and len(layer.place.at) == 1 and not layer.place.runs[0][2]:
+                # Nothing inside a compressed stream has a place of its own.
+                yield Layer(text, layer.place)
+                continue
             at, runs, byte = [], [], 0
             for n, c in enumerate(text):
                 width = len(c.encode())
@@ -354,7 +369,6 @@ def _base64(layer: Layer, start: int, end: int, lines: list[tuple[int, int]]) ->
             # A padding stands for the end of the last character.
             if k + -(-byte * 4 // 3) >= len(body):
                 runs[-1] = (runs[-1][0], end, False)
-            done = k + byte * 4 // 3
             yield Layer(text, Place(at, runs, layer.place))
 
 
@@ -366,14 +380,44 @@ def _deflated(head: bytes) -> bool:
         return False
 
 
+def _cut(text: str) -> int:
+    """The last place that no secret and no encoded segment of this layer, or of one decoded in place, can cross; else 0."""
+    end = len(text)
+    while (end := text.rfind("\n", 0, end)) > 0:
+        before = text[max(0, end - 256) : end].rstrip(" \t\r")
+        if before and before[-1] not in JOINED:
+            return end + 1
+    if not any(k in text for k in ("\\", "%", "&#")):
+        for size in (1 << k for k in range(10, len(text).bit_length() + 1)):
+            last = None
+            for last in APART.finditer(text, max(0, len(text) - size)):
+                pass
+            if last:
+                return last.end()
+    return 0
+
+
+def _windows(chunks: Iterator[bytes]) -> Iterator[str]:
+    """All of the bytes as text, in parts that can be searched on their own; a part grows until it has a place to end."""
+    decoder = codecs.getincrementaldecoder("utf-8")("replace")
+    held, size, enough = [], 0, WINDOW
+    for chunk in chain(chunks, (None,)):
+        held.append(decoder.decode(chunk or b"", chunk is None))
+        size += len(held[-1])
+        if chunk is not None and size < enough:
+            continue
+        text = "".join(held)
+        cut = len(text) if chunk is None else _cut(text)
+        if cut:
+            yield text[:cut]
+        held, size = [text[cut:]], len(text) - cut
+        enough = max(WINDOW, 2 * size)
+
+
 def _unpacked(packed: Packed) -> Iterator[Layer | Packed]:
     """The bytes of a stream as text, and what they hold if they are a stream themselves."""
-    data = b""
-    for chunk in packed.chunks():
-        data += chunk
-        if len(data) >= MAX_LAYER_BYTES:
-            break
-    yield Layer(data.decode("utf-8", "replace"), Place([0], [(*packed.span, False)]))
+    for text in _windows(packed.chunks()):
+        yield Layer(text, Place([0], [(*packed.span, False)]))
     deeper = _opened(packed.chunks)
     if deeper:
         yield Packed(deeper, packed.span)

@@ -250,6 +250,26 @@ def test_secrets_packed_twice_and_over_lines():
     assert a == at + at // 76 and b - a <= 34
 
 
+def test_secrets_far_inside_a_stream(monkeypatch):
+    line = "Ein längerer Satz, größer als nötig.\n".encode()
+    plain = line * ((65 << 20) // len(line)) + b"token = abcdefghijkl12\n"
+    packed = base64.b64encode(gzip.compress(plain, 1)).decode()
+    assert {(k, a, b) for a, k, b in secret_scan.find_secrets(f"é {packed} end")[1]} == {(0, 2, 2 + len(packed))}
+    key = "AKIA" + "Q7" * 10
+    inner = base64.encodebytes(gzip.compress(key.encode() + random.Random(1).randbytes(400))).decode()
+    kinds = [key, "token" + " " * 300 + "= abcdefghijkl", "pass%77ord: hunter2hunter2", "0" * 999, inner, quote(inner), "\\x41KIA" + "Q7" * 10]
+    rng = random.Random(8)
+    monkeypatch.setattr(secret_scan, "CHUNK", 64)
+    for secret in kinds:
+        for sep in (". \n", ", ", "\n", " "):
+            text = "é" + "".join(f"{rng.choice(['word', 'Ä', 'x.y', 'a=b'])}{sep}" for _ in range(rng.randrange(200)))
+            text = base64.b64encode(zlib.compress(f"{text}{sep}{secret}{sep}{text}".encode())).decode()
+            monkeypatch.setattr(secret_scan, "WINDOW", 1 << 30)
+            whole = secret_scan.find_secrets(text)[1]
+            monkeypatch.setattr(secret_scan, "WINDOW", 50)
+            assert whole and secret_scan.find_secrets(text)[1] == whole
+
+
 def test_token_files_odd(odd, none):
     rows = token_output.token_stream(odd).collect()
     assert len(rows) == len(ODD) and sum(r.n_tokens == 1 for r in rows) == 2
