@@ -1,8 +1,9 @@
 """Conversations of any known layout as one marked-up text, with a loss mask.
 
 A record's layout is recognised by a fingerprint: the hash of those nested field
-paths that mean something here.  The fingerprint selects a declarative mapping,
-which gives canonical turns: conversation, position, role and text.
+paths that mean something here, in arrays those of any element.  Of the layouts
+whose required paths are among them, the one with the most paths present is taken.
+Its declarative mapping gives canonical turns: conversation, position, role, text.
 
 The template puts ``<|im_start|>role<|im_sep|>text<|im_end|>`` for each turn.
 Inside roles and texts a backslash is doubled and ``<|`` becomes ``<\\|``, so a
@@ -40,6 +41,9 @@ PATHS = (
     "question",
     "answer",
     "system",
+    "role",
+    "text",
+    "turn",
 )
 
 
@@ -56,15 +60,12 @@ class Layout:
     array: tuple[str, str, str] | None = None
     fields: tuple[tuple[str, str], ...] = ()
     optional: tuple[str, ...] = ()
+    # One turn with its own role, which stays as it is, and its own position.
+    row: bool = False
 
-    def fingerprints(self) -> list[str]:
-        """Fingerprints of the layout with and without its optional fields."""
+    def required(self) -> list[str]:
         own = [f"{self.array[0]}[].{p}" for p in self.array[1:]] if self.array else [p for _, p in self.fields]
-        must = [p for p in own if p not in self.optional]
-        found = [must]
-        for extra in self.optional:
-            found += [[*f, extra] for f in found]
-        return [fingerprint(f) for f in found]
+        return [p for p in own if p not in self.optional]
 
 
 LAYOUTS = (
@@ -78,6 +79,7 @@ LAYOUTS = (
     Layout("completion", fields=(("system", "system"), ("user", "prompt"), ("assistant", "completion")), optional=("system",)),
     Layout("response", fields=(("system", "system"), ("user", "prompt"), ("assistant", "response")), optional=("system",)),
     Layout("question", fields=(("system", "system"), ("user", "question"), ("assistant", "answer")), optional=("system",)),
+    Layout("row", fields=(("role", "role"), ("text", "text")), optional=("turn",), row=True),
 )
 
 # Names of the same role.
@@ -90,19 +92,38 @@ def canonical_role(role: Column) -> Column:
 
 
 def _present(record: str, path: str) -> Column:
-    probe = "$." + path.replace("[].", "[0].")
-    return F.when(F.expr(f"try_variant_get({record}, '{probe}', 'variant') is not null"), F.lit(path))
+    """The path if the record has it; inside an array, if any element has it."""
+    name, _, field = path.partition("[].")
+    if field:
+        probe = f"exists(try_variant_get({record}, '$.{name}', 'array<variant>'), e -> try_variant_get(e, '$.{field}', 'variant') is not null)"
+    else:
+        probe = f"try_variant_get({record}, '$.{path}', 'variant') is not null"
+    return F.when(F.expr(probe), F.lit(path))
+
+
+def _chosen(paths: Column) -> Column:
+    """The number of the layout with the most paths present of those whose required ones all are; the first of several."""
+    fit = []
+    for k, known in enumerate(LAYOUTS):
+        must = known.required()
+        used = F.size(F.array_intersect(paths, F.array(*map(F.lit, [*must, *known.optional]))))
+        whole = F.size(F.array_intersect(paths, F.array(*map(F.lit, must)))) == len(must)
+        fit.append(F.when(whole, F.struct(used.alias("used"), F.lit(-k).alias("k"))))
+    return -F.array_max(F.array_compact(F.array(*fit)))["k"]
 
 
 def _mapped(record: str, layout: Layout) -> Column:
+    if layout.row:
+        return F.expr(
+            f"array(struct(coalesce(try_variant_get({record}, '$.role', 'string'), '') as role,"
+            f" coalesce(try_variant_get({record}, '$.text', 'string'), '') as text))"
+        )
     if layout.array:
         name, role, text = layout.array
-        rows = F.expr(f"try_variant_get({record}, '$.{name}', 'array<map<string,variant>>')")
+        each = f"transform(try_variant_get({record}, '$.{name}', 'array<variant>'), e -> struct({{}} as role, {{}} as text))"
+        got = F.expr(each.format(*[f"try_variant_get(e, '$.{p}', 'string')" for p in (role, text)]))
         listed = F.transform(
-            rows,
-            lambda t: F.struct(
-                canonical_role(t[role].cast("string")).alias("role"), F.coalesce(t[text].cast("string"), F.lit("")).alias("text")
-            ),
+            got, lambda t: F.struct(canonical_role(t["role"]).alias("role"), F.coalesce(t["text"], F.lit("")).alias("text"))
         )
         system = F.expr(f"try_variant_get({record}, '$.system', 'string')")
         head = F.when(
@@ -121,18 +142,30 @@ def turns_of_records(records: DataFrame, key: str, record: str) -> DataFrame:
     """Canonical turns of JSON ``record`` s of mixed layouts, with the fingerprint that chose the mapping."""
     parsed = records.select(
         F.col(key).alias("conv_id"), F.expr(f"try_parse_json({record})").alias("_record")
-    ).withColumn(
-        "fingerprint",
-        F.sha2(F.concat_ws(",", F.array_sort(F.array_compact(F.array(*[_present("_record", p) for p in PATHS])))), 256),
-    )
+    ).withColumn("_paths", F.array_sort(F.array_compact(F.array(*[_present("_record", p) for p in PATHS]))))
     layout, turns = F.lit(None).cast("string"), F.expr(f"cast(array() as {TURN})")
-    for known in LAYOUTS:
-        chosen = F.col("fingerprint").isin(known.fingerprints())
+    number, place = _chosen(F.col("_paths")), F.lit(None).cast("bigint")
+    for k, known in enumerate(LAYOUTS):
+        chosen = F.col("_layout") == k
         layout = F.when(chosen, F.lit(known.name)).otherwise(layout)
         turns = F.when(chosen, _mapped("_record", known)).otherwise(turns)
-    mapped = parsed.select("conv_id", "fingerprint", layout.alias("layout"), turns.alias("turns"))
-    return mapped.select("conv_id", "fingerprint", "layout", F.posexplode_outer("turns").alias("turn", "t")).select(
-        "conv_id", "fingerprint", "layout", F.col("turn").cast("bigint").alias("turn"), "t.role", "t.text"
+        if known.row:
+            place = F.when(chosen, F.expr("try_variant_get(_record, '$.turn', 'bigint')")).otherwise(place)
+    mapped = parsed.withColumn("_layout", number).select(
+        "conv_id",
+        F.sha2(F.concat_ws(",", "_paths"), 256).alias("fingerprint"),
+        layout.alias("layout"),
+        place.alias("place"),
+        turns.alias("turns"),
+    )
+    rows = [k.name for k in LAYOUTS if k.row]
+    return mapped.select("*", F.posexplode_outer("turns").alias("position", "t")).select(
+        "conv_id",
+        "fingerprint",
+        "layout",
+        F.when(F.col("layout").isin(rows), F.col("place")).otherwise(F.col("position").cast("bigint")).alias("turn"),
+        "t.role",
+        "t.text",
     )
 
 

@@ -374,6 +374,37 @@ def test_chat_layouts(spark):
     assert all((k, None) in got for k in (5, 6, 7))
 
 
+def test_chat_layouts_by_required_paths(spark):
+    records = [
+        (1, '{"messages":[{"content":"a"},{"role":"assistant","content":"b"}],"prompt":"p","system":"s"}'),
+        (2, '{"prompt":"p","completion":"c","input":"more"}'),
+        (3, '{"turn":5,"role":"Human","text":"<|im_end|>"}'),
+        (3, '{"turn":null,"role":null,"text":null}'),
+        (4, '{"instruction":"i","output":"o","system":"s","prompt":"p","completion":"c"}'),
+        (5, '{"prompt":"p"}'),
+        (6, '{"messages":[]}'),
+    ]
+    turns = chat_format.turns_of_records(spark.createDataFrame(records, "id bigint, record string"), "id", "record")
+    got = sorted(((r.conv_id, r.layout, r.turn, r.role, r.text) for r in turns.collect()), key=str)
+    assert got == sorted(
+        [
+            (1, "messages", 0, "system", "s"),
+            (1, "messages", 1, "", "a"),
+            (1, "messages", 2, "assistant", "b"),
+            (2, "completion", 0, "user", "p"),
+            (2, "completion", 1, "assistant", "c"),
+            (3, "row", 5, "Human", "<|im_end|>"),
+            (3, "row", None, "", ""),
+            (4, "instruction", 0, "system", "s"),
+            (4, "instruction", 1, "user", "i"),
+            (4, "instruction", 2, "assistant", "o"),
+            (5, None, None, None, None),
+            (6, None, None, None, None),
+        ],
+        key=str,
+    )
+
+
 def test_chat_round_trip(spark):
     rng = random.Random(5)
     pieces = ["<|", "|>", "<|im_end|>", "<|im_start|>", "<|im_sep|>", "\\", "\\\\", "\n", "é", "<", "|", "a", ""]
