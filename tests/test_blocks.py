@@ -77,13 +77,21 @@ def test_block_times_equal_the_loop(spark, width, after):
     assert sorted(map(tuple, clock.time_regressions(headers, width).collect())) == back
 
 
-def test_block_times_by_broadcast_and_by_shuffle(spark):
-    entries = blocks.parse_blocks(raw_blocks(spark, SF).where("height < 40"))
+def test_block_times_joined_equal_the_loop(spark):
+    source = raw_blocks(spark, SF).where("height < 40")
+    entries = blocks.parse_blocks(source)
     times = clock.monotone_block_time(clock.marker_times(entries))
-    sent, shuffled = (clock.with_block_time(entries, times, limit) for limit in (1000, 10))
-    assert sorted(map(str, sent.collect())) == sorted(map(str, shuffled.collect()))
-    raw = clock.raw_block_times(raw_blocks(spark, SF).where("height < 40"))
-    assert sorted(map(tuple, clock.monotone_block_time(raw).collect())) == sorted(map(tuple, times.collect()))
+    headers = {r.height: r.raw_ts for r in clock.raw_block_times(source).collect()}
+    last, want = None, {}
+    for h in sorted(headers):
+        last = headers[h] if last is None or headers[h] > last else last + 1
+        want[h] = last
+    joined = clock.with_block_time(entries, times).collect()
+    columns = [c for c in entries.columns if c != "ts"]
+    plain = [(want[r.height], *(r[c] for c in columns)) for r in entries.collect()]
+    assert sorted(map(str, ((r.ts, *(r[c] for c in columns)) for r in joined))) == sorted(map(str, plain))
+    raw = clock.monotone_block_time(clock.raw_block_times(source))
+    assert sorted(map(tuple, raw.collect())) == sorted(map(tuple, times.collect()))
 
 
 def test_equal_and_reversed_times(spark):
