@@ -5,6 +5,7 @@ from __future__ import annotations
 from .decontamination import WINDOW
 from .embedding_dedup import THRESHOLD
 from .ngram_join import PERCENT
+from .vector_codes import ENTRIES, PARTS, ROUNDS, SCALE
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -105,9 +106,60 @@ select conv_id, count(*)::bigint as n_turns,
 from t group by conv_id
 """
 
+
+
+def _codes(books: str) -> str:
+    """Index of the nearest entry of ``books`` for each part of the kept vectors, and the squared distance to it."""
+    return f"""select id, label, part, vec, min(struct_pack(d := d, entry := entry)) as best from (
+  select v.*, b.entry, list_sum(list_transform(range(1, len(vec) + 1), lambda i: (vec[i] - b.vec[i]) * (vec[i] - b.vec[i])))::bigint as d
+  from parts v join {books} b on b.part = v.part
+) group by id, label, part, vec"""
+
+
+def _next_books(number: int) -> str:
+    """Codebooks of a round: floored means of the parts nearest to the entries of the one before."""
+    return f"""
+near{number} as materialized ({_codes(f"books{number}")}),
+means{number} as (
+  select part, entry, list(mean order by i) as vec from (
+    select part, best.entry as entry, i, floor(sum(vec[i]) / count(*))::bigint as mean
+    from near{number}, (select unnest(range(1, (select max(len(vec)) from parts) + 1)) as i) group by part, best.entry, i
+  ) group by part, entry
+),
+books{number + 1} as materialized (
+  select b.part, b.entry, coalesce(m.vec, b.vec) as vec from books{number} b
+  left join means{number} m on m.part = b.part and m.entry = b.entry
+),"""
+
+
+_OP11 = f"""
+with kept as (
+  select vec_id as id, label, list_transform(embedding, lambda x: floor({SCALE} * x::double)::bigint) as e from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+),
+parts as materialized (
+  select id, label, part, e[part * len(e) // {PARTS} + 1:(part + 1) * len(e) // {PARTS}] as vec
+  from kept, (select unnest(range({PARTS})) as part)
+),
+books0 as materialized (
+  select part, row_number() over (partition by part order by id) - 1 as entry, vec
+  from parts where id in (select id from kept order by id limit {ENTRIES})
+),{"".join(_next_books(k) for k in range(ROUNDS))}
+final as materialized ({_codes(f"books{ROUNDS}")}),
+coded as materialized (
+  select id, label, string_agg(format('{{:02x}}', best.entry), '' order by part) as code, sum(best.d)::bigint as error
+  from final group by id, label
+),
+labels_ as (select label, sum(error)::bigint as label_error from coded group by label),
+digest as (select sha256(string_agg(array_to_string(vec, ','), ',' order by part, entry)) as codebooks_sha256 from books{ROUNDS})
+select id as vec_id, code, error, label_error, codebooks_sha256
+from coded c join labels_ l on l.label is not distinct from c.label, digest
+"""
+
 ORACLE: dict[str, str] = {
     "op1_embedding_near_dedup": _OP1,
     "op5_ngram_jaccard_join": _OP5,
     "op8_decontamination": _OP8,
     "op9_chat_format": _OP9,
+    "op11_vector_codes": _OP11,
 }

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import chat_format, decontamination, embedding_dedup, kneser_ney, license_scan, line_crf, ngram_join, packing, secret_scan, token_output
+from . import chat_format, decontamination, embedding_dedup, kneser_ney, license_scan, line_crf, ngram_join, packing, secret_scan, token_output, vector_codes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -88,6 +88,10 @@ def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def _vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_embedding_near_dedup": _near_vectors,
     "op2_license_scan": _licenses,
@@ -99,4 +103,5 @@ QUERIES: dict[str, Query] = {
     "op8_decontamination": _contamination,
     "op9_chat_format": _chats,
     "op10_best_fit_packing": _packed,
+    "op11_vector_codes": _vector_codes,
 }
