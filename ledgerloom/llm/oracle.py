@@ -111,7 +111,7 @@ from t group by conv_id
 def _codes(books: str) -> str:
     """Index of the nearest entry of ``books`` for each part of the kept vectors, and the squared distance to it."""
     return f"""select id, label, part, vec, min(struct_pack(d := d, entry := entry)) as best from (
-  select v.*, b.entry, list_sum(list_transform(range(1, len(vec) + 1), lambda i: (vec[i] - b.vec[i]) * (vec[i] - b.vec[i])))::bigint as d
+  select v.*, b.entry, list_sum(list_transform(range(1, len(v.vec) + 1), lambda i: (v.vec[i] - b.vec[i]) * (v.vec[i] - b.vec[i])))::bigint as d
   from parts v join {books} b on b.part = v.part
 ) group by id, label, part, vec"""
 
