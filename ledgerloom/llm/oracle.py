@@ -156,10 +156,98 @@ select id as vec_id, code, error, label_error, codebooks_sha256
 from coded c join labels_ l on l.label is not distinct from c.label, digest
 """
 
+# Row by row: for each state of the reading the least (cost, audit), with the repaired rows it stands for.
+_READING = "struct(c bigint, a varchar, r varchar)"
+
+
+def _put(state: str, cost: str, edit: str, row: str) -> str:
+    """The state after an edit that writes ``row``."""
+    return f"""case when {state} is not null then {{c: ({state}.c + {cost})::bigint, a: {state}.a || '{edit}',
+    r: case when {state}.r = '' then {row} else {state}.r || chr(10) || {row} end}} end"""
+
+
+def _gone(state: str) -> str:
+    return f"case when {state} is not null then {{c: ({state}.c + 3)::bigint, a: {state}.a || 'D', r: {state}.r}} end"
+
+
+def _least(*states: str) -> str:
+    return f"list_min([x for x in [{', '.join(states)}] if x is not null])::{_READING}"
+
+
+def _inserted(prefix: str) -> str:
+    """The four states with Inserts before the next row."""
+    n, s, u, a = (f"{prefix}{k}" for k in range(4))
+    user = [_put(x, "2", "I", "'user:'") for x in (n, s, a)]
+    return f"""{n} as b0, {s} as b1, {_least(u, *user)} as b2,
+  {_least(a, *[_put(f"({x})", "2", "I", "'assistant:'") for x in (u, *user)])} as b3"""
+
+
+_EDITED = f"""
+  {_gone("b0")} as s0,
+  {_least(_gone("b1"), f"case when keep and i = 's' then {_put('b0', 't', 'K', 'row')} end")} as s1,
+  {_least(_gone("b2"), *[f"case when keep and i = 'u' then {_put(x, 't', 'K', 'row')} end" for x in ("b0", "b1", "b3")],
+          *[f"case when keep then {_put(x, '2 + t', 'R', 'as_user')} end" for x in ("b0", "b1", "b3")])} as s2,
+  {_least(_gone("b3"), f"case when keep and i = 'a' then {_put('b2', 't', 'K', 'row')} end",
+          f"case when keep then {_put('b2', '2 + t', 'R', 'as_assistant')} end")} as s3"""
+
+_CRC32 = """list_reduce([4294967295] || list_transform(range(1, len(k) + 1), lambda p: ascii(k[p])::bigint),
+  lambda c, b: list_reduce([xor(c, b)] || range(8), lambda x, step: xor(x >> 1, 3988292384 * (x & 1))))"""
+
+_OP12 = f"""
+with recursive keyed as (
+  select *, coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as k,
+    coalesce(role, ' ') as own_role, coalesce(text, ' ') as own_text from conversations
+),
+marked as (select *, xor({_CRC32}, 4294967295) % 20 as kind from keyed),
+rows_ as (
+  select conv_id, turn, case kind when 4 then 'user' else own_role end as role,
+    case kind when 1 then '' when 2 then regexp_replace(own_text, '[.!?]', '', 'g') else own_text end as text,
+    unnest(range(case kind when 3 then 2 else 1 end)) as copy
+  from marked where kind <> 0
+),
+placed as materialized (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, md5(text), copy) as n,
+    lag(role[1]) over (partition by conv_id order by turn nulls first, role, md5(text), copy) as i_before,
+    row_number() over (partition by conv_id, role, text order by turn nulls first, copy) > 1 as again,
+    not regexp_matches(text, '[^\x20\x09-\x0D]') as blank,
+    not regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') as open_ended
+  from rows_
+),
+judged as materialized (
+  select *, role[1] as i, not blank and not again as keep, (not blank and not again and open_ended)::bigint as t,
+    role || ':' || text as row, 'user:' || text as as_user, 'assistant:' || text as as_assistant
+  from placed
+),
+counted as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (blank) as blank,
+    count(*) filter (not blank and again) as duplicate, sum(t) as truncated,
+    count(*) filter (n > 1 and coalesce(i_before || i not in ('su', 'ua', 'au'), true)) as illegal, max(n) as last
+  from judged group by conv_id
+),
+reading(conv_id, n, s0, s1, s2, s3) as (
+  select distinct conv_id, 0::bigint, {{c: 0, a: '', r: ''}}::{_READING}, null::{_READING}, null::{_READING}, null::{_READING} from judged
+  union all
+  select conv_id, n, {_EDITED} from (
+    select j.*, {_inserted("p.s")} from reading p join judged j on j.conv_id is not distinct from p.conv_id and j.n = p.n + 1
+  )
+),
+ended as (
+  select conv_id, {_least("b0", "b3")} as best from (
+    select p.conv_id, {_inserted("p.s")} from reading p join counted c on c.conv_id is not distinct from p.conv_id and c.last = p.n
+  )
+)
+select a.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate,
+  coalesce(truncated, 0)::bigint as truncated, coalesce(illegal, 0)::bigint as illegal, coalesce(best.c, 0)::bigint as cost,
+  coalesce(best.a, '') as audit, sha256(coalesce(best.r, '')) as repaired_sha256
+from (select distinct conv_id from conversations) a
+left join counted c on c.conv_id is not distinct from a.conv_id left join ended e on e.conv_id is not distinct from a.conv_id
+"""
+
 ORACLE: dict[str, str] = {
     "op1_embedding_near_dedup": _OP1,
     "op5_ngram_jaccard_join": _OP5,
     "op8_decontamination": _OP8,
     "op9_chat_format": _OP9,
     "op11_vector_codes": _OP11,
+    "op12_conversation_repair": _OP12,
 }

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import chat_format, decontamination, embedding_dedup, kneser_ney, license_scan, line_crf, ngram_join, packing, secret_scan, token_output, vector_codes
+from . import chat_format, conversation_repair, decontamination, embedding_dedup, kneser_ney, license_scan, line_crf, ngram_join, packing, secret_scan, token_output, vector_codes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -92,6 +92,11 @@ def _vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(table(spark, sf_dir, "embeddings"))
 
 
+def _repaired_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = table(spark, sf_dir, "conversations")
+    return conversation_repair.repair(chats, conversation_repair.damage(chats))
+
+
 QUERIES: dict[str, Query] = {
     "op1_embedding_near_dedup": _near_vectors,
     "op2_license_scan": _licenses,
@@ -104,4 +109,5 @@ QUERIES: dict[str, Query] = {
     "op9_chat_format": _chats,
     "op10_best_fit_packing": _packed,
     "op11_vector_codes": _vector_codes,
+    "op12_conversation_repair": _repaired_chats,
 }
