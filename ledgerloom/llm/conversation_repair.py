@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -40,6 +41,7 @@ from .store import stored
 
 BLOCK = 8
 FAN = 64
+_REMEMBERED = 1 << 14
 _SPACE = " \t\n\x0b\x0c\r"
 
 # States of the reading, and what follows a role initial.
@@ -59,7 +61,10 @@ Cell = tuple[int, str]
 Cells = list  # Cell or None for each pair of states
 
 _STATES = range(4)
-_RULES = [(4 * p + q, 4 * p + r, 4 * r + q) for p in _STATES for q in _STATES for r in _STATES]
+# No span takes the reading back to the start, or behind the system turn again.
+_PAIRS = {(p, q) for p in _STATES for q in _STATES if p == q or q > max(p, _SYSTEM) or (p, q) == (_ASSISTANT, _USER)}
+_PAIRS.add((_START, _SYSTEM))
+_RULES = [(4 * p + q, 4 * p + r, 4 * r + q) for p, q in sorted(_PAIRS) for r in _STATES if {(p, r), (r, q)} <= _PAIRS]
 
 
 def _least(cells: Cells, at: int, cell: Cell) -> None:
@@ -93,6 +98,7 @@ def _insertions() -> Cells:
 _EMPTY = _insertions()
 
 
+@lru_cache(maxsize=_REMEMBERED)
 def row_cells(initial: str, delete: bool, truncated: bool, copies: int) -> Cells:
     """Cells of a row; of several copies all but the first are deleted, and the first too if it must be."""
     deleted = copies if delete else copies - 1
@@ -137,6 +143,12 @@ def joined(spans: list[Cells]) -> Cells:
     return spans[0]
 
 
+@lru_cache(maxsize=_REMEMBERED)
+def block_cells(rows: tuple[tuple[str, bool, bool, int], ...]) -> Cells:
+    """Cells of a block; many blocks are alike in all that matters here, so the latest are remembered."""
+    return parsed([row_cells(*row) for row in rows])
+
+
 _CELLS = "array<struct<cost: bigint, audit: string>>"
 _CELL_TYPE = pa.list_(pa.struct([("cost", pa.int64()), ("audit", pa.string())]))
 
@@ -150,10 +162,8 @@ def _cell_batch(batch: pa.RecordBatch, charts: list[Cells]) -> pa.RecordBatch:
 def _parse_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         blocks = batch.column("parts").to_pylist()
-        yield _cell_batch(
-            batch,
-            [parsed([row_cells(r["initial"], r["delete"], r["truncated"], r["copies"]) for r in rows]) for rows in blocks],
-        )
+        rows = [tuple((r["initial"], r["delete"], r["truncated"], r["copies"]) for r in block) for block in blocks]
+        yield _cell_batch(batch, [block_cells(block) for block in rows])
 
 
 def _join_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,7 +178,10 @@ def _join_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _dealt(df: DataFrame, number: Column, *columns: str) -> DataFrame:
     """At most a block's or a fan's neighbouring parts of a conversation, in order, in one row."""
     parts = F.array_sort(F.collect_list(F.struct("place", *columns))).alias("parts")
-    return df.groupBy("conv_id", number.alias("block")).agg(parts)
+    # A fixed number of partitions: the pass is Python work, not to be merged by byte size.
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    numbered = df.withColumn("block", number).repartition(partitions, "conv_id", "block")
+    return numbered.groupBy("conv_id", "block").agg(parts)
 
 
 def _whole_cells(rows: DataFrame) -> DataFrame:
@@ -180,7 +193,7 @@ def _whole_cells(rows: DataFrame) -> DataFrame:
     longest = rows.agg(F.max("place")).first()[0] or 0
     blocks = -(-longest // BLOCK)
     while blocks > 1:
-        placed = spans.withColumnRenamed("block", "place")
+        placed = spans.select("conv_id", F.col("block").alias("place"), "cells")
         spans = _dealt(placed, F.expr(f"place div {FAN}"), "cells").mapInArrow(_join_blocks, schema)
         blocks = -(-blocks // FAN)
     return spans.select("conv_id", "cells")
