@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import chat_format, conversation_repair, decontamination, embedding_dedup, kneser_ney, license_scan, line_crf, ngram_join, packing, secret_scan, token_output, vector_codes
+from . import chat_format, conversation_repair, decontamination, embedding_dedup, kneser_ney, license_scan, line_crf, ngram_join, packing, secret_scan, suffix_dedup, token_output, vector_codes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,6 +97,10 @@ def _repaired_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair(chats, conversation_repair.damage(chats))
 
 
+def _repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.without_repeated_strings(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_embedding_near_dedup": _near_vectors,
     "op2_license_scan": _licenses,
@@ -110,4 +114,5 @@ QUERIES: dict[str, Query] = {
     "op10_best_fit_packing": _packed,
     "op11_vector_codes": _vector_codes,
     "op12_conversation_repair": _repaired_chats,
+    "op13_suffix_dedup": _repeated_strings,
 }
