@@ -76,6 +76,10 @@ class PrefixHashes:
             found = cls._powers[seed] = (value, *tables)
         return found
 
+    def all(self, length: int) -> np.ndarray:
+        """Of every range of ``length`` bytes."""
+        return (self._sums[length:] - self._sums[:-length]) * self._inverse[: len(self._sums) - length]
+
     def of(self, start: np.ndarray, length: np.ndarray | int) -> np.ndarray:
         return (self._sums[start + length] - self._sums[start]) * self._inverse[start]
 
@@ -96,18 +100,16 @@ def places(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tup
     none = np.zeros(0, np.int64)
     if len(data) < length:
         return none, none, none, none
-    grams = mixed(PrefixHashes(data).of(np.arange(len(data) - gram + 1), gram))
+    grams = mixed(PrefixHashes(data).all(gram))
     low = np.uint64((1 << _POSITION_BITS) - 1)
     keys = (grams & ~low) | np.arange(len(grams), dtype=np.uint64)
     anchor = (_sliding_least(keys, length - gram + 1) & low).astype(np.int64)
-    start = np.arange(len(anchor))
-    text = np.searchsorted(offsets, start, "right") - 1
-    inside = start + length <= offsets[text + 1]
+    # Strings that end in the text they start in, and of those each that changes the anchor.
+    inside = np.arange(length, length + len(anchor)) <= np.repeat(offsets[1:], np.diff(offsets))[: len(anchor)]
     first = inside.copy()
     first[1:] &= (anchor[1:] != anchor[:-1]) | ~inside[:-1]
     at = np.flatnonzero(first)
-    strings = np.flatnonzero(inside)
-    number = np.diff(np.append(np.searchsorted(strings, at), len(strings)))
+    number = np.add.reduceat(inside, at, dtype=np.int64) if len(at) else none
     return at, number, anchor[at], grams[anchor[at]].view(np.int64)
 
 
@@ -163,10 +165,10 @@ def _cut_out(length: int) -> Callable:
                 whole = text.as_buffer()
                 for w in wanted:
                     body = whole[w["start"] : w["start"] + w["strings"] + length - 1].to_pybytes()
-                    out.append((w["anchor"], w["others"], w["place"], w["before"], body))
-            columns = list(zip(*out, strict=True)) if out else [[]] * 5
-            types = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
-            names = ["anchor", "others", "place", "before", "body"]
+                    out.append((w["anchor"], w["others"], w["place"], w["before"], w["once"], body))
+            columns = list(zip(*out, strict=True)) if out else [[]] * 6
+            types = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.bool_(), pa.binary()]
+            names = ["anchor", "others", "place", "before", "once", "body"]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
     return run
@@ -201,42 +203,46 @@ def sorted_suffixes(data: np.ndarray, hashes: PrefixHashes, at: np.ndarray, buck
     merged in pairs, each suffix finding its rank in the neighbouring run by binary search.
     """
     order = np.arange(len(at))
-    begin = np.searchsorted(bucket, bucket, "left")
-    size = np.searchsorted(bucket, bucket, "right") - begin
-    place = order - begin
-    width, largest = 1, int(size.max(initial=0))
+    edge = np.flatnonzero(np.diff(bucket, prepend=bucket[:1] - 1)) if len(at) else order
+    sizes = np.diff(np.append(edge, len(at)))
+    begin, size = np.repeat(edge, sizes), np.repeat(sizes, sizes)
+    width, largest = 1, int(sizes.max(initial=0))
     while width < largest:
+        open_ = np.flatnonzero(size > width)
+        start, own = begin[open_], at[order[open_]]
+        place = open_ - start
         run = place // width
         right = run % 2 == 1
-        sibling = begin + (run ^ 1) * width
-        count = np.clip(begin + size - sibling, 0, width)
-        low, high = np.zeros(len(at), np.int64), count.copy()
-        suffix = at[order]
+        sibling = start + (run ^ 1) * width
+        low, high = np.zeros(len(open_), np.int64), np.clip(start + size[open_] - sibling, 0, width)
         for _ in range(width.bit_length()):
             active = np.flatnonzero(low < high)
             if not len(active):
                 break
             middle = (low[active] + high[active]) // 2
-            other = suffix[sibling[active] + middle]
+            other = at[order[sibling[active] + middle]]
             # A right one goes behind its equals on the left, a left one before those on the right.
-            passed = _before(data, hashes, other, suffix[active], length, right[active])
+            passed = _before(data, hashes, other, own[active], length, right[active])
             low[active] = np.where(passed, middle + 1, low[active])
             high[active] = np.where(passed, high[active], middle)
-        target = begin + (run - right) * width + place - run * width + low
-        moved = np.empty_like(order)
-        moved[target] = order
-        order = moved
+        order[start + (run - right) * width + place - run * width + low] = order[open_]
         width *= 2
     return order
 
 
 def _verified(data: np.ndarray, a: np.ndarray, b: np.ndarray, agreed: np.ndarray, length: int) -> bool:
     """Whether suffixes agree in as many bytes as their hashes say, and the next byte is in order."""
-    span = np.arange(length)
+    padded = np.append(data, np.zeros(16, np.uint8))
+    words = np.ndarray(len(padded) - 7, "<u8", padded, strides=(1,))
+    span = np.arange(0, length, 8)
     for k in range(0, len(a), _VERIFIED):
         x, y, n = a[k : k + _VERIFIED], b[k : k + _VERIFIED], agreed[k : k + _VERIFIED]
-        differ = data[x[:, None] + span] != data[y[:, None] + span]
-        if (np.where(differ.any(1), differ.argmax(1), length) != n).any():
+        differ = words[x[:, None] + span] ^ words[y[:, None] + span]
+        word = (differ != 0).argmax(1)
+        bits = differ[np.arange(len(x)), word]
+        # The lowest set bit is in the first byte that differs.
+        same = 8 * word + np.bitwise_count((bits & (~bits + np.uint64(1))) - np.uint64(1)) // 8
+        if (np.where(bits == 0, length, np.minimum(same, length)) != n).any():
             return False
         last = np.minimum(n, length - 1)
         if (data[x + last] > data[y + last]).any():
@@ -262,7 +268,7 @@ def repeated_suffixes(data: np.ndarray, at: np.ndarray, bucket: np.ndarray, leng
     return found
 
 
-def _repeated_in(groups: list[list[tuple[bytes, int, bytes]]], length: int) -> tuple[list, np.ndarray, np.ndarray]:
+def _repeated_in(groups: list[list[tuple[bytes, int, bytes, bool]]], length: int) -> tuple[list, np.ndarray, np.ndarray]:
     """Of groups of places with one anchor each: the place and the numbers from and to of its repeated strings."""
     rows = [(k, *row) for k, group in enumerate(groups) for row in group]
     data = np.frombuffer(b"".join(r[3] for r in rows), np.uint8)
@@ -273,9 +279,13 @@ def _repeated_in(groups: list[list[tuple[bytes, int, bytes]]], length: int) -> t
     number = np.arange(len(row)) - np.repeat(np.cumsum(strings) - strings, strings)
     ahead = np.array([r[2] for r in rows])[row] - number
     bucket = np.array([r[0] for r in rows])[row] * length + ahead
-    order = np.argsort(bucket, kind="stable")
+    # Only where strings meet, and one of them is in a place found once.
+    met = np.bincount(bucket) > 1
+    open_ = met & (np.bincount(bucket, np.array([r[4] for r in rows])[row]) > 0)
+    taken = np.flatnonzero(open_[bucket])
+    taken = taken[np.argsort(bucket[taken], kind="stable")]
     found = np.zeros(len(row), bool)
-    found[order] = repeated_suffixes(data, (base[row] + number)[order], bucket[order], length)
+    found[taken] = repeated_suffixes(data, (base[row] + number)[taken], bucket[taken], length)
     begins = found.copy()
     begins[1:] &= ~found[:-1] | (row[1:] != row[:-1])
     ends = found.copy()
@@ -295,15 +305,15 @@ def _compare(length: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         groups, anchor, held = [], None, 0
         for batch in batches:
-            columns = [batch.column(name).to_pylist() for name in ("anchor", "place", "before", "body")]
-            for own, place, before, body in zip(*columns, strict=True):
+            columns = [batch.column(name).to_pylist() for name in ("anchor", "place", "before", "body", "once")]
+            for own, place, before, body, once in zip(*columns, strict=True):
                 if not groups or own != anchor:
                     if held > _SORT_BYTES:
                         yield batch_of(groups)
                         groups, held = [], 0
                     groups.append([])
                     anchor = own
-                groups[-1].append((place, before, body))
+                groups[-1].append((place, before, body, once))
                 held += len(body)
         yield batch_of(groups)
 
@@ -368,7 +378,7 @@ def without_repeated_strings(docs: DataFrame, length: int = LENGTH, gram: int =
     texts = docs.select("doc_id", text.alias("text")).withColumn("key", key)
     counted = (
         texts.select("text")
-        .mapInArrow(_found_places(length, gram, False), "place binary, anchor bigint")
+        .mapInArrow(_found_places(length, gram, False), "place binary not null, anchor bigint not null")
         .groupBy("anchor", "place")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -395,17 +405,17 @@ def without_repeated_strings(docs: DataFrame, length: int = LENGTH, gram: int =
     )
     one_of_each = (
         where.where("others is not null")
-        .groupBy("place", "before", "anchor", "others", "strings")
+        .groupBy("place", "before", "anchor", "others", "strings", F.col("whole").isNull().alias("once"))
         .agg(F.min(F.struct("key", "start")).alias("at"))
     )
     wanted = one_of_each.groupBy("at.key").agg(
-        F.collect_list(F.struct("place", "before", "anchor", "others", "strings", "at.start")).alias("wanted")
+        F.collect_list(F.struct("place", "before", "anchor", "others", "strings", "once", "at.start")).alias("wanted")
     )
     bodies = (
         texts.join(wanted, "key")
         .dropDuplicates(["key"])
         .select("doc_id", "text", "wanted")
-        .mapInArrow(_cut_out(length), "anchor bigint, others bigint, place binary, before int, body binary")
+        .mapInArrow(_cut_out(length), "anchor bigint, others bigint, place binary, before int, once boolean, body binary")
     )
     once = where.where("whole is null").join(_repeated_strings(bodies, length, group), "place")
     found = (
