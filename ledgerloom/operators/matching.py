@@ -203,6 +203,35 @@ def unspent_outputs(
     )
 
 
+def unspent_changes(entries: DataFrame, unspent: DataFrame | None = None) -> DataFrame:
+    """What the blocks in ``entries`` change in the unspent set, one row per outpoint.
+
+    ``unspent`` has the outputs of the blocks before for the outpoints in ``entries``.  Rows with
+    ``live`` are outputs to put; the others, of those given, are to take away.
+    """
+    rows = drop_markers(entries)
+    payload = _payload(rows)
+    if unspent is not None:
+        earlier = _as_outputs(unspent, payload).withColumn("earlier", F.lit(True))
+        rows = rows.unionByName(earlier, allowMissingColumns=True)
+    else:
+        rows = rows.withColumn("earlier", F.lit(None).cast("boolean"))
+    event = F.struct(
+        F.struct("height", "tx_pos", (~F.col("is_input")).alias("is_output"), "entry_idx").alias("at"), *payload
+    )
+    return (
+        rows.groupBy(*OUTPOINT)
+        .agg(F.max(event).alias("e"), F.coalesce(F.bool_or("earlier"), F.lit(False)).alias("known"))
+        .where("known or e.at.is_output")
+        .select(
+            *OUTPOINT,
+            F.col("e.at.height").alias("height"),
+            *[F.col("e")[c].alias(c) for c in payload],
+            F.col("e.at.is_output").alias("live"),
+        )
+    )
+
+
 def unspent_within(entries: DataFrame, last_height: int, blocks: int) -> DataFrame:
     """Outputs created and not spent in the ``blocks`` blocks up to ``last_height``."""
     first = max(1, last_height - blocks)

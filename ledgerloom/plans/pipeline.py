@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scripts import with_address
 from ..operators.clock import marker_times, monotone_block_time, with_block_time, with_increasing_time
-from ..operators.lifo import changes_of, public_stack_changes, segments, stack_changes, stack_state
-from ..operators.matching import match_spends_strict, tx_legs, unspent_outputs
+from ..operators.entries import OUTPOINT, outpoints
+from ..operators.lifo import changes_of, public_stack_changes, stack_changes
+from ..operators.matching import match_spends_strict, tx_legs, unspent_changes
 from ..operators.netting import account_changes, net_changes
+from ..operators.stack_pages import StackTables, run_segments
 from ..operators.transfers import model_transfers, net_accounts, transfer_edges
 from ..session import checkpointed
 from ..sources.blocks import confirmed_blocks, from_records, parse_blocks, resume_height, to_records
+from ..sources.levels import ROWS_PER_BUCKET, LevelTable
 from ..sources.sinks import account_change_records, stack_change_records, transfer_records
 
 
@@ -81,37 +84,69 @@ def run(
         records.write.mode("overwrite").partitionBy("topic").parquet(f"{out}/stacks")
 
 
+_DONE = "height int, ts bigint, run int, unspent string, pages string, fences string"
+
+
 def finished_runs(spark: SparkSession, out: str) -> DataFrame | None:
-    """``run``, last ``height`` and last ``ts`` of the finished runs of :func:`run_next`, ``None`` before the first."""
+    """``run``, last ``height`` and ``ts``, and listed tables of the finished runs of :func:`run_next`; ``None`` before the first."""
     try:
-        return spark.read.schema("height int, ts bigint, run int").parquet(f"{out}/done")
+        return spark.read.schema(_DONE).parquet(f"{out}/done")
     except AnalysisException:
         return None
 
 
+def _last_run(spark: SparkSession, out: str) -> Row | None:
+    done = finished_runs(spark, out)
+    return None if done is None else done.orderBy(F.col("run").desc()).first()
+
+
 def read_runs(spark: SparkSession, out: str, name: str) -> DataFrame:
     """The table ``name`` of all finished runs; what a broken run left behind is not read."""
-    done = finished_runs(spark, out)
-    last = -1 if done is None else done.agg(F.coalesce(F.max("run"), F.lit(-1))).first()[0]
+    before = _last_run(spark, out)
+    last = -1 if before is None else before["run"]
     return spark.read.parquet(f"{out}/{name}").where(F.col("run") <= last).drop("run")
 
 
+def _unspent_table(out: str, before: Row | None, **settings) -> LevelTable:
+    return LevelTable.of(f"{out}/unspent", OUTPOINT, before and before["unspent"], **settings)
+
+
+def _stack_tables(out: str, before: Row | None, **settings) -> StackTables:
+    return StackTables.of(out, before and before["pages"], before and before["fences"], **settings)
+
+
+def unspent_after_runs(spark: SparkSession, out: str) -> DataFrame | None:
+    """The unspent outputs that the finished runs leave."""
+    return _unspent_table(out, _last_run(spark, out)).rows(spark)
+
+
+def open_segments_after_runs(spark: SparkSession, out: str) -> DataFrame:
+    """The open stack segments that the finished runs leave."""
+    return _stack_tables(out, _last_run(spark, out)).open_segments(spark)
+
+
 def run_next(
-    spark: SparkSession, blocks: DataFrame, out: str, confirmations: int = 3, stacks: bool = True, edges: bool = True
+    spark: SparkSession,
+    blocks: DataFrame,
+    out: str,
+    confirmations: int = 3,
+    stacks: bool = True,
+    edges: bool = True,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> bool:
     """Process the confirmed blocks after those of the runs before, and say whether there were any.
 
-    Each run writes its rows of ``net``, ``stacks`` and ``transfers`` and what the
-    next one starts from: ``unspent`` outputs with their addresses and kinds,
-    ``state`` of the stacks, and in ``done`` the last height and time.  ``done`` is
-    written last; a run that broke off is written again under the same number, so
-    it leaves no row twice.  Switches must stay the same from run to run.
+    Each run writes its rows of ``net``, ``stacks`` and ``transfers``, and what it changes in the
+    tables that the next one starts from: the ``unspent`` outputs with addresses and
+    kinds, and the ``pages`` of the stacks.  Of these a run reads what its outpoints and the
+    depth of its spends call for, and writes what they change.  ``done`` has the last
+    height and time and lists the tables' segments; it is
+    written last, so a run that broke off is written again under the same number and
+    leaves no row twice.  Switches and ``rows_per_bucket`` must stay the same from run to run.
 
-    The unspent set and the stacks are read and written whole by each run, which
-    costs one pass over them however few the new blocks are.
+    Inputs are matched once; net changes and transfers come from the same matched rows.
     """
-    done = finished_runs(spark, out)
-    before = None if done is None else done.orderBy(F.col("run").desc()).first()
+    before = _last_run(spark, out)
     number = 0 if before is None else before["run"] + 1
     new = confirmed_blocks(blocks, -1 if before is None else before["height"], confirmations)
 
@@ -120,24 +155,26 @@ def run_next(
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
 
-    def left(name: str) -> DataFrame | None:
-        return None if before is None else spark.read.parquet(f"{out}/{name}/run={before['run']}")
-
     entries = put(block_entries(new), "entries")
     times = put(monotone_block_time(marker_times(entries), after=None if before is None else before["ts"]), "times")
-    end = times.agg(F.max("height").alias("height"), F.max("ts").alias("ts"))
-    if end.first()["height"] is None:
+    end = times.agg(F.max("height").alias("height"), F.max("ts").alias("ts")).first()
+    if end["height"] is None:
         return False
-    unspent = left("unspent")
-    net = put(net_changes(match_spends_strict(with_block_time(entries, times), unspent=unspent)), "net")
+    unspent = _unspent_table(out, before, rows_per_bucket=rows_per_bucket)
+    parents = unspent.lookup(outpoints(entries).select(*OUTPOINT))
+    if parents is not None:
+        parents = put(parents, "parents")
+    legs = put(tx_legs(entries, unspent=parents), "legs")
+    signed = legs.withColumn("value", F.when(F.col("is_input"), -F.col("value")).otherwise(F.col("value")))
+    net = put(net_changes(with_block_time(signed, times)), "net")
     if edges:
-        legs = checkpointed(tx_legs(entries, unspent=unspent))
         put(model_transfers(net_accounts(legs, strict=True), sized_by=legs), "transfers")
+    unspent = unspent.with_run(put(unspent_changes(entries, parents), "unspent-changes"), number)
+    tables = _stack_tables(out, before, rows_per_bucket=rows_per_bucket)
     if stacks:
-        earlier = left("state")
-        found = put(segments(net, state=earlier), "segments")
+        found, pages, fences = run_segments(net, tables)
         put(changes_of(found), "stacks")
-        put(stack_state(found, earlier), "state")
-    put(unspent_outputs(entries, unspent=unspent), "unspent")
-    put(end, "done")
+        tables = tables.with_run(put(pages, "page-changes"), put(fences, "fence-changes"), number)
+    listed = [unspent.listing(), tables.pages.listing(), tables.fences.listing()]
+    put(spark.createDataFrame([(end["height"], end["ts"], *listed)], _DONE.replace(" run int,", "")), "done")
     return True

@@ -45,8 +45,9 @@ def test_runs_equal_one_run_and_a_broken_run_is_written_once(spark, chain, tmp_p
     assert rows(pipeline.read_runs(spark, out, "stacks")) == rows(lifo.stack_changes(net))
     moved = pipeline.block_transfers(chain)
     assert rows(pipeline.read_runs(spark, out, "transfers").select(*moved.columns)) == rows(moved)
-    left = pipeline.finished_runs(spark, out).agg(F.max("run")).first()[0]
-    unspent = spark.read.parquet(f"{out}/unspent/run={left}")
+    unspent = pipeline.unspent_after_runs(spark, out)
+    left = lifo.segments(net).where("closed_ts is null").select("address", "nonce", "ots", "value")
+    assert rows(pipeline.open_segments_after_runs(spark, out)) == rows(left)
     assert rows(unspent) == rows(matching.unspent_outputs(entries).select(*unspent.columns))
 
 
