@@ -47,6 +47,19 @@ def _monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.monthly_table(netting.transfer_table(_account_changes(spark, sf_dir)))
 
 
+def _monthly_rewritten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals per month of a table whose records were written again twice, the last time into later months."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/monthly-{uuid.uuid4().hex[:12]}"
+    first = checkpointed(netting.transfer_table(_account_changes(spark, sf_dir)))
+    sinks.write_monthly(first, path)
+    sinks.write_monthly(first.where("height % 5 = 0").withColumn("value", F.col("value") - 1), path)
+    sinks.compact_monthly(spark, path)
+    later = {"value": F.col("value") + 2, "dt": F.col("dt") + F.expr("interval 31 days")}
+    sinks.write_monthly(first.where("height % 7 = 0").withColumns(later), path)
+    sinks.compact_monthly(spark, path)
+    return sinks.monthly_totals(sinks.read_monthly(spark, path))
+
+
 def _processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     txs = transfers.processed_txs(tables.numbered_legs(spark, sf_dir))
     return txs.withColumn("inputs", F.to_json("inputs")).withColumn("outputs", F.to_json("outputs"))
@@ -256,6 +269,7 @@ QUERIES: dict[str, Query] = {
     "account_changes": _account_changes,
     "transfers_mv": _transfers_mv,
     "monthly_table": _monthly,
+    "monthly_rewritten": _monthly_rewritten,
     "tx_net_by_account": lambda s, d: netting.net_by_account(tables.legs(s, d)),
     "tx_fees": lambda s, d: transfers.tx_fees(tables.legs(s, d)),
     "block_minting": lambda s, d: transfers.block_minting(tables.all_legs(s, d)),

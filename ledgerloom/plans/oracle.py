@@ -455,6 +455,16 @@ ORACLE: dict[str, str] = {
         select strftime(timestamp '1970-01-01' + to_seconds(ts), '%Y%m') as month, count(*) as records,
                sum((value >= 0)::int)::bigint as outs, sum(value)::bigint as satoshi
         from net group by 1""",
+    "monthly_rewritten": f"""
+        with {_NET},
+        written as (
+          select ts + case when height % 7 = 0 then 31 * 86400 else 0 end as paid, value >= 0 as is_out,
+                 value + case when height % 7 = 0 then 200000000 when height % 5 = 0 then -100000000 else 0 end as value
+          from net
+        )
+        select strftime(timestamp '1970-01-01' + to_seconds(paid), '%Y%m') as month, count(*) as records,
+               sum(is_out::int)::bigint as outs, sum(value)::bigint as satoshi
+        from written group by 1""",
     "tx_net_by_account": f"""
         with {_LEGS}
         select height, ts, tx_pos, tx_hash, address, kind,

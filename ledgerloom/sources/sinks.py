@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.sharding import partition_of, string_hash, topic_of
 from ..schemas import ACCOUNT_CHANGE
+from ..session import checkpointed
 
 KAFKA_WRITE = {
     "kafka.compression.type": "lz4",
@@ -79,36 +81,82 @@ def latest_per_key(df: DataFrame, keys: list[str], offset: str) -> DataFrame:
     return latest.select(*[F.col(c) if c in keys else F.col("_r")[c].alias(c) for c in df.columns])
 
 
-def write_monthly(transfer_table: DataFrame, path: str, mode: str = "append") -> None:
-    """Write the transfer table by month, each month ordered by block and position.
+MONTHLY_KEY = ["height", "txPos", "address"]
+
+
+def last_version(spark: SparkSession, path: str) -> int:
+    """The number of the last write to a monthly table, 0 before the first."""
+    try:
+        written = spark.read.schema("version bigint").parquet(path)
+    except AnalysisException:
+        return 0
+    return written.agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
+
+
+def _put_monthly(rows: DataFrame, path: str, **mode: str) -> None:
+    """Rows with their version, by month, each month ordered by block and position.
 
     The range exchange splits a large month over several files.
     """
-    by_month = transfer_table.withColumn("month", F.date_format("dt", "yyyyMM"))
     order = ["month", "height", "txPos", "out"]
-    (
-        by_month.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .write.mode(mode)
-        .partitionBy("month")
-        .parquet(path)
-    )
+    by_month = rows.withColumn("month", F.date_format("dt", "yyyyMM"))
+    laid = by_month.repartitionByRange(*order).sortWithinPartitions(*order)
+    laid.write.options(**{k: v for k, v in mode.items() if k != "mode"}).mode(mode["mode"]).partitionBy("month").parquet(path)
+
+
+def write_monthly(transfer_table: DataFrame, path: str, mode: str = "append") -> int:
+    """Write the transfer table by month and return the number of this write.
+
+    Of records written again the later write holds, also one with the same time, and
+    one whose time puts it in another month.  One writer at a time.
+    """
+    version = 1 if mode == "overwrite" else last_version(transfer_table.sparkSession, path) + 1
+    number = F.lit(version).cast("bigint")
+    _put_monthly(transfer_table.withColumns({"version": number, "merged": number}), path, mode=mode)
+    return version
 
 
 def read_monthly(spark: SparkSession, path: str) -> DataFrame:
-    """The transfer table with rewritten records collapsed to one per key."""
-    table = spark.read.parquet(path)
-    return latest_per_key(table, ["height", "txPos", "address"], "dt")
+    """The transfer table with one record per key, that of the last write."""
+    return _last_written(spark.read.parquet(path).drop("month", "merged")).drop("version")
+
+
+def _last_written(table: DataFrame, also: list[str] | None = None) -> DataFrame:
+    """Of each key the row with the greatest version; of several in one write the last by time."""
+    keys = [*(also or []), *MONTHLY_KEY]
+    rest = [c for c in table.columns if c not in (*keys, "version", "dt")]
+    latest = table.groupBy(*keys).agg(F.max(F.struct("version", "dt", *rest)).alias("_r"))
+    return latest.select(*[F.col(c) if c in keys else F.col("_r")[c].alias(c) for c in table.columns])
+
+
+def compact_monthly(spark: SparkSession, path: str) -> list[str]:
+    """Drop the rows that later writes to the same month replaced; returns the months written again.
+
+    Only months written to since they were last compacted (``merged`` has the last write that a row
+    was compacted with) are read and written.  Rows keep the number of their write, so a row
+    that another month's later write replaced still loses on reading.
+    """
+    table = spark.read.parquet(path).withColumn("month", F.col("month").cast("string"))
+    written = table.groupBy("month").agg(F.min("merged").alias("a"), F.max("version").alias("b")).where("a < b")
+    months = {r["month"]: r["b"] for r in written.collect()}
+    if months:
+        number = F.create_map(*[F.lit(x) for pair in months.items() for x in pair])[F.col("month")].cast("bigint")
+        touched = table.where(F.col("month").isin(list(months))).withColumn("merged", number)
+        # Written to the shared folder first, as these months are read and then overwritten.
+        kept = checkpointed(_last_written(touched, ["month"]).drop("month"))
+        _put_monthly(kept, path, mode="overwrite", partitionOverwriteMode="dynamic")
+    return sorted(months)
+
+
+def monthly_totals(transfer_table: DataFrame) -> DataFrame:
+    """Records and totals per month."""
+    return transfer_table.groupBy(F.date_format("dt", "yyyyMM").alias("month")).agg(
+        F.count(F.lit(1)).alias("records"),
+        F.sum("out").alias("outs"),
+        F.sum(F.round(F.col("value") * 1e8).cast("bigint")).alias("satoshi"),
+    )
 
 
 def monthly_table(transfer_table: DataFrame) -> DataFrame:
     """Records and totals per month of the collapsed table."""
-    return (
-        latest_per_key(transfer_table, ["height", "txPos", "address"], "dt")
-        .groupBy(F.date_format("dt", "yyyyMM").alias("month"))
-        .agg(
-            F.count(F.lit(1)).alias("records"),
-            F.sum("out").alias("outs"),
-            F.sum(F.round(F.col("value") * 1e8).cast("bigint")).alias("satoshi"),
-        )
-    )
+    return monthly_totals(latest_per_key(transfer_table, MONTHLY_KEY, "dt"))

@@ -1,5 +1,6 @@
 """Raw blocks, block times, resuming, publishing."""
 
+import datetime as dt
 import random
 import struct
 
@@ -163,6 +164,34 @@ def test_monthly_table_collapses_rewrites(spark, tmp_path):
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, table.collect()))
 
 
+def test_the_later_write_of_a_monthly_record_holds(spark, tmp_path):
+    path, schema = str(tmp_path / "m"), "dt timestamp, height int, txPos int, out int, value double, address string"
+    month = [dt.datetime(1970, m, 3) for m in range(1, 6)]
+    one = [(month[k], k, 0, 1, 5.0, f"a{k}") for k in range(4)]
+    assert sinks.write_monthly(spark.createDataFrame(one, schema), path) == 1
+    assert sinks.compact_monthly(spark, path) == []
+    # A smaller value at the same time, and a record that moves to another month and back.
+    two = [(month[1], 1, 0, 1, 2.0, "a1"), (month[4], 2, 0, 1, 9.0, "a2")]
+    assert sinks.write_monthly(spark.createDataFrame(two, schema), path) == 2
+    want = {one[0], two[0], two[1], one[3]}
+    columns = schema.replace(",", "").split()[::2]
+
+    def held():
+        return {tuple(r) for r in sinks.read_monthly(spark, path).select(*columns).collect()}
+
+    untouched = {p: p.stat().st_mtime_ns for p in (tmp_path / "m" / "month=197001").glob("*.parquet")}
+    assert held() == want
+    assert sinks.compact_monthly(spark, path) == ["197002"]
+    assert sinks.compact_monthly(spark, path) == []
+    assert held() == want
+    assert spark.read.parquet(path).where("month = 197002").count() == 1
+    assert untouched == {p: p.stat().st_mtime_ns for p in (tmp_path / "m" / "month=197001").glob("*.parquet")}
+    assert sinks.write_monthly(spark.createDataFrame([one[2]], schema), path) == 3
+    assert held() == {one[0], two[0], one[2], one[3]}
+    assert sinks.write_monthly(spark.createDataFrame(one, schema), path, "overwrite") == 1
+    assert held() == set(one)
+
+
 def test_strict_match_names_the_missing_output(spark):
     entry = (
         "ts bigint, height int, tx_pos int, tx_hash binary, out_index bigint, entry_idx int, "
