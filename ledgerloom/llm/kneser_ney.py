@@ -72,7 +72,7 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def _runs(parts: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> Iterator[tuple[int, bytes, bytes]]:
     """Sorted keys by part, each part one row."""
     order = np.argsort(parts, kind="stable")
-    parts, keys, counts = parts[order], keys[order], counts[order].astype(np.uint32)
+    parts, keys, counts = parts[order], keys[order], counts[order].astype(np.int64)
     bounds = np.append(np.flatnonzero(np.append(True, parts[1:] != parts[:-1])), len(parts)) if len(parts) else []
     for a, b in zip(bounds[:-1], bounds[1:], strict=True):
         yield int(parts[a]), _packed(keys[a:b]), counts[a:b].tobytes()
@@ -87,7 +87,7 @@ def _batch(rows: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
 def _merged(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The runs of one part as one."""
     keys = np.concatenate([_unpacked(k) for k in group["keys"]])
-    counts = np.concatenate([np.frombuffer(c, np.uint32) for c in group["counts"]]).astype(np.int64)
+    counts = np.concatenate([np.frombuffer(c, np.int64) for c in group["counts"]]).astype(np.int64)
     return _summed(keys, counts)
 
 
@@ -165,7 +165,7 @@ class Vocabulary:
         """What a file of one number per word has for sorted known ids."""
         out = np.zeros(len(ids), np.int64)
         for part, a, b in _stretches(np.searchsorted(self.bases, ids.astype(np.int64), "right") - 1):
-            out[a:b] = self._file(name, part, np.uint32)[ids[a:b].astype(np.int64) - int(self.bases[part])]
+            out[a:b] = self._file(name, part, np.int64)[ids[a:b].astype(np.int64) - int(self.bases[part])]
         return out
 
 
@@ -201,7 +201,7 @@ def _count_words(training: DataFrame, folder: str, bits: int) -> Vocabulary:
         part = int(group["part"].iloc[0])
         keys, counts = _merged(group)
         _write(folder, f"words-{part}", keys)
-        _write(folder, f"counts-{part}", counts.astype(np.uint32))
+        _write(folder, f"counts-{part}", counts.astype(np.int64))
         return pd.DataFrame({"kind": ["words"], "part": [part], "keys": [b""], "counts": [b""], "stats": [[len(keys), int(counts.sum())]]})
 
     runs = training.mapInArrow(count, _RUN)
@@ -219,7 +219,7 @@ def _frequent(vocabulary: Vocabulary, spark) -> np.ndarray:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in batch.column(0).to_pylist():
-                counts = _read(vocabulary.folder, f"counts-{part}", np.uint32)
+                counts = _read(vocabulary.folder, f"counts-{part}", np.int64)
                 found = np.flatnonzero(counts > least) + int(vocabulary.bases[part])
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], ["id"])
 
@@ -295,7 +295,7 @@ def _count_pairs(training: DataFrame, vocabulary: Vocabulary) -> tuple[np.ndarra
         part = int(group["part"].iloc[0])
         keys, counts = _merged(group)
         _write(folder, f"pairs-{part}", keys)
-        _write(folder, f"paircounts-{part}", counts.astype(np.uint32))
+        _write(folder, f"paircounts-{part}", counts.astype(np.int64))
         context = keys >> np.uint64(32)
         first = np.flatnonzero(np.append(True, context[1:] != context[:-1]))
         table = np.stack(
@@ -304,7 +304,7 @@ def _count_pairs(training: DataFrame, vocabulary: Vocabulary) -> tuple[np.ndarra
         owners = context[first]
         common = np.isin(owners, vocabulary.frequent)
         _write(folder, f"contexts-{part}", owners[~common])
-        _write(folder, f"contextcounts-{part}", table[~common].astype(np.uint32))
+        _write(folder, f"contextcounts-{part}", table[~common].astype(np.int64))
         rows = [("counts", part, b"", b"", [int((counts == k).sum()) for k in (1, 2, 3, 4)])]
         rows += [("context", int(o), b"", b"", t.tolist()) for o, t in zip(owners[common], table[common], strict=True)]
         follower, times = np.unique(keys & np.uint64(0xFFFFFFFF), return_counts=True)
@@ -333,7 +333,7 @@ def _count_continuations(runs: DataFrame, vocabulary: Vocabulary) -> tuple[list[
         part = int(group["part"].iloc[0])
         keys, counts = _merged(group)
         base, end = int(vocabulary.bases[part]), int(vocabulary.bases[part + 1])
-        dense = np.zeros(end - base, np.uint32)
+        dense = np.zeros(end - base, np.int64)
         dense[keys.astype(np.int64) - base] = counts
         _write(vocabulary.folder, f"before-{part}", dense)
         stats = [*[int((counts == k).sum()) for k in (1, 2, 3, 4)], int(counts.sum()), int((counts >= 3).sum())]
@@ -383,7 +383,7 @@ class Scorer:
             if len(held):
                 asked = keys[order[a:b]]
                 at = np.minimum(np.searchsorted(held, asked), len(held) - 1)
-                out[order[a:b]] = np.where(held[at] == asked, self._file("paircounts", part, np.uint32)[at], 0)
+                out[order[a:b]] = np.where(held[at] == asked, self._file("paircounts", part, np.int64)[at], 0)
         return out
 
     def _contexts(self, ids: np.ndarray) -> np.ndarray:
@@ -402,7 +402,7 @@ class Scorer:
                 rows = order[a:b]
                 at = np.minimum(np.searchsorted(held, ids[rows]), len(held) - 1)
                 hit = held[at] == ids[rows]
-                out[rows[hit]] = self._file("contextcounts", part, np.uint32).reshape(-1, 4)[at[hit]]
+                out[rows[hit]] = self._file("contextcounts", part, np.int64).reshape(-1, 4)[at[hit]]
         return out
 
     def score(self, words: Words) -> dict[str, np.ndarray]:
