@@ -138,8 +138,12 @@ def _mapped(record: str, layout: Layout) -> Column:
     return F.array_compact(F.array(*turns))
 
 
-def turns_of_records(records: DataFrame, key: str, record: str) -> DataFrame:
-    """Canonical turns of JSON ``record`` s of mixed layouts, with the fingerprint that chose the mapping."""
+def turns_of_records(records: DataFrame, key: str, record: str, strict: bool = False) -> DataFrame:
+    """Canonical turns of JSON ``record`` s of mixed layouts, with the fingerprint that chose the mapping.
+
+    A record that can't be parsed or has no known layout has a null ``layout``, or, if ``strict``, fails
+    the job, so that no row is lost unseen.
+    """
     parsed = records.select(
         F.col(key).alias("conv_id"), F.expr(f"try_parse_json({record})").alias("_record")
     ).withColumn("_paths", F.array_sort(F.array_compact(F.array(*[_present("_record", p) for p in PATHS]))))
@@ -158,6 +162,9 @@ def turns_of_records(records: DataFrame, key: str, record: str) -> DataFrame:
         place.alias("place"),
         turns.alias("turns"),
     )
+    if strict:
+        unknown = F.raise_error(F.concat(F.lit("record without a known layout: "), F.coalesce(F.col("conv_id").cast("string"), F.lit("null"))))
+        mapped = mapped.withColumn("layout", F.coalesce("layout", unknown.cast("string")))
     rows = [k.name for k in LAYOUTS if k.row]
     return mapped.select("*", F.posexplode_outer("turns").alias("position", "t")).select(
         "conv_id",

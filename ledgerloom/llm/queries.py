@@ -80,7 +80,7 @@ def _chats(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("conv_id").cast("bigint"), F.to_json(F.struct("turn", "role", "text"), {"ignoreNullFields": "false"}).alias("record")
     )
     records = rows.unionByName(spark.createDataFrame([(-1, json.dumps(planted))], "conv_id bigint, record string"))
-    turns = chat_format.turns_of_records(records, "conv_id", "record").where("layout is not null")
+    turns = chat_format.turns_of_records(records, "conv_id", "record", strict=True)
     return chat_format.digests(chat_format.format_conversations(turns))
 
 

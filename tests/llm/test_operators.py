@@ -374,6 +374,15 @@ def test_chat_layouts(spark):
     assert all((k, None) in got for k in (5, 6, 7))
 
 
+def test_records_without_a_layout_fail_where_none_may_be_lost(spark):
+    for record in ("{not json", '{"other": 1}', None):
+        rows = spark.createDataFrame([(1, record), (2, '{"prompt": "a", "completion": "b"}')], "conv_id bigint, record string")
+        with pytest.raises(Exception, match="record without a known layout: 1"):
+            chat_format.turns_of_records(rows, "conv_id", "record", strict=True).collect()
+        kept = chat_format.turns_of_records(rows, "conv_id", "record").collect()
+        assert [(r.conv_id, r.layout) for r in sorted(kept, key=lambda r: (r.conv_id, r.turn or 0))][0] == (1, None)
+
+
 def test_chat_layouts_by_required_paths(spark):
     records = [
         (1, '{"messages":[{"content":"a"},{"role":"assistant","content":"b"}],"prompt":"p","system":"s"}'),
