@@ -23,6 +23,7 @@ import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from .store import new_folder
 from .tokens import default_tokenizer, encoder
@@ -47,6 +48,8 @@ class _ShardWriter:
         self._seq_len, self._waiting, self._count = seq_len, [], 0
 
     def add(self, ids: np.ndarray) -> None:
+        if len(ids) and int(ids.max()) > np.iinfo(self._dtype).max:
+            raise OverflowError(f"id {int(ids.max())} is too large for {self._dtype}")
         self._waiting.append(ids.astype(self._dtype))
         self._count += len(ids)
         if self._count >= self._size:
@@ -71,21 +74,29 @@ class _ShardWriter:
         self._writer.close()
 
 
+def smallest_dtype(tokenizer: str, end_id: int) -> str:
+    """The smallest unsigned type that holds all ids."""
+    largest = max(end_id, *Tokenizer.from_file(tokenizer).get_vocab(with_added_tokens=True).values())
+    return str(np.min_scalar_type(max(largest, 256)))
+
+
 def write_shards(
     docs: DataFrame,
     folder: str,
     tokenizer: str | None = None,
     end_id: int = 0,
     seq_len: int = SEQ_LEN,
-    dtype: str = "uint16",
+    dtype: str | None = None,
 ) -> DataFrame:
     """Write the shards below ``folder`` and return the index: ``doc_id``, ``shard``, ``at``, ``n_tokens``.
 
     ``folder`` must be reachable from all executors.  A shard is written under a
     name of the task attempt and renamed when it is whole, so a repeated task
-    leaves the same file.  ``dtype`` must hold the tokenizer's largest id.
+    leaves the same file.  ``dtype`` is the smallest unsigned one for the tokenizer's largest id if
+    none is given; an id that it can't hold fails the job.
     """
     path = tokenizer or default_tokenizer()
+    dtype = dtype or smallest_dtype(path, end_id)
     ordered = (
         docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
         .repartitionByRange("doc_id")
