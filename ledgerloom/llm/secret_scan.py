@@ -8,6 +8,11 @@ carries the span of the original text it comes from, so a secret found at any
 depth is reported where its encoded form stands in the original.  A layer seen
 before at the same place is not opened again, which ends cycles.
 
+Bytes that are not UTF-8 are read byte by byte, and as units of two bytes, whole: what stands before,
+between or behind bytes that are no text is searched too.  Base64 of fewer than 16
+characters holds nothing long enough and is not decoded; behind a part of a path or
+name (which shifts the bytes) base64 is taken up where it begins as text or a stream does.
+
 Compressed streams are unpacked in pieces and searched whole, window by window.
 A window ends where nothing can be cut in two, so it may grow to the length of the
 longest encoded segment, or of a line of escapes, in the stream.
@@ -20,8 +25,10 @@ Positions are code points, ends exclusive.
 from __future__ import annotations
 
 import base64
+import bz2
 import codecs
 import hashlib
+import lzma
 import re
 import zlib
 from bisect import bisect_right
@@ -30,6 +37,7 @@ from dataclasses import dataclass
 from itertools import accumulate, chain
 from urllib.parse import unquote_to_bytes
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -47,7 +55,12 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 KEYWORDS = ("passw", "secret", "token", "apikey", "api_key")
 
 URL_PART = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-UNICODE_PART = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,6});")
+UNICODE_PART = re.compile(
+    r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#[xX]([0-9A-Fa-f]{1,6});|\\U([0-9A-Fa-f]{8})|\\u\{([0-9A-Fa-f]{1,6})\}"
+    r"|%u([0-9A-Fa-f]{4})|&#([0-9]{1,7});|&(quot|apos|amp|lt|gt);"
+)
+NAMED_CHARACTERS = {"quot": '"', "apos": "'", "amp": "&", "lt": "<", "gt": ">"}
+UNICODE_SIGNS = ("\\u", "\\x", "\\U", "%u", "&")
 # Runs in which bytes may stand, some of them escaped.
 URL_BYTES = re.compile(r"(?:%[0-9A-Fa-f]{2}|[A-Za-z0-9._~/+-])+")
 ESCAPED_BYTES = re.compile(r"""(?:\\x[0-9A-Fa-f]{2}|\\u00[0-9A-Fa-f]{2}|\\[abfnrtv0\\'"/]|[\x20-\x5b\x5d-\x7e])+""")
@@ -72,6 +85,10 @@ WINDOW = 4 << 20
 PIECE, CHUNK = 4 << 10, 256 << 10
 # Fewer bytes of text inside others are taken for chance.
 LEAST_TEXT = 12
+# The shortest run that a secret, or what holds one, has: 16 characters, here of one byte or of two.
+PRINTED = re.compile(rb"[\t\n\r\x20-\x7e]{16}")
+PRINTED_LITTLE = re.compile(rb"(?:[\t\n\r\x20-\x7e]\0){16}")
+PRINTED_BIG = re.compile(rb"(?:\0[\t\n\r\x20-\x7e]){16}")
 CONTROL = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]")
 
 
@@ -149,15 +166,23 @@ def _odd(text: str) -> int:
     return len(CONTROL.findall(text))
 
 
-def _text_before_noise(data: bytes) -> str | None:
-    """The bytes as text, or those before the first that are none."""
+def _texts(data: bytes) -> Iterator[tuple[str, int, int | None]]:
+    """The bytes as text, all of them: UTF-8 if they are that, else byte by byte, and as units of two bytes.
+
+    With the bytes skipped before the text and the bytes of a character (``None``: as UTF-8 has it).
+    Bytes that are not UTF-8 are left out only if they lack a run long enough for any secret
+    or anything that could be decoded further.
+    """
     text = _readable(data)
     if text is not None:
-        return text
-    head = data.decode("utf-8", "ignore") if (bad := _bad(data)) is None else data[:bad].decode("utf-8")
-    if _odd(head) * 20 > len(head):
-        head = head[: CONTROL.search(head).start()]
-    return head if len(head) >= LEAST_TEXT else None
+        yield text, 0, None
+        return
+    if PRINTED.search(data):
+        yield data.decode("latin-1"), 0, 1
+    for order, form in (("<u2", PRINTED_LITTLE), (">u2", PRINTED_BIG)):
+        for skip in sorted({m.start() % 2 for m in form.finditer(data)}):
+            units = np.frombuffer(data, order, (len(data) - skip) // 2, skip)
+            yield "".join(chr(u) if not 0xD800 <= u < 0xE000 else "\ufffd" for u in units.tolist()), skip, 2
 
 
 def _bad(data: bytes) -> int | None:
@@ -213,9 +238,33 @@ def _inflate(chunks: Iterator[bytes], wbits: int) -> Iterator[bytes]:
                 break
 
 
+def _streamed(chunks: Iterator[bytes], start: Callable) -> Iterator[bytes]:
+    """Contents of all members of a bzip2 or xz stream, as far as it is whole."""
+    engine = start()
+    for piece in chunks:
+        data = piece
+        while True:
+            try:
+                out = engine.decompress(data, CHUNK)
+            except (OSError, lzma.LZMAError):
+                return
+            data = b""
+            if out:
+                yield out
+            if engine.eof:
+                data, engine = engine.unused_data.lstrip(b"\0"), start()
+                if not data:
+                    break
+            elif engine.needs_input:
+                break
+
+
 def _opened(chunks: Chunks) -> Chunks | None:
-    """What the bytes hold if they are a gzip, zlib or raw deflate stream."""
+    """What the bytes hold if they are a gzip, zlib, raw deflate, bzip2 or xz stream."""
     head = next(chunks(), b"")
+    for sign, start in ((b"BZh", bz2.BZ2Decompressor), (b"\xfd7zXZ\0", lzma.LZMADecompressor)):
+        if head.startswith(sign):
+            return (lambda: _streamed(chunks(), start)) if next(_streamed(chunks(), start), b"") else None
     kind = _kind(head)
     for wbits in (31, 15, -15):
         if wbits > 0 and wbits != kind:
@@ -319,7 +368,10 @@ def _unquoted(text: str) -> Iterator[tuple[int, int, str]]:
 def _unescaped(text: str) -> Iterator[tuple[int, int, str]]:
     """Unicode escapes and character references and what they stand for."""
     for part in UNICODE_PART.finditer(text):
-        code = int(part[4]) if part[4] else int(part[1] or part[2] or part[3], 16)
+        if part[8]:
+            yield *part.span(), NAMED_CHARACTERS[part[8]]
+            continue
+        code = int(part[7]) if part[7] else int(next(filter(None, part.groups())), 16)
         yield *part.span(), chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else "�"
 
 
@@ -348,28 +400,29 @@ def _base64(layer: Layer, start: int, end: int, lines: list[tuple[int, int]]) ->
             if k < done or (k and not (_promising(head) or _kind(head) or _deflated(head))):
                 continue
             view = memoryview(data)[byte:]
-            text = _text_before_noise(bytes(view)) if k == 0 or _promising(head) else None
-            if text is None:
+            texts = list(_texts(bytes(view))) if k == 0 or _promising(head) else []
+            if texts and texts[0][2] is None:
+                done = k + len(view) * 4 // 3
+            else:
                 unpacked = _opened(lambda view=view: _pieces(view))
                 if unpacked:
                     yield Packed(unpacked, layer.original(start, end))
-                continue
-            done = k + len(text.encode()) * 4 // 3
-            if layer.place and layer.place.above is None and len(layer.place.at) == 1 and not layer.place.runs[0][2]:
-                # Nothing inside a compressed stream has a place of its own.
-                yield Layer(text, layer.place)
-                continue
-            at, runs, byte = [], [], 0
-            for n, c in enumerate(text):
-                width = len(c.encode())
-                a, b = k + byte * 4 // 3, min(len(body), k - (-(byte + width) * 4 // 3))
-                at.append(n)
-                runs.append((place(a), place(b - 1) + 1, False))
-                byte += width
-            # A padding stands for the end of the last character.
-            if k + -(-byte * 4 // 3) >= len(body):
-                runs[-1] = (runs[-1][0], end, False)
-            yield Layer(text, Place(at, runs, layer.place))
+            for text, byte, each in texts:
+                if layer.place and layer.place.above is None and len(layer.place.at) == 1 and not layer.place.runs[0][2]:
+                    # Nothing inside a compressed stream has a place of its own.
+                    yield Layer(text, layer.place)
+                    continue
+                at, runs = [], []
+                for n, c in enumerate(text):
+                    width = each or len(c.encode())
+                    a, b = k + byte * 4 // 3, min(len(body), k - (-(byte + width) * 4 // 3))
+                    at.append(n)
+                    runs.append((place(a), place(b - 1) + 1, False))
+                    byte += width
+                # A padding stands for the end of the last character.
+                if k + -(-byte * 4 // 3) >= len(body):
+                    runs[-1] = (runs[-1][0], end, False)
+                yield Layer(text, Place(at, runs, layer.place))
 
 
 def _deflated(head: bytes) -> bool:
@@ -387,7 +440,7 @@ def _cut(text: str) -> int:
         before = text[max(0, end - 256) : end].rstrip(" \t\r")
         if before and before[-1] not in JOINED:
             return end + 1
-    if not any(k in text for k in ("\\", "%", "&#")):
+    if not any(k in text for k in ("\\", "%", "&")):
         for size in (1 << k for k in range(10, len(text).bit_length() + 1)):
             last = None
             for last in APART.finditer(text, max(0, len(text) - size)):
@@ -435,7 +488,7 @@ def layers_below(layer: Layer | Packed) -> Iterator[Layer | Packed]:
         for m in URL_BYTES.finditer(text):
             if "%" in m[0]:
                 yield from _inside(layer, m, URL_BYTE)
-    if ("\\u" in text or "\\x" in text or "&#" in text) and UNICODE_PART.search(text):
+    if any(k in text for k in UNICODE_SIGNS) and UNICODE_PART.search(text):
         yield _replaced(layer, _unescaped(text))
         for m in ESCAPED_BYTES.finditer(text):
             if "\\x" in m[0] or "\\u00" in m[0]:
