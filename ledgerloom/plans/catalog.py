@@ -176,7 +176,7 @@ def _streamed(spark: SparkSession, sf_dir: str, last: str) -> DataFrame:
         part.write.mode("append").parquet(f"{base}/blocks")
         jobs.start_entries(blocks.stream_blocks(spark, path=f"{base}/blocks"), base).awaitTermination()
         jobs.start_matching(jobs.read_entries(spark, base), base).awaitTermination()
-        jobs.start_netting(spark, base).awaitTermination()
+        jobs.await_whole(jobs.start_netting(spark, base))
         if last == "stacks":
             jobs.start_stacks(spark, base).awaitTermination()
     return spark.read.parquet(f"{base}/{last}")

@@ -37,8 +37,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named in ``spark.checkpoint.dir``; below the warehouse where that is unset."""
+    """The shared folder named in ``spark.checkpoint.dir``.
+
+    Where that is unset, a folder below the warehouse in local mode, and an error on a
+    cluster, whose executors may not share the warehouse.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     folder = folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
     spark.sparkContext.setCheckpointDir(folder)
     return folder
