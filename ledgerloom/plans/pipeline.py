@@ -153,7 +153,7 @@ def run_next(
     def put(df: DataFrame, name: str) -> DataFrame:
         path = f"{out}/{name}/run={number}"
         df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
 
     entries = put(block_entries(new), "entries")
     times = put(monotone_block_time(marker_times(entries), after=None if before is None else before["ts"]), "times")
