@@ -1,9 +1,11 @@
 """Conversations of any known layout as one marked-up text, with a loss mask.
 
-A record's layout is recognised by a fingerprint: the hash of those nested field
-paths that mean something here, in arrays those of any element.  Of the layouts
-whose required paths are among them, the one with the most paths present is taken.
-Its declarative mapping gives canonical turns: conversation, position, role, text.
+A record's schema is known by a fingerprint: the hash of those nested field paths
+that mean something here, in arrays those of any element.  A table has the layout
+of every fingerprint that fits one: of the layouts whose required paths are among
+the paths, the one with the most paths present.  Records are joined to it by their
+fingerprint, and the layout's declarative mapping gives canonical turns:
+conversation, position, role, text.
 
 The template puts ``<|im_start|>role<|im_sep|>text<|im_end|>`` for each turn.
 Inside roles and texts a backslash is doubled and ``<|`` becomes ``<\\|``, so a
@@ -17,10 +19,9 @@ records of no known layout give no turns and carry a null ``layout``.
 
 from __future__ import annotations
 
-import hashlib
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 START, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
@@ -47,9 +48,9 @@ PATHS = (
 )
 
 
-def fingerprint(paths: list[str]) -> str:
-    """The hash that a set of field paths is known by."""
-    return hashlib.sha256(",".join(sorted(paths)).encode()).hexdigest()
+def fingerprint(paths: Column) -> Column:
+    """The hash that a set of field paths is known by; ``paths`` in the order of ``PATHS``."""
+    return F.sha2(F.array_join(paths, ","), 256)
 
 
 @dataclass(frozen=True)
@@ -91,25 +92,51 @@ def canonical_role(role: Column) -> Column:
     return F.coalesce(F.element_at(named, F.lower(role)), role, F.lit(""))
 
 
+def _elements(record: str, name: str) -> str:
+    return f"try_variant_get({record}, '$.{name}', 'array<variant>')"
+
+
 def _present(record: str, path: str) -> Column:
     """The path if the record has it; inside an array, if any element has it."""
     name, _, field = path.partition("[].")
     if field:
-        probe = f"exists(try_variant_get({record}, '$.{name}', 'array<variant>'), e -> try_variant_get(e, '$.{field}', 'variant') is not null)"
+        probe = f"exists({_elements(record, name)}, e -> try_variant_get(e, '$.{field}', 'variant') is not null)"
     else:
         probe = f"try_variant_get({record}, '$.{path}', 'variant') is not null"
     return F.when(F.expr(probe), F.lit(path))
 
 
-def _chosen(paths: Column) -> Column:
-    """The number of the layout with the most paths present of those whose required ones all are; the first of several."""
+def present_paths(record: str) -> Column:
+    """Those of ``PATHS`` that a variant has, a null field too."""
+    return F.array_compact(F.array(*[_present(record, p) for p in PATHS]))
+
+
+def _bits(paths: list[str]) -> Column:
+    return F.lit(sum(1 << PATHS.index(p) for p in paths)).cast("bigint")
+
+
+def _chosen(held: Column) -> Column:
+    """The layout with the most paths present of those whose required ones all are; the first of several.
+
+    ``held`` has a bit for each of ``PATHS`` that is present.
+    """
     fit = []
     for k, known in enumerate(LAYOUTS):
-        must = known.required()
-        used = F.size(F.array_intersect(paths, F.array(*map(F.lit, [*must, *known.optional]))))
-        whole = F.size(F.array_intersect(paths, F.array(*map(F.lit, must)))) == len(must)
-        fit.append(F.when(whole, F.struct(used.alias("used"), F.lit(-k).alias("k"))))
-    return -F.array_max(F.array_compact(F.array(*fit)))["k"]
+        must, used = _bits(known.required()), F.bit_count(held.bitwiseAND(_bits([*known.required(), *known.optional])))
+        mark = F.struct(used.alias("used"), F.lit(-k).alias("k"), F.lit(known.name).alias("name"))
+        fit.append(F.when(held.bitwiseAND(must) == must, mark))
+    return F.greatest(*fit)["name"]
+
+
+def known_fingerprints(spark: SparkSession) -> DataFrame:
+    """The layout of every fingerprint that fits one.
+
+    A row for each such set of ``PATHS``, so at most ``2 ** len(PATHS)`` rows whatever the records are.
+    """
+    sets = spark.range(1 << len(PATHS), numPartitions=1).select("id", _chosen(F.col("id")).alias("layout"))
+    held = [F.when(F.col("id").bitwiseAND(F.lit(1 << k)) != 0, F.lit(p)) for k, p in enumerate(PATHS)]
+    fitting = sets.where(F.col("layout").isNotNull())
+    return fitting.select(fingerprint(F.array_compact(F.array(*held))).alias("fingerprint"), "layout")
 
 
 def _mapped(record: str, layout: Layout) -> Column:
@@ -120,7 +147,7 @@ def _mapped(record: str, layout: Layout) -> Column:
         )
     if layout.array:
         name, role, text = layout.array
-        each = f"transform(try_variant_get({record}, '$.{name}', 'array<variant>'), e -> struct({{}} as role, {{}} as text))"
+        each = f"transform({_elements(record, name)}, e -> struct({{}} as role, {{}} as text))"
         got = F.expr(each.format(*[f"try_variant_get(e, '$.{p}', 'string')" for p in (role, text)]))
         listed = F.transform(
             got, lambda t: F.struct(canonical_role(t["role"]).alias("role"), F.coalesce(t["text"], F.lit("")).alias("text"))
@@ -144,24 +171,19 @@ def turns_of_records(records: DataFrame, key: str, record: str, strict: bool = F
     A record that can't be parsed or has no known layout has a null ``layout``, or, if ``strict``, fails
     the job, so that no row is lost unseen.
     """
-    parsed = records.select(
-        F.col(key).alias("conv_id"), F.expr(f"try_parse_json({record})").alias("_record")
-    ).withColumn("_paths", F.array_sort(F.array_compact(F.array(*[_present("_record", p) for p in PATHS]))))
-    layout, turns = F.lit(None).cast("string"), F.expr(f"cast(array() as {TURN})")
-    number, place = _chosen(F.col("_paths")), F.lit(None).cast("bigint")
-    for k, known in enumerate(LAYOUTS):
-        chosen = F.col("_layout") == k
-        layout = F.when(chosen, F.lit(known.name)).otherwise(layout)
-        turns = F.when(chosen, _mapped("_record", known)).otherwise(turns)
-        if known.row:
-            place = F.when(chosen, F.expr("try_variant_get(_record, '$.turn', 'bigint')")).otherwise(place)
-    mapped = parsed.withColumn("_layout", number).select(
-        "conv_id",
-        F.sha2(F.concat_ws(",", "_paths"), 256).alias("fingerprint"),
-        layout.alias("layout"),
-        place.alias("place"),
-        turns.alias("turns"),
+    parsed = records.select(F.col(key).alias("conv_id"), F.expr(f"try_parse_json({record})").alias("_record"))
+    known = known_fingerprints(records.sparkSession)
+    # The table is broadcast: its size is fixed by PATHS, and one layout may hold most of the records.
+    fitted = parsed.withColumn("fingerprint", fingerprint(present_paths("_record"))).join(
+        F.broadcast(known), "fingerprint", "left"
     )
+    turns, place = F.expr(f"cast(array() as {TURN})"), F.lit(None).cast("bigint")
+    for each in LAYOUTS:
+        chosen = F.col("layout") == each.name
+        turns = F.when(chosen, _mapped("_record", each)).otherwise(turns)
+        if each.row:
+            place = F.when(chosen, F.expr("try_variant_get(_record, '$.turn', 'bigint')")).otherwise(place)
+    mapped = fitted.select("conv_id", "fingerprint", "layout", place.alias("place"), turns.alias("turns"))
     if strict:
         unknown = F.raise_error(F.concat(F.lit("record without a known layout: "), F.coalesce(F.col("conv_id").cast("string"), F.lit("null"))))
         mapped = mapped.withColumn("layout", F.coalesce("layout", unknown.cast("string")))

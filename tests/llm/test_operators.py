@@ -2,6 +2,7 @@
 
 import base64
 import gzip
+import hashlib
 import random
 import textwrap
 import zlib
@@ -414,6 +415,36 @@ def test_chat_layouts_by_required_paths(spark):
     )
 
 
+def test_chat_layouts_of_all_fingerprints(spark):
+    def plain(paths):
+        fit = []
+        for k, known in enumerate(chat_format.LAYOUTS):
+            must = set(known.required())
+            if must <= paths:
+                fit.append((len(paths & (must | set(known.optional))), -k, known.name))
+        return max(fit)[2] if fit else None
+
+    found = {r.fingerprint: r.layout for r in chat_format.known_fingerprints(spark).collect()}
+    names = chat_format.PATHS
+    for number in range(1 << len(names)):
+        paths = [p for k, p in enumerate(names) if number >> k & 1]
+        assert found.pop(hashlib.sha256(",".join(paths).encode()).hexdigest(), None) == plain(set(paths))
+    assert not found
+
+
+def test_chat_fingerprints_choose_the_mapping(spark):
+    records = [(1, '{"prompt":"p","completion":"c"}'), (2, '{"completion":null,"x":{"y":1},"prompt":"q"}'), (3, "[1]")]
+    records += [(k, '{"turn":1,"role":"user","text":"t"}') for k in range(4, 60)]
+    turns = chat_format.turns_of_records(spark.createDataFrame(records, "id bigint, record string"), "id", "record")
+    plan = turns._jdf.queryExecution().optimizedPlan().toString()
+    assert "sha2" in plan and "Join LeftOuter, (fingerprint" in plan
+    rows = turns.collect()
+    known = {r.fingerprint for r in rows if r.conv_id in (1, 2)}
+    assert known == {hashlib.sha256(b"prompt,completion").hexdigest()}
+    assert {(r.layout, r.fingerprint) for r in rows if r.conv_id > 3} == {("row", hashlib.sha256(b"role,text,turn").hexdigest())}
+    assert [(r.layout, r.fingerprint) for r in rows if r.conv_id == 3] == [(None, hashlib.sha256(b"").hexdigest())]
+
+
 def test_chat_round_trip(spark):
     rng = random.Random(5)
     pieces = ["<|", "|>", "<|im_end|>", "<|im_start|>", "<|im_sep|>", "\\", "\\\\", "\n", "é", "<", "|", "a", ""]
