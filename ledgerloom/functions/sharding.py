@@ -20,7 +20,8 @@ def string_hash(text: str | Column) -> Column:
         return F.when(char == "", acc).when(point < 0x10000, add(acc, point)).otherwise(pair)
 
     unsigned = F.aggregate(F.split(column, ""), F.lit(0).cast("bigint"), step)
-    return F.when(unsigned >= 2**31, unsigned - 2**32).otherwise(unsigned).cast("int")
+    # Bit 31 is the sign; moving it to the top and back keeps the one fold in the expression.
+    return F.shiftright(F.shiftleft(unsigned, 32), 32).cast("int")
 
 
 def topic_of(hashed: Column, topics: int) -> Column:

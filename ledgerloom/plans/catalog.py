@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.amounts import utc_day
 from ..functions.scripts import decode_op_n, script_template, with_address
-from ..operators import clock, counters, entries, lifo, matching, netting, transfers
+from ..operators import clock, counters, entries, lifo, matching, netting, sketches, transfers
 from ..session import STATE_STORE, checkpointed, ensure_checkpoint_dir
 from ..sources import blocks, sinks, tables
 from ..streaming import jobs
@@ -198,7 +199,7 @@ def _in_runs(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     last = chain.agg(F.max("height")).first()[0]
     for tip, confirmations in ((last // 3, 3), (2 * last // 3, 3), (last, 0)):
         known = chain.where(F.col("height") <= tip)
-        pipeline.run_next(spark, known, out, confirmations, stacks=name == "stacks", edges=name == "transfers")
+        pipeline.run_next(spark, known, out, confirmations, stacks=name == "stacks", edges=name == "transfers", sketches=False)
     return pipeline.read_runs(spark, out, name)
 
 
@@ -229,6 +230,21 @@ def _approx_close(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _day_as_text(both.select("day", "addresses", close.alias("close")))
 
 
+def _sketched_close(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether each week's count from merged sketches is within a tenth of the exact one.
+
+    Every change is in one of three runs, each of which leaves a sketch a day.
+    """
+    dated = tables.dated_changes(spark, sf_dir)
+    in_runs = dated.withColumn("run", F.pmod(F.xxhash64("address", "ts"), F.lit(3)))
+    kept = checkpointed(sketches.address_sketches(in_runs, "run"))
+    approx = sketches.sketched_addresses(kept, "week").withColumnRenamed("addresses", "approx")
+    week = F.trunc(utc_day("ts"), "week").alias("day")
+    exact = dated.groupBy(week).agg(F.countDistinct("address").alias("addresses"))
+    close = F.abs(F.col("approx") - F.col("addresses")) <= F.greatest(F.lit(1), 0.1 * F.col("addresses"))
+    return _day_as_text(exact.join(approx, "day").select("day", "addresses", close.alias("close")))
+
+
 def _day_as_text(df: DataFrame) -> DataFrame:
     return df.withColumn("day", F.col("day").cast("string"))
 
@@ -294,6 +310,7 @@ QUERIES: dict[str, Query] = {
     "daa_exact": lambda s, d: _day_as_text(netting.active_addresses(tables.dated_changes(s, d))),
     "daa_approx": lambda s, d: _day_as_text(netting.active_addresses_approx(tables.dated_changes(s, d))),
     "daa_approx_close": _approx_close,
+    "daa_sketches_close": _sketched_close,
     "classify_scripts": _scripts_classified,
     "decode_op_n": _op_n,
     "extract_addresses": _addresses,

@@ -542,6 +542,10 @@ ORACLE: dict[str, str] = {
     "daa_approx_close": f"""
         with {_DATED} select ts::date::varchar as day, count(distinct address) as addresses, true as close
         from dated group by 1""",
+    "daa_sketches_close": f"""
+        with {_DATED}
+        select date_trunc('week', ts)::date::varchar as day, count(distinct address) as addresses, true as close
+        from dated group by 1""",
     "classify_scripts": f"""
         with {_SCRIPTS}
         select c_custkey,

@@ -12,6 +12,7 @@ from ..operators.entries import OUTPOINT, outpoints
 from ..operators.lifo import changes_of, public_stack_changes, stack_changes
 from ..operators.matching import match_spends_strict, tx_legs, unspent_changes
 from ..operators.netting import account_changes, net_changes
+from ..operators.sketches import address_sketches, sketched_addresses
 from ..operators.stack_pages import StackTables, run_segments
 from ..operators.transfers import model_transfers, net_accounts, transfer_edges
 from ..session import checkpointed
@@ -125,6 +126,11 @@ def open_segments_after_runs(spark: SparkSession, out: str) -> DataFrame:
     return _stack_tables(out, _last_run(spark, out)).open_segments(spark)
 
 
+def active_addresses_after_runs(spark: SparkSession, out: str, period: str = "day") -> DataFrame:
+    """Approximate distinct addresses per ``period`` over the finished runs, from what each run kept of its days."""
+    return sketched_addresses(read_runs(spark, out, "sketches"), period)
+
+
 def run_next(
     spark: SparkSession,
     blocks: DataFrame,
@@ -132,12 +138,13 @@ def run_next(
     confirmations: int = 3,
     stacks: bool = True,
     edges: bool = True,
+    sketches: bool = True,
     rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> bool:
     """Process the confirmed blocks after those of the runs before, and say whether there were any.
 
-    Each run writes its rows of ``net``, ``stacks`` and ``transfers``, and what it changes in the
-    tables that the next one starts from: the ``unspent`` outputs with addresses and
+    Each run writes its rows of ``net``, ``stacks`` and ``transfers``, a sketch of each day's addresses
+    (``sketches``), and what it changes in the tables that the next one starts from: the ``unspent`` outputs with addresses and
     kinds, and the ``pages`` of the stacks.  Of these a run reads what its outpoints and the
     depth of its spends call for, and writes what they change.  ``done`` has the last
     height and time and lists the tables' segments; it is
@@ -167,6 +174,8 @@ def run_next(
     legs = put(tx_legs(entries, unspent=parents), "legs")
     signed = legs.withColumn("value", F.when(F.col("is_input"), -F.col("value")).otherwise(F.col("value")))
     net = put(net_changes(with_block_time(signed, times)), "net")
+    if sketches:
+        put(address_sketches(net), "sketches")
     if edges:
         put(model_transfers(net_accounts(legs, strict=True), sized_by=legs), "transfers")
     unspent = unspent.with_run(put(unspent_changes(entries, parents), "unspent-changes"), number)

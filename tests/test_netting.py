@@ -4,6 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from ledgerloom.operators import sketches
 from ledgerloom.operators.counters import observed
 from ledgerloom.operators.netting import in_address_order, net_changes, net_changes_windowed
 from ledgerloom.streaming import jobs
@@ -56,3 +57,20 @@ def test_published_stream_has_keys_and_shards(spark, tmp_path):
     got = spark.read.json(str(tmp_path / "out")).select("key", "topic", "partition").collect()
     assert len({r.key for r in got}) == len(got) == net_changes(df).count()
     assert {r.topic for r in got} <= {0, 1} and {r.partition for r in got} <= {0, 1, 2}
+
+
+def test_sketches_merge_like_sets(spark):
+    rows = [(86400 * (k % 20) + k, None if k % 50 == 0 else "" if k % 7 == 0 else f"a{k % 400}", k % 3) for k in range(6000)]
+    changes = spark.createDataFrame(rows, "ts bigint, address string, run int")
+    kept = sketches.address_sketches(changes, "run")
+    for period, days in (("day", 1), ("year", 365)):
+        sets = {}
+        for ts, address, _ in rows:
+            if address is not None:
+                sets.setdefault(ts // 86400 // days, set()).add(address)
+        got = {r.day: r.addresses for r in sketches.sketched_addresses(kept, period).collect()}
+        assert sorted(d.toordinal() - 719163 for d in got) == sorted(d * days for d in sets)
+        assert all(abs(got[d] - len(sets[(d.toordinal() - 719163) // days])) <= 0.1 * len(sets[(d.toordinal() - 719163) // days]) for d in got)
+    only = spark.createDataFrame([(5, ""), (6, None)], "ts bigint, address string")
+    assert [r.addresses for r in sketches.sketched_addresses(sketches.address_sketches(only)).collect()] == [1]
+    assert sketches.sketched_addresses(sketches.address_sketches(only.limit(0))).count() == 0

@@ -45,6 +45,10 @@ def test_runs_equal_one_run_and_a_broken_run_is_written_once(spark, chain, tmp_p
     assert rows(pipeline.read_runs(spark, out, "stacks")) == rows(lifo.stack_changes(net))
     moved = pipeline.block_transfers(chain)
     assert rows(pipeline.read_runs(spark, out, "transfers").select(*moved.columns)) == rows(moved)
+    for period, first in (("day", F.to_date(F.timestamp_seconds("ts"))), ("month", F.trunc(F.to_date(F.timestamp_seconds("ts")), "month"))):
+        exact = {r.day: r.n for r in net.groupBy(first.alias("day")).agg(F.countDistinct("address").alias("n")).collect()}
+        kept = {r.day: r.addresses for r in pipeline.active_addresses_after_runs(spark, out, period).collect()}
+        assert kept.keys() == exact.keys() and all(abs(kept[d] - n) <= max(1, 0.1 * n) for d, n in exact.items())
     unspent = pipeline.unspent_after_runs(spark, out)
     left = lifo.segments(net).where("closed_ts is null").select("address", "nonce", "ots", "value")
     assert rows(pipeline.open_segments_after_runs(spark, out)) == rows(left)
