@@ -3,13 +3,16 @@
 import base64
 import gzip
 import hashlib
+import math
 import random
 import textwrap
 import zlib
+from collections import Counter
 from urllib.parse import quote
 
 import numpy as np
 import pytest
+import regex
 
 from ledgerloom.llm import (
     chat_format,
@@ -477,3 +480,79 @@ def test_licenses(spark):
     assert (got[4].license, got[4].origin, got[4].source_dir) == ("Apache-2.0", "inherited", "repo")
     assert got[5].origin == "none" and got[7].origin == "inherited"
     assert license_scan.scan_licenses(spark.createDataFrame([], "file_id bigint, path string, text string")).count() == 0
+
+
+FILE = "file_id bigint, path string, text string, key string, license string"
+
+
+def test_licenses_of_wrapped_inline_and_whole_texts(spark):
+    full = dict()
+    for name, text in license_scan.TEMPLATES:
+        full[name] = max(full.get(name, ""), text, key=len)
+    gpl2 = (
+        "# This program is free software; you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n"
+        "# the Free Software Foundation; either version 2 of the License, or\n# (at your option) any later version.\n#\nimport os"
+    )
+    mit = "MIT License\n\nCopyright (c) 2020 A. Person\n\n" + textwrap.fill(full["MIT"], 60)
+    html = license_scan.visible_lines("h")
+    pages = spark.createDataFrame([("<p>Licensed under <a href='x'>CC BY 4.0</a></p><p>other<br/>words</p>",)], "h string")
+    page = pages.select(html.alias("t")).first().t
+    rows = [
+        (1, "a/x.py", gpl2),
+        (2, "b/x.py", gpl2.replace("software;", "software:").replace("Foundation;", "Foundation,").replace("version 2", "version 3")),
+        (3, "c/LICENSE", mit),
+        (4, "d/LICENSE.txt", "Copyright 2020\n\n" + textwrap.fill(full["BSD-3-Clause"], 50)),
+        (5, "e/COPYING", "Copyright 2020\n\n" + textwrap.fill(full["BSD-2-Clause"], 50)),
+        (6, "f/x.html", page),
+        (7, "c/src/deep/a.c", "int x;"),
+        (8, "LICENSE", "                    GNU GENERAL PUBLIC LICENSE\n                       Version 2, June 1991\n\nmore"),
+        (9, "g/h/i.c", ""),
+        (10, "i.c", None),
+        (11, "c/y.js", "/*\n * " + full["Apache-2.0"][:30] + "\n */"),
+        (12, "z/long.txt", "plain words " * 60_000 + "\nReleased under the MIT License.\n"),
+    ]
+    got = {r.file_id: r for r in license_scan.scan_licenses(spark.createDataFrame([(*r, "k", "l") for r in rows], FILE)).collect()}
+    assert [got[k].license for k in range(1, 7)] == ["GPL-2.0", "GPL-3.0", "MIT", "BSD-3-Clause", "BSD-2-Clause", "CC-BY-4.0"]
+    assert all(got[k].origin == "own" for k in (1, 2, 3, 4, 5, 6, 8, 12))
+    assert (got[7].license, got[7].source_dir) == ("MIT", "c")
+    assert got[8].license == "GPL-2.0" and got[12].license == "MIT"
+    for k in (9, 10):
+        assert (got[k].license, got[k].origin, got[k].source_dir) == ("GPL-2.0", "inherited", "")
+
+
+def test_license_paths_of_addresses(spark):
+    urls = ["http://a.b/c/d.html?x=1", "https://host", "host#top", "", None, "http://h/"]
+    frame = spark.createDataFrame([(u,) for u in urls], "u string")
+    paths = [r.p for r in frame.select(license_scan.url_path("u").alias("p")).collect()]
+    assert paths == ["a.b/c/d.html", "host/", "host/", None, None, "h/"]
+
+
+def test_license_cosines_by_a_loop(spark):
+    rng = random.Random(3)
+    words = "license version software mit gnu public terms of the under 2 3 4.0 free copy permission".split()
+    texts = [" ".join(rng.choices(words, k=rng.randint(1, 12))) for _ in range(120)] + [t for _, t in license_scan.TEMPLATES[:4]] * 2
+    rows = [(k, f"d{k % 9}/f{k}", t) for k, t in enumerate(texts)]
+    found = license_scan.headers(spark.createDataFrame(rows, "file_id bigint, path string, text string")).cache()
+
+    def terms(text):
+        return Counter(regex.findall(license_scan.TERM, text.lower()))
+
+    listed = [r.header for r in found.collect()]
+    df = Counter(t for h in listed for t in terms(h))
+
+    def vector(text):
+        tf = {t: n * (math.log((1 + len(listed)) / (1 + df[t])) + 1) for t, n in terms(text).items()}
+        norm = math.sqrt(sum(w * w for w in tf.values()))
+        return {t: w / norm for t, w in tf.items()}
+
+    known = [(name, vector(t)) for name, t in license_scan.TEMPLATES]
+    want = {}
+    for h in set(listed):
+        v = vector(h)
+        best = min((-round(sum(w * u.get(t, 0) for t, w in v.items()), 6), name) for name, u in known)
+        if -best[0] >= 0.3:
+            want[hashlib.sha256(h.encode()).digest()] = (best[1], -best[0])
+    got = {bytes(r.key): (r.license, round(r.cosine, 6)) for r in license_scan.header_licenses(found, spark, 0.3).collect()}
+    assert got.keys() == want.keys() and len(got) > 20
+    assert all(abs(got[k][1] - want[k][1]) < 2e-6 for k in got)
+    assert sum(got[k][0] != want[k][0] for k in got) == 0
