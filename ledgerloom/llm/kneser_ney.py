@@ -1,4 +1,4 @@
-"""Interpolated modified Kneser-Ney scores of texts, from a bigram model counted over the training texts.
+"""Interpolated modified Kneser-Ney scores of texts, from a model of word pairs or triples counted over the training texts.
 
 Counting and scoring never hold the model in one place.  Tasks count what they
 read and send sorted runs of (hash, count) to ranges of hashes; each range is
@@ -11,9 +11,16 @@ time.
   in a range by their context; those of words that make up a thousandth of the
   text or more (at most a thousand words) by both, so that no range grows with
   one word.
+* triples (``order`` 3): sorted contexts (id, id), where the followers of each
+  begin, and the followers with counts, in ranges by context; contexts of two
+  such frequent words lie in ranges by all three.  A merged range of triples
+  gives the pairs below it: a pair's count is then the number of different
+  words before it, or, at a text's begin, of texts.
 * contexts: sorted ids, totals, and numbers of followers seen once, twice, more.
 * continuations: for each word the number of different words before it.
 
+Counts take a byte in the files; larger ones are in a short list beside them.
+
 Each text begins after a start mark and ends with an end mark, which counts as a
 token.  A word that training never met shares what the discounts leave over with
 all words, as one word more.
@@ -40,9 +47,13 @@ from .text import SPACE, Hasher, Words, mixed, slices, utf8
 
 TOKENS_PER_RUN = 2_000_000
 FREQUENT_SHARE = 1000
+TOKENS_PER_RANGE = 8_000_000
+WIDE = 32
+_LARGE = 255
 _END = np.uint64(0x5E5E5E5E5E5E5E5F)
 _NONE = np.uint64(0xFFFFFFFF)
 _RUN = "part int, keys binary, counts binary"
+_TRIPLE_RUN = "part int, keys binary, words binary, counts binary"
 _DONE = "kind string, part int, keys binary, counts binary, stats array<bigint>"
 
 
@@ -51,14 +62,23 @@ def held_out(doc_id: str = "doc_id", folds: int = 7, fold: int = 2) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """64-bit numbers byte by byte place, so that compression takes the empty high bytes."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _of_planes(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(np.uint64)
+
+
 def _packed(values: np.ndarray) -> bytes:
-    """Sorted 64-bit numbers as differences, byte by byte place, so that compression takes the empty high bytes."""
-    return np.ascontiguousarray(np.diff(values, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T).tobytes()
+    """Sorted 64-bit numbers as differences."""
+    return _planes(np.diff(values, prepend=np.uint64(0)))
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(data, np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).reshape(-1).view(np.uint64), dtype=np.uint64)
+    return np.cumsum(_of_planes(data), dtype=np.uint64)
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -111,6 +131,25 @@ def _read(folder: str, name: str, dtype) -> np.ndarray:
     return np.frombuffer(source.read_buffer(), dtype)
 
 
+def _write_counts(folder: str, name: str, part: int, counts: np.ndarray) -> None:
+    """Counts as bytes, and a list of (place, count) for those that a byte is too small for."""
+    large = np.flatnonzero(counts >= _LARGE)
+    _write(folder, f"{name}-{part}", np.minimum(counts, _LARGE).astype(np.uint8))
+    _write(folder, f"{name}-{part}-large", np.stack([large, counts[large]]).astype(np.int64))
+
+
+def _starts(values: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    return np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else np.zeros(0, np.int64)
+
+
+def _seen(counts: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sum of the counts of each run, and how many of them are one, two, more."""
+    if not len(first):
+        return np.zeros((0, 4), np.int64)
+    return np.stack([np.add.reduceat(v, first) for v in (counts, counts == 1, counts == 2, counts >= 3)], axis=1).astype(np.int64)
+
+
 def _texts(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list[tuple[int, int, Words]]]]:
     hasher = Hasher()
     for batch in batches:
@@ -137,6 +176,7 @@ class Vocabulary:
     bases: np.ndarray
     total: int
     frequent: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    range_bits: int = 1
 
     @property
     def size(self) -> int:
@@ -244,13 +284,35 @@ def _range(keys: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
     """The range that sorted pairs lie in."""
     context = keys >> np.uint64(32)
     common = vocabulary.frequent[np.minimum(np.searchsorted(vocabulary.frequent, context), len(vocabulary.frequent) - 1)] == context
-    return mixed(np.where(common, keys, context)) >> np.uint64(64 - vocabulary.bits)
+    return mixed(np.where(common, keys, context)) >> np.uint64(64 - vocabulary.range_bits)
+
+
+def _second_context(before: np.ndarray, first: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
+    """The two tokens before each as one number; the first token of a text has none and gets a number no triple has."""
+    earlier = np.empty_like(before)
+    earlier[1:] = before[:-1]
+    earlier[first[:-1]] = np.uint64(vocabulary.size + 1)
+    return (earlier << np.uint64(32)) | before
+
+
+def _common(contexts: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
+    """Contexts of two frequent words, whose triples are dealt out by all three words."""
+    is_frequent = np.isin(contexts & np.uint64(0xFFFFFFFF), vocabulary.frequent)
+    head = contexts >> np.uint64(32)
+    return is_frequent & (np.isin(head, vocabulary.frequent) | (head == np.uint64(vocabulary.size + 1)))
+
+
+def _triple_range(contexts: np.ndarray, words: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
+    """The range that triples lie in."""
+    return mixed(np.where(_common(contexts, vocabulary), mixed(contexts) + words, contexts)) >> np.uint64(64 - vocabulary.range_bits)
 
 
 @dataclass
 class Model:
     """What scoring needs besides the files: discounts, totals and the frequent words' contexts."""
 
+    order: int
+    triple_discount: np.ndarray
     vocabulary: Vocabulary
     pair_discount: np.ndarray
     word_discount: np.ndarray
@@ -268,9 +330,8 @@ def _discounts(n: list[int]) -> np.ndarray:
     return np.clip(out, 0, [0, 1, 2, 3])
 
 
-def _count_pairs(training: DataFrame, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, DataFrame]:
-    """Write pairs and contexts; the counts of counts, the frequent words' contexts, and runs of continuations."""
-    folder = vocabulary.folder
+def _pair_runs(training: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """Pairs with counts as sorted runs."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opened = vocabulary.open()
@@ -291,20 +352,126 @@ def _count_pairs(training: DataFrame, vocabulary: Vocabulary) -> tuple[np.ndarra
         if keys:
             yield run()
 
+    return training.mapInArrow(count, _RUN)
+
+
+def _summed_triples(contexts: np.ndarray, words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct sorted triples with the sums of their counts."""
+    order = np.lexsort((words, contexts))
+    contexts, words, counts = contexts[order], words[order], counts[order]
+    fresh = np.append(True, (contexts[1:] != contexts[:-1]) | (words[1:] != words[:-1])) if len(words) else np.zeros(0, bool)
+    first = np.flatnonzero(fresh)
+    return contexts[first], words[first], np.add.reduceat(counts, first) if len(first) else counts
+
+
+def _count_triples(training: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """Write triples where the frame is computed; runs of the pairs they give."""
+    folder = vocabulary.folder
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opened = vocabulary.open()
+        held, size = [], 0
+
+        def run() -> pa.RecordBatch:
+            contexts, words = (np.concatenate([h[k] for h in held]) for k in (0, 1))
+            contexts, words, counts = _summed_triples(contexts, words, np.ones(len(words), np.int64))
+            parts = _triple_range(contexts, words, opened)
+            order = np.argsort(parts, kind="stable")
+            rows = []
+            for part, a, b in _stretches(parts[order]):
+                at = order[a:b]
+                rows.append((part, _packed(contexts[at]), _planes(words[at]), _planes(counts[at])))
+            kinds = [("part", pa.int32()), ("keys", pa.binary()), ("words", pa.binary()), ("counts", pa.binary())]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([r[k] for r in rows], t) for k, (_, t) in enumerate(kinds)], [n for n, _ in kinds]
+            )
+
+        for _, texts in _texts(batches, "text"):
+            for _, _, words in texts:
+                ids, before, first, *_ = _pairs(words, opened)
+                held.append((_second_context(before, first, opened), ids))
+                size += len(ids)
+                if size > TOKENS_PER_RUN:
+                    yield run()
+                    held, size = [], 0
+        if held:
+            yield run()
+
+    def merge(group: pd.DataFrame) -> pd.DataFrame:
+        part = int(group["part"].iloc[0])
+        contexts = np.concatenate([_unpacked(k) for k in group["keys"]])
+        words = np.concatenate([_of_planes(w) for w in group["words"]])
+        counts = np.concatenate([_of_planes(c) for c in group["counts"]]).astype(np.int64)
+        contexts, words, counts = _summed_triples(contexts, words, counts)
+        whole = contexts >> np.uint64(32) != np.uint64(vocabulary.size + 1)
+        # A pair counts once for each word before it, and at a text's begin once for each text.
+        pairs, times = _summed((contexts << np.uint64(32)) | words, np.where(whole, 1, counts))
+        contexts, words, counts = contexts[whole], words[whole], counts[whole]
+        first = _starts(contexts)
+        owners, seen = contexts[first], _seen(counts, first)
+        common = _common(owners, vocabulary)
+        wide = ~common & (np.diff(np.append(first, len(contexts))) > WIDE)
+        _write(folder, f"triplecontexts-{part}", owners)
+        _write(folder, f"triplefirst-{part}", np.append(first, len(words)).astype(np.uint32))
+        _write(folder, f"triplewords-{part}", words.astype(np.uint32))
+        _write_counts(folder, "triplecounts", part, counts)
+        _write(folder, f"triplewide-{part}", np.column_stack([owners[wide].astype(np.int64), seen[wide]]))
+        _write(folder, f"triplecommon-{part}", np.column_stack([owners[common].astype(np.int64), seen[common]]))
+        _write(folder, f"triplestats-{part}", np.array([(counts == k).sum() for k in (1, 2, 3, 4)], np.int64))
+        rows = list(_runs(_range(pairs, vocabulary), pairs, times))
+        return pd.DataFrame(rows, columns=["part", "keys", "counts"])
+
+    return training.mapInArrow(count, _TRIPLE_RUN).groupBy("part").applyInPandas(merge, _RUN)
+
+
+def _finish_triples(spark, vocabulary: Vocabulary) -> list[int]:
+    """Add up the contexts that lie in several ranges, into files by context; counts of the triples' counts."""
+    folder, parts = vocabulary.folder, 1 << vocabulary.range_bits
+    ranges = spark.range(0, parts, 1, min(32, parts))
+    names = [f"c{k}" for k in range(4)]
+
+    def stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [_read(folder, f"triplestats-{part}", np.int64) for part in batch.column(0).to_pylist()]
+            sums = np.sum([f for f in found if len(f)] + [np.zeros(4, np.int64)], axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array([int(v)], pa.int64()) for v in sums], names)
+
+    def common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in batch.column(0).to_pylist():
+                rows = _read(folder, f"triplecommon-{part}", np.int64).reshape(-1, 5)
+                at = (mixed(rows[:, 0].astype(np.uint64)) >> np.uint64(64 - vocabulary.range_bits)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(at), *[pa.array(rows[:, k]) for k in range(5)]], ["part", "context", *names])
+
+    def write(group: pd.DataFrame) -> pd.DataFrame:
+        part = int(group["part"].iloc[0])
+        rows = group[["context", *names]].to_numpy(np.int64)
+        _write(folder, f"common-{part}", rows[np.argsort(rows[:, 0].astype(np.uint64))])
+        return pd.DataFrame({"part": [part]})
+
+    kinds = ", ".join(f"{n} bigint" for n in names)
+    summed = ranges.mapInArrow(common, f"part int, context bigint, {kinds}").groupBy("part", "context")
+    summed.agg(*[F.sum(n).alias(n) for n in names]).groupBy("part").applyInPandas(write, "part int").count()
+    row = ranges.mapInArrow(stats, kinds).agg(*[F.sum(n) for n in names]).first()
+    return [v or 0 for v in row]
+
+
+def _count_pairs(runs: DataFrame, vocabulary: Vocabulary) -> tuple[list[int], np.ndarray, DataFrame]:
+    """Write pairs and contexts; the counts of counts, the frequent words' contexts, and runs of continuations."""
+    folder = vocabulary.folder
+
     def merge(group: pd.DataFrame) -> pd.DataFrame:
         part = int(group["part"].iloc[0])
         keys, counts = _merged(group)
         _write(folder, f"pairs-{part}", keys)
-        _write(folder, f"paircounts-{part}", counts.astype(np.int64))
+        _write_counts(folder, "paircounts", part, counts)
         context = keys >> np.uint64(32)
-        first = np.flatnonzero(np.append(True, context[1:] != context[:-1]))
-        table = np.stack(
-            [np.add.reduceat(v, first) for v in (counts, counts == 1, counts == 2, counts >= 3)], axis=1
-        ).astype(np.int64)
+        first = _starts(context)
+        table = _seen(counts, first)
         owners = context[first]
         common = np.isin(owners, vocabulary.frequent)
         _write(folder, f"contexts-{part}", owners[~common])
-        _write(folder, f"contextcounts-{part}", table[~common].astype(np.int64))
+        _write(folder, f"contextcounts-{part}", table[~common])
         rows = [("counts", part, b"", b"", [int((counts == k).sum()) for k in (1, 2, 3, 4)])]
         rows += [("context", int(o), b"", b"", t.tolist()) for o, t in zip(owners[common], table[common], strict=True)]
         follower, times = np.unique(keys & np.uint64(0xFFFFFFFF), return_counts=True)
@@ -312,7 +479,6 @@ def _count_pairs(training: DataFrame, vocabulary: Vocabulary) -> tuple[np.ndarra
         rows += [("follower", p, k, c, []) for p, k, c in _runs(at, follower, times)]
         return pd.DataFrame(rows, columns=["kind", "part", "keys", "counts", "stats"])
 
-    runs = training.mapInArrow(count, _RUN)
     done = stored(runs.groupBy("part").applyInPandas(merge, _DONE), "pair-counts")
     numbers = done.where("kind = 'counts'").select(*[F.sum(F.col("stats")[k]).alias(f"n{k}") for k in range(4)]).first()
     rows = (
@@ -344,21 +510,30 @@ def _count_continuations(runs: DataFrame, vocabulary: Vocabulary) -> tuple[list[
     return sums[:4], sums[4], sums[5]
 
 
-def train(training: DataFrame, parts: int | None = None) -> Model:
-    """Count the ``text`` of all rows.  ``parts`` is the number of ranges, that of shuffle partitions if not given."""
+def train(training: DataFrame, parts: int | None = None, order: int = 3) -> Model:
+    """Count the ``text`` of all rows, in triples or, with ``order`` 2, in pairs of words.
+
+    ``parts`` is the number of ranges of words, that of shuffle partitions if not
+    given; pairs and triples get more where a range would have too many tokens.
+    """
+    if order not in (2, 3):
+        raise ValueError("the order is 2 or 3")
     spark = training.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     bits = max(1, (parts - 1).bit_length())
     texts = training.select(F.col("text").cast("string").alias("text"))
     vocabulary = _count_words(texts, new_folder(spark, "kneser-ney"), bits)
-    if vocabulary.size >= int(_NONE):
+    if vocabulary.size + 1 >= int(_NONE):
         raise ValueError("more words than ids")
+    vocabulary.range_bits = max(bits, (vocabulary.total // TOKENS_PER_RANGE).bit_length())
     vocabulary.frequent = _frequent(vocabulary, spark)
-    numbers, contexts, runs = _count_pairs(texts, vocabulary)
-    before, total, many = _count_continuations(runs, vocabulary)
+    runs = _count_triples(texts, vocabulary) if order == 3 else _pair_runs(texts, vocabulary)
+    numbers, contexts, followers = _count_pairs(runs, vocabulary)
+    triples = _finish_triples(spark, vocabulary) if order == 3 else [0] * 4
+    before, total, many = _count_continuations(followers, vocabulary)
     discount = _discounts(before)
     left = (discount[1:] * [before[0], before[1], many]).sum() / total if total else 1.0
-    return Model(vocabulary, _discounts(numbers), discount, total, float(left), contexts)
+    return Model(order, _discounts(triples), vocabulary, _discounts(numbers), discount, total, float(left), contexts)
 
 
 class Scorer:
@@ -368,11 +543,20 @@ class Scorer:
         self._model, self._vocabulary = model, model.vocabulary.open()
         self._files: dict[tuple[str, int], np.ndarray] = {}
 
-    def _file(self, name: str, part: int, dtype) -> np.ndarray:
+    def _file(self, name: str, part: int | str, dtype) -> np.ndarray:
         if (name, part) not in self._files:
             self._files[name, part] = _read(self._vocabulary.folder, f"{name}-{part}", dtype)
         return self._files[name, part]
 
+    def _counts(self, name: str, part: int, places: np.ndarray) -> np.ndarray:
+        """Counts at places of a range."""
+        counts = self._file(name, part, np.uint8)[places].astype(np.int64)
+        big = np.flatnonzero(counts == _LARGE)
+        if len(big):
+            at, value = self._file(name, f"{part}-large", np.int64).reshape(2, -1)
+            counts[big] = value[np.searchsorted(at, places[big])]
+        return counts
+
     def _pair_counts(self, keys: np.ndarray) -> np.ndarray:
         """Counts of sorted pairs."""
         parts = _range(keys, self._vocabulary)
@@ -383,9 +567,77 @@ class Scorer:
             if len(held):
                 asked = keys[order[a:b]]
                 at = np.minimum(np.searchsorted(held, asked), len(held) - 1)
-                out[order[a:b]] = np.where(held[at] == asked, self._file("paircounts", part, np.int64)[at], 0)
+                out[order[a:b]] = np.where(held[at] == asked, self._counts("paircounts", part, at), 0)
         return out
 
+    def _slices(self, part: int, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the followers of contexts begin and end in a range; the same place twice for those it has not."""
+        held = self._file("triplecontexts", part, np.uint64)
+        if not len(held):
+            return np.zeros(len(contexts), np.int64), np.zeros(len(contexts), np.int64)
+        at = np.minimum(np.searchsorted(held, contexts), len(held) - 1)
+        first = self._file("triplefirst", part, np.uint32)
+        begin, end = first[at].astype(np.int64), first[at + 1].astype(np.int64)
+        return begin, np.where(held[at] == contexts, end, begin)
+
+    def _triple_counts(self, contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """Counts of triples."""
+        parts = _triple_range(contexts, words, self._vocabulary)
+        order = np.argsort(parts, kind="stable")
+        out = np.zeros(len(words), np.int64)
+        for part, a, b in _stretches(parts[order]):
+            rows = order[a:b]
+            begin, end = self._slices(part, contexts[rows])
+            held, top = self._file("triplewords", part, np.uint32), end
+            while (begin < top).any():
+                middle = (begin + top) // 2
+                lower = (begin < top) & (held[np.minimum(middle, len(held) - 1)] < words[rows])
+                begin, top = np.where(lower, middle + 1, begin), np.where(lower, top, np.minimum(middle, top))
+            there = np.flatnonzero(begin < end)
+            there = there[held[begin[there]] == words[rows[there]]]
+            if len(there):
+                out[rows[there]] = self._counts("triplecounts", part, begin[there])
+        return out
+
+    def _triple_contexts(self, contexts: np.ndarray) -> np.ndarray:
+        """Total, and followers seen once, twice and more, of sorted contexts of two words."""
+        out = np.zeros((len(contexts), 4))
+        common = _common(contexts, self._vocabulary)
+        parts = mixed(contexts) >> np.uint64(64 - self._vocabulary.range_bits)
+        order = np.lexsort((parts, common))
+        for part, a, b in _stretches(parts[order] * np.uint64(2) + common[order]):
+            rows = order[a:b]
+            listed = np.ones(len(rows), bool)
+            if not part & 1:
+                begin, end = self._slices(part >> 1, contexts[rows])
+                listed = end - begin > WIDE
+                short = np.flatnonzero((end > begin) & ~listed)
+                if len(short):
+                    size = (end - begin)[short]
+                    first = np.cumsum(size) - size
+                    places = np.arange(size.sum()) + np.repeat(begin[short] - first, size)
+                    out[rows[short]] = _seen(self._counts("triplecounts", part >> 1, places), first)
+            name = "common" if part & 1 else "triplewide"
+            table = self._file(name, part >> 1, np.int64).reshape(-1, 5)
+            if len(table) and listed.any():
+                rows = rows[listed]
+                keys = table[:, 0].astype(np.uint64)
+                at = np.minimum(np.searchsorted(keys, contexts[rows]), len(keys) - 1)
+                hit = keys[at] == contexts[rows]
+                out[rows[hit]] = table[at[hit], 1:]
+        return out
+
+    def _with_triples(self, ids: np.ndarray, before: np.ndarray, first: np.ndarray, lower: np.ndarray) -> np.ndarray:
+        """Chances of tokens by the two before them, from the chances by one."""
+        both = _second_context(before, first, self._vocabulary)
+        contexts, at = np.unique(both, return_inverse=True)
+        table = self._triple_contexts(contexts)
+        total = np.maximum(table[:, 0], 1)
+        discount = self._model.triple_discount
+        passed = np.where(table[:, 0] > 0, (table[:, 1:] * discount[1:]).sum(1) / total, 1.0)
+        seen = self._triple_counts(both, ids)
+        return np.maximum(seen - discount[np.minimum(seen, 3)], 0) / total[at] + passed[at] * lower
+
     def _contexts(self, ids: np.ndarray) -> np.ndarray:
         """Total, and followers seen once, twice and more, of sorted ids."""
         out = np.zeros((len(ids), 4))
@@ -394,7 +646,7 @@ class Scorer:
             at = np.minimum(np.searchsorted(common[:, 0], ids.astype(np.int64)), len(common) - 1)
             hit = common[at, 0] == ids.astype(np.int64)
             out[hit] = common[at[hit], 1:]
-        parts = mixed(ids) >> np.uint64(64 - self._vocabulary.bits)
+        parts = mixed(ids) >> np.uint64(64 - self._vocabulary.range_bits)
         order = np.argsort(parts, kind="stable")
         for part, a, b in _stretches(parts[order]):
             held = self._file("contexts", part, np.uint64)
@@ -427,6 +679,8 @@ class Scorer:
         seen = self._pair_counts(keys)
         kept = np.maximum(seen - model.pair_discount[np.minimum(seen, 3)], 0)[key_at] / total[context_at]
         chance = kept + passed[context_at] * alone[inverse]
+        if model.order == 3:
+            chance = self._with_triples(ids, before, first, chance)
         sums = lambda v: np.add.reduceat(v, first[:-1]) if len(first) > 1 else np.zeros(0)
         return {
             "n_tokens": np.diff(first),

@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
+from ledgerloom.llm import kneser_ney
 from ledgerloom.llm.oracle import ORACLE
 from ledgerloom.llm.queries import QUERIES
 
@@ -101,15 +102,19 @@ def test_packing(spark, ids):
     assert used <= least * 1.02 + 1
 
 
-def plain_model(texts):
+def plain_model(texts, order):
     """The same model by loops over dictionaries."""
     fold = {c: c + 32 for c in range(65, 91)}
     tokens = {d: re.findall(r"[^\x20\x09-\x0d]+", t.translate(fold)) + ["</s>"] for d, t in texts.items()}
-    seen, pairs = collections.Counter(), collections.Counter()
+    seen, pairs, triples = collections.Counter(), collections.Counter(), collections.Counter()
     for d, own in tokens.items():
         if zlib.crc32(str(d).encode()) % 7 != 2:
             seen.update(own)
             pairs.update(zip(["<s>", *own], own, strict=False))
+            triples.update(zip(["<s>", *own], own, own[1:], strict=False))
+    if order == 3:
+        preceded = collections.Counter((v, w) for _, v, w in triples)
+        pairs = collections.Counter({k: c if k[0] == "<s>" else preceded[k] for k, c in pairs.items()})
     total, size = sum(seen.values()), len(seen)
 
     def discounts(counts):
@@ -117,19 +122,29 @@ def plain_model(texts):
         y = n[0] / (n[0] + 2 * n[1])
         return [0] + [max(0, min(k, k - (k + 1) * y * n[k] / n[k - 1])) for k in (1, 2, 3)]
 
+    def contexts(counts, discount):
+        sums, passed = collections.Counter(), collections.Counter()
+        for k, v in counts.items():
+            sums[k[:-1]] += v
+            passed[k[:-1]] += discount[min(v, 3)]
+        return sums, passed
+
+    def mixed(counts, discount, sums, passed, key, p):
+        if not sums[key[:-1]]:
+            return p
+        return (max(counts[key] - discount[min(counts[key], 3)], 0) + passed[key[:-1]] * p) / sums[key[:-1]]
+
     before = collections.Counter(w for _, w in pairs)
-    upper, lower = discounts(pairs.values()), discounts(before.values())
+    lower, middle, upper = discounts(before.values()), discounts(pairs.values()), discounts(triples.values())
     left = sum(lower[min(v, 3)] for v in before.values()) / len(pairs)
-    context, passed = collections.Counter(), collections.Counter()
-    for (h, _), v in pairs.items():
-        context[h] += v
-        passed[h] += upper[min(v, 3)]
+    by_one, by_two = contexts(pairs, middle), contexts(triples, upper)
     for d, own in tokens.items():
         score = base = 0.0
-        for h, w in zip(["<s>", *own], own, strict=False):
+        for u, v, w in zip([None, "<s>", *own], ["<s>", *own], own, strict=False):
             p = (before[w] - lower[min(before[w], 3)]) / len(pairs) + left / (size + 1)
-            if context[h]:
-                p = (max(pairs[h, w] - upper[min(pairs[h, w], 3)], 0) + passed[h] * p) / context[h]
+            p = mixed(pairs, middle, *by_one, (v, w), p)
+            if order == 3:
+                p = mixed(triples, upper, *by_two, (u, v, w), p)
             score += math.log10(p)
             base += math.log10((seen[w] + 1) / (total + size + 1))
         yield d, len(own), sum(w in seen for w in own), total, base, score
@@ -138,7 +153,7 @@ def plain_model(texts):
 def test_language_model(spark, texts):
     rows = {r.doc_id: r for r in QUERIES["op6_kneser_ney"](spark, SF).collect()}
     assert rows.keys() == texts.keys()
-    for d, n, known, total, base, score in plain_model(texts):
+    for d, n, known, total, base, score in plain_model(texts, order=3):
         r = rows[d]
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (zlib.crc32(str(d).encode()) % 7 == 2, n, known, total)
         assert r.base_score == pytest.approx(base, rel=1e-9)
@@ -147,6 +162,26 @@ def test_language_model(spark, texts):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+@pytest.mark.parametrize("order", [2, 3])
+@pytest.mark.parametrize("share", [30, 10**9])
+def test_language_model_orders(spark, texts, monkeypatch, order, share):
+    """Both orders, with runs, ranges and lists of large counts and contexts that small texts reach."""
+    for name, value in {"TOKENS_PER_RUN": 5000, "TOKENS_PER_RANGE": 9000, "WIDE": 2, "_LARGE": 4, "FREQUENT_SHARE": share}.items():
+        monkeypatch.setattr(kneser_ney, name, value)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").repartition(3)
+    model = kneser_ney.train(docs.where(~kneser_ney.held_out()), parts=2, order=order)
+    assert model.vocabulary.range_bits > 1
+    rows = {r.doc_id: r.score for r in kneser_ney.score(docs, model).collect()}
+    want = {d: score for d, *_, score in plain_model(texts, order)}
+    assert rows.keys() == want.keys()
+    assert all(rows[d] == pytest.approx(want[d], rel=1e-9) for d in want)
+
+
+def test_language_model_of_another_order(spark):
+    with pytest.raises(ValueError, match="order"):
+        kneser_ney.train(spark.createDataFrame([("a",)], "text string"), order=4)
+
+
 def test_quality_held_out(spark, tables):
     rows = {r.doc_id: r for r in QUERIES["op7_line_crf_quality"](spark, "/root/testdata/sf0.01").collect()}
     labels = tables.execute("select doc_id, quality from '/root/testdata/sf0.01/labels.parquet'").fetchall()
