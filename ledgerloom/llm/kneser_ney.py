@@ -7,16 +7,16 @@ map those files into memory and look up by binary search, sorted requests at a
 time.
 
 * words: sorted hashes, and counts.  A word's id is its place.
-* pairs: sorted (id, id) of a context and its follower, and counts.  Pairs lie
-  in a range by their context; those of words that make up a thousandth of the
-  text or more (at most a thousand words) by both, so that no range grows with
-  one word.
-* triples (``order`` 3): sorted contexts (id, id), where the followers of each
-  begin, and the followers with counts, in ranges by context; contexts of two
-  such frequent words lie in ranges by all three.  A merged range of triples
-  gives the pairs below it: a pair's count is then the number of different
-  words before it, or, at a text's begin, of texts.
-* contexts: sorted ids, totals, and numbers of followers seen once, twice, more.
+* pairs: sorted contexts (ids), how many followers each has, and the followers
+  (ids) with counts.  Pairs lie in a range by their context; those of words that
+  make up a thousandth of the text or more (at most a thousand words) by both,
+  so that no range grows with one word.
+* triples (``order`` 3): the same with contexts of two ids; contexts of two such
+  frequent words lie in ranges by all three.  A merged range of triples gives
+  the pairs below it: a pair's count is then the number of different words
+  before it, or, at a text's begin, of texts.
+* sums of contexts with many followers, and of those that lie in several ranges:
+  total, and numbers of followers seen once, twice, more.
 * continuations: for each word the number of different words before it.
 
 Counts take a byte in the files; larger ones are in a short list beside them.
@@ -42,19 +42,20 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .store import new_folder, stored
+from .store import new_folder
 from .text import SPACE, Hasher, Words, mixed, slices, utf8
 
 TOKENS_PER_RUN = 2_000_000
 FREQUENT_SHARE = 1000
 TOKENS_PER_RANGE = 8_000_000
 WIDE = 32
+_GROUP = 16
 _LARGE = 255
 _END = np.uint64(0x5E5E5E5E5E5E5E5F)
 _NONE = np.uint64(0xFFFFFFFF)
 _RUN = "part int, keys binary, counts binary"
 _TRIPLE_RUN = "part int, keys binary, words binary, counts binary"
-_DONE = "kind string, part int, keys binary, counts binary, stats array<bigint>"
+_DONE = "part int, stats array<bigint>"
 
 
 def held_out(doc_id: str = "doc_id", folds: int = 7, fold: int = 2) -> Column:
@@ -63,12 +64,14 @@ def held_out(doc_id: str = "doc_id", folds: int = 7, fold: int = 2) -> Column:
 
 
 def _planes(values: np.ndarray) -> bytes:
-    """64-bit numbers byte by byte place, so that compression takes the empty high bytes."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T).tobytes()
+    """64-bit numbers byte by byte place, compressed, which takes the empty high bytes."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T).tobytes()
+    return len(planes).to_bytes(8, "little") + pa.Codec("zstd").compress(planes, asbytes=True)
 
 
 def _of_planes(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(data, np.uint8).reshape(8, -1)
+    size = int.from_bytes(data[:8], "little")
+    planes = np.frombuffer(pa.Codec("zstd").decompress(data[8:], size, asbytes=True), np.uint8).reshape(8, -1)
     return np.ascontiguousarray(planes.T).reshape(-1).view(np.uint64)
 
 
@@ -95,7 +98,7 @@ def _runs(parts: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> Iterator[t
     parts, keys, counts = parts[order], keys[order], counts[order].astype(np.int64)
     bounds = np.append(np.flatnonzero(np.append(True, parts[1:] != parts[:-1])), len(parts)) if len(parts) else []
     for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-        yield int(parts[a]), _packed(keys[a:b]), counts[a:b].tobytes()
+        yield int(parts[a]), _packed(keys[a:b]), _planes(counts[a:b])
 
 
 def _batch(rows: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
@@ -107,7 +110,7 @@ def _batch(rows: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
 def _merged(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The runs of one part as one."""
     keys = np.concatenate([_unpacked(k) for k in group["keys"]])
-    counts = np.concatenate([np.frombuffer(c, np.int64) for c in group["counts"]]).astype(np.int64)
+    counts = np.concatenate([_of_planes(c) for c in group["counts"]]).astype(np.int64)
     return _summed(keys, counts)
 
 
@@ -186,16 +189,25 @@ class Vocabulary:
         self._files: dict[tuple[str, int], np.ndarray] = {}
         return self
 
-    def _file(self, name: str, part: int, dtype) -> np.ndarray:
+    def file(self, name: str, part: int | str, dtype) -> np.ndarray:
         if (name, part) not in self._files:
             self._files[name, part] = _read(self.folder, f"{name}-{part}", dtype)
         return self._files[name, part]
 
+    def counts(self, name: str, part: int, places: np.ndarray) -> np.ndarray:
+        """Counts at places of a range."""
+        counts = self.file(name, part, np.uint8)[places].astype(np.int64)
+        big = np.flatnonzero(counts == _LARGE)
+        if len(big):
+            at, value = self.file(name, f"{part}-large", np.int64).reshape(2, -1)
+            counts[big] = value[np.searchsorted(at, places[big])]
+        return counts
+
     def ids(self, hashes: np.ndarray) -> np.ndarray:
         """Ids of sorted hashes; ``_NONE`` for unknown ones."""
         out = np.full(len(hashes), _NONE, np.uint64)
         for part, a, b in _stretches(hashes >> np.uint64(64 - self.bits)):
-            held = self._file("words", part, np.uint64)
+            held = self.file("words", part, np.uint64)
             if len(held):
                 at = np.minimum(np.searchsorted(held, hashes[a:b]), len(held) - 1)
                 out[a:b] = np.where(held[at] == hashes[a:b], at + int(self.bases[part]), int(_NONE))
@@ -205,7 +217,7 @@ class Vocabulary:
         """What a file of one number per word has for sorted known ids."""
         out = np.zeros(len(ids), np.int64)
         for part, a, b in _stretches(np.searchsorted(self.bases, ids.astype(np.int64), "right") - 1):
-            out[a:b] = self._file(name, part, np.int64)[ids[a:b].astype(np.int64) - int(self.bases[part])]
+            out[a:b] = self.counts(name, part, ids[a:b].astype(np.int64) - int(self.bases[part]))
         return out
 
 
@@ -241,8 +253,8 @@ def _count_words(training: DataFrame, folder: str, bits: int) -> Vocabulary:
         part = int(group["part"].iloc[0])
         keys, counts = _merged(group)
         _write(folder, f"words-{part}", keys)
-        _write(folder, f"counts-{part}", counts.astype(np.int64))
-        return pd.DataFrame({"kind": ["words"], "part": [part], "keys": [b""], "counts": [b""], "stats": [[len(keys), int(counts.sum())]]})
+        _write_counts(folder, "counts", part, counts)
+        return pd.DataFrame({"part": [part], "stats": [[len(keys), int(counts.sum())]]})
 
     runs = training.mapInArrow(count, _RUN)
     done = runs.groupBy("part").applyInPandas(merge, _DONE).select("part", "stats").collect()
@@ -259,7 +271,8 @@ def _frequent(vocabulary: Vocabulary, spark) -> np.ndarray:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in batch.column(0).to_pylist():
-                counts = _read(vocabulary.folder, f"counts-{part}", np.int64)
+                size = len(_read(vocabulary.folder, f"counts-{part}", np.uint8))
+                counts = vocabulary.open().counts("counts", part, np.arange(size))
                 found = np.flatnonzero(counts > least) + int(vocabulary.bases[part])
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], ["id"])
 
@@ -280,11 +293,8 @@ def _pairs(words: Words, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray
     return ids, before, first, known, inverse
 
 
-def _range(keys: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
-    """The range that sorted pairs lie in."""
-    context = keys >> np.uint64(32)
-    common = vocabulary.frequent[np.minimum(np.searchsorted(vocabulary.frequent, context), len(vocabulary.frequent) - 1)] == context
-    return mixed(np.where(common, keys, context)) >> np.uint64(64 - vocabulary.range_bits)
+def _is_frequent(ids: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
+    return vocabulary.frequent[np.minimum(np.searchsorted(vocabulary.frequent, ids), len(vocabulary.frequent) - 1)] == ids
 
 
 def _second_context(before: np.ndarray, first: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
@@ -295,21 +305,25 @@ def _second_context(before: np.ndarray, first: np.ndarray, vocabulary: Vocabular
     return (earlier << np.uint64(32)) | before
 
 
-def _common(contexts: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
-    """Contexts of two frequent words, whose triples are dealt out by all three words."""
-    is_frequent = np.isin(contexts & np.uint64(0xFFFFFFFF), vocabulary.frequent)
-    head = contexts >> np.uint64(32)
-    return is_frequent & (np.isin(head, vocabulary.frequent) | (head == np.uint64(vocabulary.size + 1)))
+def _common(name: str, contexts: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
+    """Contexts of frequent words only, whose followers are dealt out over all ranges."""
+    if name == "pair":
+        return _is_frequent(contexts, vocabulary)
+    found = np.flatnonzero(_is_frequent(contexts & np.uint64(0xFFFFFFFF), vocabulary))
+    head = contexts[found] >> np.uint64(32)
+    out = np.zeros(len(contexts), bool)
+    out[found[_is_frequent(head, vocabulary) | (head == np.uint64(vocabulary.size + 1))]] = True
+    return out
 
 
-def _triple_range(contexts: np.ndarray, words: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
-    """The range that triples lie in."""
-    return mixed(np.where(_common(contexts, vocabulary), mixed(contexts) + words, contexts)) >> np.uint64(64 - vocabulary.range_bits)
+def _ranges(common: np.ndarray, contexts: np.ndarray, words: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
+    """The range that each context with its follower lies in."""
+    return mixed(np.where(common, mixed(contexts) + words, contexts)) >> np.uint64(64 - vocabulary.range_bits)
 
 
 @dataclass
 class Model:
-    """What scoring needs besides the files: discounts, totals and the frequent words' contexts."""
+    """What scoring needs besides the files: discounts and totals."""
 
     order: int
     triple_discount: np.ndarray
@@ -318,7 +332,6 @@ class Model:
     word_discount: np.ndarray
     continuations: int
     left_over: float
-    contexts: np.ndarray
 
 
 def _discounts(n: list[int]) -> np.ndarray:
@@ -330,6 +343,12 @@ def _discounts(n: list[int]) -> np.ndarray:
     return np.clip(out, 0, [0, 1, 2, 3])
 
 
+def _pair_rows(keys: np.ndarray, counts: np.ndarray, vocabulary: Vocabulary) -> list[tuple[int, bytes, bytes]]:
+    """Sorted pairs as runs by range."""
+    contexts, words = keys >> np.uint64(32), keys & np.uint64(0xFFFFFFFF)
+    return list(_runs(_ranges(_common("pair", contexts, vocabulary), contexts, words, vocabulary), keys, counts))
+
+
 def _pair_runs(training: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """Pairs with counts as sorted runs."""
 
@@ -338,8 +357,7 @@ def _pair_runs(training: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         keys, size = [], 0
 
         def run() -> pa.RecordBatch:
-            k, c = np.unique(np.concatenate(keys), return_counts=True)
-            return _batch(list(_runs(_range(k, opened), k, c)))
+            return _batch(_pair_rows(*np.unique(np.concatenate(keys), return_counts=True), opened))
 
         for _, texts in _texts(batches, "text"):
             for _, _, words in texts:
@@ -355,6 +373,24 @@ def _pair_runs(training: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return training.mapInArrow(count, _RUN)
 
 
+def _write_table(name: str, part: int, contexts: np.ndarray, words: np.ndarray, counts: np.ndarray, vocabulary: Vocabulary) -> None:
+    """One merged range of sorted pairs or triples as files."""
+    folder = vocabulary.folder
+    first = _starts(contexts)
+    owners, seen = contexts[first], _seen(counts, first)
+    sizes = np.diff(np.append(first, len(contexts)))
+    common = _common(name, owners, vocabulary)
+    wide = ~common & (sizes > WIDE)
+    _write(folder, f"{name}contexts-{part}", owners)
+    _write(folder, f"{name}first-{part}", first[::_GROUP].astype(np.int64))
+    _write_counts(folder, f"{name}sizes", part, sizes)
+    _write(folder, f"{name}words-{part}", words.astype(np.uint32))
+    _write_counts(folder, f"{name}counts", part, counts)
+    for kind, rows in (("wide", wide), ("parts", common)):
+        _write(folder, f"{name}{kind}-{part}", np.column_stack([owners[rows].astype(np.int64), seen[rows]]))
+    _write(folder, f"{name}stats-{part}", np.array([(counts == k).sum() for k in (1, 2, 3, 4)], np.int64))
+
+
 def _summed_triples(contexts: np.ndarray, words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct sorted triples with the sums of their counts."""
     order = np.lexsort((words, contexts))
@@ -366,7 +402,6 @@ def _summed_triples(contexts: np.ndarray, words: np.ndarray, counts: np.ndarray)
 
 def _count_triples(training: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """Write triples where the frame is computed; runs of the pairs they give."""
-    folder = vocabulary.folder
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opened = vocabulary.open()
@@ -375,7 +410,7 @@ def _count_triples(training: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         def run() -> pa.RecordBatch:
             contexts, words = (np.concatenate([h[k] for h in held]) for k in (0, 1))
             contexts, words, counts = _summed_triples(contexts, words, np.ones(len(words), np.int64))
-            parts = _triple_range(contexts, words, opened)
+            parts = _ranges(_common("triple", contexts, opened), contexts, words, opened)
             order = np.argsort(parts, kind="stable")
             rows = []
             for part, a, b in _stretches(parts[order]):
@@ -406,47 +441,35 @@ def _count_triples(training: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         whole = contexts >> np.uint64(32) != np.uint64(vocabulary.size + 1)
         # A pair counts once for each word before it, and at a text's begin once for each text.
         pairs, times = _summed((contexts << np.uint64(32)) | words, np.where(whole, 1, counts))
-        contexts, words, counts = contexts[whole], words[whole], counts[whole]
-        first = _starts(contexts)
-        owners, seen = contexts[first], _seen(counts, first)
-        common = _common(owners, vocabulary)
-        wide = ~common & (np.diff(np.append(first, len(contexts))) > WIDE)
-        _write(folder, f"triplecontexts-{part}", owners)
-        _write(folder, f"triplefirst-{part}", np.append(first, len(words)).astype(np.uint32))
-        _write(folder, f"triplewords-{part}", words.astype(np.uint32))
-        _write_counts(folder, "triplecounts", part, counts)
-        _write(folder, f"triplewide-{part}", np.column_stack([owners[wide].astype(np.int64), seen[wide]]))
-        _write(folder, f"triplecommon-{part}", np.column_stack([owners[common].astype(np.int64), seen[common]]))
-        _write(folder, f"triplestats-{part}", np.array([(counts == k).sum() for k in (1, 2, 3, 4)], np.int64))
-        rows = list(_runs(_range(pairs, vocabulary), pairs, times))
-        return pd.DataFrame(rows, columns=["part", "keys", "counts"])
+        _write_table("triple", part, contexts[whole], words[whole], counts[whole], vocabulary)
+        return pd.DataFrame(_pair_rows(pairs, times, vocabulary), columns=["part", "keys", "counts"])
 
     return training.mapInArrow(count, _TRIPLE_RUN).groupBy("part").applyInPandas(merge, _RUN)
 
 
-def _finish_triples(spark, vocabulary: Vocabulary) -> list[int]:
-    """Add up the contexts that lie in several ranges, into files by context; counts of the triples' counts."""
+def _finish(name: str, spark, vocabulary: Vocabulary) -> list[int]:
+    """Add up the contexts that lie in several ranges, into files by context; how many counts are one to four."""
     folder, parts = vocabulary.folder, 1 << vocabulary.range_bits
     ranges = spark.range(0, parts, 1, min(32, parts))
     names = [f"c{k}" for k in range(4)]
 
     def stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [_read(folder, f"triplestats-{part}", np.int64) for part in batch.column(0).to_pylist()]
+            found = [_read(folder, f"{name}stats-{part}", np.int64) for part in batch.column(0).to_pylist()]
             sums = np.sum([f for f in found if len(f)] + [np.zeros(4, np.int64)], axis=0)
             yield pa.RecordBatch.from_arrays([pa.array([int(v)], pa.int64()) for v in sums], names)
 
     def common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in batch.column(0).to_pylist():
-                rows = _read(folder, f"triplecommon-{part}", np.int64).reshape(-1, 5)
+                rows = _read(folder, f"{name}parts-{part}", np.int64).reshape(-1, 5)
                 at = (mixed(rows[:, 0].astype(np.uint64)) >> np.uint64(64 - vocabulary.range_bits)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array(at), *[pa.array(rows[:, k]) for k in range(5)]], ["part", "context", *names])
 
     def write(group: pd.DataFrame) -> pd.DataFrame:
         part = int(group["part"].iloc[0])
         rows = group[["context", *names]].to_numpy(np.int64)
-        _write(folder, f"common-{part}", rows[np.argsort(rows[:, 0].astype(np.uint64))])
+        _write(folder, f"{name}common-{part}", rows[np.argsort(rows[:, 0].astype(np.uint64))])
         return pd.DataFrame({"part": [part]})
 
     kinds = ", ".join(f"{n} bigint" for n in names)
@@ -456,40 +479,19 @@ def _finish_triples(spark, vocabulary: Vocabulary) -> list[int]:
     return [v or 0 for v in row]
 
 
-def _count_pairs(runs: DataFrame, vocabulary: Vocabulary) -> tuple[list[int], np.ndarray, DataFrame]:
-    """Write pairs and contexts; the counts of counts, the frequent words' contexts, and runs of continuations."""
-    folder = vocabulary.folder
+def _count_pairs(runs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """Write pairs where the frame is computed; runs of continuations."""
 
     def merge(group: pd.DataFrame) -> pd.DataFrame:
         part = int(group["part"].iloc[0])
         keys, counts = _merged(group)
-        _write(folder, f"pairs-{part}", keys)
-        _write_counts(folder, "paircounts", part, counts)
-        context = keys >> np.uint64(32)
-        first = _starts(context)
-        table = _seen(counts, first)
-        owners = context[first]
-        common = np.isin(owners, vocabulary.frequent)
-        _write(folder, f"contexts-{part}", owners[~common])
-        _write(folder, f"contextcounts-{part}", table[~common])
-        rows = [("counts", part, b"", b"", [int((counts == k).sum()) for k in (1, 2, 3, 4)])]
-        rows += [("context", int(o), b"", b"", t.tolist()) for o, t in zip(owners[common], table[common], strict=True)]
-        follower, times = np.unique(keys & np.uint64(0xFFFFFFFF), return_counts=True)
+        words = keys & np.uint64(0xFFFFFFFF)
+        _write_table("pair", part, keys >> np.uint64(32), words, counts, vocabulary)
+        follower, times = np.unique(words, return_counts=True)
         at = np.searchsorted(vocabulary.bases, follower.astype(np.int64), "right") - 1
-        rows += [("follower", p, k, c, []) for p, k, c in _runs(at, follower, times)]
-        return pd.DataFrame(rows, columns=["kind", "part", "keys", "counts", "stats"])
-
-    done = stored(runs.groupBy("part").applyInPandas(merge, _DONE), "pair-counts")
-    numbers = done.where("kind = 'counts'").select(*[F.sum(F.col("stats")[k]).alias(f"n{k}") for k in range(4)]).first()
-    rows = (
-        done.where("kind = 'context'")
-        .groupBy("part")
-        .agg(*[F.sum(F.col("stats")[k]).alias(f"c{k}") for k in range(4)])
-        .orderBy("part")
-        .collect()
-    )
-    contexts = np.array([list(r) for r in rows], np.int64).reshape(-1, 5)
-    return [v or 0 for v in numbers], contexts, done.where("kind = 'follower'").select("part", "keys", "counts")
+        return pd.DataFrame(list(_runs(at, follower, times)), columns=["part", "keys", "counts"])
+
+    return runs.groupBy("part").applyInPandas(merge, _RUN)
 
 
 def _count_continuations(runs: DataFrame, vocabulary: Vocabulary) -> tuple[list[int], int, int]:
@@ -501,9 +503,9 @@ def _count_continuations(runs: DataFrame, vocabulary: Vocabulary) -> tuple[list[
         base, end = int(vocabulary.bases[part]), int(vocabulary.bases[part + 1])
         dense = np.zeros(end - base, np.int64)
         dense[keys.astype(np.int64) - base] = counts
-        _write(vocabulary.folder, f"before-{part}", dense)
+        _write_counts(vocabulary.folder, "before", part, dense)
         stats = [*[int((counts == k).sum()) for k in (1, 2, 3, 4)], int(counts.sum()), int((counts >= 3).sum())]
-        return pd.DataFrame({"kind": ["before"], "part": [part], "keys": [b""], "counts": [b""], "stats": [stats]})
+        return pd.DataFrame({"part": [part], "stats": [stats]})
 
     done = runs.groupBy("part").applyInPandas(merge, _DONE).select("stats").collect()
     sums = np.array([r.stats for r in done], np.int64).reshape(-1, 6).sum(0).tolist()
@@ -528,12 +530,12 @@ def train(training: DataFrame, parts: int | None = None, order: int = 3) -> Mode
     vocabulary.range_bits = max(bits, (vocabulary.total // TOKENS_PER_RANGE).bit_length())
     vocabulary.frequent = _frequent(vocabulary, spark)
     runs = _count_triples(texts, vocabulary) if order == 3 else _pair_runs(texts, vocabulary)
-    numbers, contexts, followers = _count_pairs(runs, vocabulary)
-    triples = _finish_triples(spark, vocabulary) if order == 3 else [0] * 4
-    before, total, many = _count_continuations(followers, vocabulary)
+    before, total, many = _count_continuations(_count_pairs(runs, vocabulary), vocabulary)
+    pairs = _finish("pair", spark, vocabulary)
+    triples = _finish("triple", spark, vocabulary) if order == 3 else [0] * 4
     discount = _discounts(before)
     left = (discount[1:] * [before[0], before[1], many]).sum() / total if total else 1.0
-    return Model(order, _discounts(triples), vocabulary, _discounts(numbers), discount, total, float(left), contexts)
+    return Model(order, _discounts(triples), vocabulary, _discounts(pairs), discount, total, float(left))
 
 
 class Scorer:
@@ -541,121 +543,87 @@ class Scorer:
 
     def __init__(self, model: Model):
         self._model, self._vocabulary = model, model.vocabulary.open()
-        self._files: dict[tuple[str, int], np.ndarray] = {}
 
-    def _file(self, name: str, part: int | str, dtype) -> np.ndarray:
-        if (name, part) not in self._files:
-            self._files[name, part] = _read(self._vocabulary.folder, f"{name}-{part}", dtype)
-        return self._files[name, part]
-
-    def _counts(self, name: str, part: int, places: np.ndarray) -> np.ndarray:
-        """Counts at places of a range."""
-        counts = self._file(name, part, np.uint8)[places].astype(np.int64)
-        big = np.flatnonzero(counts == _LARGE)
-        if len(big):
-            at, value = self._file(name, f"{part}-large", np.int64).reshape(2, -1)
-            counts[big] = value[np.searchsorted(at, places[big])]
-        return counts
-
-    def _pair_counts(self, keys: np.ndarray) -> np.ndarray:
-        """Counts of sorted pairs."""
-        parts = _range(keys, self._vocabulary)
-        order = np.argsort(parts, kind="stable")
-        out = np.zeros(len(keys), np.int64)
-        for part, a, b in _stretches(parts[order]):
-            held = self._file("pairs", part, np.uint64)
-            if len(held):
-                asked = keys[order[a:b]]
-                at = np.minimum(np.searchsorted(held, asked), len(held) - 1)
-                out[order[a:b]] = np.where(held[at] == asked, self._counts("paircounts", part, at), 0)
-        return out
-
-    def _slices(self, part: int, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where the followers of contexts begin and end in a range; the same place twice for those it has not."""
-        held = self._file("triplecontexts", part, np.uint64)
-        if not len(held):
-            return np.zeros(len(contexts), np.int64), np.zeros(len(contexts), np.int64)
-        at = np.minimum(np.searchsorted(held, contexts), len(held) - 1)
-        first = self._file("triplefirst", part, np.uint32)
-        begin, end = first[at].astype(np.int64), first[at + 1].astype(np.int64)
-        return begin, np.where(held[at] == contexts, end, begin)
-
-    def _triple_counts(self, contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
-        """Counts of triples."""
-        parts = _triple_range(contexts, words, self._vocabulary)
-        order = np.argsort(parts, kind="stable")
+    def _slices(self, name: str, part: int, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the followers of contexts begin and end in a range; 0 twice for those it has not."""
+        vocabulary = self._vocabulary
+        begin, end = np.zeros(len(contexts), np.int64), np.zeros(len(contexts), np.int64)
+        held = vocabulary.file(f"{name}contexts", part, np.uint64)
+        if len(held):
+            at = np.minimum(np.searchsorted(held, contexts), len(held) - 1)
+            hit = np.flatnonzero(held[at] == contexts)
+            at = at[hit]
+            group, inside = at // _GROUP, at % _GROUP
+            # Sizes of the contexts of a group up to this one; the last column stands for itself.
+            places = at[:, None] - np.arange(_GROUP - 1, -1, -1)
+            sizes = vocabulary.counts(f"{name}sizes", part, np.maximum(places, 0).ravel()).reshape(-1, _GROUP)
+            sizes[places < (group * _GROUP)[:, None]] = 0
+            end[hit] = vocabulary.file(f"{name}first", part, np.int64)[group] + sizes.sum(1)
+            begin[hit] = end[hit] - sizes[:, -1]
+        return begin, end
+
+    def _counts(self, name: str, contexts: np.ndarray, at: np.ndarray, common: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """Counts of the words behind the contexts at places ``at`` of distinct sorted ones."""
+        vocabulary = self._vocabulary
+        parts = _ranges(common[at], contexts[at], words, vocabulary)
+        order = np.lexsort((at, parts))
         out = np.zeros(len(words), np.int64)
         for part, a, b in _stretches(parts[order]):
             rows = order[a:b]
-            begin, end = self._slices(part, contexts[rows])
-            held, top = self._file("triplewords", part, np.uint32), end
+            first = _starts(at[rows])
+            begin, end = self._slices(name, part, contexts[at[rows[first]]])
+            times = np.diff(np.append(first, len(rows)))
+            begin, end = np.repeat(begin, times), np.repeat(end, times)
+            rows, begin, end = (v[end > begin] for v in (rows, begin, end))
+            held, asked, top = vocabulary.file(f"{name}words", part, np.uint32), words[rows].astype(np.uint32), end
             while (begin < top).any():
                 middle = (begin + top) // 2
-                lower = (begin < top) & (held[np.minimum(middle, len(held) - 1)] < words[rows])
+                lower = (begin < top) & (held[np.minimum(middle, len(held) - 1)] < asked)
                 begin, top = np.where(lower, middle + 1, begin), np.where(lower, top, np.minimum(middle, top))
             there = np.flatnonzero(begin < end)
-            there = there[held[begin[there]] == words[rows[there]]]
+            there = there[held[begin[there]] == asked[there]] if len(there) else there
             if len(there):
-                out[rows[there]] = self._counts("triplecounts", part, begin[there])
+                out[rows[there]] = vocabulary.counts(f"{name}counts", part, begin[there])
         return out
 
-    def _triple_contexts(self, contexts: np.ndarray) -> np.ndarray:
-        """Total, and followers seen once, twice and more, of sorted contexts of two words."""
+    def _sums(self, name: str, contexts: np.ndarray, common: np.ndarray) -> np.ndarray:
+        """Total, and followers seen once, twice and more, of distinct sorted contexts."""
+        vocabulary = self._vocabulary
         out = np.zeros((len(contexts), 4))
-        common = _common(contexts, self._vocabulary)
-        parts = mixed(contexts) >> np.uint64(64 - self._vocabulary.range_bits)
+        parts = mixed(contexts) >> np.uint64(64 - vocabulary.range_bits)
         order = np.lexsort((parts, common))
-        for part, a, b in _stretches(parts[order] * np.uint64(2) + common[order]):
-            rows = order[a:b]
-            listed = np.ones(len(rows), bool)
-            if not part & 1:
-                begin, end = self._slices(part >> 1, contexts[rows])
-                listed = end - begin > WIDE
-                short = np.flatnonzero((end > begin) & ~listed)
-                if len(short):
-                    size = (end - begin)[short]
-                    first = np.cumsum(size) - size
-                    places = np.arange(size.sum()) + np.repeat(begin[short] - first, size)
-                    out[rows[short]] = _seen(self._counts("triplecounts", part >> 1, places), first)
-            name = "common" if part & 1 else "triplewide"
-            table = self._file(name, part >> 1, np.int64).reshape(-1, 5)
-            if len(table) and listed.any():
-                rows = rows[listed]
+        for number, a, b in _stretches(parts[order] + (common[order].astype(np.uint64) << np.uint64(vocabulary.range_bits))):
+            rows, part, kind = order[a:b], number & ((1 << vocabulary.range_bits) - 1), "common"
+            if part == number:
+                kind = "wide"
+                begin, end = self._slices(name, part, contexts[rows])
+                size = end - begin
+                few = np.flatnonzero((size > 0) & (size <= WIDE))
+                if len(few):
+                    first = np.cumsum(size[few]) - size[few]
+                    places = np.arange(size[few].sum()) + np.repeat(begin[few] - first, size[few])
+                    out[rows[few]] = _seen(vocabulary.counts(f"{name}counts", part, places), first)
+                rows = rows[size > WIDE]
+            table = vocabulary.file(f"{name}{kind}", part, np.int64).reshape(-1, 5)
+            if len(table) and len(rows):
                 keys = table[:, 0].astype(np.uint64)
                 at = np.minimum(np.searchsorted(keys, contexts[rows]), len(keys) - 1)
                 hit = keys[at] == contexts[rows]
                 out[rows[hit]] = table[at[hit], 1:]
         return out
 
-    def _with_triples(self, ids: np.ndarray, before: np.ndarray, first: np.ndarray, lower: np.ndarray) -> np.ndarray:
-        """Chances of tokens by the two before them, from the chances by one."""
-        both = _second_context(before, first, self._vocabulary)
-        contexts, at = np.unique(both, return_inverse=True)
-        table = self._triple_contexts(contexts)
+    def _chances(self, name: str, before: np.ndarray, ids: np.ndarray, discount: np.ndarray, lower: np.ndarray) -> np.ndarray:
+        """Chances of tokens behind contexts, from those behind shorter ones."""
+        contexts, at = np.unique(before, return_inverse=True)
+        common = _common(name, contexts, self._vocabulary)
+        table = self._sums(name, contexts, common)
         total = np.maximum(table[:, 0], 1)
-        discount = self._model.triple_discount
         passed = np.where(table[:, 0] > 0, (table[:, 1:] * discount[1:]).sum(1) / total, 1.0)
-        seen = self._triple_counts(both, ids)
-        return np.maximum(seen - discount[np.minimum(seen, 3)], 0) / total[at] + passed[at] * lower
-
-    def _contexts(self, ids: np.ndarray) -> np.ndarray:
-        """Total, and followers seen once, twice and more, of sorted ids."""
-        out = np.zeros((len(ids), 4))
-        common = self._model.contexts
-        if len(common):
-            at = np.minimum(np.searchsorted(common[:, 0], ids.astype(np.int64)), len(common) - 1)
-            hit = common[at, 0] == ids.astype(np.int64)
-            out[hit] = common[at[hit], 1:]
-        parts = mixed(ids) >> np.uint64(64 - self._vocabulary.range_bits)
-        order = np.argsort(parts, kind="stable")
-        for part, a, b in _stretches(parts[order]):
-            held = self._file("contexts", part, np.uint64)
-            if len(held):
-                rows = order[a:b]
-                at = np.minimum(np.searchsorted(held, ids[rows]), len(held) - 1)
-                hit = held[at] == ids[rows]
-                out[rows[hit]] = self._file("contextcounts", part, np.int64).reshape(-1, 4)[at[hit]]
-        return out
+        chance = passed[at] * lower
+        known = np.flatnonzero(table[at, 0] > 0)
+        seen = self._counts(name, contexts, at[known], common, ids[known])
+        chance[known] += np.maximum(seen - discount[np.minimum(seen, 3)], 0) / total[at[known]]
+        return chance
 
     def score(self, words: Words) -> dict[str, np.ndarray]:
         """Per text: tokens, known tokens, score of the add-one unigram model and of this one."""
@@ -671,16 +639,9 @@ class Scorer:
         base = np.log10((counts + 1) / (vocabulary.total + vocabulary.size + 1))
         share = np.maximum(preceded - model.word_discount[np.minimum(preceded, 3)], 0) / max(model.continuations, 1)
         alone = share + model.left_over / (vocabulary.size + 1)
-        contexts, context_at = np.unique(before, return_inverse=True)
-        table = self._contexts(contexts)
-        total = np.maximum(table[:, 0], 1)
-        passed = np.where(table[:, 0] > 0, (table[:, 1:] * model.pair_discount[1:]).sum(1) / total, 1.0)
-        keys, key_at = np.unique((before << np.uint64(32)) | ids, return_inverse=True)
-        seen = self._pair_counts(keys)
-        kept = np.maximum(seen - model.pair_discount[np.minimum(seen, 3)], 0)[key_at] / total[context_at]
-        chance = kept + passed[context_at] * alone[inverse]
+        chance = self._chances("pair", before, ids, model.pair_discount, alone[inverse])
         if model.order == 3:
-            chance = self._with_triples(ids, before, first, chance)
+            chance = self._chances("triple", _second_context(before, first, vocabulary), ids, model.triple_discount, chance)
         sums = lambda v: np.add.reduceat(v, first[:-1]) if len(first) > 1 else np.zeros(0)
         return {
             "n_tokens": np.diff(first),
