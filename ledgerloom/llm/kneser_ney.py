@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from .store import new_folder
 from .text import SPACE, Hasher, Words, mixed, slices, utf8
 
-TOKENS_PER_RUN = 2_000_000
+TOKENS_PER_RUN = 4_000_000
 FREQUENT_SHARE = 1000
 TOKENS_PER_RANGE = 8_000_000
 WIDE = 32
@@ -221,6 +221,13 @@ class Vocabulary:
         return out
 
 
+def _by_part(parts: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """The places of each range; few ranges sort faster as short numbers."""
+    order = np.argsort(parts.astype(np.uint16) if len(parts) and parts.max() < 1 << 16 else parts, kind="stable")
+    for part, a, b in _stretches(parts[order]):
+        yield part, order[a:b]
+
+
 def _stretches(parts: np.ndarray) -> Iterator[tuple[int, int, int]]:
     """Runs of equal numbers: number, first place, end."""
     if len(parts):
@@ -383,7 +390,7 @@ def _write_table(name: str, part: int, contexts: np.ndarray, words: np.ndarray,
     wide = ~common & (sizes > WIDE)
     _write(folder, f"{name}contexts-{part}", owners)
     _write(folder, f"{name}first-{part}", first[::_GROUP].astype(np.int64))
-    _write_counts(folder, f"{name}sizes", part, sizes)
+    _write_counts(folder, f"{name}sizes", part, np.append(sizes, np.zeros(-len(sizes) % _GROUP, np.int64)))
     _write(folder, f"{name}words-{part}", words.astype(np.uint32))
     _write_counts(folder, f"{name}counts", part, counts)
     for kind, rows in (("wide", wide), ("parts", common)):
@@ -552,78 +559,88 @@ class Scorer:
         if len(held):
             at = np.minimum(np.searchsorted(held, contexts), len(held) - 1)
             hit = np.flatnonzero(held[at] == contexts)
-            at = at[hit]
-            group, inside = at // _GROUP, at % _GROUP
-            # Sizes of the contexts of a group up to this one; the last column stands for itself.
-            places = at[:, None] - np.arange(_GROUP - 1, -1, -1)
-            sizes = vocabulary.counts(f"{name}sizes", part, np.maximum(places, 0).ravel()).reshape(-1, _GROUP)
-            sizes[places < (group * _GROUP)[:, None]] = 0
-            end[hit] = vocabulary.file(f"{name}first", part, np.int64)[group] + sizes.sum(1)
-            begin[hit] = end[hit] - sizes[:, -1]
+            group, inside = at[hit] // _GROUP, at[hit] % _GROUP
+            sizes = vocabulary.file(f"{name}sizes", part, np.uint8).reshape(-1, _GROUP)[group]
+            sizes[np.arange(_GROUP) > inside[:, None]] = 0
+            ends = vocabulary.file(f"{name}first", part, np.int64)[group] + sizes.sum(1, dtype=np.int64)
+            own = sizes[np.arange(len(hit)), inside].astype(np.int64)
+            row, column = np.nonzero(sizes == _LARGE)
+            if len(row):
+                more = vocabulary.counts(f"{name}sizes", part, group[row] * _GROUP + column) - _LARGE
+                np.add.at(ends, row, more)
+                last = column == inside[row]
+                own[row[last]] += more[last]
+            begin[hit], end[hit] = ends - own, ends
         return begin, end
 
-    def _counts(self, name: str, contexts: np.ndarray, at: np.ndarray, common: np.ndarray, words: np.ndarray) -> np.ndarray:
-        """Counts of the words behind the contexts at places ``at`` of distinct sorted ones."""
-        vocabulary = self._vocabulary
-        parts = _ranges(common[at], contexts[at], words, vocabulary)
-        order = np.lexsort((at, parts))
+    def _found(self, name: str, part: int, words: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Counts of words among the followers from ``begin`` to ``end`` of a range."""
+        held = self._vocabulary.file(f"{name}words", part, np.uint32)
+        low, top, open_ = begin.copy(), end.copy(), np.flatnonzero(begin < end)
+        while len(open_):
+            a, b = low[open_], top[open_]
+            middle = (a + b) // 2
+            lower = held[middle] < words[open_]
+            low[open_], top[open_] = np.where(lower, middle + 1, a), np.where(lower, b, middle)
+            open_ = open_[low[open_] < top[open_]]
         out = np.zeros(len(words), np.int64)
-        for part, a, b in _stretches(parts[order]):
-            rows = order[a:b]
-            first = _starts(at[rows])
-            begin, end = self._slices(name, part, contexts[at[rows[first]]])
-            times = np.diff(np.append(first, len(rows)))
-            begin, end = np.repeat(begin, times), np.repeat(end, times)
-            rows, begin, end = (v[end > begin] for v in (rows, begin, end))
-            held, asked, top = vocabulary.file(f"{name}words", part, np.uint32), words[rows].astype(np.uint32), end
-            while (begin < top).any():
-                middle = (begin + top) // 2
-                lower = (begin < top) & (held[np.minimum(middle, len(held) - 1)] < asked)
-                begin, top = np.where(lower, middle + 1, begin), np.where(lower, top, np.minimum(middle, top))
-            there = np.flatnonzero(begin < end)
-            there = there[held[begin[there]] == asked[there]] if len(there) else there
-            if len(there):
-                out[rows[there]] = vocabulary.counts(f"{name}counts", part, begin[there])
+        there = np.flatnonzero(low < end)
+        there = there[held[low[there]] == words[there]] if len(there) else there
+        if len(there):
+            out[there] = self._vocabulary.counts(f"{name}counts", part, low[there])
         return out
 
-    def _sums(self, name: str, contexts: np.ndarray, common: np.ndarray) -> np.ndarray:
-        """Total, and followers seen once, twice and more, of distinct sorted contexts."""
-        vocabulary = self._vocabulary
-        out = np.zeros((len(contexts), 4))
-        parts = mixed(contexts) >> np.uint64(64 - vocabulary.range_bits)
-        order = np.lexsort((parts, common))
-        for number, a, b in _stretches(parts[order] + (common[order].astype(np.uint64) << np.uint64(vocabulary.range_bits))):
-            rows, part, kind = order[a:b], number & ((1 << vocabulary.range_bits) - 1), "common"
-            if part == number:
-                kind = "wide"
-                begin, end = self._slices(name, part, contexts[rows])
-                size = end - begin
-                few = np.flatnonzero((size > 0) & (size <= WIDE))
-                if len(few):
-                    first = np.cumsum(size[few]) - size[few]
-                    places = np.arange(size[few].sum()) + np.repeat(begin[few] - first, size[few])
-                    out[rows[few]] = _seen(vocabulary.counts(f"{name}counts", part, places), first)
-                rows = rows[size > WIDE]
-            table = vocabulary.file(f"{name}{kind}", part, np.int64).reshape(-1, 5)
-            if len(table) and len(rows):
-                keys = table[:, 0].astype(np.uint64)
-                at = np.minimum(np.searchsorted(keys, contexts[rows]), len(keys) - 1)
-                hit = keys[at] == contexts[rows]
-                out[rows[hit]] = table[at[hit], 1:]
+    def _listed(self, name: str, part: int, contexts: np.ndarray) -> np.ndarray:
+        """Sums of contexts from the lists of those that have them written down."""
+        table = self._vocabulary.file(name, part, np.int64).reshape(-1, 5)
+        out = np.zeros((len(contexts), 4), np.int64)
+        if len(table) and len(contexts):
+            keys = table[:, 0].astype(np.uint64)
+            at = np.minimum(np.searchsorted(keys, contexts), len(keys) - 1)
+            hit = keys[at] == contexts
+            out[hit] = table[at[hit], 1:]
+        return out
+
+    def _sums(self, name: str, part: int, contexts: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Total, and followers seen once, twice and more, of contexts that lie in one range."""
+        size = end - begin
+        out = np.zeros((len(contexts), 4), np.int64)
+        few, wide = np.flatnonzero((size > 0) & (size <= WIDE)), np.flatnonzero(size > WIDE)
+        if len(few):
+            first = np.cumsum(size[few]) - size[few]
+            places = np.arange(size[few].sum()) + np.repeat(begin[few] - first, size[few])
+            out[few] = _seen(self._vocabulary.counts(f"{name}counts", part, places), first)
+        out[wide] = self._listed(f"{name}wide", part, contexts[wide])
         return out
 
     def _chances(self, name: str, before: np.ndarray, ids: np.ndarray, discount: np.ndarray, lower: np.ndarray) -> np.ndarray:
         """Chances of tokens behind contexts, from those behind shorter ones."""
         contexts, at = np.unique(before, return_inverse=True)
         common = _common(name, contexts, self._vocabulary)
-        table = self._sums(name, contexts, common)
-        total = np.maximum(table[:, 0], 1)
-        passed = np.where(table[:, 0] > 0, (table[:, 1:] * discount[1:]).sum(1) / total, 1.0)
-        chance = passed[at] * lower
-        known = np.flatnonzero(table[at, 0] > 0)
-        seen = self._counts(name, contexts, at[known], common, ids[known])
-        chance[known] += np.maximum(seen - discount[np.minimum(seen, 3)], 0) / total[at[known]]
-        return chance
+        parts = mixed(contexts) >> np.uint64(64 - self._vocabulary.range_bits)
+        sums = np.zeros((len(contexts), 4), np.int64)
+        begin, end = np.zeros(len(contexts), np.int64), np.zeros(len(contexts), np.int64)
+        single, several = np.flatnonzero(~common), np.flatnonzero(common)
+        for part, rows in _by_part(parts[single]):
+            rows = single[rows]
+            begin[rows], end[rows] = self._slices(name, part, contexts[rows])
+            sums[rows] = self._sums(name, part, contexts[rows], begin[rows], end[rows])
+        for part, rows in _by_part(parts[several]):
+            sums[several[rows]] = self._listed(f"{name}common", part, contexts[several[rows]])
+        known = sums[at, 0] > 0
+        seen = np.zeros(len(ids), np.int64)
+        tokens = np.flatnonzero(known & ~common[at])
+        for part, rows in _by_part(parts[at[tokens]]):
+            rows = tokens[rows]
+            seen[rows] = self._found(name, part, ids[rows], begin[at[rows]], end[at[rows]])
+        tokens = np.flatnonzero(known & common[at])
+        dealt = _ranges(common[at[tokens]], before[tokens], ids[tokens], self._vocabulary)
+        for part, rows in _by_part(dealt):
+            rows = tokens[rows]
+            seen[rows] = self._found(name, part, ids[rows], *self._slices(name, part, before[rows]))
+        total = np.maximum(sums[:, 0], 1)
+        passed = np.where(sums[:, 0] > 0, sums[:, 1:] @ discount[1:] / total, 1.0)
+        return np.maximum(seen - discount[np.minimum(seen, 3)], 0) / total[at] + passed[at] * lower
 
     def score(self, words: Words) -> dict[str, np.ndarray]:
         """Per text: tokens, known tokens, score of the add-one unigram model and of this one."""
