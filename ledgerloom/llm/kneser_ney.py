@@ -19,7 +19,7 @@ time.
   total, and numbers of followers seen once, twice, more.
 * continuations: for each word the number of different words before it.
 
-Counts take a byte in the files; larger ones are in a short list beside them.
+Counts take half a byte in the files; larger ones are in a short list beside them.
 
 Each text begins after a start mark and ends with an end mark, which counts as a
 token.  A word that training never met shares what the discounts leave over with
@@ -43,14 +43,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .store import new_folder
-from .text import SPACE, Hasher, Words, mixed, slices, utf8
+from .text import SLICE_BYTES, SPACE, Hasher, Words, mixed, slices, utf8
 
 TOKENS_PER_RUN = 4_000_000
 FREQUENT_SHARE = 1000
 TOKENS_PER_RANGE = 8_000_000
 WIDE = 32
 _GROUP = 16
-_LARGE = 255
+_LARGE = 15
+SCORED_BYTES = 4_000_000
 _END = np.uint64(0x5E5E5E5E5E5E5E5F)
 _NONE = np.uint64(0xFFFFFFFF)
 _RUN = "part int, keys binary, counts binary"
@@ -135,9 +136,10 @@ def _read(folder: str, name: str, dtype) -> np.ndarray:
 
 
 def _write_counts(folder: str, name: str, part: int, counts: np.ndarray) -> None:
-    """Counts as bytes, and a list of (place, count) for those that a byte is too small for."""
+    """Counts as half bytes, and a list of (place, count) for those that are too large for that."""
     large = np.flatnonzero(counts >= _LARGE)
-    _write(folder, f"{name}-{part}", np.minimum(counts, _LARGE).astype(np.uint8))
+    short = np.minimum(np.append(counts, np.zeros(len(counts) % 2, np.int64)), _LARGE).astype(np.uint8)
+    _write(folder, f"{name}-{part}", short[::2] | (short[1::2] << 4))
     _write(folder, f"{name}-{part}-large", np.stack([large, counts[large]]).astype(np.int64))
 
 
@@ -153,12 +155,12 @@ def _seen(counts: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.stack([np.add.reduceat(v, first) for v in (counts, counts == 1, counts == 2, counts >= 3)], axis=1).astype(np.int64)
 
 
-def _texts(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list[tuple[int, int, Words]]]]:
+def _texts(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, list[tuple[int, int, Words]]]]:
     hasher = Hasher()
     for batch in batches:
         data, offsets = utf8(batch.column(batch.schema.get_field_index(column)))
         yield batch, (
-            (a, b, hasher.words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], SPACE)) for a, b in slices(offsets)
+            (a, b, hasher.words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], SPACE)) for a, b in slices(offsets, limit)
         )
 
 
@@ -196,7 +198,7 @@ class Vocabulary:
 
     def counts(self, name: str, part: int, places: np.ndarray) -> np.ndarray:
         """Counts at places of a range."""
-        counts = self.file(name, part, np.uint8)[places].astype(np.int64)
+        counts = ((self.file(name, part, np.uint8)[places >> 1] >> ((places & 1) << 2).astype(np.uint8)) & 15).astype(np.int64)
         big = np.flatnonzero(counts == _LARGE)
         if len(big):
             at, value = self.file(name, f"{part}-large", np.int64).reshape(2, -1)
@@ -278,7 +280,7 @@ def _frequent(vocabulary: Vocabulary, spark) -> np.ndarray:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in batch.column(0).to_pylist():
-                size = len(_read(vocabulary.folder, f"counts-{part}", np.uint8))
+                size = int(vocabulary.bases[part + 1] - vocabulary.bases[part])
                 counts = vocabulary.open().counts("counts", part, np.arange(size))
                 found = np.flatnonzero(counts > least) + int(vocabulary.bases[part])
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], ["id"])
@@ -560,7 +562,8 @@ class Scorer:
             at = np.minimum(np.searchsorted(held, contexts), len(held) - 1)
             hit = np.flatnonzero(held[at] == contexts)
             group, inside = at[hit] // _GROUP, at[hit] % _GROUP
-            sizes = vocabulary.file(f"{name}sizes", part, np.uint8).reshape(-1, _GROUP)[group]
+            halves = vocabulary.file(f"{name}sizes", part, np.uint8).reshape(-1, _GROUP // 2)[group]
+            sizes = np.stack([halves & 15, halves >> 4], axis=2).reshape(-1, _GROUP)
             sizes[np.arange(_GROUP) > inside[:, None]] = 0
             ends = vocabulary.file(f"{name}first", part, np.int64)[group] + sizes.sum(1, dtype=np.int64)
             own = sizes[np.arange(len(hit)), inside].astype(np.int64)
@@ -677,7 +680,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def process(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
-        for batch, texts in _texts(batches, "text"):
+        for batch, texts in _texts(batches, "text", SCORED_BYTES):
             found = [scorer.score(words) for _, _, words in texts]
             columns = [
                 pa.array(np.concatenate([*[f[n] for f in found], np.zeros(0, np.int64 if t == "bigint" else float)]))

@@ -166,7 +166,7 @@ def test_language_model(spark, texts):
 @pytest.mark.parametrize("share", [30, 10**9])
 def test_language_model_orders(spark, texts, monkeypatch, order, share):
     """Both orders, with runs, ranges and lists of large counts and contexts that small texts reach."""
-    for name, value in {"TOKENS_PER_RUN": 5000, "TOKENS_PER_RANGE": 9000, "WIDE": 2, "_LARGE": 4, "FREQUENT_SHARE": share}.items():
+    for name, value in {"TOKENS_PER_RUN": 5000, "TOKENS_PER_RANGE": 9000, "WIDE": 2, "SCORED_BYTES": 30_000, "FREQUENT_SHARE": share}.items():
         monkeypatch.setattr(kneser_ney, name, value)
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").repartition(3)
     model = kneser_ney.train(docs.where(~kneser_ney.held_out()), parts=2, order=order)
