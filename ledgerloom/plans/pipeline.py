@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scripts import with_address
-from ..operators.clock import marker_times, monotone_block_time, with_block_time, with_increasing_time
+from ..operators.clock import marker_times, monotone_block_time, with_block_time, with_increasing_time_of
 from ..operators.entries import OUTPOINT, outpoints
 from ..operators.lifo import changes_of, public_stack_changes, stack_changes
 from ..operators.matching import match_spends_strict, tx_legs, unspent_changes
@@ -28,8 +28,8 @@ def block_entries(blocks: DataFrame) -> DataFrame:
 
 def block_account_changes(blocks: DataFrame) -> DataFrame:
     """Published account changes of a range of blocks that starts with the first."""
-    entries = with_increasing_time(checkpointed(block_entries(blocks)))
-    return account_changes(net_changes(match_spends_strict(entries)))
+    entries = checkpointed(block_entries(blocks))
+    return account_changes(net_changes(with_increasing_time_of(match_spends_strict(entries), entries)))
 
 
 def block_legs(blocks: DataFrame) -> DataFrame:
@@ -71,7 +71,8 @@ def run(
     """
     block_entries(blocks).write.mode("overwrite").parquet(f"{out}/entries")
     entries = spark.read.parquet(f"{out}/entries")
-    net_changes(match_spends_strict(with_increasing_time(entries))).write.mode("overwrite").parquet(f"{out}/net")
+    matched = with_increasing_time_of(match_spends_strict(entries), entries)
+    net_changes(matched).write.mode("overwrite").parquet(f"{out}/net")
     net = spark.read.parquet(f"{out}/net")
     if transfers:
         records = account_change_records(account_changes(net), topics, partitions)
