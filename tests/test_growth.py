@@ -1,8 +1,9 @@
 """Plans and row sizes that decide how jobs grow with their input."""
 
-from ledgerloom.operators import clock
+from ledgerloom.operators import clock, matching
 from ledgerloom.plans import pipeline
 from ledgerloom.session import checkpointed
+from ledgerloom.sources import tables
 from ledgerloom.sources.tables import raw_blocks
 
 SF = "/root/testdata/sf0.001"
@@ -19,3 +20,15 @@ def test_entries_are_not_broadcast_to_get_their_times(spark):
     for timed in (clock.with_increasing_time(entries), pipeline.block_account_changes(raw_blocks(spark, SF))):
         plan = plan_of(timed)
         assert plan.count("BroadcastHashJoin") == buckets and "SortMergeJoin" in plan
+
+
+def test_matched_rows_go_through_the_shuffle_once(spark):
+    # A struct of the output's columns was made below the shuffle and written beside those columns.
+    plan = plan_of(matching.match_spends(checkpointed(tables.entries(spark, SF))))
+    assert "hashpartitioning(tx_hash" in plan and "struct" not in plan
+
+
+def test_digests_are_made_after_the_join(spark):
+    # Their random bytes went through the join's shuffle.
+    plan = plan_of(tables.entries(spark, SF))
+    assert plan.index("sha2") < plan.index("Join")
