@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import DataFrame
@@ -57,14 +58,28 @@ def unbalanced_txs(legs: DataFrame) -> DataFrame:
     return tx_fees(legs).where(F.col("fee") < 0)
 
 
-def net_accounts(legs: DataFrame, strict: bool = False) -> DataFrame:
+def leg_transfers(legs: DataFrame, strict: bool = False, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
+    """Transfers of the transactions whose ``legs`` are given.
+
+    One shuffle by transaction serves netting, fees and the reconstruction, unless a
+    transaction is too large for one task.
+    """
+    _, heavy = heavy_keys(legs, _TX_KEY, rows_per_chunk)
+    if heavy:
+        return model_transfers(net_accounts(legs, strict), rows_per_chunk, sized_by=legs)
+    signed = legs.select(*TX, "is_coinbase", "is_input", "address", "kind", "value").repartition(*_TX_KEY)
+    return _laid_out(net_accounts(signed, strict, by_tx=True), windowed)
+
+
+def net_accounts(legs: DataFrame, strict: bool = False, by_tx: bool = False) -> DataFrame:
     """Non-zero net value per transaction and account, completed with virtual accounts.
 
     Ordinary transactions pay their fee to ``fee``; a coinbase is paid by ``fee``
     and ``mint``.  A transaction's excess of outputs over inputs is the sum of its
     nets, so fees and minted coins come from the netted rows and share their
     shuffle.  With ``strict`` a transaction that pays out more than it takes in
-    fails the job; ``unbalanced_txs`` lists those.
+    fails the job; ``unbalanced_txs`` lists those.  With ``by_tx`` the legs lie by
+    transaction, and so do the rows given.
     """
     nets = net_by_account(legs, "is_coinbase")
     excess, coinbase = F.col("excess"), F.col("is_coinbase")
@@ -90,6 +105,8 @@ def net_accounts(legs: DataFrame, strict: bool = False) -> DataFrame:
         .select("height", "ts", "coinbase.tx_pos", "coinbase.tx_hash", F.inline(payers))
         .select(*TX, "address", virtual, "value")
     )
+    if by_tx:
+        minted = minted.repartition(*_TX_KEY)
     real = nets.select(*TX, "address", "kind", "value")
     return real.unionByName(fees).unionByName(minted).where(F.col("value") != 0)
 
@@ -108,15 +125,17 @@ def model_transfers(
     ``sized_by`` may name the legs ``net`` comes from; it is then searched for very
     large transactions in place of ``net``.
     """
+    _, heavy = heavy_keys(net if sized_by is None else sized_by, _TX_KEY, rows_per_chunk)
+    if heavy:
+        return _laid_out(net, partial(running, rows_per_chunk=rows_per_chunk))
+    # Both windows can use one shuffle by transaction.
+    return _laid_out(net.repartition(*_TX_KEY), windowed)
+
+
+def _laid_out(net: DataFrame, scan: Callable[..., DataFrame]) -> DataFrame:
     sized = net.withColumn("side", F.when(F.col("value") < 0, 0).otherwise(1)).withColumn(
         "rank", -F.abs("value")
     )
-    _, heavy = heavy_keys(net if sized_by is None else sized_by, _TX_KEY, rows_per_chunk)
-    if heavy:
-        scan = partial(running, rows_per_chunk=rows_per_chunk)
-    else:
-        # Both windows below can use one shuffle by transaction.
-        sized, scan = sized.repartition(*_TX_KEY), windowed
     laid = scan(
         sized, [*_TX_KEY, "side"], ["rank", "address", "kind"], {"until": running_sum(-F.col("rank"))}
     ).withColumn("start", F.col("until") + F.col("rank"))

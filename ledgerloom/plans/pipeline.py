@@ -14,7 +14,7 @@ from ..operators.matching import match_spends_strict, tx_legs, unspent_changes
 from ..operators.netting import account_changes, net_changes
 from ..operators.sketches import address_sketches, sketched_addresses
 from ..operators.stack_pages import StackTables, run_segments
-from ..operators.transfers import model_transfers, net_accounts, transfer_edges
+from ..operators.transfers import leg_transfers, transfer_edges
 from ..session import checkpointed
 from ..sources.blocks import confirmed_blocks, from_records, parse_blocks, resume_height, to_records
 from ..sources.levels import ROWS_PER_BUCKET, LevelTable
@@ -39,8 +39,7 @@ def block_legs(blocks: DataFrame) -> DataFrame:
 
 def block_transfers(blocks: DataFrame) -> DataFrame:
     """Sender-to-receiver transfers of a range of blocks that starts with the first."""
-    legs = block_legs(blocks)
-    return model_transfers(net_accounts(legs), sized_by=legs)
+    return leg_transfers(block_legs(blocks))
 
 
 def export_blocks(spark: SparkSession, source: DataFrame, sink: str, confirmations: int = 3) -> None:
@@ -79,7 +78,7 @@ def run(
         records.write.mode("overwrite").partitionBy("topic").parquet(f"{out}/transfers")
     if edges:
         legs = checkpointed(tx_legs(entries))
-        found = transfer_edges(model_transfers(net_accounts(legs, strict=True), sized_by=legs))
+        found = transfer_edges(leg_transfers(legs, strict=True))
         transfer_records(found).write.mode("overwrite").parquet(f"{out}/edges")
     if stacks:
         records = stack_change_records(public_stack_changes(stack_changes(net)), topics, partitions)
@@ -178,7 +177,7 @@ def run_next(
     if sketches:
         put(address_sketches(net), "sketches")
     if edges:
-        put(model_transfers(net_accounts(legs, strict=True), sized_by=legs), "transfers")
+        put(leg_transfers(legs, strict=True), "transfers")
     unspent = unspent.with_run(put(unspent_changes(entries, parents), "unspent-changes"), number)
     tables = _stack_tables(out, before, rows_per_bucket=rows_per_bucket)
     if stacks:

@@ -1,6 +1,6 @@
 """Plans and row sizes that decide how jobs grow with their input."""
 
-from ledgerloom.operators import clock, matching
+from ledgerloom.operators import clock, matching, transfers
 from ledgerloom.plans import pipeline
 from ledgerloom.session import checkpointed
 from ledgerloom.sources import tables
@@ -32,3 +32,16 @@ def test_digests_are_made_after_the_join(spark):
     # Their random bytes went through the join's shuffle.
     plan = plan_of(tables.entries(spark, SF))
     assert plan.index("sha2") < plan.index("Join")
+
+
+def test_transfers_shuffle_the_legs_once(spark):
+    # Nets were dealt by account, then by transaction for the fees, and once more for the windows.
+    legs = tables.all_legs(spark, SF)
+    plan = plan_of(transfers.leg_transfers(legs))
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    # The legs (for nets, fees and minted coins, one shuffle used again), and blocks' totals and coinbases.
+    assert exchanges and not any("address" in line for line in exchanges)
+    assert sum("ENSURE_REQUIREMENTS" in line for line in exchanges) == 1
+    whole = sorted(transfers.leg_transfers(legs).collect())
+    assert whole and whole == sorted(transfers.leg_transfers(legs, rows_per_chunk=200).collect())
+    assert whole == sorted(transfers.model_transfers(transfers.net_accounts(legs)).collect())
