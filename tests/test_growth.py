@@ -1,9 +1,11 @@
 """Plans and row sizes that decide how jobs grow with their input."""
 
+from pyspark.sql import functions as F
+
 from ledgerloom.operators import clock, matching, transfers
 from ledgerloom.plans import pipeline
 from ledgerloom.session import checkpointed
-from ledgerloom.sources import tables
+from ledgerloom.sources import sinks, tables
 from ledgerloom.sources.tables import raw_blocks
 
 SF = "/root/testdata/sf0.001"
@@ -45,3 +47,14 @@ def test_transfers_shuffle_the_legs_once(spark):
     whole = sorted(transfers.leg_transfers(legs).collect())
     assert whole and whole == sorted(transfers.leg_transfers(legs, rows_per_chunk=200).collect())
     assert whole == sorted(transfers.model_transfers(transfers.net_accounts(legs)).collect())
+
+
+def test_last_versions_are_found_in_the_ranges_they_are_laid_out_in(spark):
+    # Compacting shuffled by key and then by range, with a sort before and after the first.
+    rows = [(2, "202401", 1, 0, "a", 1.0), (1, "202401", 1, 0, "a", 2.0), (1, "202401", 1, 0, "b", 3.0)]
+    table = spark.createDataFrame(rows, "version bigint, month string, height int, txPos int, address string, value double")
+    table = checkpointed(table.withColumn("dt", F.timestamp_seconds(F.col("version"))))
+    last = sinks._last_written(table.repartitionByRange("month", "height"), ["month"])
+    assert sorted(last.select("address", "version", "value").collect()) == [("a", 2, 1.0), ("b", 1, 3.0)]
+    plan = plan_of(last)
+    assert plan.count("Exchange") == 1 and plan.count("Sort") == 1
