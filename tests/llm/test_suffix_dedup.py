@@ -122,3 +122,28 @@ def test_wrong_hashes_are_noticed(monkeypatch):
     whole = data.tobytes()
     seen = collections.Counter(whole[k : k + 4] for k in at)
     assert list(got) == [seen[whole[k : k + 4]] > 1 for k in at]
+
+
+def test_first_bytes_tell_suffixes_apart_without_hashes():
+    class Unused(sd.PrefixHashes):
+        def of(self, start, length):
+            assert not len(start), "hashes are for suffixes with the same first bytes"
+            return super().of(start, length)
+
+    rng = np.random.default_rng(5)
+    data = np.append(rng.permutation(256), np.zeros(20)).astype(np.uint8)
+    at = rng.permutation(250)
+    order = sd.sorted_suffixes(data, Unused(data, 1), at, np.zeros(len(at), int), 12)
+    assert data[at[order]].tolist() == sorted(data[at].tolist())
+
+
+@pytest.mark.parametrize("length", [5, 8, 16, 19])
+def test_every_wrong_extension_is_noticed(length):
+    rng = np.random.default_rng(length)
+    data = rng.integers(97, 99, 300).astype(np.uint8)
+    for a, b in rng.integers(0, 300 - length, (200, 2)):
+        x, y = data[a : a + length].tobytes(), data[b : b + length].tobytes()
+        right = next((k for k in range(length) if x[k] != y[k]), length)
+        for n in range(length + 1):
+            known = sd._verified(data, np.array([a]), np.array([b]), np.array([n]), length)
+            assert known == (n == right and x <= y)
