@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.amounts import to_coin
@@ -61,25 +61,77 @@ def unbalanced_txs(legs: DataFrame) -> DataFrame:
 def leg_transfers(legs: DataFrame, strict: bool = False, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
     """Transfers of the transactions whose ``legs`` are given.
 
-    One shuffle by transaction serves netting, fees and the reconstruction, unless a
-    transaction is too large for one task.
+    One shuffle by block serves fees, minted coins, netting and the reconstruction, unless a
+    block is too large for one task.
     """
-    _, heavy = heavy_keys(legs, _TX_KEY, rows_per_chunk)
+    _, heavy = heavy_keys(legs, ["height"], rows_per_chunk)
     if heavy:
         return model_transfers(net_accounts(legs, strict), rows_per_chunk, sized_by=legs)
-    signed = legs.select(*TX, "is_coinbase", "is_input", "address", "kind", "value").repartition(*_TX_KEY)
-    return _laid_out(net_accounts(signed, strict, by_tx=True), windowed)
+    return _laid_out(_accounts_by_block(legs, strict), windowed)
 
 
-def net_accounts(legs: DataFrame, strict: bool = False, by_tx: bool = False) -> DataFrame:
+def _accounts_by_block(legs: DataFrame, strict: bool) -> DataFrame:
+    """As :func:`net_accounts`, in one pass over legs that lie by block.
+
+    The first leg of a transaction brings its virtual accounts along.
+    """
+    tx = [*TX, "is_coinbase"]
+    value, coinbase = F.col("value"), F.col("is_coinbase")
+    excess, fees, reward = F.col("_excess"), F.col("_fees"), F.col("_reward")
+    in_order = Window.partitionBy("height").orderBy(*tx[1:])
+    of_tx, of_block = Window.partitionBy(*tx), Window.partitionBy("height", "ts")
+    signed = F.when(F.col("is_input"), -value).otherwise(value)
+    # All three windows use the order of the first.
+    placed = legs.select(*tx, "address", "kind", signed.alias("value")).withColumn("_at", F.row_number().over(in_order))
+    summed = placed.withColumns({"_excess": F.sum("value").over(of_tx), "_first": F.min("_at").over(of_tx)}).withColumns(
+        {
+            "_fees": F.sum(F.when(~coinbase, -value)).over(of_block),
+            "_reward": F.sum(F.when(coinbase, value)).over(of_block),
+            "_last": F.max(F.when(coinbase, F.struct("tx_pos", "tx_hash"))).over(of_block),
+        }
+    )
+    fee = -excess
+    if strict:
+        fee = F.when(excess > 0, _exceeds().cast("bigint")).otherwise(fee)
+
+    def account(address: Column, kind: Column, value: Column, virtual: bool) -> Column:
+        return F.struct(
+            F.lit(virtual).alias("virtual"), address.alias("address"), kind.alias("kind"), value.alias("value")
+        )
+
+    def payer(name: str, value: Column) -> Column:
+        return account(F.lit(name), F.lit("virtual"), value, True)
+
+    own = account(F.col("address"), F.col("kind"), value, False)
+    no_fees = F.coalesce(fees, F.lit(0))
+    minting = coinbase & (F.struct("tx_pos", "tx_hash") == F.col("_last"))
+    accounts = (
+        F.when(F.col("_at") != F.col("_first"), F.array(own))
+        .when(~coinbase, F.array(own, payer("fee", fee)))
+        .when(minting, F.array(own, payer("fee", -no_fees), payer("mint", no_fees - F.coalesce(reward, F.lit(0)))))
+        .otherwise(F.array(own))
+    )
+    return (
+        summed.select(*tx, F.inline(accounts))
+        .groupBy(*tx, "virtual", "address", "kind")
+        .agg(F.sum("value").alias("value"))
+        .where(F.col("value") != 0)
+        .select(*TX, "address", "kind", "value")
+    )
+
+
+def _exceeds() -> Column:
+    return F.raise_error(F.concat_ws(", ", F.lit("outputs exceed inputs"), "height", "tx_pos", "tx_hash"))
+
+
+def net_accounts(legs: DataFrame, strict: bool = False) -> DataFrame:
     """Non-zero net value per transaction and account, completed with virtual accounts.
 
     Ordinary transactions pay their fee to ``fee``; a coinbase is paid by ``fee``
     and ``mint``.  A transaction's excess of outputs over inputs is the sum of its
     nets, so fees and minted coins come from the netted rows and share their
     shuffle.  With ``strict`` a transaction that pays out more than it takes in
-    fails the job; ``unbalanced_txs`` lists those.  With ``by_tx`` the legs lie by
-    transaction, and so do the rows given.
+    fails the job; ``unbalanced_txs`` lists those.
     """
     nets = net_by_account(legs, "is_coinbase")
     excess, coinbase = F.col("excess"), F.col("is_coinbase")
@@ -87,8 +139,7 @@ def net_accounts(legs: DataFrame, strict: bool = False, by_tx: bool = False) ->
     virtual = F.lit("virtual").alias("kind")
     fee = F.when(coinbase, F.lit(0)).otherwise(-excess)
     if strict:
-        told = F.concat_ws(", ", F.lit("outputs exceed inputs"), "height", "tx_pos", "tx_hash")
-        fee = F.when(fee < 0, F.raise_error(told).cast("bigint")).otherwise(fee)
+        fee = F.when(fee < 0, _exceeds().cast("bigint")).otherwise(fee)
     fees = per_tx.select(*TX, F.lit("fee").alias("address"), virtual, fee.alias("value"))
     payers = F.array(
         F.struct(F.lit("fee").alias("address"), (-F.col("fees")).alias("value")),
@@ -105,8 +156,6 @@ def net_accounts(legs: DataFrame, strict: bool = False, by_tx: bool = False) ->
         .select("height", "ts", "coinbase.tx_pos", "coinbase.tx_hash", F.inline(payers))
         .select(*TX, "address", virtual, "value")
     )
-    if by_tx:
-        minted = minted.repartition(*_TX_KEY)
     real = nets.select(*TX, "address", "kind", "value")
     return real.unionByName(fees).unionByName(minted).where(F.col("value") != 0)
 
