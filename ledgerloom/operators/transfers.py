@@ -230,13 +230,21 @@ def unmatched_sides(net: DataFrame) -> DataFrame:
     return net.groupBy(*TX).agg(F.sum("value").alias("excess")).where(F.col("excess") != 0)
 
 
-def processed_txs(legs: DataFrame) -> DataFrame:
+def processed_txs(
+    legs: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK, sized_by: DataFrame | None = None
+) -> DataFrame:
     """Transactions as rows with ordered input and output arrays.
 
     ``legs`` carry ``entry_idx``, the position on their side.  A transaction is one
     row; it is part of a block, which is one value already, and so bounded.  The
     coins minted by a block follow its last transaction as a payment by ``mint``.
+    One shuffle by block serves both, unless a block is too large for one task.  ``sized_by`` may
+    name a frame with the same blocks that is cheaper to read.
     """
+    _, heavy = heavy_keys(legs if sized_by is None else sized_by, ["height"], rows_per_chunk)
+    if not heavy:
+        columns = [*TX, "is_coinbase", "is_input", "entry_idx", "address", "value"]
+        legs = legs.select(*columns).repartition("height")
     entry = F.struct("entry_idx", "address", "value")
 
     def side(is_input: bool):

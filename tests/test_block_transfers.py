@@ -41,3 +41,13 @@ def test_keys_are_sized_in_one_pass_unless_a_bucket_is_large(spark):
     assert ordered.heavy_keys(rows, ["k"], 1000) == (1000, {})
     size, heavy = ordered.heavy_keys(rows, ["k"], 900)
     assert size == 900 and list(heavy.values()) == [1000]
+
+
+def test_processed_transactions_shuffle_the_legs_once(spark):
+    # Lists of legs were shuffled by transaction, and their sums once more by transaction and by block.
+    legs = tables.numbered_legs(spark, SF)
+    txs = transfers.processed_txs(legs)
+    plan = txs._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(height") >= 1 and "hashpartitioning(ts" not in plan
+    whole = sorted(map(str, txs.collect()))
+    assert whole and whole == sorted(map(str, transfers.processed_txs(legs, rows_per_chunk=200).collect()))
