@@ -45,6 +45,7 @@ SHINGLE = 3
 SMALL = 256
 NODES_PER_BLOCK = 512
 _BITS = 1 << 26
+_SLICE = 1 << 18
 
 
 def _lacking(n: np.ndarray | int, percent: int) -> np.ndarray | int:
@@ -95,7 +96,7 @@ def signatures(docs: DataFrame, size: int, percent: int, small: int) -> DataFram
         for batch in batches:
             data, offsets = utf8(batch.column(1))
             nodes, n, m0, m1, tokens = [], [], [], [], []
-            for a, b in slices(offsets):
+            for a, b in slices(offsets, _SLICE):
                 for members in shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], hasher, size):
                     own, whole, chosen = _tokens(members, percent, small)
                     nodes.append(_node(members) if len(members) else None)
@@ -190,7 +191,7 @@ def _with_sets(docs: DataFrame, members: DataFrame, size: int) -> DataFrame:
             data, offsets = utf8(batch.column(batch.num_columns - 1))
             own = batch.column(batch.schema.get_field_index("node")).to_numpy()
             kept, sets = [], []
-            for a, b in slices(offsets):
+            for a, b in slices(offsets, _SLICE):
                 found = shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], hasher, size)
                 # A text of another document with the same id has another node.
                 kept.append([len(members) > 0 and _node(members) == node for members, node in zip(found, own[a:b], strict=True)])
@@ -331,7 +332,7 @@ def _with_nodes(rows: DataFrame, size: int) -> DataFrame:
             at = batch.schema.get_field_index("text")
             data, offsets = utf8(batch.column(at))
             nodes = []
-            for a, b in slices(offsets):
+            for a, b in slices(offsets, _SLICE):
                 sets = shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], hasher, size)
                 nodes += [_node(members) if len(members) else None for members in sets]
             rest = [k for k in range(batch.num_columns) if k != at]

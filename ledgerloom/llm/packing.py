@@ -47,7 +47,7 @@ def token_pieces(
                 bounds = [0, *range(len(ids) - capacity * (pieces - 1), len(ids) + 1, capacity)]
                 for k, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
                     raw = ids[a:b].astype("<u4").tobytes()
-                    for column, value in zip(rows, (doc, k, a, b - a, zlib.crc32(raw), raw), strict=True):
+                    for column, value in zip(rows, (doc, k, a, b - a, zlib.crc32(raw), raw if with_ids else None), strict=True):
                         column.append(value)
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             columns = [pa.array(v, t) for v, t in zip(rows, kinds, strict=True)]

@@ -9,6 +9,8 @@ piece is encoded once by the library, all others look its ids up.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 
@@ -63,7 +65,9 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self._known: dict[int, int] = {}
+        # Hashes of known pieces, ascending, and the number of each piece, in the order they were met.
+        self._hashes = np.zeros(0, np.uint64)
+        self._numbers = np.zeros(0, np.int32)
         self._ids = np.zeros(1 << 16, np.uint32)
         self._ends = np.zeros(1 << 16, np.int64)
 
@@ -80,12 +84,13 @@ class Encoder:
         cuts = np.searchsorted(ends, np.arange(0, ends[-1], _JOINED_BYTES), "right")
         bounds = [*np.unique(cuts).tolist(), len(pieces)]
         texts = [b"".join(pieces[a:b]).decode() for a, b in zip(bounds, bounds[1:], strict=False) if b > a]
-        ids = np.concatenate([np.array(i, np.uint32) for i in self._encoded(texts)])
+        # One by one: what the library keeps of a text takes many times its size.
+        ids = np.concatenate([np.array(i, np.uint32) for text in texts for i in self._encoded([text])])
         last = np.searchsorted(np.cumsum(self._width[ids]), ends)
         return ids, np.diff(last + 1, prepend=0)
 
-    def _add(self, hashes: list[int], pieces: list[bytes], joinable: np.ndarray) -> None:
-        """Learn new pieces; ``joinable`` ones begin with a cut and end before one."""
+    def _add(self, hashes: np.ndarray, pieces: list[bytes], joinable: np.ndarray) -> None:
+        """Learn new pieces, ascending by hash; ``joinable`` ones begin with a cut and end before one."""
         if not pieces:
             return
         ids, lengths = np.zeros(0, np.uint32), np.zeros(0, np.int64)
@@ -99,7 +104,7 @@ class Encoder:
         alone = self._encoded([pieces[i].decode("utf-8", "replace") for i in order[n:]])
         ids = np.concatenate([ids, *[np.array(i, np.uint32) for i in alone]])
         lengths = np.append(lengths, np.fromiter(map(len, alone), np.int64, len(alone)))
-        first = len(self._known)
+        first = len(self._hashes)
         used = int(self._ends[first - 1]) if first else 0
         total = used + len(ids)
         while len(self._ids) < total:
@@ -108,10 +113,13 @@ class Encoder:
             self._ends = np.concatenate([self._ends, np.zeros_like(self._ends)])
         self._ids[used:total] = ids
         self._ends[first : first + len(pieces)] = used + np.cumsum(lengths)
-        self._known.update((hashes[i], first + k) for k, i in enumerate(order.tolist()))
+        numbers = np.zeros(len(pieces), np.int32)
+        numbers[order] = first + np.arange(len(pieces))
+        place = np.searchsorted(self._hashes, hashes)
+        self._hashes, self._numbers = np.insert(self._hashes, place, hashes), np.insert(self._numbers, place, numbers)
 
     def _slice(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if len(self._known) > _MAX_CACHED:
+        if len(self._hashes) > _MAX_CACHED:
             self._clear()
         start = _cuts(data, offsets)
         end = np.append(start[1:], len(data))
@@ -125,12 +133,12 @@ class Encoder:
         distinct, sample, inverse = np.unique(
             self._hasher.spans(data, start, end), return_index=True, return_inverse=True
         )
-        keys = distinct.tolist()
-        new = [i for i, k in enumerate(keys) if k not in self._known]
+        found = np.searchsorted(self._hashes, distinct, "right") > np.searchsorted(self._hashes, distinct)
+        new = np.flatnonzero(~found)
         raw = data.tobytes()
-        spans = [(int(start[sample[i]]), int(end[sample[i]])) for i in new]
-        self._add([keys[i] for i in new], [raw[a:b] for a, b in spans], inner[sample[new]])
-        index = np.fromiter(map(self._known.__getitem__, keys), np.int64, len(keys))[inverse]
+        spans = zip(start[sample[new]].tolist(), end[sample[new]].tolist(), strict=True)
+        self._add(distinct[new], [raw[a:b] for a, b in spans], inner[sample[new]])
+        index = self._numbers[np.searchsorted(self._hashes, distinct)][inverse].astype(np.int64)
         begin = np.where(index > 0, self._ends[index - 1], 0)
         length = self._ends[index] - begin
         sums = np.cumsum(length)
@@ -138,14 +146,12 @@ class Encoder:
         bounds = np.append(0, sums)[np.searchsorted(start, offsets)]
         return self._ids[place], np.diff(bounds)
 
-    def encode(self, column: pa.Array) -> list[np.ndarray]:
-        """The ids of each row."""
+    def encode(self, column: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each row, made a slice at a time."""
         data, offsets = utf8(column)
-        out: list[np.ndarray] = []
         for a, b in slices(offsets):
             ids, counts = self._slice(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-            out.extend(np.split(ids, np.cumsum(counts)[:-1]))
-        return out
+            yield from np.split(ids, np.cumsum(counts)[:-1])
 
 
 def encoder(path: str) -> Encoder:
