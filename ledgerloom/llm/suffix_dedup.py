@@ -35,7 +35,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .store import stored
@@ -44,9 +44,10 @@ from .text import mixed, slices, utf8
 LENGTH = 200
 GRAM = 24
 GROUP = 4096
-_SEGMENT = 1 << 19
-_SORT_BYTES = 1 << 20
+_SEGMENT = 1 << 18
+_SORT_BYTES = 1 << 18
 _POSITION_BITS = 24
+_ROWS = 512
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -157,11 +158,18 @@ def _found_places(length: int, gram: int, located: bool) -> Callable:
     return run
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A bounded number of rows at a time, as Python objects of lists of places take many times the bytes."""
+    for batch in batches:
+        for a in range(0, max(batch.num_rows, 1), _ROWS):
+            yield batch.slice(a, _ROWS)
+
+
 def _cut_out(length: int) -> Callable:
     """The bytes of the places that are to be compared."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches):
             out = []
             for text, wanted in zip(batch.column("text"), batch.column("wanted").to_pylist(), strict=True):
                 whole = text.as_buffer()
@@ -345,10 +353,11 @@ def _compare(length: int) -> Callable:
 
 
 def _string_digests(length: int) -> Callable:
-    """The digest of every string of a place."""
+    """The digest of every string of the places that are to be compared, cut out by the same worker."""
+    cut_out = _cut_out(length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in cut_out(batches):
             for place, body in zip(batch.column("place").to_pylist(), batch.column("body").to_pylist(), strict=True):
                 digests = [_digest(0, body[k : k + length]) for k in range(len(body) - length + 1)]
                 columns = [pa.array([place] * len(digests), pa.binary()), pa.array(digests, pa.binary())]
@@ -362,7 +371,7 @@ def _without_repeats(length: int) -> Callable:
     """Counts and digest of what the repeated strings leave of a text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches):
             out = []
             for text, found in zip(batch.column("text"), batch.column("found").to_pylist(), strict=True):
                 data = np.frombuffer(text.as_buffer(), np.uint8)
@@ -382,13 +391,19 @@ def _without_repeats(length: int) -> Callable:
     return run
 
 
-def _repeated_strings(bodies: DataFrame, length: int, group: int) -> DataFrame:
-    """``place`` and the numbers from ``first`` to ``last`` of its strings that occur again."""
-    partitions = int(bodies.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    by_anchor = bodies.where(F.col("others") <= group).repartition(partitions, "anchor").sortWithinPartitions("anchor")
+def _repeated_strings(texts: DataFrame, length: int, group: int) -> DataFrame:
+    """``place`` and the numbers from ``first`` to ``last`` of its strings that occur again; of texts and ``wanted`` places."""
+
+    def of(chosen: Callable[[Column], Column]) -> DataFrame:
+        return texts.withColumn("wanted", F.filter("wanted", lambda w: chosen(w["others"]))).where(F.size("wanted") > 0)
+
+    partitions = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bodies = of(lambda others: others <= group).mapInArrow(
+        _cut_out(length), "anchor bigint, others bigint, place binary, before int, once boolean, body binary"
+    )
+    by_anchor = bodies.repartition(partitions, "anchor").sortWithinPartitions("anchor")
     found = by_anchor.mapInArrow(_compare(length), "place binary, first int, last int")
-    strings = bodies.where(F.col("others") > group).select("place", "body")
-    strings = strings.mapInArrow(_string_digests(length), "place binary, string binary, number int")
+    strings = of(lambda others: others > group).mapInArrow(_string_digests(length), "place binary, string binary, number int")
     often = strings.groupBy("string").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("string")
     more = strings.join(often, "string").select("place", F.col("number").alias("first"), F.col("number").alias("last"))
     return found.unionByName(more)
@@ -435,13 +450,8 @@ def without_repeated_strings(docs: DataFrame, length: int = LENGTH, gram: int =
     wanted = one_of_each.groupBy("at.key").agg(
         F.collect_list(F.struct("place", "before", "anchor", "others", "strings", "once", "at.start")).alias("wanted")
     )
-    bodies = (
-        texts.join(wanted, "key")
-        .dropDuplicates(["key"])
-        .select("doc_id", "text", "wanted")
-        .mapInArrow(_cut_out(length), "anchor bigint, others bigint, place binary, before int, once boolean, body binary")
-    )
-    once = where.where("whole is null").join(_repeated_strings(bodies, length, group), "place")
+    cut = texts.join(wanted, "key").dropDuplicates(["key"]).select("doc_id", "text", "wanted")
+    once = where.where("whole is null").join(_repeated_strings(cut, length, group), "place")
     found = (
         where.where("whole")
         .select("key", "start", (F.col("start") + F.col("strings") - 1 + length).alias("end"))

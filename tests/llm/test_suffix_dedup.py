@@ -147,3 +147,26 @@ def test_every_wrong_extension_is_noticed(length):
         for n in range(length + 1):
             known = sd._verified(data, np.array([a]), np.array([b]), np.array([n]), length)
             assert known == (n == right and x <= y)
+
+
+def test_a_task_has_one_python_worker(spark):
+    rows = spark.createDataFrame([(1, "a" * 300, "a", "b", "c", "d")], SCHEMA)
+    plan = sd.without_repeated_strings(rows)._jdf.queryExecution().executedPlan().toString()
+    above, steps = [], 0
+    for line in plan.splitlines():
+        name = line.lstrip(" :+-*()0123456789")
+        depth = len(line) - len(name)
+        above = [(d, n) for d, n in above if d < depth]
+        if name.startswith("MapInArrow"):
+            steps += 1
+            stage = [n for _, n in above]
+            cut = max((k + 1 for k, n in enumerate(stage) if n.startswith("Exchange")), default=0)
+            assert not [n for n in stage[cut:] if n.startswith("MapInArrow")]
+        above.append((depth, name))
+    assert steps >= 4
+
+
+def test_lists_of_places_come_a_part_at_a_time():
+    places = pa.array([[]] * 1300, pa.list_(pa.int64()))
+    batches = [pa.RecordBatch.from_arrays([places], ["found"]), pa.RecordBatch.from_arrays([places[:0]], ["found"])]
+    assert [b.num_rows for b in sd._parts(batches)] == [512, 512, 276, 0]
