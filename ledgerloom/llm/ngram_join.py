@@ -8,11 +8,14 @@
 3. Rare-first prefixes: document frequencies over all nodes order the shingles;
    of the first ``u + 1``, where ``u`` may be lacking, two linked nodes share one.
    Shingles met once come first and join nothing, so most nodes need no join.
-4. Nodes that share a prefix shingle are put in a cluster; big clusters are cut
-   into blocks and every two blocks meet in one task.  There an index of prefixes
-   gives each pair once; length, positional and suffix filters drop most, the
+4. Nodes that share a prefix shingle and may link by length, position and sketch are put
+   in a cluster.  A sketch is the parities of a set's shingles by their hashes: the bits
+   in which two differ are not more than the shingles that only one of the sets has.  So
+   texts that share a rare shingle by chance do not chain clusters that grow with the table.
+5. Big clusters are cut into blocks and every two blocks meet in one task.  There an index
+   of prefixes gives each pair once; length, positional and suffix filters drop most, the
    rest are verified on the whole sets, unless they are connected already.
-5. Components of the verified links.
+6. Components of the verified links.
 
 Nothing is dropped or capped: each filter only rules out pairs that cannot link.
 Nodes are known by 64 bits of a digest of their set.
@@ -27,12 +30,12 @@ and connects no others; an empty table gives an empty result; other columns are
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,6 +49,15 @@ SMALL = 256
 NODES_PER_BLOCK = 512
 _BITS = 1 << 26
 _SLICE = 1 << 18
+# Frequencies from here on rank alike, before the hashes.
+_FREQUENT = (1 << 11) - 1
+_HASH_BITS = 52
+# Rows with one prefix token that are compared in one place; those of more common tokens are cut into blocks.
+_ROWS_TOGETHER = 8192
+_HOT_TOKENS = 50_000
+_ROWS_AT_ONCE = 1 << 16
+# Bytes of a sketch, and the largest sets for them: a bit for each three shingles.
+_SKETCHES = ((16, 384), (32, 768), (64, 1536), (128, None))
 
 
 def _lacking(n: np.ndarray | int, percent: int) -> np.ndarray | int:
@@ -88,14 +100,30 @@ def _tokens(members: np.ndarray, percent: int, small: int) -> tuple[np.ndarray,
     return np.concatenate([every & ~one, chosen | one]).view(np.int64), len(every), len(chosen)
 
 
+def sketch(members: np.ndarray) -> bytes:
+    """Parities of the numbers of shingles by the leading bits of their hashes; larger sets have more of them."""
+    width, most = _SKETCHES[-1][0], len(members)
+    odd = np.bincount((members >> np.uint64(54)).astype(np.int64), minlength=8 * width) & 1
+    bits = np.packbits(odd.astype(np.uint8))
+    return _folded(bits, next(w for w, n in _SKETCHES if n is None or most <= n)).tobytes()
+
+
+def _folded(bits: np.ndarray, width: int) -> np.ndarray:
+    """Sketches with fewer bits, each the parity of several."""
+    while bits.shape[-1] > width:
+        half = bits.shape[-1] // 2
+        bits = bits[..., :half] ^ bits[..., half:]
+    return bits
+
+
 def signatures(docs: DataFrame, size: int, percent: int, small: int) -> DataFrame:
-    """Per row its node, the size of its set, and its tokens; nodes of empty sets are null."""
+    """Per row its node, the size of its set, its sketch and its tokens; nodes of empty sets are null."""
 
     def process(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for batch in batches:
             data, offsets = utf8(batch.column(1))
-            nodes, n, m0, m1, tokens = [], [], [], [], []
+            nodes, n, m0, m1, sketches, tokens = [], [], [], [], [], []
             for a, b in slices(offsets, _SLICE):
                 for members in shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], hasher, size):
                     own, whole, chosen = _tokens(members, percent, small)
@@ -103,6 +131,7 @@ def signatures(docs: DataFrame, size: int, percent: int, small: int) -> DataFram
                     n.append(len(members))
                     m0.append(whole)
                     m1.append(chosen)
+                    sketches.append(sketch(members))
                     tokens.append(own)
             flat = np.concatenate([*tokens, np.zeros(0, np.int64)])
             at = np.append(0, np.cumsum([len(t) for t in tokens])).astype(np.int32)
@@ -112,25 +141,33 @@ def signatures(docs: DataFrame, size: int, percent: int, small: int) -> DataFram
                 pa.array(n, pa.int64()),
                 pa.array(m0, pa.int32()),
                 pa.array(m1, pa.int32()),
+                pa.array(sketches, pa.binary()),
                 pa.ListArray.from_arrays(pa.array(at), pa.array(flat)),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "n", "m0", "m1", "tokens"])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "n", "m0", "m1", "sketch", "tokens"])
 
-    schema = "doc_id bigint, node bigint, n bigint, m0 int, m1 int, tokens array<bigint>"
+    schema = "doc_id bigint, node bigint, n bigint, m0 int, m1 int, sketch binary, tokens array<bigint>"
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(process, schema)
 
 
 def prefixes(nodes: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
-    """Per node and group: the prefix tokens that other nodes have too, rarest first, and where they begin."""
+    """Per node and group: the prefix tokens that other nodes have too, rarest first, and where they begin.
+
+    Tokens are shuffled once, to be counted where they lie.  A token that others have becomes
+    its frequency before the rest of its hash, so that numbers tell the order and one is sent a row.
+    """
     spread = tokens.select("node", F.explode("tokens").alias("token"))
-    shared = spread.groupBy("token").agg(F.count(F.lit(1)).cast("int").alias("df")).where("df > 1")
+    counted = spread.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("df > 1")
+    rank = F.shiftleft(F.least("df", F.lit(_FREQUENT)).cast("bigint"), _HASH_BITS)
+    ranked = counted.select("node", rank.bitwiseOR(F.col("token").bitwiseAND((1 << _HASH_BITS) - 1)).alias("token"))
+    # Dealt out before they are listed: lists made before it are twice as large.
     listed = (
-        spread.join(shared, "token")
+        ranked.repartition("node")
         .groupBy("node", (F.col("token").bitwiseAND(1)).cast("int").alias("part"))
-        .agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("common"))
+        .agg(F.array_sort(F.collect_list("token")).alias("common"))
     )
     lacking = F.col("n") - F.floor((percent * F.col("n") + 99) / 100)
-    sized = listed.join(nodes.select("node", "n", "m0", "m1"), "node").withColumn(
+    sized = listed.join(nodes.select("node", "n", "m0", "m1", "sketch"), "node").withColumn(
         "m", F.when(F.col("part") == 0, F.col("m0")).otherwise(F.col("m1"))
     )
     alone = F.col("m") - F.size("common")
@@ -140,20 +177,120 @@ def prefixes(nodes: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
         sized.withColumn("skip", alone.cast("int"))
         .withColumn("take", (wanted - alone).cast("int"))
         .where("take > 0")
-        .select("node", "part", "n", "m", "skip", F.slice("common", F.lit(1), F.col("take"))["token"].alias("prefix"))
+        .select("node", "part", "n", "m", "skip", "sketch", F.slice("common", F.lit(1), F.col("take")).alias("prefix"))
     )
 
 
-def _clusters(offered: DataFrame) -> DataFrame:
-    """Nodes that share prefix tokens, directly or through others: ``node`` and ``cluster``."""
-    rows = offered.select("node", F.explode("prefix").alias("token"))
-    hubs = rows.groupBy("token").agg(F.min("node").alias("hub"), F.max("node").alias("other")).where("hub < other")
-    edges = rows.join(hubs.select("token", "hub"), "token").select(F.col("node").alias("u"), F.col("hub").alias("v"))
-    found = components(edges)
+def _clusters(offered: DataFrame, percent: int, together: int) -> DataFrame:
+    """Nodes that may link, directly or through others: ``node`` and ``cluster``."""
+    lacking = F.col("n") - F.floor((percent * F.col("n") + 99) / 100)
+    rows = offered.select(
+        "node",
+        F.col("n").cast("int").alias("n"),
+        (F.col("m") - F.col("skip")).alias("after"),
+        (F.col("m") - lacking).cast("int").alias("need"),
+        "sketch",
+        F.posexplode("prefix").alias("k", "token"),
+    )
+    most = max(together, (offered.agg(F.sum(F.size("prefix"))).first()[0] or 0) // _HOT_TOKENS)
+    # At most _HOT_TOKENS rows.
+    common = offered.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("rows"))
+    cut = F.broadcast(common.where(F.col("rows") > most).select("token", F.ceil(F.col("rows") / most).cast("int").alias("blocks")))
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    met = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda k: F.xxhash64("token", F.least(F.col("block"), k), F.greatest(F.col("block"), k)),
+    )
+    # Two tokens with one hash are compared together, which costs time only.
+    places = F.when(F.col("blocks").isNull(), F.array("token")).otherwise(met)
+    placed = rows.join(cut, "token", "left").withColumn("block", block).select(
+        F.explode(places).alias("place"), "node", "n", (F.col("after") - F.col("k")).alias("after"), "need", "sketch"
+    )
+
+    def process(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in _whole_places(batches):
+            u, v = _near(whole, percent)
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+
+    ordered = placed.repartition("place").sortWithinPartitions("place", "n", "node")
+    found = components(ordered.mapInArrow(process, "u bigint, v bigint"))
     roots = found.select(F.col("root").alias("node"), F.col("root").alias("cluster")).distinct()
     return found.select("node", F.col("root").alias("cluster")).unionByName(roots)
 
 
+def _whole_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows that come sorted by place, many places at a time and none cut in two."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+        if sum(b.num_rows for b in held) < _ROWS_AT_ONCE:
+            continue
+        table = pa.Table.from_batches(held)
+        place = table["place"].to_numpy()
+        cut = int(np.searchsorted(place, place[-1]))
+        if cut:
+            yield table.slice(0, cut)
+        held = table.slice(cut).combine_chunks().to_batches()
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _near(rows: pa.Table, percent: int) -> tuple[list[int], list[int]]:
+    """Enough pairs of nodes at one place that may link to connect all that may; sorted by place and size."""
+    place, n, after, need = (rows[c].to_numpy() for c in ("place", "n", "after", "need"))
+    nodes, at = np.unique(rows["node"].to_numpy(), return_inverse=True)
+    differing = _differing(rows["sketch"].to_pylist())
+    union, root, u, v = _Union(len(nodes)), np.arange(len(nodes)), [], []
+    i, step = np.arange(len(place)), 0
+    while len(i):
+        # Every row with the one so many behind it, as long as that is at its place and not too large.
+        step += 1
+        i = i[i + step < len(place)]
+        j = i + step
+        i = i[(place[i] == place[j]) & (100 * n[i].astype(np.int64) >= percent * n[j].astype(np.int64))]
+        j = i + step
+        open_now = (root[at[i]] != root[at[j]]) & (np.minimum(after[i], after[j]) >= np.maximum(need[i], need[j]))
+        a, b = i[open_now], j[open_now]
+        both = n[a].astype(np.int64) + n[b]
+        least = -(-percent * both // (100 + percent))
+        may = differing(a, b) <= both - 2 * least
+        joined = [(x, y) for x, y in zip(at[a[may]].tolist(), at[b[may]].tolist(), strict=True) if union.join(x, y)]
+        if joined:
+            u += nodes[[x for x, _ in joined]].tolist()
+            v += nodes[[y for _, y in joined]].tolist()
+            root = union.roots()
+    return u, v
+
+
+def _differing(sketches: list[bytes]) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """The number of bits in which the sketches of rows differ, by as many bits as both have."""
+    width = np.array([len(s) for s in sketches])
+    # Per width the sketches of all rows that have at least as many bits, and where each row's is.
+    folded = {}
+    for w, _ in _SKETCHES:
+        mine = np.flatnonzero(width >= w)
+        parts = [
+            _folded(np.frombuffer(b"".join(sketches[k] for k in own), np.uint8).reshape(-1, x), w)
+            for x, _ in _SKETCHES
+            if x >= w and len(own := mine[width[mine] == x])
+        ]
+        order = np.concatenate([mine[width[mine] == x] for x, _ in _SKETCHES if x >= w])
+        where = np.zeros(len(sketches), np.int64)
+        where[order] = np.arange(len(order))
+        folded[w] = (np.concatenate(parts).view(np.uint64) if parts else np.zeros((0, w // 8), np.uint64), where)
+
+    def differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(a), np.int64)
+        common = np.minimum(width[a], width[b])
+        for w, (bits, where) in folded.items():
+            own = np.flatnonzero(common == w)
+            out[own] = np.bitwise_count(bits[where[a[own]]] ^ bits[where[b[own]]]).sum(axis=1, dtype=np.int64)
+        return out
+
+    return differing
+
+
 def _marked(rows: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows with ``found``: whether their ``doc_id`` may be among ``ids``; if not, it surely is not.
 
@@ -213,6 +350,13 @@ class _Union:
             x = self._up[x]
         return x
 
+    def roots(self) -> np.ndarray:
+        """The root of every element."""
+        up = np.array(self._up)
+        while not np.array_equal(further := up[up], up):
+            up = further
+        return up
+
     def join(self, x: int, y: int) -> bool:
         x, y = self.root(x), self.root(y)
         self._up[max(x, y)] = min(x, y)
@@ -269,7 +413,7 @@ def _tokens_of(docs: DataFrame, rows: DataFrame, reps: DataFrame, sign) -> DataF
 def _links(docs: DataFrame, nodes: DataFrame, tokens: DataFrame, size: int, percent: int, per_block: int) -> DataFrame:
     """Enough verified links ``u``-``v`` to connect all nodes that links connect."""
     offered = stored(prefixes(nodes, tokens, percent), "prefixes")
-    clusters = stored(_clusters(offered), "clusters")
+    clusters = stored(_clusters(offered, percent, min(_ROWS_TOGETHER, 16 * per_block)), "clusters")
     blocks = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / per_block).cast("int").alias("blocks"))
     bins = 1 + clusters.count() // per_block
     big = F.col("blocks") > 1

@@ -106,6 +106,31 @@ def test_ngram_components(spark, size, percent, small, block):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == plain_components(docs, size, percent)
 
 
+def test_ngram_texts_with_passages_in_common_make_no_cluster(spark, monkeypatch):
+    written = {}
+
+    def passage(a, b):
+        return " ".join(f"p{min(a, b)}x{max(a, b)}w{k}" for k in range(40))
+
+    # Almost every shingle of a text is found in one other text, and no two texts are alike.
+    docs = [(a, " ".join(passage(a, b) for b in range(12) if a != b)) for a in range(12)]
+    docs += [(100, docs[7][1] + " more"), (101, docs[8][1] + " words")]
+    monkeypatch.setattr(ngram_join, "stored", lambda df, name, f=ngram_join.stored: written.setdefault(name, f(df, name)))
+    got = ngram_join.ngram_components(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == {**{k: k for k in range(12)}, 100: 7, 101: 8}
+    assert written["clusters"].count() == 4
+
+
+def test_sketches_differ_in_no_more_than_the_sets_do():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64)) for n in (1, 40, 384, 385, 700, 1500, 3000)]
+    sets += [np.unique(np.concatenate([s[: -len(s) // 20 or None], sets[0]])) for s in sets]
+    differing = ngram_join._differing([ngram_join.sketch(s) for s in sets])
+    a, b = (x.ravel() for x in np.meshgrid(np.arange(len(sets)), np.arange(len(sets))))
+    apart = [len(np.setxor1d(sets[x], sets[y])) for x, y in zip(a, b)]
+    assert (differing(a, b) <= apart).all() and differing(a, b)[(a == 3) & (b == 4)] > 70
+
+
 def test_ngram_odd(odd, none):
     got = ngram_join.ngram_components(odd).collect()
     assert len(got) == len(ODD)
