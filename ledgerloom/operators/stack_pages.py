@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpointed
+from ..session import stored
 from ..sources.levels import LevelTable
 from .lifo import segments
 from .ordered import ROWS_PER_CHUNK, row_number, running, running_sum
@@ -101,11 +101,11 @@ def run_segments(
     Segments of the pages that were read have height -1.  ``net`` should be a written table.
     """
     spark = net.sparkSession
-    lows = checkpointed(lowest_balances(net, rows_per_chunk))
+    lows = stored(lowest_balances(net, rows_per_chunk))
     fences = tables.fences.lookup(lows.select("address"))
     if fences is None:
         fences = spark.createDataFrame([], _FENCE)
-    depth, touched = map(checkpointed, depths(checkpointed(fences), lows, page))
+    depth, touched = map(stored, depths(stored(fences), lows, page))
     read = tables.pages.lookup(touched)
     none = F.lit(None).cast("bigint")
     state = depth.where("nonce is not null").select("address", "nonce", none.alias("ots"), none.alias("value"))
@@ -114,8 +114,8 @@ def run_segments(
     below = depth.where("base is not null").select(
         "address", F.lit(_BELOW).alias("nonce"), F.lit(0).cast("bigint").alias("ots"), F.col("base").alias("value")
     )
-    state = checkpointed(state.unionByName(below))
-    found = checkpointed(segments(net, rows_per_chunk, state).where(f"not (height = -1 and nonce = {_BELOW})"))
+    state = stored(state.unionByName(below))
+    found = stored(segments(net, rows_per_chunk, state).where(f"not (height = -1 and nonce = {_BELOW})"))
     return found, *_written_back(found, depth, touched, page, rows_per_chunk)
 
 
@@ -129,7 +129,7 @@ def _written_back(
     )
     # Shuffled by itself, so that Spark can split a hot address of the other side.
     start = depth.select("address", "first", F.coalesce("base", F.lit(0)).cast("bigint").alias("base")).repartition("address")
-    new = checkpointed(
+    new = stored(
         placed.join(start, "address")
         .withColumn("page", F.col("first") + F.expr(f"(place - 1) div {page}"))
         .groupBy("address", "page")
@@ -139,7 +139,7 @@ def _written_back(
             F.count(F.lit(1)).alias("held"),
         )
     )
-    gone = checkpointed(touched.join(new.select(*KEYS), list(KEYS), "left_anti"))
+    gone = stored(touched.join(new.select(*KEYS), list(KEYS), "left_anti"))
     used = found.select("address", "nonce").unionByName(depth.where("nonce is not null").select("address", "nonce"))
     heads = used.groupBy("address").agg(F.max("nonce").alias("nonce"))
     live, dead = F.lit(True).alias("live"), F.lit(False).alias("live")

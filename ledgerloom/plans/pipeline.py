@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 
 from ..functions.scripts import with_address
 from ..operators.clock import marker_times, monotone_block_time, with_block_time, with_increasing_time_of
-from ..operators.entries import OUTPOINT, outpoints
+from ..operators.entries import OUTPOINT, spent_outpoints
 from ..operators.lifo import changes_of, public_stack_changes, stack_changes
 from ..operators.matching import match_spends_strict, tx_legs, unspent_changes
 from ..operators.netting import account_changes, net_changes
 from ..operators.sketches import address_sketches, sketched_addresses
 from ..operators.stack_pages import StackTables, run_segments
 from ..operators.transfers import leg_transfers, transfer_edges
-from ..session import checkpointed
+from ..session import CODEC, checkpointed
 from ..sources.blocks import confirmed_blocks, from_records, parse_blocks, resume_height, to_records
 from ..sources.levels import ROWS_PER_BUCKET, LevelTable
 from ..sources.sinks import account_change_records, stack_change_records, transfer_records
@@ -151,7 +151,7 @@ def run_next(
     written last, so a run that broke off is written again under the same number and
     leaves no row twice.  Switches and ``rows_per_bucket`` must stay the same from run to run.
 
-    Inputs are matched once; net changes and transfers come from the same matched rows.
+    Inputs are matched once; net changes, transfers and the changes of the unspent outputs come from the same matched rows.
     """
     before = _last_run(spark, out)
     number = 0 if before is None else before["run"] + 1
@@ -159,26 +159,28 @@ def run_next(
 
     def put(df: DataFrame, name: str) -> DataFrame:
         path = f"{out}/{name}/run={number}"
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").option("compression", CODEC).parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
-    entries = put(block_entries(new), "entries")
+    # Nothing reads the scripts once their addresses are known.
+    entries = put(block_entries(new).drop("script"), "entries")
     times = put(monotone_block_time(marker_times(entries), after=None if before is None else before["ts"]), "times")
     end = times.agg(F.max("height").alias("height"), F.max("ts").alias("ts")).first()
     if end["height"] is None:
         return False
     unspent = _unspent_table(out, before, rows_per_bucket=rows_per_bucket)
-    parents = unspent.lookup(outpoints(entries).select(*OUTPOINT))
+    # An outpoint that is only created needs nothing of before: the new output holds.
+    parents = unspent.lookup(spent_outpoints(entries))
     if parents is not None:
         parents = put(parents, "parents")
-    legs = put(tx_legs(entries, unspent=parents), "legs")
+    legs = put(tx_legs(entries, unspent=parents, with_ends=True), "legs")
     signed = legs.withColumn("value", F.when(F.col("is_input"), -F.col("value")).otherwise(F.col("value")))
     net = put(net_changes(with_block_time(signed, times)), "net")
     if sketches:
         put(address_sketches(net), "sketches")
     if edges:
         put(leg_transfers(legs, strict=True), "transfers")
-    unspent = unspent.with_run(put(unspent_changes(entries, parents), "unspent-changes"), number)
+    unspent = unspent.with_run(unspent_changes(entries, parents, legs), number)
     tables = _stack_tables(out, before, rows_per_bucket=rows_per_bucket)
     if stacks:
         found, pages, fences = run_segments(net, tables)

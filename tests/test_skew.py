@@ -231,3 +231,36 @@ def test_parents_of_a_hot_outpoint(spark):
     want = sorted((r[1], last[r[3]][1], last[r[3]][9], -last[r[3]][8]) for r in rows if r[6] and r[3] in last)
     found = matching.join_parents(spark.createDataFrame(rows, schema), rows_per_chunk=100)
     assert sorted(map(tuple, found.select("height", "created", "address", "value").collect())) == want
+
+
+def test_changes_of_the_unspent_outputs_come_from_matching(spark):
+    """Also with outpoints cut into chunks, made again, spent in later blocks, and known from before."""
+    rng, rows, unspent, schema = random.Random(4), [], [], (
+        "ts bigint, height int, tx_pos int, tx_hash binary, out_index bigint, entry_idx int, is_input boolean, "
+        "is_marker boolean, value bigint, own_hash binary, address string, kind string"
+    )
+    for k in range(30):
+        live = rng.random() < 0.5
+        if live:
+            unspent.append((bytes([k]), 0, 1, "old", "P2SH", 7))
+        for height in range(2, 400 if k == 3 else rng.choice([3, 4, 6])):
+            if live:
+                rows.append((height, height, 1, bytes([k]), 0, k, True, False, None, b"i", None, None))
+            live = rng.random() < 0.7
+            if live:
+                rows.append((height, height, 2, bytes([k]), 0, k, False, False, height * 100 + k, b"o", f"a{k}", "P2PKH"))
+    entries = spark.createDataFrame(rows, schema).repartition(5)
+    known = spark.createDataFrame(unspent, "tx_hash binary, out_index bigint, height int, address string, kind string, value bigint")
+    want = sorted(map(tuple, matching.unspent_changes(entries, known).where("live").collect()))
+    gone = {bytes(r.tx_hash) for r in matching.unspent_changes(entries, known).where("not live").collect()}
+    for chunk in (40, 100_000):
+        legs = matching.tx_legs(entries, chunk, unspent=known, with_ends=True)
+        found = matching.unspent_changes(entries, known, legs)
+        columns = ["tx_hash", "out_index", "height", "address", "kind", "value", "live"]
+        assert sorted(map(tuple, found.where("live").select(*columns).collect())) == sorted(
+            map(tuple, matching.unspent_changes(entries, known).where("live").select(*columns).collect())
+        )
+        assert {bytes(r.tx_hash) for r in found.where("not live").collect()} == gone and len(want) > 3
+        assert "Exchange" not in spark.createDataFrame(legs.collect(), legs.schema).transform(
+            lambda t: matching.unspent_changes(entries, known, t)
+        )._jdf.queryExecution().executedPlan().toString()
